@@ -17,7 +17,7 @@ carries the fan-out. ``ties="collapse"`` skips it: one row per event.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,11 +78,17 @@ def feature_base(silver: DataFrame) -> DataFrame:
     )
 
 
-def attach(base: DataFrame, metrics_df: DataFrame, table: str) -> DataFrame:
+def attach(base: DataFrame, metrics_df: DataFrame, table: str,
+           broadcast: bool = False) -> DataFrame:
     """Left join one metric set by its keys (plain equality, so a
-    NULL user matches nothing). ``metrics_df`` has one row per key."""
+    NULL user matches nothing). ``metrics_df`` has one row per key.
+
+    ``broadcast`` ships the metric side to every task; pass it only for a
+    side whose size was measured (see ``clickfeat.plans.joins``).
+    """
     keys = list(M.METRIC_TABLES[table])
-    return base.join(prefixed(metrics_df, table, keys), on=keys, how="left")
+    side = prefixed(metrics_df, table, keys)
+    return base.join(F.broadcast(side) if broadcast else side, on=keys, how="left")
 
 
 def _copies(df: DataFrame) -> Column:
@@ -111,12 +117,16 @@ def expand(df: DataFrame, ties: str = "multiply") -> DataFrame:
 
 def raw_features_unexpanded(silver: DataFrame,
                             metrics: Mapping[str, DataFrame] | None = None,
-                            slice_unit: str = "hour") -> DataFrame:
-    """O27/O73 before the tie fan-out: one row per event, plus ``_copies``."""
+                            slice_unit: str = "hour",
+                            broadcast: Collection[str] = ()) -> DataFrame:
+    """O27/O73 before the tie fan-out: one row per event, plus ``_copies``.
+
+    ``broadcast`` names metric sets measured small enough to broadcast.
+    """
     metrics = metrics if metrics is not None else metric_frames(silver, slice_unit)
     df = feature_base(silver)
     for table in M.METRIC_TABLES:
-        df = attach(df, metrics[table], table)
+        df = attach(df, metrics[table], table, broadcast=table in broadcast)
     return with_copies(df).select(*EVENT_COLUMNS, *FEATURES, COPIES)
 
 

@@ -271,4 +271,6 @@ cum AS (
 SELECT round(COALESCE(SUM(pos * tp / k) / NULLIF(SUM(pos), 0), 0.0), 6) AS average_precision,
        CAST(SUM(pos) AS BIGINT) AS positives, CAST(SUM(n) AS BIGINT) AS scored_rows
 FROM cum"""
+    q["stream_ingest"] = q["silver_cast"]
+    q["table_roundtrip"] = q["silver_events"]
     return q

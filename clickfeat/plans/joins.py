@@ -1,0 +1,29 @@
+"""Join-side sizing: broadcast only what is measured to be small.
+
+A materialised metric table's size is known from its files. If it is within
+the bound (allowing for decompression), the join ships it to every task and
+the large event side is not shuffled for that join. Otherwise the join is
+left to the planner: a shuffled join, with AQE free to broadcast at run time
+from measured shuffle sizes and to split hot keys (skew join).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clickfeat.sources.tables import bytes_on_disk
+
+# Bound on the in-memory size of a broadcast side, and the assumed growth
+# from compressed parquet bytes to rows in memory.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+DECOMPRESSION_FACTOR = 8
+
+
+def broadcast_if_small(spark: SparkSession, df: DataFrame, path: str,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+    """``(F.broadcast(df), True)`` when the files at ``path`` are small enough."""
+    size = bytes_on_disk(spark, path)
+    if size * DECOMPRESSION_FACTOR <= max_bytes:
+        return F.broadcast(df), True
+    return df, False

@@ -18,8 +18,12 @@ from clickfeat.operators import features as FT
 from clickfeat.operators import layers as L
 from clickfeat.operators import metrics as M
 from clickfeat.operators import split as S
-from clickfeat.session import prepare
-from clickfeat.sources.events import TIEBREAK, as_csv_strings, from_driver_events
+from clickfeat.plans import model as ML
+from clickfeat.session import fresh_dir, prepare, work_dir
+from clickfeat.sources.events import (NATIVE_COLUMNS, TIEBREAK, as_csv_strings,
+                                      from_driver_events, read_path)
+from clickfeat.sources.tables import read_table, write_table
+from clickfeat.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -147,6 +151,64 @@ def q_average_precision(spark, sf_dir):
     return E.average_precision(_scored(spark, sf_dir), digits=6)
 
 
+# Two CSV drops of the driver events: before and from this instant.
+DROP_SPLIT = dt.datetime(2024, 1, 15)
+
+
+def q_stream_ingest(spark, sf_dir):
+    """Drop A, drain; drop B, drain; drain again (no new files): staging holds
+    every event exactly once. Returns the business columns, typed."""
+    base = fresh_dir(spark, "stream")
+    raw, staged, ckpt = f"{base}/raw", f"{base}/staging", f"{base}/checkpoint"
+    text = as_csv_strings(L.bronze(staging(spark, sf_dir))).select(*NATIVE_COLUMNS)
+    is_a = F.col("event_time") < F.lit(DROP_SPLIT.strftime("%Y-%m-%d %H:%M:%S"))
+    for name, cond in (("drop_a", is_a), ("drop_b", ~is_a)):
+        text.filter(cond).write.option("header", True).csv(f"{raw}/{name}")
+        ingest(spark, f"{raw}/*", staged, ckpt)
+    ingest(spark, f"{raw}/*", staged, ckpt)
+    return L.silver_cast(read_path(spark, staged).select(*NATIVE_COLUMNS))
+
+
+def q_table_roundtrip(spark, sf_dir):
+    """Silver written as an external catalog table, read back by name."""
+    path = fresh_dir(spark, "tables")
+    name = "silver_events_" + path.rsplit("-", 1)[-1].replace("-", "")[:12]
+    write_table(silver_of(spark, sf_dir), name, f"{path}/silver/events")
+    return read_table(spark, name)
+
+
+def _training_table(spark, sf_dir):
+    """The training table materialised in the work folder (lineage cut)."""
+    work_dir(spark)
+    return q_features_and_labels(spark, sf_dir).checkpoint()
+
+
+# Small, fixed settings so the model queries stay quick at test scale.
+QUERY_PARAMS = ML.Params(max_depth=3, learning_rate=0.1, scale_pos_weight=2.0)
+
+
+def q_train_and_score(spark, sf_dir):
+    f = _training_table(spark, sf_dir)
+    model = ML.fit(S.split_rows(f, "train"), QUERY_PARAMS, max_iter=5)
+    test = S.split_rows(f, "test", keep_keys=True)
+    return ML.predict(model, test).select(
+        "user_id", "user_session", FT.LABEL, "prediction", ML.PROBABILITY)
+
+
+def q_tuning_trials(spark, sf_dir):
+    f = _training_table(spark, sf_dir)
+    return ML.tune(spark, S.split_rows(f, "train"), S.split_rows(f, "test"),
+                   max_evals=3, parallelism=3, max_iter=3, seed=1)
+
+
+def q_model_latest(spark, sf_dir):
+    f = _training_table(spark, sf_dir)
+    registry = fresh_dir(spark, "registry")
+    ML.train(spark, f, registry, "purchase_intent", max_evals=2, parallelism=2, max_iter=3)
+    return ML.latest_version(spark, registry, "purchase_intent").select(
+        "name", "version", "stage")
+
+
 def catalogue() -> dict[str, Query]:
     q: dict[str, Query] = {
         "bronze_events": q_bronze_events,
@@ -177,4 +239,9 @@ def catalogue() -> dict[str, Query]:
         q[f"split_{part}"] = _split(part)
     q["class_metrics"] = q_class_metrics
     q["average_precision"] = q_average_precision
+    q["stream_ingest"] = q_stream_ingest
+    q["table_roundtrip"] = q_table_roundtrip
+    q["train_and_score"] = q_train_and_score
+    q["tuning_trials"] = q_tuning_trials
+    q["model_latest"] = q_model_latest
     return q
