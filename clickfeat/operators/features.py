@@ -1,18 +1,21 @@
-"""Feature assembly: prefixed metric joins, labels and the training table.
+"""Feature assembly: point-in-time metric sets, labels and the training table.
 
 Every event gets the five metric sets that were known at its time:
 
-* session and session x product metrics at its exact ``event_time``;
+* session and session x product running metrics at its exact ``event_time``
+  (computed on the events themselves, ``clickfeat.operators.running``);
 * user, product and user x product day-level metrics stamped with the
-  event's own day (made the day before, so no same-day leakage).
+  event's own day (made the day before, so no same-day leakage), attached
+  by N:1 left joins.
 
 Tie fan-out (Q3). The reference joins per-event metric tables, whose keys
 repeat for events tied on time, so an event is emitted ``n_s x n_ps`` times
 (n_s events share its user, session and instant; n_ps also its product).
-Here every metric frame has one row per join key plus a ``_ties`` count;
-the joins are N:1 and the copies are made by one ``explode`` at the very end
-(``ties="multiply"``, the reference's rows), after all shuffles, so no join
-carries the fan-out. ``ties="collapse"`` skips it: one row per event.
+Here those counts are window counts carried as ``_copies``, and the copies
+are made by one ``explode`` at the very end (``ties="multiply"``, the
+reference's rows), after every shuffle. ``ties="collapse"``: one row per event.
+A NULL user matches no per-session row in the reference's joins: its
+session features are NULL and it is not multiplied.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 
 from clickfeat.functions.ratios import METRICS, PURCHASE
 from clickfeat.operators import metrics as M
+from clickfeat.operators.running import level_columns, with_running
 
 # The event columns kept in the raw feature table, in the
 # order left by the chain of USING joins, and the label key.
@@ -32,6 +36,7 @@ LABEL_KEYS = ("user_id", "user_session", "product_id")
 LABEL = "purchased"
 DROPPED_FOR_TRAINING = ("event_type", "product_id", "event_time", "batch_time")
 COPIES = "_copies"
+TIES = "_ties"
 
 FEATURES = tuple(f"{t}__{m}" for t in M.METRIC_TABLES for m in METRICS)
 
@@ -42,7 +47,7 @@ def prefixed(metrics_df: DataFrame, table: str, keys: Sequence[str]) -> DataFram
     for c in metrics_df.columns:
         if c in keys:
             continue
-        name = f"{M.TIES}__{table}" if c == M.TIES else f"{table}__{c}"
+        name = f"{TIES}__{table}" if c == TIES else f"{table}__{c}"
         cols.append(F.col(c).alias(name))
     return metrics_df.select(*cols)
 
@@ -55,18 +60,28 @@ def unique_on_keys(per_event_table: DataFrame, keys: Sequence[str]) -> DataFrame
     """
     values = [c for c in per_event_table.columns if c not in keys]
     return per_event_table.groupBy(*keys).agg(
-        *[F.max(c).alias(c) for c in values], F.count(F.lit(1)).alias(M.TIES)
+        *[F.max(c).alias(c) for c in values], F.count(F.lit(1)).alias(TIES)
     )
 
 
-def metric_frames(silver: DataFrame, slice_unit: str = "hour") -> dict[str, DataFrame]:
-    """The five metric sets, each with one row per join key."""
+SESSION_LEVELS = {
+    "session_metrics": M.SESSION_KEYS,
+    "product_session_metrics": M.PRODUCT_SESSION_KEYS,
+}
+DAILY_TABLES = ("user_metrics", "product_metrics", "user_product_metrics")
+
+
+def daily_frames(silver: DataFrame) -> dict[str, DataFrame]:
+    """The three day-level metric sets, each with one row per join key.
+
+    The events are aggregated once, per (user, product, day); the user and
+    product day counts are roll-ups of that aggregate.
+    """
+    up = M.daily_counts(silver, ["user_id", "product_id"])
     return {
-        "session_metrics": M.running_metrics(silver, M.SESSION_KEYS, slice_unit),
-        "product_session_metrics": M.running_metrics(silver, M.PRODUCT_SESSION_KEYS, slice_unit),
-        "user_metrics": M.user_metrics(silver),
-        "product_metrics": M.product_metrics(silver),
-        "user_product_metrics": M.user_product_metrics(silver),
+        "user_metrics": M.cumulative(M.rollup_daily(up, ["user_id"]), ["user_id"]),
+        "product_metrics": M.cumulative(M.rollup_daily(up, ["product_id"]), ["product_id"]),
+        "user_product_metrics": M.cumulative(up, ["user_id", "product_id"]),
     }
 
 
@@ -91,18 +106,26 @@ def attach(base: DataFrame, metrics_df: DataFrame, table: str,
     return base.join(F.broadcast(side) if broadcast else side, on=keys, how="left")
 
 
-def _copies(df: DataFrame) -> Column:
-    factor = F.lit(1)
-    for c in df.columns:
-        if c.startswith(M.TIES + "__"):
-            factor = factor * F.coalesce(F.col(c), F.lit(1))
-    return factor
-
+def with_session_features(base: DataFrame, levels: Mapping[str, Sequence[str]],
+                          slice_unit: str = "hour", label: bool = False) -> DataFrame:
+    """Attach running session-level metric sets and ``_copies``.
 
-def with_copies(df: DataFrame) -> DataFrame:
-    """Fold the tie counts of the attached sets into one ``_copies`` column."""
-    ties = [c for c in df.columns if c.startswith(M.TIES + "__")]
-    return df.withColumn(COPIES, _copies(df)).drop(*ties)
+    With ``label``, also ``purchased`` (O33/O74) for the event's
+    (user, session, product); rows that would find no label (NULL user,
+    Q8) get NULL there.
+    """
+    outcome = "product_session_metrics" if label else None
+    r = with_running(base, levels, slice_unit=slice_unit, outcome_level=outcome)
+    matched = F.col("user_id").isNotNull()
+    masked = {c: F.when(matched, F.col(c))
+              for n in levels for c in level_columns(n)}
+    copies = F.lit(1)
+    for n in levels:
+        copies = copies * F.col(f"{TIES}__{n}")
+    masked[COPIES] = F.when(matched, copies).otherwise(F.lit(1))
+    if label:
+        masked[LABEL] = F.when(matched, F.col(LABEL))
+    return r.withColumns(masked).drop(*[f"{TIES}__{n}" for n in levels])
 
 
 def expand(df: DataFrame, ties: str = "multiply") -> DataFrame:
@@ -116,24 +139,26 @@ def expand(df: DataFrame, ties: str = "multiply") -> DataFrame:
 
 
 def raw_features_unexpanded(silver: DataFrame,
-                            metrics: Mapping[str, DataFrame] | None = None,
+                            daily: Mapping[str, DataFrame] | None = None,
                             slice_unit: str = "hour",
-                            broadcast: Collection[str] = ()) -> DataFrame:
+                            broadcast: Collection[str] = (),
+                            label: bool = False) -> DataFrame:
     """O27/O73 before the tie fan-out: one row per event, plus ``_copies``.
 
-    ``broadcast`` names metric sets measured small enough to broadcast.
+    ``daily`` may supply the day-level sets (e.g. read back from gold
+    tables); ``broadcast`` names those measured small enough to broadcast.
     """
-    metrics = metrics if metrics is not None else metric_frames(silver, slice_unit)
-    df = feature_base(silver)
-    for table in M.METRIC_TABLES:
-        df = attach(df, metrics[table], table, broadcast=table in broadcast)
-    return with_copies(df).select(*EVENT_COLUMNS, *FEATURES, COPIES)
+    daily = daily if daily is not None else daily_frames(silver)
+    df = with_session_features(feature_base(silver), SESSION_LEVELS, slice_unit, label)
+    for table in DAILY_TABLES:
+        df = attach(df, daily[table], table, broadcast=table in broadcast)
+    return df.select(*EVENT_COLUMNS, *FEATURES, COPIES, *([LABEL] if label else []))
 
 
-def raw_features(silver: DataFrame, metrics: Mapping[str, DataFrame] | None = None,
+def raw_features(silver: DataFrame, daily: Mapping[str, DataFrame] | None = None,
                  ties: str = "multiply", slice_unit: str = "hour") -> DataFrame:
     """Every event with its 50 point-in-time features."""
-    return expand(raw_features_unexpanded(silver, metrics, slice_unit), ties)
+    return expand(raw_features_unexpanded(silver, daily, slice_unit), ties)
 
 
 def session_product_outcomes(silver: DataFrame) -> DataFrame:
@@ -142,11 +167,12 @@ def session_product_outcomes(silver: DataFrame) -> DataFrame:
     return silver.groupBy(*LABEL_KEYS).agg(F.max(bought).alias(LABEL))
 
 
-def label(raw: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Inner join on the label key; NULL users drop out here (Q8)."""
-    rest = [c for c in raw.columns if c not in LABEL_KEYS]
-    return raw.join(outcomes, on=list(LABEL_KEYS), how="inner").select(
-        *LABEL_KEYS, *rest, LABEL)
+def labelled(raw_with_label: DataFrame) -> DataFrame:
+    """Keep the events that have a label -- the inner join on the label
+    key; NULL users drop out here (Q8)."""
+    cols = [*LABEL_KEYS, "batch_time", "event_time", "event_type", *FEATURES]
+    extra = [COPIES] if COPIES in raw_with_label.columns else []
+    return raw_with_label.filter(F.col(LABEL).isNotNull()).select(*cols, LABEL, *extra)
 
 
 def training_rows(raw_with_labels: DataFrame) -> DataFrame:
@@ -155,16 +181,18 @@ def training_rows(raw_with_labels: DataFrame) -> DataFrame:
 
 
 def raw_features_and_labels(silver: DataFrame, ties: str = "multiply",
-                            slice_unit: str = "hour") -> DataFrame:
-    raw = raw_features_unexpanded(silver, slice_unit=slice_unit)
-    out = label(raw, session_product_outcomes(silver))
-    cols = [*LABEL_KEYS, "batch_time", "event_time", "event_type", *FEATURES, LABEL]
-    return expand(out, ties).select(*cols)
+                            slice_unit: str = "hour",
+                            daily: Mapping[str, DataFrame] | None = None,
+                            broadcast: Collection[str] = ()) -> DataFrame:
+    raw = raw_features_unexpanded(silver, daily, slice_unit, broadcast, label=True)
+    return expand(labelled(raw), ties)
 
 
 def features_and_labels(silver: DataFrame, ties: str = "multiply",
-                        slice_unit: str = "hour") -> DataFrame:
+                        slice_unit: str = "hour",
+                        daily: Mapping[str, DataFrame] | None = None,
+                        broadcast: Collection[str] = ()) -> DataFrame:
     """The training table, 50 features + label per (user, session) event."""
-    raw = raw_features_unexpanded(silver, slice_unit=slice_unit)
-    out = training_rows(label(raw, session_product_outcomes(silver)))
+    raw = raw_features_unexpanded(silver, daily, slice_unit, broadcast, label=True)
+    out = training_rows(labelled(raw))
     return expand(out, ties).select("user_id", "user_session", *FEATURES, LABEL)

@@ -15,11 +15,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickfeat.functions.ratios import COUNTS, METRICS, type_flags, with_ratios
-from clickfeat.operators.running import cumulative_by_key, null_safe_on
+from clickfeat.operators.running import with_running
 
 TIME = "event_time"
 DAY = "batch_time"
-TIES = "_ties"  # events sharing the row's key and instant
 
 # The five metric tables and their join keys.
 SESSION_KEYS = ("user_id", "user_session")
@@ -38,49 +37,23 @@ def count_aggs(type_col: str = "event_type") -> list:
     return [F.count(F.lit(1)).alias("events"), *[F.sum(flags[c]).alias(c) for c in COUNTS[1:]]]
 
 
-def event_points(events: DataFrame, keys: Sequence[str], time_col: str = TIME) -> DataFrame:
-    """Per-(key, instant) counts of events and of each counted type."""
-    return events.groupBy(*keys, time_col).agg(*count_aggs())
-
-
-def running_metrics(events: DataFrame, keys: Sequence[str], slice_unit: str = "hour",
-                    time_col: str = TIME) -> DataFrame:
-    """Running metrics, one row per distinct (keys, time).
-
-    Columns: keys, time, the ten METRICS, and ``_ties`` -- how many events
-    share the key and instant (each of them has these same values).
-    """
-    points = event_points(events, keys, time_col).withColumn(TIES, F.col("events"))
-    cum = cumulative_by_key(points, keys, time_col, COUNTS, slice_unit)
-    return with_ratios(cum).select(*keys, time_col, *METRICS, TIES)
-
-
-def per_event(events: DataFrame, metrics: DataFrame, keys: Sequence[str],
-              time_col: str = TIME) -> DataFrame:
-    """Running metrics as the reference table: one row per event.
-
-    Joins every event back to its (key, instant) row, null-safely so NULL
-    users keep their rows. The right side has one row per join key; a hot
-    key on the event side is split by AQE's skew-join handling.
-    """
-    cols = [*keys, time_col]
-    left = events.select(*cols).alias("e")
-    right = metrics.alias("m")
-    return left.join(right, null_safe_on("e", "m", cols), "inner").select(
-        *[F.col(f"e.{c}").alias(c) for c in cols], *[F.col(f"m.{m}").alias(m) for m in METRICS]
-    )
+def running_table(events: DataFrame, name: str, keys: Sequence[str],
+                  slice_unit: str = "hour") -> DataFrame:
+    """Running metrics per ``keys`` as the reference table: one row per event
+    (keys, event_time, the ten METRICS). NULL keys form their own group."""
+    cols = [*keys, TIME, "event_type"]
+    r = with_running(events.select(*cols), {name: keys}, slice_unit=slice_unit)
+    return r.select(*keys, TIME, *[F.col(f"{name}__{m}").alias(m) for m in METRICS])
 
 
 def session_metrics(silver: DataFrame, slice_unit: str = "hour") -> DataFrame:
     """Running metrics per (user_id, user_session) at every event."""
-    m = running_metrics(silver, SESSION_KEYS, slice_unit)
-    return per_event(silver, m, SESSION_KEYS)
+    return running_table(silver, "session_metrics", SESSION_KEYS, slice_unit)
 
 
 def product_session_metrics(silver: DataFrame, slice_unit: str = "hour") -> DataFrame:
     """Running metrics per (user_id, user_session, product_id) at every event."""
-    m = running_metrics(silver, PRODUCT_SESSION_KEYS, slice_unit)
-    return per_event(silver, m, PRODUCT_SESSION_KEYS)
+    return running_table(silver, "product_session_metrics", PRODUCT_SESSION_KEYS, slice_unit)
 
 
 def next_day(time_col: str = TIME):
@@ -100,8 +73,17 @@ def daily_metrics(silver: DataFrame, keys: Sequence[str]) -> DataFrame:
     per active day of the key -- bounded by the data's span in days however
     many events the key has; the aggregate before it is combined map-side.
     """
+    return cumulative(daily_counts(silver, keys), keys)
+
+
+def rollup_daily(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Day counts of a coarser key, summed from a finer key's day counts."""
+    return daily.groupBy(*keys, DAY).agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
+def cumulative(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Running totals of day counts per key, plus the six ratios."""
     w = Window.partitionBy(*keys).orderBy(DAY)
-    daily = daily_counts(silver, keys)
     cum = daily.select(*keys, DAY, *[F.sum(c).over(w).alias(c) for c in COUNTS])
     return with_ratios(cum)
 

@@ -1,66 +1,146 @@
-"""Point-in-time running totals that do not gather a hot key into one task.
+"""Point-in-time running counts that do not gather a hot key into one task.
 
 A running ``COUNT(*) OVER (PARTITION BY k ORDER BY t)`` with the default
 RANGE frame counts every row of ``k`` with time <= t, peers included. Planned
 directly as a window, all rows of one key go to one task: a session holding
 a third of all events would be sorted by a single core.
 
-Here the same numbers come from additive pieces:
-
-1. ``groupBy(k, t)`` with per-type counts -- combined map-side, so rows
-   sharing a key and instant shrink before the shuffle; the result has one
-   row per distinct (k, t) and already carries the peer semantics.
-2. The time axis is cut into slices (``date_trunc(slice_unit, t)``). Slice
-   totals per (k, slice) are summed over earlier slices with a window
-   partitioned by k -- its rows are slices, at most the key's time span
-   divided by the slice width.
-3. Within each (k, slice) a window over the distinct instants adds the
-   running sum to the slice offset. A partition here holds at most the
-   distinct instants of one key in one slice.
-
-Both windows are therefore bounded by construction, whatever the share of
-one key. The offset join is an equi-join on (k, slice) with one row per key
-on the right; NULL keys are matched null-safely so a NULL user forms its own
-group, as a window partition would.
+Here the time axis is cut into slices (``date_trunc(slice_unit, t)``):
+
+1. Slice totals per (k, slice) -- an aggregate, combined map-side, one row
+   per key and slice -- are summed over earlier slices with a window
+   partitioned by k whose rows are slices (a key's time span divided by the
+   slice width), giving each (k, slice) its offset.
+2. Events are hash-partitioned once by (coarsest k, slice); the offsets join
+   on the same partitioning, and the running count of every level is the
+   offset plus a window over (k, slice) only.
+
+A task thus holds one slice of a key, never the whole key. Several key
+levels that share a prefix (session, session x product) ride the same
+partitioning: one exchange of the events feeds all their windows, their tie
+counts and the slice-level label.
+
+NULL key values form their own group, as in a window partition: grouping
+and joining use a non-null stand-in plus an is-null flag per key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from clickfeat.functions.ratios import COUNTS, RATIOS, type_flags
+
+SLICE = "_slice"
+
+
+def _stand_in(df: DataFrame, k: str) -> dict[str, Column]:
+    dtype = df.schema[k].dataType
+    default = F.lit("") if isinstance(dtype, T.StringType) else F.lit(0).cast(dtype)
+    return {f"_g_{k}": F.coalesce(F.col(k), default), f"_z_{k}": F.col(k).isNull()}
+
+
+def group_cols(keys: Sequence[str]) -> list[str]:
+    return [c for k in keys for c in (f"_g_{k}", f"_z_{k}")]
+
 
-_SLICE = "_slice"
-_OFF = "_off_"
+def slice_totals(sliced: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per (key, slice): events and typed counts (combined map-side)."""
+    flags = type_flags()
+    return sliced.groupBy(*group_cols(keys), SLICE).agg(
+        F.count(F.lit(1)).alias("events"), *[F.sum(flags[c]).alias(c) for c in COUNTS[1:]])
 
 
-def null_safe_on(left: str, right: str, cols: Sequence[str]) -> Column:
-    """Null-safe equality of ``cols`` between two aliased frames."""
-    return reduce(lambda a, b: a & b,
-                  [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols])
+def rollup_totals(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Slice totals of a coarser key, summed from a finer key's totals."""
+    return totals.groupBy(*group_cols(keys), SLICE).agg(*[F.sum(c).alias(c) for c in COUNTS])
 
 
-def cumulative_by_key(points: DataFrame, keys: Sequence[str], time_col: str,
-                      measures: Sequence[str], slice_unit: str = "hour") -> DataFrame:
-    """Running sums of ``measures`` per key ordered by ``time_col``.
+def slice_offsets(totals: DataFrame, keys: Sequence[str], prefix: str,
+                  outcome: bool = False) -> DataFrame:
+    """Counts of the key's earlier slices (exclusive prefix over slices).
 
-    ``points`` must be unique on (keys, time_col). Returns the same rows
-    with each measure replaced by its running total (through ``time_col``).
+    With ``outcome``, also ``purchased``: 1 if any slice of the key has a
+    purchase -- same window partition, no extra shuffle.
     """
-    keys = list(keys)
-    sliced = points.withColumn(_SLICE, F.date_trunc(slice_unit, F.col(time_col)))
-    totals = sliced.groupBy(*keys, _SLICE).agg(*[F.sum(m).alias(m) for m in measures])
-    by_slice = Window.partitionBy(*keys).orderBy(_SLICE)
-    offsets = totals.select(
-        *keys, _SLICE, *[(F.sum(m).over(by_slice) - F.col(m)).alias(_OFF + m) for m in measures]
-    )
-    joined = sliced.alias("p").join(
-        offsets.alias("o"), null_safe_on("p", "o", [*keys, _SLICE]), "inner"
-    ).select(*[F.col(f"p.{c}").alias(c) for c in sliced.columns],
-             *[F.col(f"o.{_OFF}{m}").alias(_OFF + m) for m in measures])
-    in_slice = Window.partitionBy(*keys, _SLICE).orderBy(time_col)
-    running = {m: F.col(_OFF + m) + F.sum(m).over(in_slice) for m in measures}
-    others = [c for c in points.columns if c not in measures]
-    return joined.select(*others, *[running[m].alias(m) for m in measures]).select(*points.columns)
+    gk = group_cols(keys)
+    w = Window.partitionBy(*gk).orderBy(SLICE)
+    cols = [(F.sum(c).over(w) - F.col(c)).alias(f"{prefix}_off_{c}") for c in COUNTS]
+    if outcome:
+        any_purchase = F.max(F.when(F.col("purchases") > 0, 1).otherwise(0))
+        cols.append(any_purchase.over(Window.partitionBy(*gk)).alias("purchased"))
+    return totals.select(*gk, SLICE, *cols)
+
+
+def level_columns(name: str) -> list[str]:
+    return [f"{name}__{m}" for m in (*COUNTS, *(r[0] for r in RATIOS))]
+
+
+def with_running(events: DataFrame, levels: Mapping[str, Sequence[str]],
+                 time_col: str = "event_time", slice_unit: str = "hour",
+                 outcome_level: str | None = None,
+                 type_col: str = "event_type") -> DataFrame:
+    """Append, for each level ``name -> keys``, its running metrics at every event.
+
+    Levels must nest: each level's keys extend the first level's keys.
+    Added per level: ``<name>__<metric>`` for the ten metrics and
+    ``_ties__<name>`` (events sharing the level key and instant). With
+    ``outcome_level``, also ``purchased``: 1 if that level's key has any
+    purchase at any time (from slice totals, no extra pass over events).
+    """
+    names = list(levels)
+    coarse = list(levels[names[0]])
+    finest = max(names, key=lambda n: len(levels[n]))
+    all_keys = list(dict.fromkeys(k for n in names for k in levels[n]))
+    for n in names:
+        if list(levels[n][:len(coarse)]) != coarse:
+            raise ValueError("levels must extend the first level's keys")
+
+    stand_ins: dict[str, Column] = {}
+    for k in all_keys:
+        stand_ins.update(_stand_in(events, k))
+    sliced = events.withColumns({**stand_ins, SLICE: F.date_trunc(slice_unit, F.col(time_col))})
+
+    if outcome_level not in (None, finest):
+        raise ValueError("the outcome is taken at the finest level")
+    # Small side: one row per (finest key, slice) with every level's offsets.
+    # The events are aggregated once, at the finest level; coarser levels
+    # roll those totals up.
+    fine_totals = slice_totals(sliced, levels[finest])
+    combined = slice_offsets(fine_totals, levels[finest], finest,
+                             outcome=outcome_level is not None)
+    for n in names:
+        if n != finest:
+            totals = rollup_totals(fine_totals, levels[n])
+            combined = combined.join(slice_offsets(totals, levels[n], n),
+                                     on=[*group_cols(levels[n]), SLICE], how="inner")
+
+    # One exchange for the events: by (first level's key, slice). The join on
+    # the finest key reuses it (spark.sql.requireAllClusterKeysForCoPartition
+    # = false), and so do all windows below, whose keys extend it.
+    part = [*group_cols(coarse), SLICE]
+    joined = sliced.repartition(*part).join(
+        combined.repartition(*part), on=[*group_cols(levels[finest]), SLICE], how="inner")
+
+    flags = type_flags(type_col)
+    out: dict[str, Column] = {}
+    for n in names:
+        gk = [*group_cols(levels[n]), SLICE]
+        w = Window.partitionBy(*gk).orderBy(time_col)
+        running = {
+            "events": F.col(f"{n}_off_events") + F.count(F.lit(1)).over(w),
+            **{c: F.col(f"{n}_off_{c}") + F.sum(flags[c]).over(w) for c in COUNTS[1:]},
+        }
+        for c in COUNTS:
+            out[f"{n}__{c}"] = running[c]
+        out[f"_ties__{n}"] = F.count(F.lit(1)).over(Window.partitionBy(*gk, time_col))
+    with_counts = joined.withColumns(out)
+    ratios = {f"{n}__{r}": F.try_divide(F.col(f"{n}__{a}"), F.col(f"{n}__{b}"))
+              for n in names for r, a, b in RATIOS}
+    keep = [*events.columns, *[c for n in names for c in (*level_columns(n), f"_ties__{n}")]]
+    if outcome_level is not None:
+        keep.append("purchased")
+    return with_counts.withColumns(ratios).select(*keep)

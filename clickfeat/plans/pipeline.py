@@ -76,30 +76,21 @@ def run_pipeline(spark: SparkSession, lake_root: str, *,
     bronze = write(L.bronze(staging, before, carry=tiebreak), "bronze_events", "bronze")
     silver = write(L.silver(bronze, tiebreak), "silver_events", "silver")
 
-    gold = {
-        "session_metrics": M.session_metrics(silver, slice_unit),
-        "product_session_metrics": M.product_session_metrics(silver, slice_unit),
-        "user_metrics": M.user_metrics(silver),
-        "product_metrics": M.product_metrics(silver),
-        "user_product_metrics": M.user_product_metrics(silver),
-    }
-    metrics, small = {}, set()
-    for name, df in gold.items():
+    write(M.session_metrics(silver, slice_unit), "session_metrics", "gold")
+    write(M.product_session_metrics(silver, slice_unit), "product_session_metrics", "gold")
+    daily, small = {}, set()
+    for name, df in FT.daily_frames(silver).items():
         table = write(df, name, "gold")
-        if name in ("session_metrics", "product_session_metrics"):
-            # Per-event table (keys repeat on ties) -> one row per key + _ties.
-            table = FT.unique_on_keys(table, M.METRIC_TABLES[name])
-            metrics[name] = table
-        else:
-            metrics[name], is_small = broadcast_if_small(spark, table, written[name])
-            if is_small:
-                small.add(name)
-
-    keyed = write(FT.raw_features_unexpanded(silver, metrics, broadcast=small),
+        daily[name], is_small = broadcast_if_small(spark, table, written[name])
+        if is_small:
+            small.add(name)
+
+    # One row per event with its label and tie count; every feature table
+    # below is a row-wise expansion or filter of it (no further shuffles).
+    keyed = write(FT.raw_features_unexpanded(silver, daily, slice_unit, small, label=True),
                   KEYED_FEATURES, "silver")
-    write(FT.expand(keyed, ties), "raw_features", "silver")
-    outcomes = write(FT.session_product_outcomes(silver), "session_product_outcomes", "gold")
-    labelled = write(FT.expand(FT.label(keyed, outcomes), ties),
-                     "raw_features_and_labels", "silver")
+    write(FT.expand(keyed.drop(FT.LABEL), ties), "raw_features", "silver")
+    write(FT.session_product_outcomes(silver), "session_product_outcomes", "gold")
+    labelled = write(FT.expand(FT.labelled(keyed), ties), "raw_features_and_labels", "silver")
     write(FT.training_rows(labelled), "features_and_labels", "silver")
     return written

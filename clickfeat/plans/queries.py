@@ -22,7 +22,7 @@ from clickfeat.plans import model as ML
 from clickfeat.session import fresh_dir, prepare, work_dir
 from clickfeat.sources.events import (NATIVE_COLUMNS, TIEBREAK, as_csv_strings,
                                       from_driver_events, read_path)
-from clickfeat.sources.tables import read_table, write_table
+from clickfeat.sources.tables import materialize, read_table, write_table
 from clickfeat.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,10 +36,17 @@ def staging(spark: SparkSession, sf_dir: str, before: dt.datetime | None = None)
     return from_driver_events(prepare(spark), sf_dir, before=before)
 
 
-def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+def silver_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.silver(L.bronze(staging(spark, sf_dir), carry=[TIEBREAK]), tiebreak=[TIEBREAK])
 
 
+def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver written once to the work folder and read back: the queries
+    below use it in several branches, which would otherwise each redo the
+    scan and the dedupe shuffle."""
+    return materialize(spark, silver_plan(spark, sf_dir), fresh_dir(spark, "silver"))
+
+
 def q_bronze_events(spark, sf_dir):
     return L.bronze(staging(spark, sf_dir, BRONZE_CUTOFF), before=BRONZE_CUTOFF)
 
@@ -55,7 +62,7 @@ def q_silver_dropna(spark, sf_dir):
 
 
 def q_silver_events(spark, sf_dir):
-    return silver_of(spark, sf_dir)
+    return silver_plan(spark, sf_dir)
 
 
 def q_session_metrics(spark, sf_dir):
@@ -91,9 +98,11 @@ def q_metrics_prefixed(spark, sf_dir):
 def _single_join(table: str) -> Query:
     def run(spark, sf_dir):
         silver = silver_of(spark, sf_dir)
-        frames = FT.metric_frames(silver)
-        joined = FT.with_copies(FT.attach(FT.feature_base(silver), frames[table], table))
-        return FT.expand(joined)
+        base = FT.feature_base(silver)
+        if table in FT.SESSION_LEVELS:
+            out = FT.with_session_features(base, {table: FT.SESSION_LEVELS[table]})
+            return FT.expand(out)
+        return FT.attach(base, FT.daily_frames(silver)[table], table)
     run.__name__ = f"q_join_{table}"
     return run
 
@@ -173,7 +182,7 @@ def q_table_roundtrip(spark, sf_dir):
     """Silver written as an external catalog table, read back by name."""
     path = fresh_dir(spark, "tables")
     name = "silver_events_" + path.rsplit("-", 1)[-1].replace("-", "")[:12]
-    write_table(silver_of(spark, sf_dir), name, f"{path}/silver/events")
+    write_table(silver_plan(spark, sf_dir), name, f"{path}/silver/events")
     return read_table(spark, name)
 
 

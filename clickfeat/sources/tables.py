@@ -16,6 +16,17 @@ def write_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> No
        .saveAsTable(name))
 
 
+def materialize(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as parquet at ``path`` (a shared folder) and scan it back.
+
+    Cuts the lineage: later plans read the files (column pruning, pushed
+    filters, real statistics) instead of recomputing, and a lost executor
+    costs a re-read, not a recomputation.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """Catalog scan by name."""
     return spark.table(name)
