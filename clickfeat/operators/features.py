@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from clickfeat.functions.ratios import METRICS, PURCHASE
 from clickfeat.operators import metrics as M
-from clickfeat.operators.running import level_columns, with_running
+from clickfeat.operators.running import SLICING, Slicing, level_columns, with_running
 
 # The event columns kept in the raw feature table, in the
 # order left by the chain of USING joins, and the label key.
@@ -107,7 +107,7 @@ def attach(base: DataFrame, metrics_df: DataFrame, table: str,
 
 
 def with_session_features(base: DataFrame, levels: Mapping[str, Sequence[str]],
-                          slice_unit: str = "hour", label: bool = False) -> DataFrame:
+                          slicing: Slicing = SLICING, label: bool = False) -> DataFrame:
     """Attach running session-level metric sets and ``_copies``.
 
     With ``label``, also ``purchased`` (O33/O74) for the event's
@@ -115,7 +115,7 @@ def with_session_features(base: DataFrame, levels: Mapping[str, Sequence[str]],
     Q8) get NULL there.
     """
     outcome = "product_session_metrics" if label else None
-    r = with_running(base, levels, slice_unit=slice_unit, outcome_level=outcome)
+    r = with_running(base, levels, slicing=slicing, outcome_level=outcome)
     matched = F.col("user_id").isNotNull()
     masked = {c: F.when(matched, F.col(c))
               for n in levels for c in level_columns(n)}
@@ -140,7 +140,7 @@ def expand(df: DataFrame, ties: str = "multiply") -> DataFrame:
 
 def raw_features_unexpanded(silver: DataFrame,
                             daily: Mapping[str, DataFrame] | None = None,
-                            slice_unit: str = "hour",
+                            slicing: Slicing = SLICING,
                             broadcast: Collection[str] = (),
                             label: bool = False) -> DataFrame:
     """O27/O73 before the tie fan-out: one row per event, plus ``_copies``.
@@ -149,16 +149,16 @@ def raw_features_unexpanded(silver: DataFrame,
     tables); ``broadcast`` names those measured small enough to broadcast.
     """
     daily = daily if daily is not None else daily_frames(silver)
-    df = with_session_features(feature_base(silver), SESSION_LEVELS, slice_unit, label)
+    df = with_session_features(feature_base(silver), SESSION_LEVELS, slicing, label)
     for table in DAILY_TABLES:
         df = attach(df, daily[table], table, broadcast=table in broadcast)
     return df.select(*EVENT_COLUMNS, *FEATURES, COPIES, *([LABEL] if label else []))
 
 
 def raw_features(silver: DataFrame, daily: Mapping[str, DataFrame] | None = None,
-                 ties: str = "multiply", slice_unit: str = "hour") -> DataFrame:
+                 ties: str = "multiply", slicing: Slicing = SLICING) -> DataFrame:
     """Every event with its 50 point-in-time features."""
-    return expand(raw_features_unexpanded(silver, daily, slice_unit), ties)
+    return expand(raw_features_unexpanded(silver, daily, slicing), ties)
 
 
 def session_product_outcomes(silver: DataFrame) -> DataFrame:
@@ -181,18 +181,18 @@ def training_rows(raw_with_labels: DataFrame) -> DataFrame:
 
 
 def raw_features_and_labels(silver: DataFrame, ties: str = "multiply",
-                            slice_unit: str = "hour",
+                            slicing: Slicing = SLICING,
                             daily: Mapping[str, DataFrame] | None = None,
                             broadcast: Collection[str] = ()) -> DataFrame:
-    raw = raw_features_unexpanded(silver, daily, slice_unit, broadcast, label=True)
+    raw = raw_features_unexpanded(silver, daily, slicing, broadcast, label=True)
     return expand(labelled(raw), ties)
 
 
 def features_and_labels(silver: DataFrame, ties: str = "multiply",
-                        slice_unit: str = "hour",
+                        slicing: Slicing = SLICING,
                         daily: Mapping[str, DataFrame] | None = None,
                         broadcast: Collection[str] = ()) -> DataFrame:
     """The training table, 50 features + label per (user, session) event."""
-    raw = raw_features_unexpanded(silver, daily, slice_unit, broadcast, label=True)
+    raw = raw_features_unexpanded(silver, daily, slicing, broadcast, label=True)
     out = training_rows(labelled(raw))
     return expand(out, ties).select("user_id", "user_session", *FEATURES, LABEL)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickfeat.functions.ratios import COUNTS, METRICS, type_flags, with_ratios
-from clickfeat.operators.running import with_running
+from clickfeat.operators.running import SLICING, Slicing, with_running
 
 TIME = "event_time"
 DAY = "batch_time"
@@ -38,22 +38,22 @@ def count_aggs(type_col: str = "event_type") -> list:
 
 
 def running_table(events: DataFrame, name: str, keys: Sequence[str],
-                  slice_unit: str = "hour") -> DataFrame:
+                  slicing: Slicing = SLICING) -> DataFrame:
     """Running metrics per ``keys`` as the reference table: one row per event
     (keys, event_time, the ten METRICS). NULL keys form their own group."""
     cols = [*keys, TIME, "event_type"]
-    r = with_running(events.select(*cols), {name: keys}, slice_unit=slice_unit)
+    r = with_running(events.select(*cols), {name: keys}, slicing=slicing)
     return r.select(*keys, TIME, *[F.col(f"{name}__{m}").alias(m) for m in METRICS])
 
 
-def session_metrics(silver: DataFrame, slice_unit: str = "hour") -> DataFrame:
+def session_metrics(silver: DataFrame, slicing: Slicing = SLICING) -> DataFrame:
     """Running metrics per (user_id, user_session) at every event."""
-    return running_table(silver, "session_metrics", SESSION_KEYS, slice_unit)
+    return running_table(silver, "session_metrics", SESSION_KEYS, slicing)
 
 
-def product_session_metrics(silver: DataFrame, slice_unit: str = "hour") -> DataFrame:
+def product_session_metrics(silver: DataFrame, slicing: Slicing = SLICING) -> DataFrame:
     """Running metrics per (user_id, user_session, product_id) at every event."""
-    return running_table(silver, "product_session_metrics", PRODUCT_SESSION_KEYS, slice_unit)
+    return running_table(silver, "product_session_metrics", PRODUCT_SESSION_KEYS, slicing)
 
 
 def next_day(time_col: str = TIME):

@@ -5,28 +5,37 @@ RANGE frame counts every row of ``k`` with time <= t, peers included. Planned
 directly as a window, all rows of one key go to one task: a session holding
 a third of all events would be sorted by a single core.
 
-Here the time axis is cut into slices (``date_trunc(slice_unit, t)``):
-
-1. Slice totals per (k, slice) -- an aggregate, combined map-side, one row
-   per key and slice -- are summed over earlier slices with a window
-   partitioned by k whose rows are slices (a key's time span divided by the
-   slice width), giving each (k, slice) its offset.
-2. Events are hash-partitioned once by (coarsest k, slice); the offsets join
-   on the same partitioning, and the running count of every level is the
-   offset plus a window over (k, slice) only.
-
-A task thus holds one slice of a key, never the whole key. Several key
-levels that share a prefix (session, session x product) ride the same
-partitioning: one exchange of the events feeds all their windows, their tie
-counts and the slice-level label.
+Here the time axis is cut into slices -- days by default, and minutes for
+the (key, day) groups that hold more than ``hot_rows`` events (found by a
+small aggregate; the list of such groups is at most rows / ``hot_rows``
+long, counted before it is broadcast):
+
+1. Slice totals per (k, slice) -- an aggregate, combined map-side -- are
+   summed over earlier slices with a window partitioned by k whose rows are
+   slices (the key's time span divided by the slice width). That gives each
+   (k, slice) an offset: the key's counts before the slice.
+2. Each non-zero offset becomes one extra row of its (k, slice), with a
+   NULL time so it sorts before the slice's events. Events and offset rows
+   are unioned and exchanged once, by (first level's k, slice).
+3. Every level's running count is then a window sum over (k, slice) only:
+   the offset row plus the events up to the current time. Levels whose keys
+   extend the first (session -> session x product) use the same exchange,
+   as do the tie counts and the label. No join.
+
+A task thus holds one slice of a key, never the whole key, whatever the
+key's share of all rows: at most ``hot_rows`` events of a key-day, or one
+minute of a hotter one.
 
 NULL key values form their own group, as in a window partition: grouping
-and joining use a non-null stand-in plus an is-null flag per key.
+uses a non-null stand-in plus an is-null flag per key. A key a row does not
+carry (the product of a session-level offset row) is NULL in both, which no
+event has, so such rows never enter another level's partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -79,68 +88,136 @@ def level_columns(name: str) -> list[str]:
     return [f"{name}__{m}" for m in (*COUNTS, *(r[0] for r in RATIOS))]
 
 
+_EVENT = "_is_event"
+
+
+def _weight(level: str, count: str) -> str:
+    return f"_w_{level}_{count}"
+
+
+@dataclass(frozen=True)
+class Slicing:
+    """How the time axis of a key is cut: ``unit`` buckets, and ``fine_unit``
+    ones for a (first-level key, bucket) group with more than ``hot_rows``
+    events (``None``: never). Beyond ``max_hot_groups`` such groups, every
+    key is cut finely."""
+
+    unit: str = "day"
+    fine_unit: str = "minute"
+    hot_rows: int | None = 2_000_000
+    max_hot_groups: int = 1_000_000
+
+
+SLICING = Slicing()
+
+
+def add_slices(sliced: DataFrame, keys: Sequence[str], time_col: str,
+               slicing: Slicing = SLICING) -> DataFrame:
+    """Attach ``_slice``: ``slicing.unit`` buckets, finer for hot (key, bucket) groups."""
+    t = F.col(time_col)
+    coarse = F.date_trunc(slicing.unit, t)
+    fine_unit, hot_rows = slicing.fine_unit, slicing.hot_rows
+    if hot_rows is None:
+        return sliced.withColumn(SLICE, coarse)
+    gk = group_cols(keys)
+    hot = (sliced.groupBy(*gk, coarse.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > hot_rows).select(*gk, "_bucket", F.lit(True).alias("_hot")))
+    n_hot = hot.count()
+    if n_hot == 0:
+        return sliced.withColumn(SLICE, coarse)
+    if n_hot > slicing.max_hot_groups:
+        return sliced.withColumn(SLICE, F.date_trunc(fine_unit, t))
+    # Bounded: at most max_hot_groups short rows, checked just above.
+    marked = sliced.withColumn("_bucket", coarse).join(
+        F.broadcast(hot), on=[*gk, "_bucket"], how="left")
+    return marked.withColumn(
+        SLICE, F.when(F.col("_hot"), F.date_trunc(fine_unit, t)).otherwise(F.col("_bucket"))
+    ).drop("_bucket", "_hot")
+
+
 def with_running(events: DataFrame, levels: Mapping[str, Sequence[str]],
-                 time_col: str = "event_time", slice_unit: str = "hour",
+                 time_col: str = "event_time", slicing: Slicing = SLICING,
                  outcome_level: str | None = None,
                  type_col: str = "event_type") -> DataFrame:
     """Append, for each level ``name -> keys``, its running metrics at every event.
 
-    Levels must nest: each level's keys extend the first level's keys.
-    Added per level: ``<name>__<metric>`` for the ten metrics and
-    ``_ties__<name>`` (events sharing the level key and instant). With
-    ``outcome_level``, also ``purchased``: 1 if that level's key has any
-    purchase at any time (from slice totals, no extra pass over events).
+    Levels must nest: each level's keys extend the first level's keys, and
+    ``time_col`` must be non-NULL (as in silver). Added per level:
+    ``<name>__<metric>`` for the ten metrics and ``_ties__<name>`` (events
+    sharing the level key and instant). With ``outcome_level`` (the finest
+    level), also ``purchased``: 1 if that key has any purchase at any time.
     """
     names = list(levels)
     coarse = list(levels[names[0]])
     finest = max(names, key=lambda n: len(levels[n]))
-    all_keys = list(dict.fromkeys(k for n in names for k in levels[n]))
     for n in names:
         if list(levels[n][:len(coarse)]) != coarse:
             raise ValueError("levels must extend the first level's keys")
+    if outcome_level not in (None, finest):
+        raise ValueError("the outcome is taken at the finest level")
+    all_keys = list(dict.fromkeys(k for n in names for k in levels[n]))
 
     stand_ins: dict[str, Column] = {}
     for k in all_keys:
         stand_ins.update(_stand_in(events, k))
-    sliced = events.withColumns({**stand_ins, SLICE: F.date_trunc(slice_unit, F.col(time_col))})
+    sliced = add_slices(events.withColumns(stand_ins), coarse, time_col, slicing)
 
-    if outcome_level not in (None, finest):
-        raise ValueError("the outcome is taken at the finest level")
-    # Small side: one row per (finest key, slice) with every level's offsets.
-    # The events are aggregated once, at the finest level; coarser levels
-    # roll those totals up.
+    # Offsets: the events are aggregated once, at the finest level; coarser
+    # levels roll those totals up (small tables, one row per key and slice).
     fine_totals = slice_totals(sliced, levels[finest])
-    combined = slice_offsets(fine_totals, levels[finest], finest,
-                             outcome=outcome_level is not None)
+    offsets = {}
     for n in names:
-        if n != finest:
-            totals = rollup_totals(fine_totals, levels[n])
-            combined = combined.join(slice_offsets(totals, levels[n], n),
-                                     on=[*group_cols(levels[n]), SLICE], how="inner")
-
-    # One exchange for the events: by (first level's key, slice). The join on
-    # the finest key reuses it (spark.sql.requireAllClusterKeysForCoPartition
-    # = false), and so do all windows below, whose keys extend it.
-    part = [*group_cols(coarse), SLICE]
-    joined = sliced.repartition(*part).join(
-        combined.repartition(*part), on=[*group_cols(levels[finest]), SLICE], how="inner")
+        totals = fine_totals if n == finest else rollup_totals(fine_totals, levels[n])
+        offsets[n] = slice_offsets(totals, levels[n], n, outcome=n == outcome_level)
 
+    # One row layout for events and offset rows.
+    schema = {f.name: f.dataType for f in sliced.schema.fields}
+    layout = [*events.columns, *group_cols(all_keys), SLICE, _EVENT,
+              *[_weight(n, c) for n in names for c in COUNTS], "purchased"]
     flags = type_flags(type_col)
-    out: dict[str, Column] = {}
+    event_rows = sliced.select(
+        *events.columns, *group_cols(all_keys), SLICE, F.lit(1).alias(_EVENT),
+        *[(F.lit(1) if c == "events" else flags[c]).cast("bigint").alias(_weight(n, c))
+          for n in names for c in COUNTS],
+        F.lit(None).cast("int").alias("purchased"))
+    parts = [event_rows]
     for n in names:
+        own = set(group_cols(levels[n]))
+        # A key's first slice has nothing before it: no row needed, unless
+        # it carries the key's label.
+        needed = F.col(f"{n}_off_events") > 0
+        if n == outcome_level:
+            needed = needed | (F.col("purchased") == 1)
+        parts.append(offsets[n].filter(needed).select(*[
+            F.col(c) if c in own or c == SLICE
+            else F.lit(None).cast(schema[c]).alias(c) if c in schema
+            else F.lit(0).alias(c) if c == _EVENT
+            else F.col(f"{n}_off_{c.rsplit('_', 1)[1]}").alias(c)
+            if c.startswith(f"_w_{n}_")
+            else F.lit(0).cast("bigint").alias(c) if c.startswith("_w_")
+            else (F.col(c) if n == outcome_level else F.lit(None).cast("int")).alias(c)
+            for c in layout]))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+
+    # The one exchange: by (first level's key, slice). Every window below
+    # partitions by a superset of it, so none adds another.
+    rows = rows.repartition(*group_cols(coarse), SLICE)
+    # Per level, the running sums and the tie count share one sort order
+    # (key, slice, time); the label window is satisfied by the finest one.
+    for n in sorted(names, key=lambda n: len(levels[n])):
         gk = [*group_cols(levels[n]), SLICE]
-        w = Window.partitionBy(*gk).orderBy(time_col)
-        running = {
-            "events": F.col(f"{n}_off_events") + F.count(F.lit(1)).over(w),
-            **{c: F.col(f"{n}_off_{c}") + F.sum(flags[c]).over(w) for c in COUNTS[1:]},
-        }
-        for c in COUNTS:
-            out[f"{n}__{c}"] = running[c]
-        out[f"_ties__{n}"] = F.count(F.lit(1)).over(Window.partitionBy(*gk, time_col))
-    with_counts = joined.withColumns(out)
+        w = Window.partitionBy(*gk).orderBy(F.col(time_col).asc_nulls_first())
+        rows = rows.withColumns({f"{n}__{c}": F.sum(_weight(n, c)).over(w) for c in COUNTS})
+        rows = rows.withColumn(f"_ties__{n}",
+                               F.sum(_EVENT).over(Window.partitionBy(*gk, time_col)))
+    if outcome_level is not None:
+        rows = rows.withColumn("purchased", F.coalesce(F.max("purchased").over(
+            Window.partitionBy(*group_cols(levels[outcome_level]), SLICE)), F.lit(0)))
     ratios = {f"{n}__{r}": F.try_divide(F.col(f"{n}__{a}"), F.col(f"{n}__{b}"))
               for n in names for r, a, b in RATIOS}
     keep = [*events.columns, *[c for n in names for c in (*level_columns(n), f"_ties__{n}")]]
     if outcome_level is not None:
         keep.append("purchased")
-    return with_counts.withColumns(ratios).select(*keep)
+    return rows.filter(F.col(_EVENT) == 1).withColumns(ratios).select(*keep)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clickfeat.operators import features as FT
 from clickfeat.operators import layers as L
 from clickfeat.operators import metrics as M
+from clickfeat.operators.running import SLICING, Slicing
 from clickfeat.plans.joins import broadcast_if_small
 from clickfeat.session import prepare
 from clickfeat.sources.events import read_path
@@ -51,7 +52,7 @@ def run_pipeline(spark: SparkSession, lake_root: str, *,
                  staging: DataFrame | None = None,
                  before: dt.datetime | None = REFERENCE_CUTOFF,
                  tiebreak: Sequence[str] = ("event_id",),
-                 ties: str = "multiply", slice_unit: str = "hour") -> dict[str, str]:
+                 ties: str = "multiply", slicing: Slicing = SLICING) -> dict[str, str]:
     """Run every layer; returns ``{table name: path}``.
 
     Input is either CSV drops at ``raw_path`` (ingested incrementally into
@@ -76,8 +77,8 @@ def run_pipeline(spark: SparkSession, lake_root: str, *,
     bronze = write(L.bronze(staging, before, carry=tiebreak), "bronze_events", "bronze")
     silver = write(L.silver(bronze, tiebreak), "silver_events", "silver")
 
-    write(M.session_metrics(silver, slice_unit), "session_metrics", "gold")
-    write(M.product_session_metrics(silver, slice_unit), "product_session_metrics", "gold")
+    write(M.session_metrics(silver, slicing), "session_metrics", "gold")
+    write(M.product_session_metrics(silver, slicing), "product_session_metrics", "gold")
     daily, small = {}, set()
     for name, df in FT.daily_frames(silver).items():
         table = write(df, name, "gold")
@@ -87,7 +88,7 @@ def run_pipeline(spark: SparkSession, lake_root: str, *,
 
     # One row per event with its label and tie count; every feature table
     # below is a row-wise expansion or filter of it (no further shuffles).
-    keyed = write(FT.raw_features_unexpanded(silver, daily, slice_unit, small, label=True),
+    keyed = write(FT.raw_features_unexpanded(silver, daily, slicing, small, label=True),
                   KEYED_FEATURES, "silver")
     write(FT.expand(keyed.drop(FT.LABEL), ties), "raw_features", "silver")
     write(FT.session_product_outcomes(silver), "session_product_outcomes", "gold")

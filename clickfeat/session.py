@@ -17,9 +17,6 @@ SQL_CONFS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # A join on (user, session, product, slice) may reuse a partitioning by
-    # (user, session, slice): the running-metrics plan exchanges events once.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

@@ -10,6 +10,7 @@ from clickfeat.functions.ratios import COUNTS
 from clickfeat.operators import features as FT
 from clickfeat.operators import metrics as M
 from clickfeat.operators import split as S
+from clickfeat.operators.running import Slicing
 from fixtures import ev, silver_df
 
 T0 = dt.datetime(2021, 1, 4)
@@ -54,13 +55,15 @@ def to_silver(spark, rows):
 
 
 @SETTINGS
-@given(rows=events, unit=st.sampled_from(["minute", "hour", "day"]))
-def test_running_metrics_equal_brute_force(spark, rows, unit):
+@given(rows=events, unit=st.sampled_from(["minute", "hour", "day"]),
+       fine=st.sampled_from(["minute", "hour"]), hot=st.sampled_from([None, 1, 3, 10 ** 9]))
+def test_running_metrics_equal_brute_force(spark, rows, unit, fine, hot):
     s = to_silver(spark, rows)
+    slicing = Slicing(unit=unit, fine_unit=fine, hot_rows=hot)
     for keys, fn in ((M.SESSION_KEYS, M.session_metrics),
                      (M.PRODUCT_SESSION_KEYS, M.product_session_metrics)):
         got = canon((*[r[k] for k in keys], r.event_time, *[r[c] for c in COUNTS])
-                    for r in fn(s, slice_unit=unit).collect())
+                    for r in fn(s, slicing=slicing).collect())
         assert got == brute_running(rows, list(keys))
 
 
@@ -102,9 +105,13 @@ def test_hot_session_across_many_slices(spark):
              "hot", "s1") for i in range(600)]
     rows += [(T0 + dt.timedelta(hours=i), "view", "B", "cold", "s9") for i in range(5)]
     s = to_silver(spark, rows)
-    got = canon((r.user_id, r.user_session, r.event_time, *[r[c] for c in COUNTS])
-                for r in M.session_metrics(s, slice_unit="minute").collect())
-    assert got == brute_running(rows, list(M.SESSION_KEYS))
+    expected = brute_running(rows, list(M.SESSION_KEYS))
+    for slicing in (Slicing(unit="minute", hot_rows=None),   # every key cut finely
+                    Slicing(unit="day", hot_rows=100),       # hot session-days cut finely
+                    Slicing(unit="day", hot_rows=100, max_hot_groups=0)):  # fallback
+        got = canon((r.user_id, r.user_session, r.event_time, *[r[c] for c in COUNTS])
+                    for r in M.session_metrics(s, slicing=slicing).collect())
+        assert got == expected
 
 
 def test_splits_disjoint_and_cover(spark):
