@@ -39,6 +39,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("CLICKFEAT_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Small local inputs: let AQE keep a few partitions per stage instead
+        # of coalescing each to one task (cluster runs keep the 1 MB default).
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     )
     for key, value in SQL_CONFS.items():
         builder = builder.config(key, value)
