@@ -32,6 +32,13 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its (possibly distributed) file system."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+
+
 def bytes_on_disk(spark: SparkSession, path: str) -> int:
     """Total file bytes under ``path`` (the Hadoop file system's own count)."""
     jvm = spark.sparkContext._jvm

@@ -12,20 +12,24 @@ later runs parse new drops the same way (the role of a schema location).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from clickfeat.sources.tables import path_exists
+
 SCHEMA_FILE = "_stream_schema"
 
 
 def _stored_schema(spark: SparkSession, checkpoint: str) -> T.StructType | None:
-    try:
-        rows = spark.read.text(f"{checkpoint}/{SCHEMA_FILE}").collect()
-    except Exception:  # not written yet
+    path = f"{checkpoint}/{SCHEMA_FILE}"
+    if not path_exists(spark, path):
         return None
-    return T.StructType.fromJson(__import__("json").loads(rows[0][0])) if rows else None
+    rows = spark.read.text(path).collect()  # one line
+    return T.StructType.fromJson(json.loads(rows[0][0])) if rows else None
 
 
 def _store_schema(spark: SparkSession, checkpoint: str, schema: T.StructType) -> None:
