@@ -34,7 +34,7 @@ def ratio_columns() -> dict[str, Column]:
 
 def with_ratios(df: DataFrame) -> DataFrame:
     """Append the six ratios in one projection (counts must be present)."""
-    return df.withColumns(ratio_columns())
+    return df.selectExpr("*", *[f"try_divide({num}, {den}) AS {name}" for name, num, den in RATIOS])
 
 
 def type_flags(type_col: str = "event_type") -> dict[str, Column]:

@@ -22,9 +22,11 @@ from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickfeat.functions.sqlexpr import as_, cols, project, q
+
 from clickfeat.functions.ratios import METRICS, PURCHASE
 from clickfeat.operators import metrics as M
 from clickfeat.operators.running import SLICING, Slicing, level_columns, with_running
@@ -43,13 +45,9 @@ FEATURES = tuple(f"{t}__{m}" for t in M.METRIC_TABLES for m in METRICS)
 
 def prefixed(metrics_df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     """Keep the keys, rename every other column to ``<table>__<col>``."""
-    cols = [F.col(k) for k in keys]
-    for c in metrics_df.columns:
-        if c in keys:
-            continue
-        name = f"{TIES}__{table}" if c == TIES else f"{table}__{c}"
-        cols.append(F.col(c).alias(name))
-    return metrics_df.select(*cols)
+    renamed = [as_(q(c), f"{TIES}__{table}" if c == TIES else f"{table}__{c}")
+               for c in metrics_df.columns if c not in keys]
+    return project(metrics_df, [*cols(keys), *renamed])
 
 
 def unique_on_keys(per_event_table: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -60,8 +58,7 @@ def unique_on_keys(per_event_table: DataFrame, keys: Sequence[str]) -> DataFrame
     """
     values = [c for c in per_event_table.columns if c not in keys]
     return per_event_table.groupBy(*keys).agg(
-        *[F.max(c).alias(c) for c in values], F.count(F.lit(1)).alias(TIES)
-    )
+        *[F.expr(f"MAX({q(c)}) AS {q(c)}") for c in values], F.expr(f"COUNT(1) AS {TIES}"))
 
 
 SESSION_LEVELS = {
@@ -87,15 +84,13 @@ def daily_frames(silver: DataFrame) -> dict[str, DataFrame]:
 
 def feature_base(silver: DataFrame) -> DataFrame:
     """The events to describe, stamped with their own day."""
-    return silver.select(
-        "user_id", "user_session", "product_id", "event_time", "event_type",
-        F.date_trunc("day", F.col("event_time")).alias("batch_time"),
-    )
+    return project(silver, ["user_id", "user_session", "product_id", "event_time", "event_type",
+                            "date_trunc('day', event_time) AS batch_time"])
 
 
 def attach(base: DataFrame, metrics_df: DataFrame, table: str,
            broadcast: bool = False) -> DataFrame:
-    """Left join one metric set by its keys (plain equality, so a
+    """Left join one metric set by its keys (plain equality, so a
     NULL user matches nothing). ``metrics_df`` has one row per key.
 
     ``broadcast`` ships the metric side to every task; pass it only for a
@@ -116,16 +111,15 @@ def with_session_features(base: DataFrame, levels: Mapping[str, Sequence[str]],
     """
     outcome = "product_session_metrics" if label else None
     r = with_running(base, levels, slicing=slicing, outcome_level=outcome)
-    matched = F.col("user_id").isNotNull()
-    masked = {c: F.when(matched, F.col(c))
-              for n in levels for c in level_columns(n)}
-    copies = F.lit(1)
-    for n in levels:
-        copies = copies * F.col(f"{TIES}__{n}")
-    masked[COPIES] = F.when(matched, copies).otherwise(F.lit(1))
+    matched = "user_id IS NOT NULL"
+    copies = " * ".join(q(f"{TIES}__{n}") for n in levels)
+    out = [*cols(base.columns)]
+    out += [as_(f"CASE WHEN {matched} THEN {q(c)} END", c)
+            for n in levels for c in level_columns(n)]
+    out.append(as_(f"CASE WHEN {matched} THEN {copies} ELSE 1 END", COPIES))
     if label:
-        masked[LABEL] = F.when(matched, F.col(LABEL))
-    return r.withColumns(masked).drop(*[f"{TIES}__{n}" for n in levels])
+        out.append(as_(f"CASE WHEN {matched} THEN {LABEL} END", LABEL))
+    return project(r, out)
 
 
 def expand(df: DataFrame, ties: str = "multiply") -> DataFrame:
@@ -134,8 +128,9 @@ def expand(df: DataFrame, ties: str = "multiply") -> DataFrame:
         return df.drop(COPIES)
     if ties != "multiply":
         raise ValueError(f"ties must be 'multiply' or 'collapse', not {ties!r}")
-    reps = F.array_repeat(F.lit(0), F.col(COPIES).cast("int"))
-    return df.withColumn(COPIES, F.explode(reps)).drop(COPIES)
+    rest = [c for c in df.columns if c != COPIES]
+    return df.selectExpr(*cols(rest), f"explode(array_repeat(0, CAST({COPIES} AS INT))) AS _rep") \
+        .drop("_rep")
 
 
 def raw_features_unexpanded(silver: DataFrame,
@@ -152,7 +147,7 @@ def raw_features_unexpanded(silver: DataFrame,
     df = with_session_features(feature_base(silver), SESSION_LEVELS, slicing, label)
     for table in DAILY_TABLES:
         df = attach(df, daily[table], table, broadcast=table in broadcast)
-    return df.select(*EVENT_COLUMNS, *FEATURES, COPIES, *([LABEL] if label else []))
+    return project(df, cols([*EVENT_COLUMNS, *FEATURES, COPIES, *([LABEL] if label else [])]))
 
 
 def raw_features(silver: DataFrame, daily: Mapping[str, DataFrame] | None = None,
@@ -163,21 +158,22 @@ def raw_features(silver: DataFrame, daily: Mapping[str, DataFrame] | None = None
 
 def session_product_outcomes(silver: DataFrame) -> DataFrame:
     """1 if the user bought the product at any time in the session."""
-    bought = F.when(F.col("event_type") == PURCHASE, 1).otherwise(0)
-    return silver.groupBy(*LABEL_KEYS).agg(F.max(bought).alias(LABEL))
+    bought = f"MAX(CASE WHEN event_type = '{PURCHASE}' THEN 1 ELSE 0 END) AS {LABEL}"
+    return silver.groupBy(*LABEL_KEYS).agg(F.expr(bought))
 
 
 def labelled(raw_with_label: DataFrame) -> DataFrame:
     """Keep the events that have a label -- the inner join on the label
     key; NULL users drop out here (Q8)."""
-    cols = [*LABEL_KEYS, "batch_time", "event_time", "event_type", *FEATURES]
+    keep = [*LABEL_KEYS, "batch_time", "event_time", "event_type", *FEATURES]
     extra = [COPIES] if COPIES in raw_with_label.columns else []
-    return raw_with_label.filter(F.col(LABEL).isNotNull()).select(*cols, LABEL, *extra)
+    return project(raw_with_label.filter(f"{LABEL} IS NOT NULL"), cols([*keep, LABEL, *extra]))
 
 
 def training_rows(raw_with_labels: DataFrame) -> DataFrame:
     """Drop purchase events and the per-event columns."""
-    return raw_with_labels.filter(F.col("event_type") != PURCHASE).drop(*DROPPED_FOR_TRAINING)
+    rest = [c for c in raw_with_labels.columns if c not in DROPPED_FOR_TRAINING]
+    return project(raw_with_labels.filter(f"event_type != '{PURCHASE}'"), cols(rest))
 
 
 def raw_features_and_labels(silver: DataFrame, ties: str = "multiply",
@@ -195,4 +191,4 @@ def features_and_labels(silver: DataFrame, ties: str = "multiply",
     """The training table, 50 features + label per (user, session) event."""
     raw = raw_features_unexpanded(silver, daily, slicing, broadcast, label=True)
     out = training_rows(labelled(raw))
-    return expand(out, ties).select("user_id", "user_session", *FEATURES, LABEL)
+    return project(expand(out, ties), cols(["user_id", "user_session", *FEATURES, LABEL]))

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickfeat.functions.ratios import COUNTS, METRICS, type_flags, with_ratios
+from clickfeat.functions.ratios import COUNTS, METRICS, TYPED_COUNTS, with_ratios
 from clickfeat.operators.running import SLICING, Slicing, with_running
 
 TIME = "event_time"
@@ -33,17 +33,18 @@ METRIC_TABLES = {
 
 
 def count_aggs(type_col: str = "event_type") -> list:
-    flags = type_flags(type_col)
-    return [F.count(F.lit(1)).alias("events"), *[F.sum(flags[c]).alias(c) for c in COUNTS[1:]]]
+    """events = COUNT(*), and a conditional sum per counted type."""
+    typed = [F.expr(f"SUM(CASE WHEN {type_col} = '{value}' THEN 1 ELSE 0 END) AS {name}")
+             for name, value in TYPED_COUNTS]
+    return [F.expr("COUNT(1) AS events"), *typed]
 
 
 def running_table(events: DataFrame, name: str, keys: Sequence[str],
                   slicing: Slicing = SLICING) -> DataFrame:
     """Running metrics per ``keys`` as the reference table: one row per event
     (keys, event_time, the ten METRICS). NULL keys form their own group."""
-    cols = [*keys, TIME, "event_type"]
-    r = with_running(events.select(*cols), {name: keys}, slicing=slicing)
-    return r.select(*keys, TIME, *[F.col(f"{name}__{m}").alias(m) for m in METRICS])
+    r = with_running(events.select(*keys, TIME, "event_type"), {name: keys}, slicing=slicing)
+    return r.selectExpr(*keys, TIME, *[f"{name}__{m} AS {m}" for m in METRICS])
 
 
 def session_metrics(silver: DataFrame, slicing: Slicing = SLICING) -> DataFrame:
@@ -56,14 +57,15 @@ def product_session_metrics(silver: DataFrame, slicing: Slicing = SLICING) -> Da
     return running_table(silver, "product_session_metrics", PRODUCT_SESSION_KEYS, slicing)
 
 
-def next_day(time_col: str = TIME):
+def next_day(time_col: str = TIME) -> str:
     """The day after the event, as a midnight timestamp (session time zone)."""
-    return F.date_trunc("day", F.date_add(F.col(time_col).cast("date"), 1))
+    return f"date_trunc('day', date_add(CAST({time_col} AS DATE), 1))"
 
 
 def daily_counts(silver: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per (key, next day) counts: what a key did on the day before batch_time."""
-    return silver.withColumn(DAY, next_day()).groupBy(*keys, DAY).agg(*count_aggs())
+    stamped = silver.selectExpr(*keys, "event_type", f"{next_day()} AS {DAY}")
+    return stamped.groupBy(*keys, DAY).agg(*count_aggs())
 
 
 def daily_metrics(silver: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -78,13 +80,13 @@ def daily_metrics(silver: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def rollup_daily(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Day counts of a coarser key, summed from a finer key's day counts."""
-    return daily.groupBy(*keys, DAY).agg(*[F.sum(c).alias(c) for c in COUNTS])
+    return daily.groupBy(*keys, DAY).agg(*[F.expr(f"SUM({c}) AS {c}") for c in COUNTS])
 
 
 def cumulative(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Running totals of day counts per key, plus the six ratios."""
-    w = Window.partitionBy(*keys).orderBy(DAY)
-    cum = daily.select(*keys, DAY, *[F.sum(c).over(w).alias(c) for c in COUNTS])
+    w = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {DAY})"
+    cum = daily.selectExpr(*keys, DAY, *[f"SUM({c}) {w} AS {c}" for c in COUNTS])
     return with_ratios(cum)
 
 

@@ -37,35 +37,38 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from clickfeat.functions.ratios import COUNTS, RATIOS, type_flags
+from clickfeat.functions.ratios import COUNTS, RATIOS, TYPED_COUNTS
+from clickfeat.functions.sqlexpr import as_, cols, null_of, project, q, ratio, zero_of
 
 SLICE = "_slice"
-
-
-def _stand_in(df: DataFrame, k: str) -> dict[str, Column]:
-    dtype = df.schema[k].dataType
-    default = F.lit("") if isinstance(dtype, T.StringType) else F.lit(0).cast(dtype)
-    return {f"_g_{k}": F.coalesce(F.col(k), default), f"_z_{k}": F.col(k).isNull()}
+_EVENT = "_is_event"
 
 
 def group_cols(keys: Sequence[str]) -> list[str]:
     return [c for k in keys for c in (f"_g_{k}", f"_z_{k}")]
 
 
-def slice_totals(sliced: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _flag_sql(count: str, type_col: str) -> str:
+    """0/1 weight of an event for ``count`` (events: always 1)."""
+    if count == "events":
+        return "CAST(1 AS BIGINT)"
+    value = dict(TYPED_COUNTS)[count]
+    return f"CAST(CASE WHEN {q(type_col)} = '{value}' THEN 1 ELSE 0 END AS BIGINT)"
+
+
+def slice_totals(sliced: DataFrame, keys: Sequence[str], type_col: str = "event_type") -> DataFrame:
     """Per (key, slice): events and typed counts (combined map-side)."""
-    flags = type_flags()
     return sliced.groupBy(*group_cols(keys), SLICE).agg(
-        F.count(F.lit(1)).alias("events"), *[F.sum(flags[c]).alias(c) for c in COUNTS[1:]])
+        *[F.expr(f"SUM({_flag_sql(c, type_col)}) AS {q(c)}") for c in COUNTS])
 
 
 def rollup_totals(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Slice totals of a coarser key, summed from a finer key's totals."""
-    return totals.groupBy(*group_cols(keys), SLICE).agg(*[F.sum(c).alias(c) for c in COUNTS])
+    return totals.groupBy(*group_cols(keys), SLICE).agg(
+        *[F.expr(f"SUM({q(c)}) AS {q(c)}") for c in COUNTS])
 
 
 def slice_offsets(totals: DataFrame, keys: Sequence[str], prefix: str,
@@ -75,22 +78,20 @@ def slice_offsets(totals: DataFrame, keys: Sequence[str], prefix: str,
     With ``outcome``, also ``purchased``: 1 if any slice of the key has a
     purchase -- same window partition, no extra shuffle.
     """
-    gk = group_cols(keys)
-    w = Window.partitionBy(*gk).orderBy(SLICE)
-    cols = [(F.sum(c).over(w) - F.col(c)).alias(f"{prefix}_off_{c}") for c in COUNTS]
+    part = ", ".join(cols(group_cols(keys)))
+    w = f"OVER (PARTITION BY {part} ORDER BY {q(SLICE)})"
+    exprs = [*cols(group_cols(keys)), q(SLICE),
+             *[as_(f"SUM({q(c)}) {w} - {q(c)}", f"{prefix}_off_{c}") for c in COUNTS]]
     if outcome:
-        any_purchase = F.max(F.when(F.col("purchases") > 0, 1).otherwise(0))
-        cols.append(any_purchase.over(Window.partitionBy(*gk)).alias("purchased"))
-    return totals.select(*gk, SLICE, *cols)
+        exprs.append(as_(f"MAX(CASE WHEN purchases > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY {part})",
+                         "purchased"))
+    return project(totals, exprs)
 
 
 def level_columns(name: str) -> list[str]:
     return [f"{name}__{m}" for m in (*COUNTS, *(r[0] for r in RATIOS))]
 
 
-_EVENT = "_is_event"
-
-
 def _weight(level: str, count: str) -> str:
     return f"_w_{level}_{count}"
 
@@ -114,25 +115,27 @@ SLICING = Slicing()
 def add_slices(sliced: DataFrame, keys: Sequence[str], time_col: str,
                slicing: Slicing = SLICING) -> DataFrame:
     """Attach ``_slice``: ``slicing.unit`` buckets, finer for hot (key, bucket) groups."""
-    t = F.col(time_col)
-    coarse = F.date_trunc(slicing.unit, t)
-    fine_unit, hot_rows = slicing.fine_unit, slicing.hot_rows
-    if hot_rows is None:
-        return sliced.withColumn(SLICE, coarse)
+    t = q(time_col)
+    coarse = f"date_trunc('{slicing.unit}', {t})"
+    fine = f"date_trunc('{slicing.fine_unit}', {t})"
+    hot_rows = slicing.hot_rows
+    if hot_rows is None or sliced.count() <= hot_rows:  # nothing can be hot
+        return sliced.selectExpr("*", as_(coarse, SLICE))
     gk = group_cols(keys)
-    hot = (sliced.groupBy(*gk, coarse.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > hot_rows).select(*gk, "_bucket", F.lit(True).alias("_hot")))
+    hot = (sliced.selectExpr(*cols(gk), as_(coarse, "_bucket"))
+           .groupBy(*gk, "_bucket").count()
+           .filter(f"count > {int(hot_rows)}")
+           .selectExpr(*cols(gk), "_bucket", "true AS _hot"))
     n_hot = hot.count()
     if n_hot == 0:
-        return sliced.withColumn(SLICE, coarse)
+        return sliced.selectExpr("*", as_(coarse, SLICE))
     if n_hot > slicing.max_hot_groups:
-        return sliced.withColumn(SLICE, F.date_trunc(fine_unit, t))
+        return sliced.selectExpr("*", as_(fine, SLICE))
     # Bounded: at most max_hot_groups short rows, checked just above.
-    marked = sliced.withColumn("_bucket", coarse).join(
+    marked = sliced.selectExpr("*", as_(coarse, "_bucket")).join(
         F.broadcast(hot), on=[*gk, "_bucket"], how="left")
-    return marked.withColumn(
-        SLICE, F.when(F.col("_hot"), F.date_trunc(fine_unit, t)).otherwise(F.col("_bucket"))
-    ).drop("_bucket", "_hot")
+    keep = [q(c) for c in sliced.columns]
+    return marked.selectExpr(*keep, as_(f"CASE WHEN _hot THEN {fine} ELSE _bucket END", SLICE))
 
 
 def with_running(events: DataFrame, levels: Mapping[str, Sequence[str]],
@@ -156,68 +159,71 @@ def with_running(events: DataFrame, levels: Mapping[str, Sequence[str]],
     if outcome_level not in (None, finest):
         raise ValueError("the outcome is taken at the finest level")
     all_keys = list(dict.fromkeys(k for n in names for k in levels[n]))
+    types = {f.name: f.dataType for f in events.schema.fields}
+    event_cols = [f.name for f in events.schema.fields]
 
-    stand_ins: dict[str, Column] = {}
+    stand_ins = []
     for k in all_keys:
-        stand_ins.update(_stand_in(events, k))
-    sliced = add_slices(events.withColumns(stand_ins), coarse, time_col, slicing)
+        stand_ins += [as_(f"coalesce({q(k)}, {zero_of(types[k])})", f"_g_{k}"),
+                      as_(f"({q(k)} IS NULL)", f"_z_{k}")]
+    sliced = add_slices(events.selectExpr("*", *stand_ins), coarse, time_col, slicing)
 
     # Offsets: the events are aggregated once, at the finest level; coarser
     # levels roll those totals up (small tables, one row per key and slice).
-    fine_totals = slice_totals(sliced, levels[finest])
+    fine_totals = slice_totals(sliced, levels[finest], type_col)
     offsets = {}
     for n in names:
         totals = fine_totals if n == finest else rollup_totals(fine_totals, levels[n])
         offsets[n] = slice_offsets(totals, levels[n], n, outcome=n == outcome_level)
 
     # One row layout for events and offset rows.
-    schema = {f.name: f.dataType for f in sliced.schema.fields}
-    layout = [*events.columns, *group_cols(all_keys), SLICE, _EVENT,
-              *[_weight(n, c) for n in names for c in COUNTS], "purchased"]
-    flags = type_flags(type_col)
-    event_rows = sliced.select(
-        *events.columns, *group_cols(all_keys), SLICE, F.lit(1).alias(_EVENT),
-        *[(F.lit(1) if c == "events" else flags[c]).cast("bigint").alias(_weight(n, c))
-          for n in names for c in COUNTS],
-        F.lit(None).cast("int").alias("purchased"))
-    parts = [event_rows]
+    weights = [(n, c) for n in names for c in COUNTS]
+    event_rows = project(sliced, [
+        *cols(event_cols), *cols(group_cols(all_keys)), q(SLICE), f"1 AS {_EVENT}",
+        *[as_(_flag_sql(c, type_col), _weight(n, c)) for n, c in weights],
+        "CAST(NULL AS INT) AS purchased"])
+    rows = event_rows
     for n in names:
         own = set(group_cols(levels[n]))
         # A key's first slice has nothing before it: no row needed, unless
         # it carries the key's label.
-        needed = F.col(f"{n}_off_events") > 0
+        needed = f"{q(n + '_off_events')} > 0"
         if n == outcome_level:
-            needed = needed | (F.col("purchased") == 1)
-        parts.append(offsets[n].filter(needed).select(*[
-            F.col(c) if c in own or c == SLICE
-            else F.lit(None).cast(schema[c]).alias(c) if c in schema
-            else F.lit(0).alias(c) if c == _EVENT
-            else F.col(f"{n}_off_{c.rsplit('_', 1)[1]}").alias(c)
-            if c.startswith(f"_w_{n}_")
-            else F.lit(0).cast("bigint").alias(c) if c.startswith("_w_")
-            else (F.col(c) if n == outcome_level else F.lit(None).cast("int")).alias(c)
-            for c in layout]))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
+            needed += " OR purchased = 1"
+        layout = [
+            *[as_(null_of(types[c]), c) for c in event_cols],
+            *[q(c) if c in own else f"CAST(NULL AS {'boolean' if c.startswith('_z_') else types[c[3:]].simpleString()}) AS {q(c)}"
+              for c in group_cols(all_keys)],
+            q(SLICE), f"0 AS {_EVENT}",
+            *[as_(q(f"{m}_off_{c}") if m == n else "CAST(0 AS BIGINT)", _weight(m, c))
+              for m, c in weights],
+            "purchased" if n == outcome_level else "CAST(NULL AS INT) AS purchased",
+        ]
+        rows = rows.unionByName(project(offsets[n].filter(needed), layout))
 
     # The one exchange: by (first level's key, slice). Every window below
-    # partitions by a superset of it, so none adds another.
+    # partitions by a superset of it, so none adds another. Per level, the
+    # running sums and the tie count share one sort (key, slice, time); the
+    # label window is satisfied by the finest one.
     rows = rows.repartition(*group_cols(coarse), SLICE)
-    # Per level, the running sums and the tie count share one sort order
-    # (key, slice, time); the label window is satisfied by the finest one.
+    t = q(time_col)
     for n in sorted(names, key=lambda n: len(levels[n])):
-        gk = [*group_cols(levels[n]), SLICE]
-        w = Window.partitionBy(*gk).orderBy(F.col(time_col).asc_nulls_first())
-        rows = rows.withColumns({f"{n}__{c}": F.sum(_weight(n, c)).over(w) for c in COUNTS})
-        rows = rows.withColumn(f"_ties__{n}",
-                               F.sum(_EVENT).over(Window.partitionBy(*gk, time_col)))
-    if outcome_level is not None:
-        rows = rows.withColumn("purchased", F.coalesce(F.max("purchased").over(
-            Window.partitionBy(*group_cols(levels[outcome_level]), SLICE)), F.lit(0)))
-    ratios = {f"{n}__{r}": F.try_divide(F.col(f"{n}__{a}"), F.col(f"{n}__{b}"))
-              for n in names for r, a, b in RATIOS}
-    keep = [*events.columns, *[c for n in names for c in (*level_columns(n), f"_ties__{n}")]]
+        part = ", ".join(cols([*group_cols(levels[n]), SLICE]))
+        w = f"OVER (PARTITION BY {part} ORDER BY {t} ASC NULLS FIRST)"
+        rows = rows.selectExpr("*", *[as_(f"SUM({q(_weight(n, c))}) {w}", f"{n}__{c}")
+                                      for c in COUNTS])
+        rows = rows.selectExpr("*", as_(f"SUM({_EVENT}) OVER (PARTITION BY {part}, {t})",
+                                        f"_ties__{n}"))
+    out = [*cols(event_cols)]
+    for n in names:
+        out += [*cols(f"{n}__{c}" for c in COUNTS),
+                *[as_(ratio(f"{n}__{a}", f"{n}__{b}"), f"{n}__{r}") for r, a, b in RATIOS],
+                q(f"_ties__{n}")]
     if outcome_level is not None:
-        keep.append("purchased")
-    return rows.filter(F.col(_EVENT) == 1).withColumns(ratios).select(*keep)
+        # Before the filter: the label rides on the offset rows.
+        part = ", ".join(cols([*group_cols(levels[outcome_level]), SLICE]))
+        rows = rows.selectExpr(
+            *[q(c) for c in rows.columns if c != "purchased"],
+            as_(f"coalesce(MAX(purchased) OVER (PARTITION BY {part}), 0)", "purchased"))
+        out.append("purchased")
+    return rows.filter(f"{_EVENT} = 1").selectExpr(*out)
