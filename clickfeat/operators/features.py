@@ -68,13 +68,14 @@ SESSION_LEVELS = {
 DAILY_TABLES = ("user_metrics", "product_metrics", "user_product_metrics")
 
 
-def daily_frames(silver: DataFrame) -> dict[str, DataFrame]:
+def daily_frames(silver: DataFrame, up: DataFrame | None = None) -> dict[str, DataFrame]:
     """The three day-level metric sets, each with one row per join key.
 
-    The events are aggregated once, per (user, product, day); the user and
-    product day counts are roll-ups of that aggregate.
+    The events are aggregated once, per (user, product, day) -- or ``up``
+    supplies that aggregate, e.g. read back from a table; the user and
+    product day counts are roll-ups of it.
     """
-    up = M.daily_counts(silver, ["user_id", "product_id"])
+    up = up if up is not None else M.daily_counts(silver, ["user_id", "product_id"])
     return {
         "user_metrics": M.cumulative(M.rollup_daily(up, ["user_id"]), ["user_id"]),
         "product_metrics": M.cumulative(M.rollup_daily(up, ["product_id"]), ["product_id"]),

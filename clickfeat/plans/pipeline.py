@@ -79,8 +79,12 @@ def run_pipeline(spark: SparkSession, lake_root: str, *,
 
     write(M.session_metrics(silver, slicing), "session_metrics", "gold")
     write(M.product_session_metrics(silver, slicing), "product_session_metrics", "gold")
+    # Day counts per (user, product, day), written once; the three day-level
+    # gold tables are cumulative windows over it and its roll-ups.
+    up_counts = write(M.daily_counts(silver, ["user_id", "product_id"]),
+                      "user_product_daily_counts", "gold")
     daily, small = {}, set()
-    for name, df in FT.daily_frames(silver).items():
+    for name, df in FT.daily_frames(silver, up_counts).items():
         table = write(df, name, "gold")
         daily[name], is_small = broadcast_if_small(spark, table, written[name])
         if is_small:

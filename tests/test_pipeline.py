@@ -85,3 +85,20 @@ def test_model_train_register_score(spark, lake):
                 summary["validate"])
     assert ML.latest_version(spark, registry, "intent").first().version == 2
     assert spark.read.parquet(f"{registry}/training_runs").count() == 2
+
+
+def test_pipeline_tables_match_oracle(spark):
+    """The written layers equal the oracle statements (driver data, event_id tiebreak)."""
+    from clickfeat.oracle_sql import queries as oracle_queries
+    from oracle import compare
+
+    base = tempfile.mkdtemp(prefix="clickfeat-parity-")
+    written = run_pipeline(spark, f"{base}/lake", staging=from_driver_events(spark, SF),
+                           before=None)
+    sql = oracle_queries()
+    for table in ("silver_events", "session_metrics", "user_metrics", "product_metrics",
+                  "user_product_metrics", "raw_features", "session_product_outcomes",
+                  "raw_features_and_labels", "features_and_labels"):
+        r = compare(spark.read.parquet(written[table]), sql[table], SF)
+        assert r["spark_cols"] == r["oracle_cols"], table
+        assert r["hash_match"], table
