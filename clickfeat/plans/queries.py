@@ -145,9 +145,12 @@ def _split(part: str) -> Query:
 # Deterministic stand-in score for the metric queries (no model involved):
 # the product's running cart share in the session so far.
 def _scored(spark, sf_dir):
+    """(label, score) written to the work folder: average precision reads it
+    twice (quantile cut points, then the sums)."""
     f = q_features_and_labels(spark, sf_dir)
-    score = F.coalesce(F.col("product_session_metrics__carts_to_events"), F.lit(0.0))
-    return f.select(F.col(FT.LABEL).alias("label"), score.alias("score"))
+    scored = f.selectExpr(f"{FT.LABEL} AS label",
+                          "coalesce(product_session_metrics__carts_to_events, 0.0) AS score")
+    return materialize(spark, scored, fresh_dir(spark, "scored"))
 
 
 def q_class_metrics(spark, sf_dir):
