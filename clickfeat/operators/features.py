@@ -38,6 +38,7 @@ LABEL_KEYS = ("user_id", "user_session", "product_id")
 LABEL = "purchased"
 DROPPED_FOR_TRAINING = ("event_type", "product_id", "event_time", "batch_time")
 COPIES = "_copies"
+EXPAND_CHUNK = 10_000
 TIES = "_ties"
 
 FEATURES = tuple(f"{t}__{m}" for t in M.METRIC_TABLES for m in METRICS)
@@ -129,9 +130,15 @@ def expand(df: DataFrame, ties: str = "multiply") -> DataFrame:
         return df.drop(COPIES)
     if ties != "multiply":
         raise ValueError(f"ties must be 'multiply' or 'collapse', not {ties!r}")
+    # Two levels (chunks of at most EXPAND_CHUNK copies, then the copies of a
+    # chunk) so no generated array grows with the tie-group size squared.
     rest = [c for c in df.columns if c != COPIES]
-    return df.selectExpr(*cols(rest), f"explode(array_repeat(0, CAST({COPIES} AS INT))) AS _rep") \
-        .drop("_rep")
+    n, b = q(COPIES), EXPAND_CHUNK
+    chunks = df.selectExpr(*cols(rest), n,
+                           f"explode(sequence(0, CAST(({n} - 1) DIV {b} AS INT))) AS _chunk")
+    return chunks.selectExpr(
+        *cols(rest), f"explode(array_repeat(0, CAST(least({b}, {n} - _chunk * {b}) AS INT))) AS _rep"
+    ).drop("_rep")
 
 
 def raw_features_unexpanded(silver: DataFrame,

@@ -149,3 +149,9 @@ def test_class_metrics_values(spark):
     assert (cm.tp, cm.fp, cm.tn, cm.fn) == (2, 1, 1, 1)
     assert abs(cm.balanced_accuracy - 0.5 * (2 / 3 + 1 / 2)) < 1e-12
     assert abs(cm.mcc - (2 * 1 - 1 * 1) / (3 * 3 * 2 * 2) ** 0.5) < 1e-12
+
+
+def test_expand_large_copies_in_chunks(spark):
+    df = spark.createDataFrame([(1, 25_001), (2, 1), (3, 10_000)], "k int, _copies bigint")
+    counts = {r.k: r["count"] for r in FT.expand(df).groupBy("k").count().collect()}
+    assert counts == {1: 25_001, 2: 1, 3: 10_000}
