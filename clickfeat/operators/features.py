@@ -77,6 +77,10 @@ def daily_frames(silver: DataFrame, up: DataFrame | None = None) -> dict[str, Da
     product day counts are roll-ups of it.
     """
     up = up if up is not None else M.daily_counts(silver, ["user_id", "product_id"])
+    # These sets are only joined on plain equality, where a NULL key matches
+    # nothing; dropping NULL keys once keeps the three branches one plan, so
+    # the day aggregation is computed (and exchanged) once, not per join.
+    up = up.filter("user_id IS NOT NULL AND product_id IS NOT NULL")
     return {
         "user_metrics": M.cumulative(M.rollup_daily(up, ["user_id"]), ["user_id"]),
         "product_metrics": M.cumulative(M.rollup_daily(up, ["product_id"]), ["product_id"]),
