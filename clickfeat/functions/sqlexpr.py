@@ -41,15 +41,3 @@ def ratio(numerator: str, denominator: str) -> str:
 
 def project(df: DataFrame, exprs: Iterable[str]) -> DataFrame:
     return df.selectExpr(*exprs)
-
-
-def extend(df: DataFrame, exprs: Iterable[str]) -> DataFrame:
-    """All columns plus ``exprs`` (new names only)."""
-    return df.selectExpr("*", *exprs)
-
-
-def replace(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
-    """All columns, with the named ones replaced (in place) or appended."""
-    out = [as_(exprs[c], c) if c in exprs else q(c) for c in df.columns]
-    out += [as_(e, c) for c, e in exprs.items() if c not in df.columns]
-    return df.selectExpr(*out)

@@ -51,17 +51,6 @@ def prefixed(metrics_df: DataFrame, table: str, keys: Sequence[str]) -> DataFram
     return project(metrics_df, [*cols(keys), *renamed])
 
 
-def unique_on_keys(per_event_table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """A per-event metric table (keys repeat on ties) as one row per key.
-
-    Rows sharing a key are identical, so the values are kept and the number
-    of rows becomes ``_ties``. Map-side combined, like any aggregate.
-    """
-    values = [c for c in per_event_table.columns if c not in keys]
-    return per_event_table.groupBy(*keys).agg(
-        *[F.expr(f"MAX({q(c)}) AS {q(c)}") for c in values], F.expr(f"COUNT(1) AS {TIES}"))
-
-
 SESSION_LEVELS = {
     "session_metrics": M.SESSION_KEYS,
     "product_session_metrics": M.PRODUCT_SESSION_KEYS,

@@ -106,7 +106,7 @@ class Slicing:
     unit: str = "day"
     fine_unit: str = "minute"
     hot_rows: int | None = 2_000_000
-    max_hot_groups: int = 1_000_000
+    max_hot_groups: int = 100_000  # about 10 MB of (key, day) rows to broadcast
 
 
 SLICING = Slicing()
