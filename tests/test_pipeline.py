@@ -102,3 +102,15 @@ def test_pipeline_tables_match_oracle(spark):
         r = compare(spark.read.parquet(written[table]), sql[table], SF)
         assert r["spark_cols"] == r["oracle_cols"], table
         assert r["hash_match"], table
+
+
+def test_stream_rate_limited_drain(spark):
+    """availableNow with maxFilesPerTrigger=1 drains several files in several batches."""
+    base = tempfile.mkdtemp(prefix="clickfeat-rate-")
+    text = as_csv_strings(L.bronze(from_driver_events(spark, SF))).select(*NATIVE_COLUMNS)
+    text.repartition(3).write.option("header", True).csv(f"{base}/raw/d")
+    q = ingest(spark, f"{base}/raw/*", f"{base}/staging", f"{base}/ckpt",
+               max_files_per_trigger=1)
+    assert spark.read.parquet(f"{base}/staging").count() == 1000
+    batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 3
