@@ -145,10 +145,34 @@ def raw_features_unexpanded(silver: DataFrame,
     tables); ``broadcast`` names those measured small enough to broadcast.
     """
     daily = daily if daily is not None else daily_frames(silver)
-    df = with_session_features(feature_base(silver), SESSION_LEVELS, slicing, label)
+    base = feature_base(silver)
+    events = with_session_features(base, SESSION_LEVELS, slicing, label)
+    keyed = day_features(base, daily, broadcast)
+    # One exchange of the (wide) event rows for all three day-level sets: the
+    # join on (user, product, day) -- null-safe on the user, so an event of a
+    # NULL user still finds its product's features -- is 1:1.
+    on = (F.col("e.user_id").eqNullSafe(F.col("k.user_id"))
+          & (F.col("e.product_id") == F.col("k.product_id"))
+          & (F.col("e.batch_time") == F.col("k.batch_time")))
+    joined = events.alias("e").join(keyed.alias("k"), on, "left")
+    day_cols = [f"{t}__{m}" for t in DAILY_TABLES for m in METRICS]
+    out = [f"e.{q(c)}" if c not in day_cols else f"k.{q(c)}"
+           for c in [*EVENT_COLUMNS, *FEATURES, COPIES, *([LABEL] if label else [])]]
+    return joined.selectExpr(*out)
+
+
+def day_features(events: DataFrame, daily: Mapping[str, DataFrame],
+                 broadcast: Collection[str] = ()) -> DataFrame:
+    """The three day-level sets per distinct (user, product, day) of ``events``.
+
+    The key table is an aggregate (combined map-side) of three narrow
+    columns, so the three N:1 joins move narrow rows; a NULL user matches no
+    user-level set, as in a plain join.
+    """
+    keys = events.select("user_id", "product_id", "batch_time").distinct()
     for table in DAILY_TABLES:
-        df = attach(df, daily[table], table, broadcast=table in broadcast)
-    return project(df, cols([*EVENT_COLUMNS, *FEATURES, COPIES, *([LABEL] if label else [])]))
+        keys = attach(keys, daily[table], table, broadcast=table in broadcast)
+    return keys
 
 
 def raw_features(silver: DataFrame, daily: Mapping[str, DataFrame] | None = None,
