@@ -54,7 +54,10 @@ def stream_schema(spark: SparkSession, raw_path: str, checkpoint: str,
 def raw_stream(spark: SparkSession, raw_path: str, schema: T.StructType,
                max_files_per_trigger: int | None = None) -> DataFrame:
     """The CSV drop folder as an unbounded table with lineage columns."""
-    reader = spark.readStream.format("csv").option("header", True).schema(schema)
+    # Header names are checked against the schema (not matched by position
+    # silently): a drop whose columns differ fails the stream loudly.
+    reader = (spark.readStream.format("csv").option("header", True)
+              .option("enforceSchema", False).schema(schema))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(raw_path).select(

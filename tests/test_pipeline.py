@@ -114,3 +114,15 @@ def test_stream_rate_limited_drain(spark):
     assert spark.read.parquet(f"{base}/staging").count() == 1000
     batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
     assert len(batches) == 3
+
+
+def test_stream_rejects_reordered_header(spark):
+    base = tempfile.mkdtemp(prefix="clickfeat-header-")
+    text = as_csv_strings(L.bronze(from_driver_events(spark, SF))).select(*NATIVE_COLUMNS)
+    text.coalesce(1).write.option("header", True).csv(f"{base}/raw/a")
+    ingest(spark, f"{base}/raw/*", f"{base}/staging", f"{base}/ckpt")
+    swapped = list(reversed(NATIVE_COLUMNS))
+    text.select(*swapped).coalesce(1).write.option("header", True).csv(f"{base}/raw/b")
+    with pytest.raises(Exception):
+        ingest(spark, f"{base}/raw/*", f"{base}/staging", f"{base}/ckpt")
+    assert spark.read.parquet(f"{base}/staging").count() == 1000
