@@ -6,7 +6,8 @@ Every event gets the five metric sets that were known at its time:
   (computed on the events themselves, ``clickfeat.operators.running``);
 * user, product and user x product day-level metrics stamped with the
   event's own day (made the day before, so no same-day leakage), attached
-  by N:1 left joins.
+  by N:1 left joins to the distinct (user, product, day) keys, which the
+  events then join once.
 
 Tie fan-out (Q3). The reference joins per-event metric tables, whose keys
 repeat for events tied on time, so an event is emitted ``n_s x n_ps`` times
@@ -25,9 +26,8 @@ from collections.abc import Collection, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickfeat.functions.sqlexpr import as_, cols, project, q
-
 from clickfeat.functions.ratios import METRICS, PURCHASE
+from clickfeat.functions.sqlexpr import as_, cols, project, q
 from clickfeat.operators import metrics as M
 from clickfeat.operators.running import SLICING, Slicing, level_columns, with_running
 
@@ -39,15 +39,14 @@ LABEL = "purchased"
 DROPPED_FOR_TRAINING = ("event_type", "product_id", "event_time", "batch_time")
 COPIES = "_copies"
 EXPAND_CHUNK = 10_000
-TIES = "_ties"
+TIES = "_ties"  # per-level tie counts left by with_running: _ties__<level>
 
 FEATURES = tuple(f"{t}__{m}" for t in M.METRIC_TABLES for m in METRICS)
 
 
 def prefixed(metrics_df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     """Keep the keys, rename every other column to ``<table>__<col>``."""
-    renamed = [as_(q(c), f"{TIES}__{table}" if c == TIES else f"{table}__{c}")
-               for c in metrics_df.columns if c not in keys]
+    renamed = [as_(q(c), f"{table}__{c}") for c in metrics_df.columns if c not in keys]
     return project(metrics_df, [*cols(keys), *renamed])
 
 
