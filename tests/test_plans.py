@@ -53,3 +53,17 @@ def test_daily_sets_share_one_aggregation(spark):
     df.collect()  # the adaptive plan is final once its own execution ran
     final = _plan(df).split("Initial Plan")[0]
     assert final.count("ReusedExchange") >= 2
+
+
+def test_broadcast_only_when_measured_small(spark, tmp_path):
+    from clickfeat.plans.joins import broadcast_if_small
+    from clickfeat.sources.tables import bytes_on_disk
+
+    path = str(tmp_path / "small")
+    spark.range(100).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert bytes_on_disk(spark, path) > 0
+    _, small = broadcast_if_small(spark, df, path)
+    assert small
+    _, small = broadcast_if_small(spark, df, path, max_bytes=10)
+    assert not small

@@ -138,3 +138,35 @@ def test_repeatable_across_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert a == b
+
+
+bronze_row = st.tuples(
+    st.integers(0, 5).map(lambda h: f"2021-01-05 {10 + h:02d}:00:00"),
+    st.sampled_from(["view", "cart", "purchase", None]),
+    st.sampled_from(["A", "B", "C"]),
+    st.sampled_from(["c1", "c2", None]),
+    st.sampled_from(["u1", "u2", None]),
+    st.sampled_from(["s1", "s2", None]),
+)
+
+
+@SETTINGS
+@given(rows=st.lists(bronze_row, min_size=1, max_size=30))
+def test_silver_dedupe_keeps_lowest_tiebreak(spark, rows):
+    from clickfeat.operators import layers as L
+    from fixtures import BRONZE_SCHEMA
+
+    data = [(i, t, typ, p, c, None, None, "1.0", u, s)
+            for i, (t, typ, p, c, u, s) in enumerate(rows)]
+    bronze = spark.createDataFrame(data, BRONZE_SCHEMA)
+    got = sorted((str(r.event_time), r.event_type, r.category_id, r.user_session, r.product_id,
+                  r.user_id) for r in L.silver(L.bronze(bronze, carry=["event_id"])).collect())
+    kept = {}
+    for i, t, typ, p, c, _, _, _, u, s in data:
+        if typ is None or s is None:
+            continue  # dropped: required column missing
+        key = (t, typ, c, s)
+        if key not in kept or i < kept[key][0]:
+            kept[key] = (i, p, u)
+    want = sorted((t, typ, c, s, p, u) for (t, typ, c, s), (_, p, u) in kept.items())
+    assert got == want
