@@ -159,8 +159,12 @@ def test_silver_dedupe_keeps_lowest_tiebreak(spark, rows):
     data = [(i, t, typ, p, c, None, None, "1.0", u, s)
             for i, (t, typ, p, c, u, s) in enumerate(rows)]
     bronze = spark.createDataFrame(data, BRONZE_SCHEMA)
-    got = sorted((str(r.event_time), r.event_type, r.category_id, r.user_session, r.product_id,
-                  r.user_id) for r in L.silver(L.bronze(bronze, carry=["event_id"])).collect())
+    def order(t):
+        return tuple((v is None, str(v)) for v in t)
+
+    got = sorted(((str(r.event_time), r.event_type, r.category_id, r.user_session, r.product_id,
+                   r.user_id) for r in L.silver(L.bronze(bronze, carry=["event_id"])).collect()),
+                 key=order)
     kept = {}
     for i, t, typ, p, c, _, _, _, u, s in data:
         if typ is None or s is None:
@@ -168,5 +172,5 @@ def test_silver_dedupe_keeps_lowest_tiebreak(spark, rows):
         key = (t, typ, c, s)
         if key not in kept or i < kept[key][0]:
             kept[key] = (i, p, u)
-    want = sorted((t, typ, c, s, p, u) for (t, typ, c, s), (_, p, u) in kept.items())
+    want = sorted(((t, typ, c, s, p, u) for (t, typ, c, s), (_, p, u) in kept.items()), key=order)
     assert got == want
