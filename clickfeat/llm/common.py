@@ -2,32 +2,28 @@
 
 from __future__ import annotations
 
-import re
-
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickfeat.session import fresh_dir, prepare
 
-# A word is a maximal run of anything but these six ASCII white-space characters.
-SPACES = "\t\n\x0b\x0c\r "
-WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+# A word is a maximal run of anything but the six ASCII white-space characters.
+# On bytes, lower() changes A-Z only and split() cuts at exactly those six.
 WORDS_SQL = r"[^\\x20\\x09-\\x0D]+"
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
-
 # Rows an Arrow batch may hold: documents can be long, so batches stay short.
 BATCH_ROWS = "1000"
 
 
-def lower_ascii(text: str) -> str:
-    """Lower-case A-Z only; every other character stays as it is."""
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+def words(text: bytes | None) -> list[bytes]:
+    """The lower-cased words of a UTF-8 text; none for NULL."""
+    return text.lower().split() if text else []
 
 
-def words(text: str | None) -> list[str]:
-    """The lower-cased words of a text; none for NULL."""
-    return WORDS.findall(lower_ascii(text)) if text else []
+def raw(column: pa.Array) -> list[bytes | None]:
+    """The UTF-8 bytes of a string column, without decoding them."""
+    return column.cast(pa.binary()).to_pylist()
 
 
 def ready(spark: SparkSession) -> SparkSession:

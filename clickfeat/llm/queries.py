@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickfeat.llm import pieces, secrets, topk
+from clickfeat.llm import lattice, pieces, secrets, topk
 from clickfeat.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -25,7 +29,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict[str, Query]:
-    return {q.__name__: q for q in (op6_topk, op9_pieces, op10_secrets)}
+    return {q.__name__: q for q in (op3_lattice, op6_topk, op9_pieces, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
