@@ -34,10 +34,10 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickfeat.llm.common import components, raw, stored
+from clickfeat.llm.common import components, grouped, raw, stored
 
 SHINGLE = 5
 # Similarity PART / WHOLE: links need WHOLE * overlap >= PART * union.
@@ -341,26 +341,6 @@ def tree_join(ids, sizes, points, other=None) -> Iterator[tuple[np.ndarray, np.n
                 yield ids[own][q], tree.ids[node]
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The rows of each key, from batches that are sorted by it."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        cols = np.stack([b.column(k).to_numpy() for k in keys])
-        cuts = [0, *(np.flatnonzero((np.diff(cols) != 0).any(0)) + 1).tolist(), b.num_rows]
-        for lo, hi in pairwise(cuts):
-            key = cols[:, lo].tobytes()
-            if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            last = key
-            held.append(b.slice(lo, hi - lo))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _lot(t: pa.Table):
     return (t.column("cid").to_numpy(), t.column("n").to_numpy(),
             [np.frombuffer(p, "<u2") for p in t.column("point").to_pylist()])
@@ -379,7 +359,7 @@ def _emitted(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch |
 def _block_pairs(blocks: DataFrame, points: DataFrame) -> DataFrame:
     """Candidate pairs of the short blocks, each through its tree."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _grouped(batches, ["key"]):
+        for t in grouped(batches, ["key"]):
             got = _emitted(tree_join(*_lot(t)))
             if got is not None:
                 yield got
@@ -452,7 +432,7 @@ def _common_links(rows: DataFrame, points: DataFrame, links: DataFrame) -> DataF
                .select("token", F.least("own", "far").alias("i"), F.greatest("own", "far").alias("j"), "own", "cid", "component")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _grouped(batches, ["token", "i", "j"]):
+        for t in grouped(batches, ["token", "i", "j"]):
             where = dict(zip(t.column("cid").to_pylist(), t.column("component").to_pylist(), strict=True))
             if len(set(where.values())) < 2:
                 continue

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickfeat.llm import jaccard, lattice, pieces, secrets, topk
+from clickfeat.llm import forest, jaccard, lattice, pieces, secrets, topk
 from clickfeat.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op3_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_report(table(spark, sf_dir, "documents"))
 
@@ -33,7 +37,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict[str, Query]:
-    return {q.__name__: q for q in (op3_lattice, op5_jaccard, op6_topk, op9_pieces, op10_secrets)}
+    return {q.__name__: q for q in (op3_lattice, op4_forest, op5_jaccard, op6_topk, op9_pieces, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
