@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickfeat.llm import forest, jaccard, lattice, pieces, secrets, topk
+from clickfeat.llm import forest, jaccard, lattice, pieces, secrets, topk, toxicity
 from clickfeat.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_report(table(spark, sf_dir, "documents"))
 
@@ -37,7 +41,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict[str, Query]:
-    return {q.__name__: q for q in (op3_lattice, op4_forest, op5_jaccard, op6_topk, op9_pieces, op10_secrets)}
+    return {q.__name__: q for q in (op3_lattice, op4_forest, op5_jaccard, op6_topk, op7_toxicity, op9_pieces, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
