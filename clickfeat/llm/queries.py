@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickfeat.llm import forest, jaccard, lattice, pieces, secrets, topk, toxicity
+from clickfeat.llm import forest, jaccard, lattice, pieces, secrets, topk, toxicity, wrappers
 from clickfeat.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_report(table(spark, sf_dir, "documents"))
 
@@ -41,7 +45,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict[str, Query]:
-    return {q.__name__: q for q in (op3_lattice, op4_forest, op5_jaccard, op6_topk, op7_toxicity, op9_pieces, op10_secrets)}
+    return {q.__name__: q for q in (op3_lattice, op4_forest, op5_jaccard, op6_topk, op7_toxicity, op8_html, op9_pieces, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
