@@ -69,6 +69,44 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
+def bounded_top(rows: DataFrame, count: str, most: int) -> DataFrame:
+    """The rows of largest ``count``, at most ``most``: all above a value found by histogram.
+
+    Only the histogram (64 powers of two, then 256 steps of one) reaches the
+    driver, so no task sends its own ``most`` rows.
+    """
+    power = F.floor(F.log2(F.col(count).cast("double"))).cast("int")
+    powers = sorted(rows.filter(F.col(count) > 0).groupBy(power.alias("p")).count().collect(), reverse=True)
+    total, above = 0, None
+    for r in powers:
+        if total + r["count"] > most:
+            above = r["p"]
+            break
+        total += r["count"]
+    if above is None:
+        return rows.filter(F.col(count) > 0)
+    low = 2 ** above
+    step = F.floor((F.col(count) - low) * 256 / low)
+    least = 2 * low
+    for r in sorted(rows.filter(F.col(count).between(low, 2 * low - 1)).groupBy(step.alias("s")).count().collect(), reverse=True):
+        if total + r["count"] > most:
+            break
+        total += r["count"]
+        least = low + -(-r["s"] * low // 256)
+    return rows.filter(F.col(count) >= least)
+
+
+def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows, chosen by the hash of ``key`` (all, if fewer).
+
+    Hashes above the wanted share are filtered out first, so that each task
+    sends its share of the sample only.
+    """
+    share = min(1.0, 1.3 * most / max(1, rows.count()))
+    h = F.pmod(F.xxhash64(key), F.lit(1 << 30))
+    return rows.filter(h < share * (1 << 30)).orderBy(h, key).limit(most)
+
+
 def crc_mod(column: str, mod: int):
     """crc32 of a column's text, modulo ``mod`` (NULL: of the empty text)."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % mod

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickfeat.llm.common import components, grouped, stored
+from clickfeat.llm.common import bounded_sample, components, grouped, stored
 
 COSINE = 0.9
 TREES = 16
@@ -107,7 +107,7 @@ def _lists(row: np.ndarray, code: np.ndarray, n: int) -> pa.Array:
 def _planted(vectors: DataFrame, n: int) -> DataFrame:
     """``cid, w, v, ball, cells``: every vector's first leaves in all trees, and its ball."""
     depth = _depth(n)
-    sample = _unit(pa.array(vectors.orderBy(F.xxhash64("cid")).limit(SAMPLE).toPandas()["v"].tolist(),
+    sample = _unit(pa.array(bounded_sample(vectors, "cid", SAMPLE).toPandas()["v"].tolist(),
                             pa.list_(pa.float64())))
     bands = [fit_splits(t, depth, sample) for t in range(TREES)]
     shipped = vectors.sparkSession.sparkContext.broadcast((bands, _centres(sample)))

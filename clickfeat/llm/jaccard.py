@@ -37,7 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickfeat.llm.common import components, grouped, raw, stored
+from clickfeat.llm.common import bounded_top, components, grouped, raw, stored
+from clickfeat.llm.hashing import BASE, MULTIPLIERS, U, Words, lots, mixed, run_hashes
 
 SHINGLE = 5
 # Similarity PART / WHOLE: links need WHOLE * overlap >= PART * union.
@@ -47,68 +48,24 @@ FREQUENT_KEPT = 50_000  # frequent shingles put last, at most (the commonest)
 FANOUT = 16            # children of an R-tree node
 SLICE = 1024           # points of a frequent block searched together
 ROUNDS = 3             # rounds of leaders before the search across components
-BYTES_AT_ONCE = 1 << 22
-
-U = np.uint64
-_BASE, _MULT = U(0x9E3779B97F4A7C15), [U(x) for x in (
-    0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> U(33))) * U(0xFF51AFD7ED558CCD)
-    h = (h ^ (h >> U(33))) * U(0xC4CEB9FE1A85EC53)
-    return h ^ (h >> U(33))
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2**64."""
-    inverse = U(pow(int(_BASE), -1, 1 << 64))
-    one = np.ones(1, np.uint64)
-    return (np.concatenate([one, np.cumprod(np.full(n - 1, _BASE))]),
-            np.concatenate([one, np.cumprod(np.full(n - 1, inverse))]))
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text (A-Z lower-cased)."""
-    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8).copy()
-    data[(data - 65) < 26] += 32
-    space = (data == 32) | ((data >= 9) & (data <= 13))
-    edge = np.diff(np.concatenate([[True], space]).astype(np.int8))
-    start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    up, down = _powers(len(data))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + U(1)) * up)])
-    word = _mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * _MULT[4])
-    sizes = np.array([len(t) for t in texts])
-    ends = np.cumsum(sizes + 1)
-    cuts = np.searchsorted(start, np.concatenate([[0], ends]))
-    grams = np.zeros(0, np.uint64)
+    found = Words(texts)
+    word, grams = found.hash, np.zeros(0, np.uint64)
     if len(word) >= SHINGLE:
         last = len(word) - SHINGLE + 1
-        grams = _mixed(sum((word[j:last + j] * _MULT[j] for j in range(1, SHINGLE)), word[:last] * _MULT[0]))
+        grams = mixed(sum(word[j:last + j] * MULTIPLIERS[j] for j in range(SHINGLE)))
     out = []
-    for lo, hi in pairwise(cuts.tolist()):
+    for lo, hi in pairwise(found.cuts.tolist()):
         if hi - lo >= SHINGLE:
             out.append(np.unique(grams[lo:hi - SHINGLE + 1]))
-        elif hi > lo:
-            short = sum((word[lo + j:lo + j + 1] * _MULT[j] for j in range(hi - lo)), np.array([hi - lo], np.uint64) * _BASE)
-            out.append(_mixed(short))
         else:
-            out.append(np.zeros(0, np.uint64))
+            out.append(run_hashes(word, np.array([lo]), np.array([hi])) if hi > lo else np.zeros(0, np.uint64))
     return out
 
 
-def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
-    held, size = [], 0
-    for t in texts:
-        held.append(t)
-        size += len(t)
-        if size >= BYTES_AT_ONCE:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
 def prefix_size(n: int) -> int:
     """How many first shingles of a set must meet those of any similar set."""
     return n - -(-PART * n // WHOLE) + 1
@@ -153,12 +110,12 @@ def document_sets(docs: DataFrame) -> DataFrame:
             doc_type = b.schema.field("doc_id").type
             sizes, s1, s2, packed, points = [], [], [], [], []
             heads = []
-            for part in _chunks([t or b"" for t in raw(b.column("text"))]):
+            for part in lots([t or b"" for t in raw(b.column("text"))]):
                 for h in shingle_sets(part):
                     n = len(h)
                     sizes.append(n)
                     s1.append(int(h.sum(dtype=np.uint64).view(np.int64)))
-                    s2.append(int(_mixed(h ^ _BASE).sum(dtype=np.uint64).view(np.int64)))
+                    s2.append(int(mixed(h ^ BASE).sum(dtype=np.uint64).view(np.int64)))
                     t = h >> U(16)
                     packed.append(_packed(t))
                     m = groups_of(n)
@@ -191,7 +148,7 @@ def _frequent(sets: DataFrame) -> np.ndarray:
     """The commonest frequent shingles, sorted (at most FREQUENT_KEPT)."""
     pairs = sets.filter("rid IS NULL").select(F.posexplode("frequent").alias("i", "x"), "frequent")
     counts = pairs.filter("i % 2 = 0").select(F.col("x").alias("token"), F.element_at("frequent", F.col("i") + 2).alias("c"))
-    top = counts.groupBy("token").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "token").limit(FREQUENT_KEPT)
+    top = bounded_top(counts.groupBy("token").agg(F.sum("c").alias("c")), "c", FREQUENT_KEPT)
     return np.sort(np.array([r["token"] for r in top.select("token").collect()], np.uint64))
 
 

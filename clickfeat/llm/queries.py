@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickfeat.llm import forest, jaccard, lattice, pieces, secrets, topk, toxicity, wrappers
+from clickfeat.llm import forest, jaccard, lattice, pieces, secrets, spans, topk, toxicity, wrappers
 from clickfeat.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.span_report(table(spark, sf_dir, "documents"))
+
+
 def op3_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score_documents(table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict[str, Query]:
-    return {q.__name__: q for q in (op3_lattice, op4_forest, op5_jaccard, op6_topk, op7_toxicity, op8_html, op9_pieces, op10_secrets)}
+    return {q.__name__: q for q in (op1_spans, op3_lattice, op4_forest, op5_jaccard, op6_topk, op7_toxicity, op8_html, op9_pieces, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickfeat.llm.common import crc_mod, raw, stored
+from clickfeat.llm.common import bounded_sample, crc_mod, raw, stored
 
 SAMPLE = 20_000        # labelled rows the voters and the classifier are fitted on
 CANDIDATES = 2000      # candidates compared on the sample, at most
@@ -94,7 +94,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn) -> DataFrame:
     """``text, toxic`` of at most SAMPLE labelled rows for which ``learn`` holds."""
     marked = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL") \
                    .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter(learn)
-    marked = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    marked = bounded_sample(marked, "doc_id", SAMPLE)
     return stored(docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").select("text", "toxic"), "toxic-sample")
 
 
