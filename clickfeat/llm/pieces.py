@@ -2,9 +2,9 @@
 
 A text becomes piece ids by the unigram rule: of all segmentations into
 vocabulary pieces the one of highest summed score. An Aho-Corasick automaton
-over the pieces drives a single pass: at each position it yields the pieces
-ending there, longest first along its output links, and each relaxes the best
-score of that position. White space is the piece mark U+2581, one mark is put
+over the pieces drives a single pass: at each position its output links yield
+the pieces ending there, and each relaxes the best score of that position (the
+words of a batch side by side). White space is the piece mark U+2581, one mark is put
 before the text, and a character no piece holds falls back to its UTF-8 bytes.
 The model file is the caller's (never trained here); its scores are used as
 they are. Equal scores keep the longer last piece.
@@ -22,16 +22,20 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 from typing import NamedTuple
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-KEPT_WORDS, KEPT_LENGTH = 200_000, 48   # a task's memory of words
+KEPT_WORDS, KEPT_LENGTH = 300_000, 48   # a task's memory of words
+AT_ONCE = 1 << 21                       # characters or ids handled together
 MAX_VOCABULARY = 1_000_000              # pieces shipped to tasks, at most
 
 
@@ -56,122 +60,198 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
     return Vocabulary([m.id_to_piece(i) for i in range(n)], [m.get_score(i) for i in range(n)], kinds)
 
 
-class Pieces:
-    """Encoder and decoder over one vocabulary."""
+class Edges:
+    """The lattice edges of a batch of marked words, by one automaton pass.
+
+    The words are laid end to end with one separator each, so that character
+    positions serve as lattice nodes. After ``load``: ``start``, ``end`` nodes
+    and ``row`` of every edge, where rows from ``size`` on are characters
+    without a piece of their own (``spelled`` has their byte pieces);
+    ``from_at`` and ``to_at`` are the nodes' places in their word ``word``;
+    ``first`` and ``last`` are the end nodes of each word.
+    """
 
     def __init__(self, v: Vocabulary):
-        self.pieces = v.pieces
         normal = [i for i, k in enumerate(v.kinds) if k == "p"]
         if any(MARK in v.pieces[i].lstrip(MARK) or "\n" in v.pieces[i] for i in normal):
             raise ValueError("a piece continues past a word mark")
+        self.size = len(v.pieces)
         self.auto = ahocorasick.Automaton()
         for i in normal:
-            self.auto.add_word(v.pieces[i], (len(v.pieces[i]), v.scores[i], i))
+            self.auto.add_word(v.pieces[i], (i << 16) | len(v.pieces[i]))
         self.auto.make_automaton()
-        self.unknown = min(v.scores[i] for i in normal) - 10.0
-        self.bytes = {int(v.pieces[i][3:5], 16): i for i, k in enumerate(v.kinds) if k == "b"}
-        if len(self.bytes) != 256:
+        self.bytes = np.full(256, -1, np.int64)
+        for i, k in enumerate(v.kinds):
+            if k == "b":
+                self.bytes[int(v.pieces[i][3:5], 16)] = i
+        if (self.bytes < 0).any():
             raise ValueError("the vocabulary lacks byte pieces")
-        self.byte_of = {i: b for b, i in self.bytes.items()}
+
+    def spell(self, char: str) -> np.ndarray:
+        return self.bytes[list(char.encode("utf-8", "surrogatepass"))]
+
+    def load(self, marked: list[str]) -> None:
+        joined = "\n".join(marked)
+        sizes = np.array([len(m) for m in marked], np.int64)
+        self.first = np.cumsum(sizes + 1) - sizes - 1
+        self.last = self.first + sizes
+        at = np.fromiter(((e << 40) | x for e, x in self.auto.iter(joined)), np.int64)
+        end, row, size = (at >> 40) + 1, (at >> 16) & 0xFFFFFF, at & 0xFFFF
+        # Characters that no single-character piece holds: one edge of byte pieces each.
+        lone = np.ones(len(joined), bool)
+        lone[end[size == 1] - 1] = False
+        lone[self.last[:-1]] = False
+        lone = np.flatnonzero(lone)
+        self.spelled = [self.spell(joined[p]) for p in lone.tolist()]
+        self.start = np.concatenate([end - size, lone])
+        self.end = np.concatenate([end, lone + 1])
+        self.row = np.concatenate([row, self.size + np.arange(len(lone))])
+        home = np.repeat(self.first, sizes + 1)
+        self.from_at, self.to_at = self.start - home[self.start], self.end - home[self.start]
+        self.word = np.repeat(np.arange(len(marked)), sizes + 1)[self.start]
+        self.nodes = len(joined) + 1
+
+
+class Pieces:
+    """Encoder and decoder over one vocabulary."""
+
+    def __init__(self, v: Vocabulary):
+        self.edges = Edges(v)
+        normal = [i for i, k in enumerate(v.kinds) if k == "p"]
+        self.scores = np.array(v.scores)
+        self.unknown = min(v.scores[i] for i in normal) - 10.0
         self.chunks = re.compile(f" *[^ \n{MARK}]+| +|\n|{MARK}")
-        self.kept: dict[str, list[int]] = {}
-
-    def fallback(self, char: str) -> list[int]:
-        return [self.bytes[b] for b in char.encode("utf-8", "surrogatepass")]
-
-    def viterbi(self, s: str) -> list[int]:
-        """Ids of the best segmentation of one chunk (spaces already marks)."""
-        n = len(s)
-        worst = float("-inf")
-        best, last = [worst] * (n + 1), [None] * (n + 1)
-        best[0], done = 0.0, 0
-        for end, (size, score, i) in self.auto.iter(s):
-            end += 1
-            while done < end - 1:       # positions where no piece ended: one unknown character
-                done += 1
-                if best[done] == worst:
-                    best[done] = best[done - 1] + self.unknown
-            if best[end - 1] == worst:
-                best[end - 1] = best[end - 2] + self.unknown
-            at = best[end - size] + score
-            if at > best[end]:
-                best[end], last[end] = at, (size, i)
-            done = max(done, end - 1)
-            # An unknown last character is a choice only where no single-character piece ends.
-        for p in range(1, n + 1):
-            if best[p] == worst:
-                best[p] = best[p - 1] + self.unknown
-        out: list[int] = []
-        p = n
-        while p:
-            if last[p] is None:
-                out += reversed(self.fallback(s[p - 1]))
-                p -= 1
-            else:
-                out.append(last[p][1])
-                p -= last[p][0]
-        return out[::-1]
-
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        if not text:
-            return out
+        self.kept = {c: self.edges.spell(c).astype("<i4").tobytes() for c in ("\n", MARK)}
+        # Decoding: the bytes of each piece, end to end.
+        spelled = [bytes([int(p[3:5], 16)]) if k == "b" else p.replace(MARK, " ").encode() if k == "p" else b""
+                   for p, k in zip(v.pieces, v.kinds, strict=True)]
+        self.size = np.array([len(x) for x in spelled], np.int64)
+        self.place = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(spelled), np.uint8)
+
+    def viterbi(self, marked: list[str]) -> list[bytes]:
+        """The best segmentation of each marked word, as little-endian 32-bit ids."""
+        g = self.edges
+        g.load(marked)
+        rows = np.concatenate([self.scores, np.full(len(g.spelled), self.unknown)])
+        best, back = np.full(g.nodes, -np.inf), np.full(g.nodes, -1)
+        best[g.first] = 0.0
+        order = np.lexsort((g.start, g.end, g.to_at))   # of equal scores the longer piece comes first
+        start, end, score, pos = g.start[order], g.end[order], rows[g.row[order]], g.to_at[order]
+        cuts = [0, *(np.flatnonzero(np.diff(pos)) + 1).tolist(), len(order)]
+        for lo, hi in pairwise(cuts):
+            terms = best[start[lo:hi]] + score[lo:hi]
+            heads = np.flatnonzero(np.concatenate([[True], np.diff(end[lo:hi]) != 0]))
+            top = np.maximum.reduceat(terms, heads)
+            first = np.where(terms == np.repeat(top, np.diff(np.append(heads, hi - lo))), np.arange(lo, hi), len(order))
+            at = end[lo:hi][heads]
+            best[at], back[at] = top, np.minimum.reduceat(first, heads)
+        # All words walk back together; rounds end with the longest.
+        node, live, steps = g.last.copy(), np.flatnonzero(g.last > g.first), []
+        while len(live):
+            edge = back[node[live]]
+            steps.append((live, g.row[order[edge]]))
+            node[live] = start[edge]
+            live = live[node[live] > g.first[live]]
+        if not steps:
+            return [b""] * len(marked)
+        word, row = (np.concatenate(x) for x in zip(*steps, strict=True))
+        back_to_front = np.concatenate([np.full(len(w), -k) for k, (w, _) in enumerate(steps)])
+        order = np.lexsort((back_to_front, word))
+        word, row = word[order], row[order]
+        lone = row >= self.edges.size
+        if lone.any():
+            size = np.ones(len(row), np.int64)
+            size[lone] = [len(g.spelled[r - self.edges.size]) for r in row[lone].tolist()]
+            ids = np.repeat(row, size)
+            ids[np.repeat(lone, size)] = np.concatenate([g.spelled[r - self.edges.size] for r in row[lone].tolist()])
+            word, row = np.repeat(word, size), ids
+        data, ends = row.astype("<i4").tobytes(), np.searchsorted(word, np.arange(len(marked) + 1)) * 4
+        return [data[lo:hi] for lo, hi in pairwise(ends.tolist())]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; new words of all texts are segmented together."""
         kept = self.kept
-        for c in self.chunks.findall(" " + text):
-            ids = kept.get(c)
-            if ids is None:
-                ids = self.fallback(c) if c in ("\n", MARK) else self.viterbi(c.replace(" ", MARK))
-                if len(c) <= KEPT_LENGTH:
-                    if len(kept) >= KEPT_WORDS:
-                        kept.clear()
-                    kept[c] = ids
-            out += ids
+        if len(kept) > KEPT_WORDS:
+            kept = self.kept = {c: kept[c] for c in ("\n", MARK)}
+        cut = [self.chunks.findall(" " + t) if t else [] for t in texts]
+        new = [c for c in set().union(*cut) if c not in kept]
+        long = {c for c in new if len(c) > KEPT_LENGTH}
+        for at in range(0, len(new), 20_000):
+            part = new[at:at + 20_000]
+            kept.update(zip(part, self.viterbi([c.replace(" ", MARK) for c in part]), strict=True))
+        out = [b"".join([kept[c] for c in cs]) for cs in cut]
+        for c in long:
+            del kept[c]
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of piece ids; bytes that are not UTF-8 become U+FFFD."""
-        byte_of, pieces = self.byte_of, self.pieces
-        if not any(i in byte_of for i in ids):
-            return "".join([pieces[i] for i in ids]).replace(MARK, " ")[1:]
-        out, run = [], bytearray()
-        for i in ids:
-            b = byte_of.get(i)
-            if b is not None:
-                run.append(b)
-                continue
-            if run:
-                out.append(run.decode("utf-8", "replace"))
-                run.clear()
-            out.append(pieces[i].replace(MARK, " "))
-        out.append(run.decode("utf-8", "replace"))
-        return "".join(out)[1:]
-
-
-def _arrow(df: DataFrame, spark: SparkSession, v: Vocabulary, source: str, target: str, kind: str, how):
-    """``df`` with ``target`` computed from ``source`` by ``how(Pieces, value)``."""
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of piece ids, laid end to end; bytes that are not UTF-8 become U+FFFD."""
+        sizes = self.size[ids]
+        stop = np.cumsum(sizes)
+        data = self.flat[np.repeat(self.place[ids] - stop + sizes, sizes) + np.arange(stop[-1] if len(stop) else 0)]
+        cuts = np.concatenate([[0], stop])[ends].tolist()
+        data = data.tobytes()
+        return [data[lo + 1:hi].decode("utf-8", "replace") for lo, hi in pairwise(cuts)]
+
+
+def _lots(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``most`` in sum."""
+    lo = total = 0
+    for k, n in enumerate(sizes):
+        total += n
+        if total >= most:
+            yield lo, k + 1
+            lo, total = k + 1, 0
+    if lo < len(sizes):
+        yield lo, len(sizes)
+
+
+def _arrow(df: DataFrame, v: Vocabulary, source: str, target: str, kind: str, how):
+    """``df`` with ``target`` computed from column ``source`` by ``how(Pieces, column)``."""
     if target in df.columns:
         raise ValueError(f"{target} is already a column")
-    shipped = spark.sparkContext.broadcast(tuple(v))
-    arrow_type = pa.list_(pa.int32()) if kind == "array<int>" else pa.string()
+    shipped = df.sparkSession.sparkContext.broadcast(tuple(v))
     schema = df.withColumn(target, F.lit(None).cast(kind)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Pieces(Vocabulary(*shipped.value))
         for b in batches:
-            got = [None if x is None else how(p, x) for x in b.column(source).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, arrow_type)], [*b.schema.names, target])
+            yield pa.RecordBatch.from_arrays([*b.columns, how(p, b.column(source))], [*b.schema.names, target])
 
     return df.mapInArrow(run, schema)
 
 
+def _encode_column(p: Pieces, column: pa.Array) -> pa.Array:
+    texts = column.to_pylist()
+    data, ends = [], [0]
+    for lo, hi in _lots([len(t or "") for t in texts], AT_ONCE):
+        for ids in p.encode([t or "" for t in texts[lo:hi]]):
+            data.append(ids)
+            ends.append(ends[-1] + len(ids) // 4)
+    flat = pa.array(np.frombuffer(b"".join(data), "<i4"))
+    ends = [None if t is None else e for e, t in zip(ends, texts, strict=False)] + ends[-1:]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+
+
+def _decode_column(p: Pieces, column: pa.Array) -> pa.Array:
+    lengths = [n or 0 for n in pc.list_value_length(column).to_pylist()]
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    out = []
+    for lo, hi in _lots(lengths, AT_ONCE):
+        out += p.decode(flat[ends[lo]:ends[hi]], ends[lo:hi + 1] - ends[lo])
+    return pa.array(out, pa.string(), mask=column.is_null().to_numpy(zero_copy_only=False))
+
+
 def encoded(df: DataFrame, text: str = "text", ids: str = "ids", vocabulary: str = MODEL) -> DataFrame:
     """``df`` with the piece ids of its texts."""
-    return _arrow(df, df.sparkSession, load_vocabulary(vocabulary), text, ids, "array<int>", Pieces.encode)
+    return _arrow(df, load_vocabulary(vocabulary), text, ids, "array<int>", _encode_column)
 
 
 def decoded(df: DataFrame, ids: str = "ids", text: str = "decoded", vocabulary: str = MODEL) -> DataFrame:
     """``df`` with the texts of its piece ids."""
-    return _arrow(df, df.sparkSession, load_vocabulary(vocabulary), ids, text, "string", Pieces.decode)
+    return _arrow(df, load_vocabulary(vocabulary), ids, text, "string", _decode_column)
 
 
 def piece_report(docs: DataFrame, vocabulary: str = MODEL) -> DataFrame:
