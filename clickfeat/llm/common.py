@@ -14,7 +14,7 @@ from clickfeat.session import fresh_dir, prepare
 
 # A word is a maximal run of anything but the six ASCII white-space characters.
 # On bytes, lower() changes A-Z only and split() cuts at exactly those six.
-WORDS_SQL = r"[^\\x20\\x09-\\x0D]+"
+WORDS_SQL = r"[^\x20\x09-\x0D]+"
 
 # Rows an Arrow batch may hold: documents can be long, so batches stay short.
 BATCH_ROWS = "1000"

@@ -446,3 +446,18 @@ def similar_documents(docs: DataFrame) -> DataFrame:
 
 def similarity_report(docs: DataFrame) -> DataFrame:
     return similar_documents(docs).drop("text_key")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (any columns) less all but one of each component.
+
+    Rows are told apart by doc_id and text; of equal rows the first stays.
+    """
+    rows = similar_documents(docs).groupBy("doc_id", "text_key").agg(
+        F.max("kept").alias("kept"), ((F.count("*") > 1) & (F.max("n_shingles") > 0)).alias("again"))
+    kept = stored(rows.filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"), "again"), "kept")
+    marked = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_key")))
+    if kept.filter("again").isEmpty():
+        return marked.select(*docs.columns)
+    once = marked.filter("NOT again").select(*docs.columns)
+    return once.union(marked.filter("again").dropDuplicates(["kept_id", "kept_key"]).select(*docs.columns))

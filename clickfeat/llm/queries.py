@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickfeat.llm import forest, jaccard, lattice, pieces, secrets, spans, topk, toxicity, wrappers
+from clickfeat.llm import forest, jaccard, lattice, mixing, pieces, secrets, spans, topk, toxicity, wrappers
 from clickfeat.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.span_report(table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture_report(table(spark, sf_dir, "documents"))
+
+
 def op3_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score_documents(table(spark, sf_dir, "documents"))
 
@@ -49,11 +53,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_spans, op3_lattice, op4_forest, op5_jaccard, op6_topk, op7_toxicity, op8_html, op9_pieces, op10_secrets)}
+    return {q.__name__: q for q in (op1_spans, op2_mixing, op3_lattice, op4_forest, op5_jaccard, op6_topk, op7_toxicity, op8_html, op9_pieces, op10_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_topk": TOPK_SQL}
+    return {"op2_mixing": MIXING_SQL, "op6_topk": TOPK_SQL}
 
 
 TOPK_SQL = """
@@ -70,3 +74,76 @@ r AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+# The budget's path down the tree, one level after another, then each leaf's prefix.
+MIXING_SQL = """
+WITH t AS (
+  SELECT doc_id,
+         CASE TRY_CAST(nullif(regexp_extract(coalesce(source, ''), '^src([0-9]{1,6})$', 1), '') AS INTEGER) // 5
+              WHEN 0 THEN 'web' WHEN 1 THEN 'news' WHEN 2 THEN 'books' WHEN 3 THEN 'forum' ELSE 'other' END AS domain,
+         coalesce(lang, 'unknown') AS lang, coalesce(source, 'unknown') AS source,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens
+  FROM documents),
+leaf AS (
+  SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens, CAST(sum(n_tokens) * 2 AS BIGINT) AS supply
+  FROM t GROUP BY ALL),
+root AS (
+  SELECT least(CAST(floor(CAST(sum(tokens) AS DOUBLE) * 0.8) AS BIGINT), CAST(sum(supply) AS BIGINT)) AS budget FROM leaf),
+d0 AS (
+  SELECT domain, CAST(sum(supply) AS BIGINT) AS supply,
+         CASE domain WHEN 'web' THEN 50 WHEN 'news' THEN 20 WHEN 'books' THEN 20 WHEN 'forum' THEN 10 ELSE 5 END AS w,
+         (SELECT budget FROM root) AS budget
+  FROM leaf GROUP BY domain),
+d1 AS (
+  SELECT *, budget - coalesce(sum(supply) OVER (ORDER BY supply / w, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lb,
+         sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY supply / w, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lw
+  FROM d0),
+d2 AS (
+  SELECT *, bool_and(CAST(supply AS DOUBLE) * lw <= CAST(w AS DOUBLE) * lb) OVER (ORDER BY supply / w, domain ROWS UNBOUNDED PRECEDING) AS f
+  FROM d1),
+d AS (
+  SELECT domain, CASE WHEN f THEN supply ELSE least(supply, CAST(floor(
+           CAST(budget - coalesce(sum(CASE WHEN f THEN supply END) OVER (), 0) AS DOUBLE) * w / sum(CASE WHEN NOT f THEN w END) OVER ()) AS BIGINT)) END AS budget
+  FROM d2),
+l0 AS (
+  SELECT domain, lang, CAST(sum(supply) AS BIGINT) AS supply,
+         CASE lang WHEN 'en' THEN 50 WHEN 'de' THEN 20 WHEN 'fr' THEN 20 WHEN 'es' THEN 10 ELSE 5 END AS w, any_value(d.budget) AS budget
+  FROM leaf JOIN d USING (domain) GROUP BY domain, lang),
+l1 AS (
+  SELECT *, budget - coalesce(sum(supply) OVER (PARTITION BY domain ORDER BY supply / w, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lb,
+         sum(w) OVER (PARTITION BY domain) - coalesce(sum(w) OVER (PARTITION BY domain ORDER BY supply / w, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lw
+  FROM l0),
+l2 AS (
+  SELECT *, bool_and(CAST(supply AS DOUBLE) * lw <= CAST(w AS DOUBLE) * lb) OVER (PARTITION BY domain ORDER BY supply / w, lang ROWS UNBOUNDED PRECEDING) AS f
+  FROM l1),
+l AS (
+  SELECT domain, lang, CASE WHEN f THEN supply ELSE least(supply, CAST(floor(
+           CAST(budget - coalesce(sum(CASE WHEN f THEN supply END) OVER (PARTITION BY domain), 0) AS DOUBLE) * w
+           / sum(CASE WHEN NOT f THEN w END) OVER (PARTITION BY domain)) AS BIGINT)) END AS budget
+  FROM l2),
+s0 AS (
+  SELECT domain, lang, source, tokens, supply, 1 AS w, l.budget FROM leaf JOIN l USING (domain, lang)),
+s1 AS (
+  SELECT *, budget - coalesce(sum(supply) OVER (PARTITION BY domain, lang ORDER BY supply / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lb,
+         sum(w) OVER (PARTITION BY domain, lang) - coalesce(sum(w) OVER (PARTITION BY domain, lang ORDER BY supply / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lw
+  FROM s0),
+s2 AS (
+  SELECT *, bool_and(CAST(supply AS DOUBLE) * lw <= CAST(w AS DOUBLE) * lb) OVER (PARTITION BY domain, lang ORDER BY supply / w, source ROWS UNBOUNDED PRECEDING) AS f
+  FROM s1),
+s AS (
+  SELECT domain, lang, source, tokens, CAST(CASE WHEN f THEN supply ELSE least(supply, CAST(floor(
+           CAST(budget - coalesce(sum(CASE WHEN f THEN supply END) OVER (PARTITION BY domain, lang), 0) AS DOUBLE) * w
+           / sum(CASE WHEN NOT f THEN w END) OVER (PARTITION BY domain, lang)) AS BIGINT)) END AS BIGINT) AS leaf_budget
+  FROM s2),
+e AS (
+  SELECT *, CASE WHEN tokens > 0 THEN CAST(leaf_budget // tokens AS INTEGER) ELSE 0 END AS whole FROM s),
+p AS (
+  SELECT t.*, e.leaf_budget, e.whole, e.leaf_budget - e.whole * e.tokens AS rest,
+         md5(concat_ws(':', 'mix-1', CAST(e.whole + 1 AS VARCHAR), coalesce(CAST(doc_id AS VARCHAR), ''))) AS place
+  FROM t JOIN e USING (domain, lang, source)),
+u AS (
+  SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place) AS upto FROM p),
+x AS (
+  SELECT *, unnest(range(1, 1 + whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)) AS epoch FROM u)
+SELECT doc_id, CAST(epoch AS INTEGER) AS epoch, domain, lang, source, n_tokens, leaf_budget FROM x
+"""
