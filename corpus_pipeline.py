@@ -4,19 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickfeat.llm import secrets
-from clickfeat.llm.common import stored, table
+from clickfeat.llm import jaccard, mixing, pieces, secrets, toxicity
+from clickfeat.llm.common import ready, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+# The mixture's budget. Copies have just been removed, so no document is used twice.
+MIX_SHARE, MIX_EPOCHS = 0.9, 1
 
-def drop_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with every secret masked."""
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity scorer does not reject."""
+    ready(spark)
+    return toxicity.clean_documents(docs.select(COLUMNS), table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    ready(spark)
+    return jaccard.one_of_each(docs.select(COLUMNS))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets masked."""
+    ready(spark)
     return secrets.redact(docs.select(COLUMNS))
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the target mixture takes."""
+    ready(spark)
+    return mixing.mixed(docs.select(COLUMNS), MIX_SHARE, MIX_EPOCHS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    ready(spark)
+    return pieces.piece_report(docs)
+
+
 STAGES = [
-    ("secret scans", drop_secrets),
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("secret scans", mask_secrets),
+    ("mixing sources to target weights", mix_sources),
+    ("SentencePiece encoding and decoding", encode),
 ]
 
 # The stages fit models and run automata, which SQL cannot state.
@@ -27,5 +59,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``, each one's rows written and reread."""
     docs = table(spark, sf_dir, "documents").select(COLUMNS)
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = stored(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
     return docs
