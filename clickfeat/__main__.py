@@ -1,7 +1,7 @@
 """Command line for the two daily tasks (and scoring).
 
-    python -m clickfeat pipeline --raw <csv drops> --lake <root> [--before 2021-02-01]
-    python -m clickfeat train --registry <root> [--name clickstream_predictor]
+    python -m clickfeat pipeline --raw <csv drops> --lake <root> [--before <time>]
+    python -m clickfeat train --registry <root> [--name purchase_intent]
     python -m clickfeat score --registry <root> --out <path>
     python -m clickfeat daily --raw ... --lake ... --registry ...   # pipeline, then train
 
@@ -20,10 +20,10 @@ from pyspark.sql import SparkSession
 
 from clickfeat.operators.running import Slicing
 from clickfeat.plans import model as ML
-from clickfeat.plans.pipeline import REFERENCE_CUTOFF, Lake, run_pipeline
+from clickfeat.plans.pipeline import Lake, run_pipeline
 from clickfeat.session import prepare
 
-MODEL_NAME = "clickstream_predictor"
+MODEL_NAME = "purchase_intent"
 
 
 def _cutoff(text: str | None) -> dt.datetime | None:
@@ -40,9 +40,9 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--raw", required=True, help="folder (or glob) of headed CSV drops")
         p.add_argument("--lake", required=True, help="root folder of the layered tables")
         p.add_argument("--checkpoint", help="stream checkpoint (default <lake>/_checkpoint)")
-        p.add_argument("--before", default=REFERENCE_CUTOFF.isoformat(),
-                       help="keep events before this time ('none' for all)")
-        p.add_argument("--ties", default="multiply", choices=["multiply", "collapse"])
+        p.add_argument("--before", help="keep only events before this time")
+        p.add_argument("--ties", default="weight", choices=["weight", "multiply", "collapse"])
+        p.add_argument("--max-files-per-trigger", type=int)
         p.add_argument("--slice-unit", default="day")
         p.add_argument("--hot-rows", type=int, default=2_000_000)
     for cmd in ("train", "daily"):
@@ -53,7 +53,7 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--name", default=MODEL_NAME)
         p.add_argument("--max-evals", type=int, default=ML.MAX_EVALS)
         p.add_argument("--parallelism", type=int, default=ML.PARALLELISM)
-        p.add_argument("--max-iter", type=int, default=20)
+        p.add_argument("--max-iter", type=int, default=ML.MAX_ITER)
         p.add_argument("--seed", type=int, default=0)
     p = sub.add_parser("score")
     p.add_argument("--lake", required=True)
@@ -67,7 +67,8 @@ def main(argv: list[str] | None = None) -> None:
         written = run_pipeline(
             spark, args.lake, raw_path=args.raw, checkpoint=args.checkpoint,
             before=_cutoff(args.before), tiebreak=(), ties=args.ties,
-            slicing=Slicing(unit=args.slice_unit, hot_rows=args.hot_rows))
+            slicing=Slicing(unit=args.slice_unit, hot_rows=args.hot_rows),
+            max_files_per_trigger=args.max_files_per_trigger)
         print(json.dumps({"tables": written}))
     features_path = Lake(args.lake.rstrip("/")).path("silver", "features_and_labels")
     if args.cmd in ("train", "daily"):

@@ -14,14 +14,15 @@ repeat for events tied on time, so an event is emitted ``n_s x n_ps`` times
 (n_s events share its user, session and instant; n_ps also its product).
 Here those counts are window counts carried as ``_copies``, and the copies
 are made by one ``explode`` at the very end (``ties="multiply"``, the
-reference's rows), after every shuffle. ``ties="collapse"``: one row per event.
+reference's rows). ``ties="weight"``: one row per event, ``_copies`` kept as its
+weight for fits, scores and splits. ``ties="collapse"``: one row per event.
 A NULL user matches no per-session row in the reference's joins: its
 session features are NULL and it is not multiplied.
 """
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,17 +83,15 @@ def feature_base(silver: DataFrame) -> DataFrame:
                             "date_trunc('day', event_time) AS batch_time"])
 
 
-def attach(base: DataFrame, metrics_df: DataFrame, table: str,
-           broadcast: bool = False) -> DataFrame:
+def attach(base: DataFrame, metrics_df: DataFrame, table: str) -> DataFrame:
     """Left join one metric set by its keys (plain equality, so a
     NULL user matches nothing). ``metrics_df`` has one row per key.
 
-    ``broadcast`` ships the metric side to every task; pass it only for a
-    side whose size was measured (see ``clickfeat.plans.joins``).
+    The planner picks the join from measured sizes (AQE).
     """
     keys = list(M.METRIC_TABLES[table])
     side = prefixed(metrics_df, table, keys)
-    return base.join(F.broadcast(side) if broadcast else side, on=keys, how="left")
+    return base.join(side, on=keys, how="left")
 
 
 def with_session_features(base: DataFrame, levels: Mapping[str, Sequence[str]],
@@ -105,29 +104,47 @@ def with_session_features(base: DataFrame, levels: Mapping[str, Sequence[str]],
     """
     outcome = "product_session_metrics" if label else None
     r = with_running(base, levels, slicing=slicing, outcome_level=outcome)
+    return session_features(r, levels, base.columns, label)
+
+
+def running_events(silver: DataFrame, slicing: Slicing = SLICING) -> DataFrame:
+    """Every event with both session levels' running metrics, tie counts and
+    label: computed once, projected to the metric tables and the features."""
+    return with_running(feature_base(silver), SESSION_LEVELS, slicing=slicing,
+                        outcome_level="product_session_metrics")
+
+
+def session_features(running: DataFrame, levels: Mapping[str, Sequence[str]],
+                     base_columns: Sequence[str], label: bool) -> DataFrame:
+    """The columns of ``with_session_features`` from events that have the metrics."""
     matched = "user_id IS NOT NULL"
     copies = " * ".join(q(f"{TIES}__{n}") for n in levels)
-    out = [*cols(base.columns)]
+    out = [*cols(base_columns)]
     out += [as_(f"CASE WHEN {matched} THEN {q(c)} END", c)
             for n in levels for c in level_columns(n)]
     out.append(as_(f"CASE WHEN {matched} THEN {copies} ELSE 1 END", COPIES))
     if label:
         out.append(as_(f"CASE WHEN {matched} THEN {LABEL} END", LABEL))
-    return project(r, out)
+    return project(running, out)
 
 
 def expand(df: DataFrame, ties: str = "multiply") -> DataFrame:
-    """Emit each row ``_copies`` times (multiply) or once (collapse)."""
+    """Emit each row ``_copies`` times (multiply), once (collapse), or once
+    with ``_copies`` as its weight (weight)."""
+    if ties == "weight":
+        return df
     if ties == "collapse":
         return df.drop(COPIES)
     if ties != "multiply":
-        raise ValueError(f"ties must be 'multiply' or 'collapse', not {ties!r}")
+        raise ValueError(f"ties must be 'multiply', 'weight' or 'collapse', not {ties!r}")
     # Two levels (chunks of at most EXPAND_CHUNK copies, then the copies of a
     # chunk) so no generated array grows with the tie-group size squared.
+    # Between them the chunks are dealt out evenly, so that no task has to
+    # write all copies of a large group. ``weight`` avoids the copies.
     rest = [c for c in df.columns if c != COPIES]
     n, b = q(COPIES), EXPAND_CHUNK
     chunks = df.selectExpr(*cols(rest), n,
-                           f"explode(sequence(0, CAST(({n} - 1) DIV {b} AS INT))) AS _chunk")
+                           f"explode(sequence(0, CAST(({n} - 1) DIV {b} AS INT))) AS _chunk").hint("rebalance")
     return chunks.selectExpr(
         *cols(rest), f"explode(array_repeat(0, CAST(least({b}, {n} - _chunk * {b}) AS INT))) AS _rep"
     ).drop("_rep")
@@ -136,17 +153,17 @@ def expand(df: DataFrame, ties: str = "multiply") -> DataFrame:
 def raw_features_unexpanded(silver: DataFrame,
                             daily: Mapping[str, DataFrame] | None = None,
                             slicing: Slicing = SLICING,
-                            broadcast: Collection[str] = (),
-                            label: bool = False) -> DataFrame:
+                            label: bool = False, running: DataFrame | None = None) -> DataFrame:
     """O27/O73 before the tie fan-out: one row per event, plus ``_copies``.
 
     ``daily`` may supply the day-level sets (e.g. read back from gold
-    tables); ``broadcast`` names those measured small enough to broadcast.
+    tables), ``running`` the events with their running metrics (``running_events``).
     """
     daily = daily if daily is not None else daily_frames(silver)
     base = feature_base(silver)
-    events = with_session_features(base, SESSION_LEVELS, slicing, label)
-    keyed = day_features(base, daily, broadcast)
+    events = session_features(running, SESSION_LEVELS, base.columns, label) if running is not None \
+        else with_session_features(base, SESSION_LEVELS, slicing, label)
+    keyed = day_features(base, daily)
     # One exchange of the (wide) event rows for all three day-level sets: the
     # join on (user, product, day) -- null-safe on the user, so an event of a
     # NULL user still finds its product's features -- is 1:1.
@@ -160,8 +177,7 @@ def raw_features_unexpanded(silver: DataFrame,
     return joined.selectExpr(*out)
 
 
-def day_features(events: DataFrame, daily: Mapping[str, DataFrame],
-                 broadcast: Collection[str] = ()) -> DataFrame:
+def day_features(events: DataFrame, daily: Mapping[str, DataFrame]) -> DataFrame:
     """The three day-level sets per distinct (user, product, day) of ``events``.
 
     The key table is an aggregate (combined map-side) of three narrow
@@ -170,7 +186,7 @@ def day_features(events: DataFrame, daily: Mapping[str, DataFrame],
     """
     keys = events.select("user_id", "product_id", "batch_time").distinct()
     for table in DAILY_TABLES:
-        keys = attach(keys, daily[table], table, broadcast=table in broadcast)
+        keys = attach(keys, daily[table], table)
     return keys
 
 
@@ -202,17 +218,16 @@ def training_rows(raw_with_labels: DataFrame) -> DataFrame:
 
 def raw_features_and_labels(silver: DataFrame, ties: str = "multiply",
                             slicing: Slicing = SLICING,
-                            daily: Mapping[str, DataFrame] | None = None,
-                            broadcast: Collection[str] = ()) -> DataFrame:
-    raw = raw_features_unexpanded(silver, daily, slicing, broadcast, label=True)
+                            daily: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    raw = raw_features_unexpanded(silver, daily, slicing, label=True)
     return expand(labelled(raw), ties)
 
 
 def features_and_labels(silver: DataFrame, ties: str = "multiply",
                         slicing: Slicing = SLICING,
-                        daily: Mapping[str, DataFrame] | None = None,
-                        broadcast: Collection[str] = ()) -> DataFrame:
+                        daily: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """The training table, 50 features + label per (user, session) event."""
-    raw = raw_features_unexpanded(silver, daily, slicing, broadcast, label=True)
+    raw = raw_features_unexpanded(silver, daily, slicing, label=True)
     out = training_rows(labelled(raw))
-    return project(expand(out, ties), cols(["user_id", "user_session", *FEATURES, LABEL]))
+    weight = [COPIES] if ties == "weight" else []
+    return project(expand(out, ties), cols(["user_id", "user_session", *FEATURES, LABEL, *weight]))

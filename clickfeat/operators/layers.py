@@ -36,6 +36,12 @@ def _as_time(df: DataFrame, name: str) -> Column:
     return col.try_cast(T.TimestampType())
 
 
+def _present(df: DataFrame, names: Sequence[str]) -> None:
+    missing = [c for c in names if c not in df.columns]
+    if missing:
+        raise ValueError(f"no such column: {', '.join(missing)}")
+
+
 def bronze(staging: DataFrame, before: dt.datetime | str | None = None,
            carry: Sequence[str] = ()) -> DataFrame:
     """Bronze: events strictly before ``before``, the nine native columns.
@@ -43,14 +49,15 @@ def bronze(staging: DataFrame, before: dt.datetime | str | None = None,
     Types stay as ingested. The cutoff compares a typed time, so on a typed
     source it is a plain timestamp predicate that reaches the scan; on string
     input a malformed time fails the comparison and is not kept (Q6).
-    ``carry`` names extra columns to keep (e.g. a dedupe tiebreak).
+    ``carry`` names extra columns to keep (e.g. a dedupe tiebreak); one that
+    is absent is an error.
     """
     df = staging
     if before is not None:
         cutoff = F.lit(before).cast(T.TimestampType())
         df = df.filter(_as_time(df, "event_time") < cutoff)
-    extra = [c for c in carry if c in df.columns]
-    return df.select(*NATIVE_COLUMNS, *extra)
+    _present(df, carry)
+    return df.select(*NATIVE_COLUMNS, *carry)
 
 
 def silver_cast(bronze_df: DataFrame) -> DataFrame:
@@ -79,6 +86,6 @@ def silver(bronze_df: DataFrame, tiebreak: Sequence[str] = ("event_id",)) -> Dat
     (then the smallest remaining columns), so reruns agree (Q7 made
     deterministic). Tiebreak columns are dropped from the result.
     """
-    order = [c for c in tiebreak if c in bronze_df.columns]
+    _present(bronze_df, tiebreak)
     typed = silver_dropna(silver_cast(bronze_df))
-    return dedupe(typed, DEDUPE_KEY, order).select(*NATIVE_COLUMNS)
+    return dedupe(typed, DEDUPE_KEY, list(tiebreak)).select(*NATIVE_COLUMNS)

@@ -44,7 +44,12 @@ def running_table(events: DataFrame, name: str, keys: Sequence[str],
     """Running metrics per ``keys`` as the reference table: one row per event
     (keys, event_time, the ten METRICS). NULL keys form their own group."""
     r = with_running(events.select(*keys, TIME, "event_type"), {name: keys}, slicing=slicing)
-    return r.selectExpr(*keys, TIME, *[f"{name}__{m} AS {m}" for m in METRICS])
+    return level_table(r, name, keys)
+
+
+def level_table(running: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+    """One level's metric table as a projection of events that have its metrics."""
+    return running.selectExpr(*keys, TIME, *[f"{name}__{m} AS {m}" for m in METRICS])
 
 
 def session_metrics(silver: DataFrame, slicing: Slicing = SLICING) -> DataFrame:

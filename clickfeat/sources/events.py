@@ -77,10 +77,8 @@ def as_csv_strings(df: DataFrame) -> DataFrame:
     return df.select(*keep, *[F.col(c).cast("string").alias(c) for c in NATIVE_COLUMNS])
 
 
-def read_path(spark: SparkSession, path: str, fmt: str = "parquet",
-              merge_schema: bool = True) -> DataFrame:
-    """Batch scan of a table folder (O5); parquet merges evolved schemas."""
-    reader = spark.read.format(fmt)
-    if fmt == "parquet" and merge_schema:
-        reader = reader.option("mergeSchema", "true")
-    return reader.load(path)
+def read_path(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Batch scan of a parquet folder (O5). With ``schema`` no file footer is read
+    for it; columns that older files lack are NULL."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)

@@ -1,4 +1,4 @@
-"""Catalog tables at explicit paths (O6, O10) and their measured sizes."""
+"""Catalog tables at explicit paths."""
 
 from __future__ import annotations
 
@@ -37,17 +37,3 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
-
-
-def bytes_on_disk(spark: SparkSession, path: str) -> int:
-    """Total file bytes under ``path`` (the Hadoop file system's own count)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
-
-
-def table_location(spark: SparkSession, name: str) -> str:
-    """The storage folder of a catalog table."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
-    return rows[0]["data_type"]

@@ -5,9 +5,12 @@ checkpoint, so each run picks up only new drops; ``availableNow`` drains the
 backlog in bounded micro-batches and stops. Each row gets its source file
 (``_metadata.file_path``) and the micro-batch's processing time.
 
-The stream's schema is fixed on the first run -- given explicitly, or read
-from the header of the files present -- and stored beside the checkpoint, so
-later runs parse new drops the same way (the role of a schema location).
+The stream itself only names new files; each micro-batch reads them as CSV by
+their own headers, so drops may differ in the order and the set of their
+columns. The schema is stored beside the checkpoint: given explicitly, or made
+of the headers seen (all text). A column that a new drop brings is added to
+it, and is NULL for drops without it. A micro-batch writes to a folder of its
+own number, so a batch that is run again after a failure replaces its rows.
 """
 
 from __future__ import annotations
@@ -19,12 +22,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from clickfeat.sources.events import read_path
 from clickfeat.sources.tables import path_exists
 
 SCHEMA_FILE = "_stream_schema"
+BATCH = "ingest_batch"
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+MAX_FILES = 1000  # files of a micro-batch unless the caller says otherwise
+LINEAGE = (T.StructField("source_file", T.StringType()), T.StructField("processing_time", T.TimestampType()))
 
 
-def _stored_schema(spark: SparkSession, checkpoint: str) -> T.StructType | None:
+def stored_schema(spark: SparkSession, checkpoint: str) -> T.StructType | None:
     path = f"{checkpoint}/{SCHEMA_FILE}"
     if not path_exists(spark, path):
         return None
@@ -37,52 +45,80 @@ def _store_schema(spark: SparkSession, checkpoint: str, schema: T.StructType) ->
         .write.mode("overwrite").text(f"{checkpoint}/{SCHEMA_FILE}")
 
 
-def stream_schema(spark: SparkSession, raw_path: str, checkpoint: str,
-                  schema: T.StructType | None = None) -> T.StructType:
-    """The schema to parse drops with: stored, else given, else from the headers."""
-    stored = _stored_schema(spark, checkpoint)
-    if stored is not None:
-        return stored
-    if schema is None:
-        # Header names only (no type inference): every column is a string.
-        names = spark.read.option("header", True).csv(raw_path).columns
-        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-    _store_schema(spark, checkpoint, schema)
-    return schema
-
-
-def raw_stream(spark: SparkSession, raw_path: str, schema: T.StructType,
-               max_files_per_trigger: int | None = None) -> DataFrame:
-    """The CSV drop folder as an unbounded table with lineage columns."""
-    # Header names are checked against the schema (not matched by position
-    # silently): a drop whose columns differ fails the stream loudly.
-    reader = (spark.readStream.format("csv").option("header", True)
-              .option("enforceSchema", False).schema(schema))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(raw_path).select(
-        "*",
-        F.col("_metadata.file_path").alias("source_file"),
-        F.current_timestamp().alias("processing_time"),
-    )
+def widened(schema: T.StructType | None, more: T.StructType) -> T.StructType:
+    """``schema`` with the columns of ``more`` that it lacks."""
+    have = list(schema.fields) if schema else []
+    names = {f.name for f in have}
+    return T.StructType([*have, *[f for f in more.fields if f.name not in names]])
+
+
+def headers(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files by their header (one short row a file reaches the driver)."""
+    first = spark.read.text(files).select("value", F.col("_metadata.file_path").alias("f"),
+                                          F.col("_metadata.file_block_start").alias("at")) \
+        .filter("at = 0").groupBy("f").agg(F.first("value").alias("line")).collect()
+    out: dict[tuple[str, ...], list[str]] = {}
+    by_line: dict[str, tuple[str, ...]] = {}
+    for r in sorted(first, key=lambda r: r["f"]):
+        if r["line"] not in by_line:
+            by_line[r["line"]] = tuple(spark.read.option("header", True).csv(r["f"]).columns)
+        out.setdefault(by_line[r["line"]], []).append(r["f"])
+    return out
+
+
+def read_drops(spark: SparkSession, files: list[str], schema: T.StructType | None) -> tuple[DataFrame, T.StructType]:
+    """The rows of CSV ``files`` with lineage, columns matched by header name; the widened schema."""
+    groups = headers(spark, files)
+    for names in groups:
+        schema = widened(schema, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    kinds = {f.name: f.dataType for f in schema.fields}
+    out = None
+    for names, own in groups.items():
+        rows = spark.read.option("header", True) \
+            .schema(T.StructType([T.StructField(n, kinds[n]) for n in names])).csv(own)
+        rows = rows.select(
+            *[F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields],
+            F.col("_metadata.file_path").alias("source_file"))
+        out = rows if out is None else out.union(rows)
+    return out, schema
 
 
 def ingest(spark: SparkSession, raw_path: str, staging_path: str, checkpoint: str,
-           schema: T.StructType | None = None, sink_format: str = "parquet",
+           schema: T.StructType | None = None,
            max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Drain every new drop into ``staging_path`` and wait for the end.
 
     Exactly-once per file through the checkpoint; rerunning with no new
     files appends nothing. Waiting (Q10) means the next batch step never
-    reads a half-written staging table.
+    reads a half-written staging table. Columns of ``schema`` that are not
+    stored yet are added with their types.
     """
-    schema = stream_schema(spark, raw_path, checkpoint, schema)
-    query = (
-        raw_stream(spark, raw_path, schema, max_files_per_trigger)
-        .writeStream.format(sink_format)
-        .option("checkpointLocation", f"{checkpoint}/stream")
-        .trigger(availableNow=True)
-        .start(staging_path)
-    )
+    if schema is not None:
+        _store_schema(spark, checkpoint, widened(stored_schema(spark, checkpoint), schema))
+
+    def write(batch: DataFrame, number: int) -> None:
+        # At most the files of one micro-batch.
+        files = [r["path"] for r in batch.select("path").collect()]
+        if not files:
+            return
+        known = stored_schema(spark, checkpoint)
+        rows, wide = read_drops(spark, files, known)
+        if wide != known:
+            _store_schema(spark, checkpoint, wide)
+        rows.withColumn("processing_time", F.current_timestamp()) \
+            .write.mode("overwrite").parquet(f"{staging_path}/{BATCH}={number}")
+
+    names = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", "*.csv") \
+        .option("maxFilesPerTrigger", max_files_per_trigger or MAX_FILES) \
+        .load(raw_path).select("path")       # the contents are not read here
+    query = (names.writeStream.foreachBatch(write)
+             .option("checkpointLocation", f"{checkpoint}/stream")
+             .trigger(availableNow=True).start())
     query.awaitTermination()
     return query
+
+
+def read_staging(spark: SparkSession, staging_path: str, checkpoint: str) -> DataFrame:
+    """All staged rows with the stored schema (no footers merged); absent columns are NULL."""
+    schema = T.StructType([*stored_schema(spark, checkpoint).fields, *LINEAGE])
+    return read_path(spark, staging_path, schema).select(*[f"`{f.name}`" for f in schema.fields])

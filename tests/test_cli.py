@@ -12,7 +12,7 @@ def test_cli_pipeline_train_score(spark, capsys):
     base = tempfile.mkdtemp(prefix="clickfeat-cli-")
     text = as_csv_strings(L.bronze(from_driver_events(spark, "/root/testdata/sf0.001")))
     text.select(*NATIVE_COLUMNS).coalesce(1).write.option("header", True).csv(f"{base}/raw/d1")
-    main(["pipeline", "--raw", f"{base}/raw/*", "--lake", f"{base}/lake", "--before", "none"])
+    main(["pipeline", "--raw", f"{base}/raw/*", "--lake", f"{base}/lake", "--ties", "multiply"])
     tables = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["tables"]
     assert spark.read.parquet(tables["features_and_labels"]).count() == 896
     main(["train", "--lake", f"{base}/lake", "--registry", f"{base}/reg",

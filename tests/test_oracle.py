@@ -18,27 +18,14 @@ def test_query_matches_oracle(spark, name):
     assert r["hash_match"]
 
 
-def test_every_query_has_oracle_or_is_model():
-    rows_only = set(QUERIES) - set(SQL)
-    assert rows_only == {"train_and_score", "tuning_trials", "model_latest"}
+def test_every_query_has_an_oracle():
+    from clickfeat.oracle_sql import queries as core_sql
+    from clickfeat.plans.queries import catalogue
+
+    assert set(catalogue()) == set(core_sql())
 
 
 def test_entry_flagship(spark):
     df = entry.entry(spark)
     assert df.count() == 896  # FIXTURES.md expected count at sf0.001
     assert len(df.columns) == 53
-
-
-def test_model_queries_rows(spark):
-    """Rows-only queries (no SQL oracle): scored test split, trials, newest version."""
-    from clickfeat.operators.split import split_rows
-    from clickfeat.plans.queries import q_features_and_labels
-
-    test_rows = split_rows(q_features_and_labels(spark, SF_ORACLE), "test").count()
-    scored = QUERIES["train_and_score"](spark, SF_ORACLE)
-    assert scored.count() == test_rows
-    probs = [r[0] for r in scored.select("purchase_probability").collect()]
-    assert all(0.0 <= p <= 1.0 for p in probs)
-    assert QUERIES["tuning_trials"](spark, SF_ORACLE).count() == 3
-    latest = QUERIES["model_latest"](spark, SF_ORACLE).collect()
-    assert [(r.version, r.stage) for r in latest] == [(1, "production")]

@@ -10,7 +10,7 @@ from clickfeat.operators import layers as L
 from clickfeat.plans import model as ML
 from clickfeat.plans.pipeline import run_pipeline
 from clickfeat.sources.events import NATIVE_COLUMNS, as_csv_strings, from_driver_events
-from clickfeat.streaming.ingest import ingest
+from clickfeat.streaming.ingest import ingest, read_staging
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,7 +25,8 @@ def lake(spark):
     text = as_csv_strings(L.bronze(from_driver_events(spark, SF))).select(*NATIVE_COLUMNS)
     _write_drop(text, f"{base}/raw/all")
     written = run_pipeline(spark, f"{base}/lake", raw_path=f"{base}/raw/*",
-                           checkpoint=f"{base}/ckpt", before=None, tiebreak=())
+                           checkpoint=f"{base}/ckpt", tiebreak=(), ties="multiply",
+                           max_files_per_trigger=1)
     return base, written
 
 
@@ -94,7 +95,7 @@ def test_pipeline_tables_match_oracle(spark):
 
     base = tempfile.mkdtemp(prefix="clickfeat-parity-")
     written = run_pipeline(spark, f"{base}/lake", staging=from_driver_events(spark, SF),
-                           before=None)
+                           ties="multiply")
     sql = oracle_queries()
     for table in ("silver_events", "session_metrics", "user_metrics", "product_metrics",
                   "user_product_metrics", "raw_features", "session_product_outcomes",
@@ -116,13 +117,82 @@ def test_stream_rate_limited_drain(spark):
     assert len(batches) == 3
 
 
-def test_stream_rejects_reordered_header(spark):
+def test_stream_matches_columns_by_name_and_widens(spark):
     base = tempfile.mkdtemp(prefix="clickfeat-header-")
+    raw, staged, ckpt = f"{base}/raw", f"{base}/staging", f"{base}/ckpt"
     text = as_csv_strings(L.bronze(from_driver_events(spark, SF))).select(*NATIVE_COLUMNS)
-    text.coalesce(1).write.option("header", True).csv(f"{base}/raw/a")
+    _write_drop(text, f"{raw}/a")
+    ingest(spark, f"{raw}/*", staged, ckpt)
+    _write_drop(text.withColumn("campaign", F.lit("c")).select("campaign", *reversed(NATIVE_COLUMNS)), f"{raw}/b")
+    ingest(spark, f"{raw}/*", staged, ckpt)
+    out = read_staging(spark, staged, ckpt)
+    assert out.columns == [*NATIVE_COLUMNS, "campaign", "source_file", "processing_time"]
+    per_drop = out.groupBy("campaign").agg(F.sum(F.xxhash64(*NATIVE_COLUMNS).cast("decimal(38,0)")).alias("h"), F.count("*"))
+    a, b = sorted(per_drop.collect(), key=str)
+    assert a[1:] == b[1:] and {a[0], b[0]} == {None, "c"}
+
+
+def test_stream_honours_a_wider_schema(spark):
+    from pyspark.sql import types as T
+
+    base = tempfile.mkdtemp(prefix="clickfeat-wider-")
+    spark.createDataFrame([("1", "x")], "a string, b string").coalesce(1).write.option("header", True).csv(f"{base}/raw/a")
     ingest(spark, f"{base}/raw/*", f"{base}/staging", f"{base}/ckpt")
-    swapped = list(reversed(NATIVE_COLUMNS))
-    text.select(*swapped).coalesce(1).write.option("header", True).csv(f"{base}/raw/b")
-    with pytest.raises(Exception):
-        ingest(spark, f"{base}/raw/*", f"{base}/staging", f"{base}/ckpt")
-    assert spark.read.parquet(f"{base}/staging").count() == 1000
+    wider = T.StructType([T.StructField("a", T.StringType()), T.StructField("c", T.IntegerType())])
+    spark.createDataFrame([("2", 7)], "a string, c int").coalesce(1).write.option("header", True).csv(f"{base}/raw/b")
+    ingest(spark, f"{base}/raw/*", f"{base}/staging", f"{base}/ckpt", schema=wider)
+    rows = read_staging(spark, f"{base}/staging", f"{base}/ckpt").select("a", "b", "c").collect()
+    assert sorted(map(tuple, rows)) == [("1", "x", None), ("2", None, 7)]
+
+
+def test_stream_keeps_rows_without_time(spark):
+    from clickfeat.plans.queries import IN_DROP_A
+
+    rows = spark.createDataFrame([(None,), ("2024-01-01 00:00:00",), ("2024-02-01 00:00:00",)], "event_time string")
+    assert (rows.filter(IN_DROP_A).count(), rows.filter(f"NOT {IN_DROP_A}").count()) == (1, 2)
+
+
+def test_default_pipeline_keeps_all_events_once(spark):
+    """No cutoff (the driver's events are of 2024), one weighted feature row an event."""
+    base = tempfile.mkdtemp(prefix="clickfeat-default-")
+    written = run_pipeline(spark, f"{base}/lake", staging=from_driver_events(spark, SF))
+    features = spark.read.parquet(written["raw_features"])
+    assert features.count() == spark.read.parquet(written["silver_events"]).count() == 999
+    assert features.agg(F.sum("_copies")).first()[0] == 1115
+
+
+def test_two_registrations_at_once_make_two_versions(spark, lake):
+    from concurrent.futures import ThreadPoolExecutor
+
+    registry = f"{lake[0]}/registry-pair"
+    train = spark.createDataFrame([(0, 1.0), (1, 2.0), (0, 1.5), (1, 2.5)], "purchased int, x double")
+    model = ML.fit(train, ML.Params(1, 0.1, 1.0), max_iter=1)
+    metrics = {"average_precision": 0.5, "balanced_accuracy": 0.5, "mcc": 0.0}
+    with ThreadPoolExecutor(2) as pool:
+        made = list(pool.map(lambda _: ML.register(spark, model, registry, "m", metrics), range(2)))
+    assert sorted(made) == [1, 2]
+    assert ML.versions(spark, registry).count() == 2
+
+
+def test_absent_tiebreak_is_an_error(spark):
+    with pytest.raises(ValueError, match="no such column"):
+        L.bronze(from_driver_events(spark, SF), carry=["nothing"])
+
+
+def test_session_without_user_is_in_no_split(spark):
+    from clickfeat.operators import split as S
+
+    df = spark.createDataFrame([(None, "s"), ("u", "s")], "user_id string, user_session string")
+    assert [r["user_id"] for r in S.session_split(df).collect()] == ["u"]
+    assert sum(S.split_rows(df, p).count() for p in ("train", "test", "validate")) == 1
+
+
+def test_work_folder_needs_a_shared_one_on_a_cluster():
+    from types import SimpleNamespace
+
+    from clickfeat.session import work_dir
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077",
+                              getConf=lambda: SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_dir(SimpleNamespace(sparkContext=context))

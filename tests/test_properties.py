@@ -56,10 +56,10 @@ def to_silver(spark, rows):
 
 @SETTINGS
 @given(rows=events, unit=st.sampled_from(["minute", "hour", "day"]),
-       fine=st.sampled_from(["minute", "hour"]), hot=st.sampled_from([None, 1, 3, 10 ** 9]))
+       fine=st.sampled_from(["minute", "hour"]), hot=st.sampled_from([0, 1, 3, 10 ** 9]))
 def test_running_metrics_equal_brute_force(spark, rows, unit, fine, hot):
     s = to_silver(spark, rows)
-    slicing = Slicing(unit=unit, fine_unit=fine, hot_rows=hot)
+    slicing = Slicing(unit=unit, finer=(fine, "instant"), hot_rows=hot)
     for keys, fn in ((M.SESSION_KEYS, M.session_metrics),
                      (M.PRODUCT_SESSION_KEYS, M.product_session_metrics)):
         got = canon((*[r[k] for k in keys], r.event_time, *[r[c] for c in COUNTS])
@@ -106,9 +106,9 @@ def test_hot_session_across_many_slices(spark):
     rows += [(T0 + dt.timedelta(hours=i), "view", "B", "cold", "s9") for i in range(5)]
     s = to_silver(spark, rows)
     expected = brute_running(rows, list(M.SESSION_KEYS))
-    for slicing in (Slicing(unit="minute", hot_rows=None),   # every key cut finely
+    for slicing in (Slicing(unit="minute", hot_rows=10**9),  # every key cut finely
                     Slicing(unit="day", hot_rows=100),       # hot session-days cut finely
-                    Slicing(unit="day", hot_rows=100, max_hot_groups=0)):  # fallback
+                    Slicing(unit="day", hot_rows=2)):         # down to instants
         got = canon((r.user_id, r.user_session, r.event_time, *[r[c] for c in COUNTS])
                     for r in M.session_metrics(s, slicing=slicing).collect())
         assert got == expected

@@ -17,7 +17,7 @@ from clickfeat.sources.events import TIEBREAK, from_driver_events
 from oracle import compare
 
 SOURCE = "/root/testdata/sf0.01/events.parquet"
-HOT = Slicing(unit="day", fine_unit="minute", hot_rows=200)
+HOT = Slicing(hot_rows=20)
 
 
 @pytest.fixture(scope="module")
