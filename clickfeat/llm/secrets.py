@@ -8,7 +8,7 @@ the median symbol, serial correlation), and its evidence against prose must
 survive a false-discovery control per length class. The evidence is an
 e-value: the likelihood of the token under uniform symbols over that under
 the corpus's own first-order model of character classes, counted over every
-long token of every document. Within each length class the e-values of all
+long token of every document outside base spans. Within each length class the e-values of all
 long tokens go through the e-BH procedure at ``ALPHA``.
 
 Defined cases: NULL and empty texts have no spans; repeated rows are scanned
@@ -121,8 +121,8 @@ def scan(text: str | None):
     """Base spans, candidates and the prose counts of one text.
 
     A candidate is (start, end, log likelihood under uniform symbols, class
-    transition counts); the prose counts are the class transitions of all
-    long tokens (16 cells) and their number in each length class.
+    transition counts); the prose counts are the class transitions of all long
+    tokens outside base spans (16 cells) and their number in each length class.
     """
     text = text or ""
     base = base_spans(text)
@@ -130,6 +130,8 @@ def scan(text: str | None):
     for m in TOKEN.finditer(text):
         token = m[0]
         n = len(token)
+        if any(s < m.end() and m.start() < e for s, _, e in base):
+            continue    # known already, and no example of prose
         lengths[length_class(n)] += 1
         if token.isalpha() and token.islower():
             moves[0] += n - 1
@@ -140,7 +142,7 @@ def scan(text: str | None):
             own[4 * p + q] += 1
         moves = [p + q for p, q in zip(moves, own, strict=True)]
         kind = encoding(token)
-        if kind is None or any(s < m.end() and m.start() < e for s, _, e in base):
+        if kind is None:
             continue
         if battery(token, kind[1]) >= RANDOM_LEVEL:
             found.append({"start": m.start(), "end": m.end(),
