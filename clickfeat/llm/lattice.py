@@ -15,7 +15,7 @@ a text's class is never read when scoring: its probability is the marginal
 over classes and segmentations.
 
 Counts of words are joined, never collected: words of up to ``SHORT`` bytes
-among the ``COMMON`` most frequent are broadcast (a bounded table), all others
+among the (at most ``COMMON``) most frequent are broadcast (a bounded table), all others
 are joined by key with their own share of the counts.
 
 Defined cases: a NULL text is empty (one token, the end); NULL doc_ids hash as
@@ -30,69 +30,38 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickfeat.llm.common import crc_mod, raw, stored, words
-from clickfeat.llm.pieces import MARK, MODEL, Vocabulary, load_vocabulary
+from clickfeat.llm.common import bounded_top, crc_mod, raw, stored, words
+from clickfeat.llm.pieces import MARK, MODEL, Edges, Vocabulary, load_vocabulary
 
 CLASSES = 7           # languages with word edges of their own; the rest share one more
 COMMON, SHORT = 100_000, 64
-ROUNDS = 3            # re-estimations of the piece weights per class
+ROUNDS = 2            # re-estimations of the piece weights per class
 PRIOR = 10.0          # its prior, in pieces
 FLUSH = 300_000       # distinct words a task gathers before passing them on
 END = b"\n"           # stands for the end of a text; no word holds it
 
 
-class Lattice:
+class Lattice(Edges):
     """The recursions over a batch of marked words, for all classes at once.
 
-    The words of a batch are laid end to end with one separator each, so that
-    character positions serve as lattice nodes and one automaton pass finds
-    all edges. ``weights`` has a row per piece and a column per class (natural
-    logs).
+    ``weights`` has a row per piece and a column per class (natural logs).
     """
 
     def __init__(self, v: Vocabulary, weights: np.ndarray):
-        self.auto = ahocorasick.Automaton()
-        for i, kind in enumerate(v.kinds):
-            if kind == "p":
-                self.auto.add_word(v.pieces[i], (i << 16) | len(v.pieces[i]))
-        self.auto.make_automaton()
+        super().__init__(v)
         self.w = weights
-        self.bytes = np.zeros(256, np.int64)
-        for i, k in enumerate(v.kinds):
-            if k == "b":
-                self.bytes[int(v.pieces[i][3:5], 16)] = i
-
-    def load(self, batch: list[bytes]) -> None:
-        """Find the edges (start node, end node, weight row) of a batch."""
-        marked = [MARK + w.decode("utf-8", "replace").replace(MARK, "\ufffd") for w in batch]
-        joined = "\n".join(marked)
-        sizes = np.array([len(m) for m in marked], np.int64)
-        self.first = np.cumsum(sizes + 1) - sizes - 1
-        self.last = self.first + sizes
-        at = np.fromiter(((e << 40) | x for e, x in self.auto.iter(joined)), np.int64)
-        end, row, size = (at >> 40) + 1, (at >> 16) & 0xFFFFFF, at & 0xFFFF
-        # Characters that no single-character piece holds: one edge of byte pieces each.
-        lone = np.ones(len(joined), bool)
-        lone[end[size == 1] - 1] = False
-        lone[self.last[:-1]] = False
-        lone = np.flatnonzero(lone)
-        self.spelled = [self.bytes[list(joined[p].encode("utf-8", "surrogatepass"))] for p in lone.tolist()]
+
+    def take(self, batch: list[bytes]) -> None:
+        """Find the edges of a batch of words and the weights of their rows."""
+        self.load([MARK + w.decode("utf-8", "replace").replace(MARK, "\ufffd") for w in batch])
         self.rows = self.w
-        if len(lone):
+        if self.spelled:
             self.rows = np.vstack([self.w, [self.w[ids].sum(0) for ids in self.spelled]])
-        self.start = np.concatenate([end - size, lone])
-        self.end = np.concatenate([end, lone + 1])
-        self.row = np.concatenate([row, len(self.w) + np.arange(len(lone))])
-        home = np.repeat(self.first, sizes + 1)
-        self.from_at, self.to_at = self.start - home[self.start], self.end - home[self.start]
-        self.word = np.repeat(np.arange(len(batch)), sizes + 1)[self.start]
-        self.nodes = len(joined) + 1
 
     def _sweep(self, source, target, order_by, begin, ascending) -> np.ndarray:
         """Log sums over all edges from ``source`` to ``target`` nodes, position by position."""
@@ -187,7 +156,7 @@ def _reestimated(counts: DataFrame, v: Vocabulary, start: np.ndarray, shares: li
         model, seen = Lattice(Vocabulary(*v), w), np.zeros(w.shape)
         for b in batches:
             if b.num_rows:
-                model.load(b.column("word").to_pylist())
+                model.take(b.column("word").to_pylist())
                 seen += model.expected(np.stack([b.column(s).to_numpy() > 0 for s in shares], 1).astype(float))
         hit = np.flatnonzero(seen.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), *map(pa.array, seen[hit].T)], ["i", *names])
@@ -212,7 +181,7 @@ def _with_marginals(counts: DataFrame, v: Vocabulary, weights: np.ndarray) -> Da
         model = Lattice(Vocabulary(*v), w)
         for b in batches:
             if b.num_rows:
-                model.load(b.column("word").to_pylist())
+                model.take(b.column("word").to_pylist())
                 subs = model.marginals().astype(np.float32)
                 yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, subs.T)], [*b.schema.names, *names])
 
@@ -271,8 +240,7 @@ def lattice_scores(docs: DataFrame, held_out, vocabulary: str = MODEL) -> DataFr
 
     ends = [math.log((d + 0.5) / (n + d + 1.0)) for n, _, d in per]
     prior = [math.log((d + 0.01) / (all_docs + 0.01 * groups)) for _, _, d in per]
-    common = shared.filter((F.col("c") > 0) & (F.length("word") <= SHORT)) \
-                   .orderBy(F.desc("c"), "word").limit(COMMON).toPandas()
+    common = bounded_top(shared.filter(F.length("word") <= SHORT), "c", COMMON).toPandas()
     end_base = math.log10(all_docs + 1) - log_base
     shipped = spark.sparkContext.broadcast((
         [bytes(x) for x in common["word"]], common.drop(columns=["word", "c"]).to_numpy(float)))
