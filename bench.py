@@ -34,6 +34,11 @@ HEADLINE = [
     "split_train",
     "average_precision",
     "train_and_score",
+    "raw_features_and_labels",
+    "class_metrics",
+    "session_metrics_skewed",
+    "stream_ingest",
+    "tuning_trials",
 ]
 
 
