@@ -98,6 +98,8 @@ def repeated_sentences(rows: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"), F.col("at"))
     first = each.groupBy("h").agg(F.min(order).alias("f"), F.count("*").alias("n")).filter("n > 1") \
                 .select("h", F.col("f.rid").alias("first_rid"), F.col("f.at").alias("first_at"))
+    # Written, so that the join reads it by an exchange of its own and can split a hot span.
+    first = stored(first, "repeated-spans")
     again = each.select("rid", "at", F.element_at("sizes", F.col("at") + 1).alias("size"), "h").join(first, "h") \
                 .filter("rid != first_rid OR at != first_at")
     covered = F.transform(F.collect_list(F.struct("at", "size")), lambda s: F.sequence(s["at"], s["at"] + s["size"] - 1))
