@@ -75,7 +75,7 @@ def bounded_top(rows: DataFrame, count: str, most: int) -> DataFrame:
     Only the histogram (64 powers of two, then 256 steps of one) reaches the
     driver, so no task sends its own ``most`` rows.
     """
-    power = F.floor(F.log2(F.col(count).cast("double"))).cast("int")
+    power = F.length(F.bin(F.col(count).cast("long"))) - 1
     powers = sorted(rows.filter(F.col(count) > 0).groupBy(power.alias("p")).count().collect(), reverse=True)
     total, above = 0, None
     for r in powers:
