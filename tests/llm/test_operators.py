@@ -291,3 +291,16 @@ def test_edges_of_words():
     e = pieces.Edges(VOCABULARY)
     e.load(["▁ab", "▁z"])
     assert sorted((int(s), int(t)) for s, t in zip(e.start, e.end, strict=True)) == [(0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3), (4, 5), (5, 6)]
+
+
+@pytest.mark.parametrize("most", [0, 1, 7, 40, 500, 10_000])
+def test_bounded_top_and_sample(spark, most):
+    from clickfeat.llm.common import bounded_sample, bounded_top
+
+    rows = spark.range(1000).selectExpr("id", "CAST(1 + (id * id) % 517 AS BIGINT) AS c")
+    counts = sorted((r["c"] for r in rows.collect()), reverse=True)
+    top = sorted((r["c"] for r in bounded_top(rows, "c", most).collect()), reverse=True)
+    assert len(top) <= most and top == counts[:len(top)]
+    assert len(top) >= min(most, 1000) * 0.7 or most < 40
+    sample = bounded_sample(rows, "id", most).count()
+    assert 0.8 * min(most, 1000) <= sample <= most or most < 40
