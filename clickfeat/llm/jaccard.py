@@ -17,7 +17,10 @@ The order is by hash, with shingles that are frequent in some task's rows last,
 that a passage shared by many documents makes no block unless nearly all of a
 document is such passages.
 
-Equal sets are one point. Blocks of frequent shingles may be of any size: their
+Equal sets are one point, known by a 64-bit hash of the set. Points are small and
+move to their blocks; the sets themselves move only for surviving pairs: a
+bitmap of fixed size tells the tasks that hold them which those are (one that
+fills up lets more through, to the join that decides). Blocks of more than a few sets may be of any size: their
 points are first compared with a leader each, and once the verified links are
 joined to components only pairs across components are searched, slice by
 slice. So no task holds an unbounded block, and no group's pairs are listed.
@@ -44,10 +47,13 @@ SHINGLE = 5
 # Similarity PART / WHOLE: links need WHOLE * overlap >= PART * union.
 PART, WHOLE = 4, 5
 FREQUENT = 16          # rows of one task that make a shingle frequent
+BLOCK = 16             # sets of a block whose pairs are searched without leaders first, at most
 FREQUENT_KEPT = 50_000  # frequent shingles put last, at most (the commonest)
 FANOUT = 16            # children of an R-tree node
 SLICE = 1024           # points of a frequent block searched together
 ROUNDS = 3             # rounds of leaders before the search across components
+BITMAP = 27            # its size is 2 to this power, in bits
+SEGMENT = 19           # and that of the pieces it is made of
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -91,11 +97,11 @@ def _tokens(data: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
-ROWS = ("rid long, {key}n long, s1 long, s2 long, tokens binary, point binary, frequent array<long>")
+ROWS = ("rid long, {key}n long, cid long, tokens binary, point binary, frequent array<long>")
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """One row a document: size, set signature, the set (upper 48 bits), its point.
+    """One row a document: size, set hash ``cid``, the set (upper 48 bits), its point.
 
     A task adds rows without ``rid`` that name its frequent shingles.
     """
@@ -108,14 +114,14 @@ def document_sets(docs: DataFrame) -> DataFrame:
         doc_type = None
         for b in batches:
             doc_type = b.schema.field("doc_id").type
-            sizes, s1, s2, packed, points = [], [], [], [], []
+            sizes, cids, packed, points = [], [], [], []
             heads = []
             for part in lots([t or b"" for t in raw(b.column("text"))]):
                 for h in shingle_sets(part):
                     n = len(h)
                     sizes.append(n)
-                    s1.append(int(h.sum(dtype=np.uint64).view(np.int64)))
-                    s2.append(int(mixed(h ^ BASE).sum(dtype=np.uint64).view(np.int64)))
+                    both = np.array([h.sum(dtype=np.uint64), mixed(h ^ BASE).sum(dtype=np.uint64)])
+                    cids.append(int(run_hashes(both, np.zeros(1, int), np.full(1, 2)).view(np.int64)[0]) if n else None)
                     t = h >> U(16)
                     packed.append(_packed(t))
                     m = groups_of(n)
@@ -131,16 +137,16 @@ def document_sets(docs: DataFrame) -> DataFrame:
             none = pa.array([None] * len(sizes), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [b.column("rid"), b.column("doc_id"), b.column("text_key"), pa.array(sizes, pa.int64()),
-                 pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(packed, pa.binary()),
+                 pa.array(cids, pa.int64()), pa.array(packed, pa.binary()),
                  pa.array(points, pa.binary()), none], names)
         hot = sorted(((c, t) for t, c in seen.items() if c >= FREQUENT), reverse=True)[:FREQUENT_KEPT]
         if hot:
             cells = [pa.array([None], x) for x in (pa.int64(), doc_type, pa.int64(), pa.int64(), pa.int64(),
-                                                   pa.int64(), pa.binary(), pa.binary())]
+                                                   pa.binary(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [*cells, pa.array([[x for c, t in hot for x in (t, c)]], pa.list_(pa.int64()))], names)
 
-    names = ["rid", "doc_id", "text_key", "n", "s1", "s2", "tokens", "point", "frequent"]
+    names = ["rid", "doc_id", "text_key", "n", "cid", "tokens", "point", "frequent"]
     return stored(source.mapInArrow(run, ROWS.format(key=f"doc_id {kind}, text_key long, ")), "sets")
 
 
@@ -152,37 +158,46 @@ def _frequent(sets: DataFrame) -> np.ndarray:
     return np.sort(np.array([r["token"] for r in top.select("token").collect()], np.uint64))
 
 
-def _prefixes(points: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``token, cid, n, common``: the first shingles of each set in the common order."""
-    shipped = points.sparkSession.sparkContext.broadcast(frequent)
+def _prefixes(sets: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """``token, cid, common``: the first shingles of each set in the common order.
+
+    A set that a task meets again is left out (as far as it remembers).
+    """
+    shipped = sets.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = shipped.value
+        hot, met = shipped.value, set()
         for b in batches:
-            keys, ids, sizes, common = [], [], [], []
+            keys, ids, common = [], [], []
+            if len(met) > 1_000_000:
+                met.clear()
             for cid, n, data in zip(b.column("cid").to_pylist(), b.column("n").to_pylist(),
                                     b.column("tokens").to_pylist(), strict=True):
+                if cid in met:
+                    continue
+                met.add(cid)
                 t, size = _tokens(data), prefix_size(n)
                 at = np.searchsorted(hot, t)
                 late = np.zeros(len(t), bool) if not len(hot) else hot[np.minimum(at, len(hot) - 1)] == t
                 order = np.concatenate([np.flatnonzero(~late), np.flatnonzero(late)])[:size]
                 keys.append(t[order])
                 ids.append(np.full(size, cid))
-                sizes.append(np.full(size, n))
                 common.append(late[order])
             if keys:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.concatenate(ids)),
-                     pa.array(np.concatenate(sizes)), pa.array(np.concatenate(common))],
-                    ["token", "cid", "n", "common"])
+                     pa.array(np.concatenate(common))], ["token", "cid", "common"])
 
-    return points.select("cid", "n", "tokens").mapInArrow(run, "token long, cid long, n long, common boolean")
+    return sets.filter("n > 0").select("cid", "n", "tokens").mapInArrow(run, "token long, cid long, common boolean")
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """``key, members``: the distinct blocks of two or more sets, by their infrequent shingles.
+def _blocks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The short blocks (``key, members``) and the rows of larger ones (``token, cid``), by
+    the shingles that are not put last.
 
-    An infrequent shingle has few rows by its definition, so a block is short.
+    Equal short blocks (up to BLOCK sets) are one. A shingle that no task met
+    FREQUENT times has few rows for each task of the reading stage, so what a
+    task holds of it is short.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [(b.column("token").to_numpy(), b.column("cid").to_numpy()) for b in batches]
@@ -191,30 +206,36 @@ def _blocks(rows: DataFrame) -> DataFrame:
         token, cid = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.lexsort((cid, token))
         token, cid = token[order], cid[order]
+        new = np.concatenate([[True], (np.diff(token) != 0) | (np.diff(cid) != 0)])[:len(token)]
+        token, cid = token[new], cid[new]
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(token)) + 1, [len(token)]])
-        sizes = np.diff(cuts)
-        done, members = set(), []
-        for at in np.flatnonzero(sizes > 1).tolist():
-            block = cid[cuts[at]:cuts[at + 1]]
-            key = block.tobytes()
-            if key not in done:
+        done, keys, members = set(), [], []
+        for at in np.flatnonzero(np.diff(cuts) > 1).tolist():
+            lo, hi = int(cuts[at]), int(cuts[at + 1])
+            if hi - lo > BLOCK:
+                pieces = [cid[k:min(k + SLICE, hi)] for k in range(lo, hi, SLICE)]
+                keys += [int(token[lo])] * len(pieces)
+                members += pieces
+            elif (key := cid[lo:hi].tobytes()) not in done:
                 done.add(key)
-                members.append(block)
+                keys.append(None)
+                members.append(cid[lo:hi])
             if len(members) >= 10_000:
-                yield _listed(members)
-                members = []
+                yield _listed(keys, members)
+                keys, members = [], []
         if members:
-            yield _listed(members)
+            yield _listed(keys, members)
 
-    blocks = rows.filter("NOT common").select("token", "cid").repartition("token") \
-                 .mapInArrow(run, "members array<long>")
-    return blocks.groupBy(F.xxhash64("members").alias("key")).agg(F.min("members").alias("members"))
+    found = stored(rows.filter("NOT common").select("token", "cid").repartition("token")
+                   .mapInArrow(run, "token long, members array<long>"), "blocks")
+    small = found.filter("token IS NULL").groupBy(F.xxhash64("members").alias("key")).agg(F.min("members").alias("members"))
+    return stored(small, "blocks"), found.filter("token IS NOT NULL").select("token", F.explode("members").alias("cid"))
 
 
-def _listed(members: list[np.ndarray]) -> pa.RecordBatch:
+def _listed(keys: list[int | None], members: list[np.ndarray]) -> pa.RecordBatch:
     ends = np.concatenate([[0], np.cumsum([len(m) for m in members])]).astype(np.int32)
-    return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(members)))],
-                                      ["members"])
+    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(members)))
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), lists], ["token", "members"])
 
 
 class Tree:
@@ -323,11 +344,11 @@ def _block_pairs(blocks: DataFrame, points: DataFrame) -> DataFrame:
 
     rows = blocks.select("key", F.explode("members").alias("cid")).join(points.select("cid", "n", "point"), "cid")
     return rows.repartition("key").sortWithinPartitions("key").select("key", "cid", "n", "point") \
-               .mapInArrow(run, "a long, b long").distinct()
+               .mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, points: DataFrame) -> DataFrame:
-    """The pairs whose sets reach the similarity."""
+def _verified(pairs: DataFrame, sets: DataFrame, points: DataFrame) -> DataFrame:
+    """The pairs whose sets reach the similarity; only their sets are moved."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
@@ -336,8 +357,23 @@ def _verified(pairs: DataFrame, points: DataFrame) -> DataFrame:
                 keep.append(WHOLE * both >= PART * (nx + ny - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    side = lambda x: points.select(F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("tokens").alias(f"t{x}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
+    pairs = stored(pairs.distinct(), "pairs")
+    if pairs.isEmpty():
+        return pairs
+    ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
+    first = stored(points.select("cid", "rid").join(ids, "cid"), "wanted")
+    shipped = sets.sparkSession.sparkContext.broadcast(_bitmap(first.select("rid")))
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = shipped.value
+        for b in batches:
+            at = _bits(b.column("rid").to_numpy())
+            yield b.filter(pa.array((cells[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
+
+    rows = sets.filter("n > 0").select("rid", "n", "tokens")
+    held = stored(rows.mapInArrow(likely, rows.schema).join(first, "rid").select("cid", "n", "tokens"), "held")
+    side = lambda x: held.select(F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("tokens").alias(f"t{x}"))
+    return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long"), "links")
 
 
 def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
@@ -358,28 +394,39 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     return near.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long")
 
 
-def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` with the component of their ``cid`` under ``links``."""
-    found = components(links).withColumnRenamed("id", "cid")
-    return rows.join(found, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+def _grouped_by(links: DataFrame) -> DataFrame:
+    """``cid, component`` of the linked points."""
+    return stored(components(links).withColumnRenamed("id", "cid"), "groups")
+
+
+def _labelled(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with the component of their ``cid``."""
+    return rows.join(groups, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+
+
+def _lead_pairs(rows: DataFrame, points: DataFrame) -> DataFrame:
+    """Per block of ``rows (token, cid, copies, component)``: its largest component's leader
+    with each point outside that component, as far as the bound allows."""
+    parts = rows.groupBy("token", "component").agg(
+        F.count("*").alias("size"), F.max_by("cid", F.struct("copies", -F.col("cid"))).alias("lead"), F.max("copies").alias("copies"))
+    best = parts.groupBy("token").agg(F.max_by(F.struct("component", "lead"), F.struct("size", "copies", "lead")).alias("top"),
+                                      F.count("*").alias("parts")).filter("parts > 1").select("token", "top.*")
+    pairs = rows.join(best.withColumnRenamed("component", "main"), "token").filter("component != main") \
+                .select(F.greatest("cid", "lead").alias("a"), F.least("cid", "lead").alias("b")).distinct()
+    return _bounded(pairs, points)
 
 
-def _common_links(rows: DataFrame, points: DataFrame, links: DataFrame) -> DataFrame:
-    """Links of the blocks of frequent shingles, given the links found so far."""
-    rows = stored(rows, "common-rows")
+def _common_groups(rows: DataFrame, sets: DataFrame, points: DataFrame, links: DataFrame) -> DataFrame:
+    """``cid, component`` once the blocks of frequent shingles are searched too."""
+    groups = _grouped_by(links)
     for _ in range(ROUNDS):
-        now = _labelled(rows, links)
-        parts = now.groupBy("token", "component").agg(F.count("*").alias("size"), F.max_by("cid", F.struct("copies", -F.col("cid"))).alias("lead"))
-        best = parts.groupBy("token").agg(F.max_by(F.struct("component", "lead"), F.struct("size", "lead")).alias("top"),
-                                          F.count("*").alias("parts")).filter("parts > 1").select("token", "top.*")
-        pairs = now.join(best.withColumnRenamed("component", "main"), "token").filter("component != main") \
-                   .select(F.greatest("cid", "lead").alias("a"), F.least("cid", "lead").alias("b")).distinct()
-        more = stored(_verified(stored(_bounded(pairs, points), "lead-pairs"), points), "lead-links")
+        more = _verified(_lead_pairs(_labelled(rows, groups), points), sets, points)
         if more.isEmpty():
             break
         links = stored(links.union(more).distinct(), "links")
+        groups = _grouped_by(links)
     # Whatever is left across components, slice by slice.
-    now = _labelled(rows, links)
+    now = _labelled(rows, groups)
     sizes = now.groupBy("token", "component").agg(F.count("*").alias("n")) \
                .groupBy("token").agg(F.sum("n").alias("rows"), F.count("*").alias("parts")).filter("parts > 1") \
                .select("token", F.ceil(F.col("rows") / SLICE).cast("int").alias("slices"))
@@ -410,8 +457,46 @@ def _common_links(rows: DataFrame, points: DataFrame, links: DataFrame) -> DataF
     points_of = dealt.join(points.select("cid", "n", "point"), "cid")
     pairs = points_of.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j") \
                      .select("token", "i", "j", "own", "cid", "n", "component", "point") \
-                     .mapInArrow(run, "a long, b long").distinct()
-    return links.union(_verified(stored(pairs, "rest-pairs"), points))
+                     .mapInArrow(run, "a long, b long")
+    more = _verified(pairs, sets, points)
+    return groups if more.isEmpty() else _grouped_by(links.union(more).distinct())
+
+
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """The hashes of ``ids (rid)`` as a bitmap of fixed size, joined piece by piece."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [_bits(b.column("rid").to_numpy()) for b in batches if b.num_rows]
+        bits = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        for part in np.split(bits, np.flatnonzero(np.diff(bits >> SEGMENT)) + 1):
+            if len(part):
+                cells = np.zeros(1 << SEGMENT, bool)
+                cells[part & ((1 << SEGMENT) - 1)] = True
+                yield pa.RecordBatch.from_arrays([pa.array([int(part[0] >> SEGMENT)], pa.int32()),
+                                                  pa.array([np.packbits(cells).tobytes()])], ["segment", "cells"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in grouped(batches, ["segment"]):
+            cells = np.bitwise_or.reduce([np.frombuffer(c, np.uint8) for c in t.column("cells").to_pylist()])
+            yield pa.RecordBatch.from_arrays([pa.array(t.column("segment").to_numpy()[:1]), pa.array([cells.tobytes()])],
+                                             ["segment", "cells"])
+
+    out = np.zeros((1 << BITMAP - SEGMENT, 1 << SEGMENT - 3), np.uint8)
+    schema = "segment int, cells binary"
+    for r in ids.mapInArrow(run, schema).repartition("segment").sortWithinPartitions("segment").mapInArrow(join, schema).collect():
+        out[r["segment"]] = np.frombuffer(r["cells"], np.uint8)
+    return out.ravel()
+
+
+def _bits(ids: np.ndarray) -> np.ndarray:
+    return (mixed(ids.astype(np.uint64)) >> U(64 - BITMAP)).astype(np.int64)
+
+
+def _points(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``cid, rid, n, copies, point`` of the sets in ``wanted (cid)``: one row each, without the sets."""
+    first = sets.filter("n > 0").groupBy("cid").agg(F.min("rid").alias("rid"), F.count("*").alias("copies")) \
+                .join(wanted, "cid", "left_semi")
+    rows = sets.filter("n > 0").select("rid", "n", "point")
+    return stored(rows.join(first, "rid").select("cid", "rid", "n", "copies", "point"), "points")
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
@@ -420,21 +505,19 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     ``kept`` marks one row of each component: the smallest doc_id's (the first
     of repeated rows), and every row with the empty set.
     """
-    sets = document_sets(docs)
-    rows = sets.filter("rid IS NOT NULL")
-    classes = rows.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("rid").alias("cid"), F.count("*").alias("copies"))
-    classes = stored(classes, "classes")
-    points = stored(rows.join(classes.select("cid", "copies"), rows["rid"] == F.col("cid"))
-                    .select("cid", "n", "copies", "tokens", "point"), "points")
-    prefixes = _prefixes(points, _frequent(sets))
-    blocks = stored(_blocks(prefixes), "blocks")
-    links = stored(_verified(stored(_block_pairs(blocks, points), "pairs"), points), "links")
-    common = prefixes.filter("common").select("token", "cid").join(points.select("cid", "copies"), "cid")
-    links = stored(_common_links(common, points, links), "links")
-    found = components(links).withColumnRenamed("id", "cid")
-    member = rows.select("rid", "doc_id", "text_key", "n", "s1", "s2") \
-                 .join(classes.select("s1", "s2", "n", "cid"), ["s1", "s2", "n"], "left") \
-                 .join(found, "cid", "left") \
+    found = document_sets(docs)
+    sets = found.filter("rid IS NOT NULL")
+    prefixes = _prefixes(sets, _frequent(found))
+    blocks, large = _blocks(prefixes)
+    common = stored(prefixes.filter("common").select("token", "cid").union(large).distinct(), "common")
+    wanted = blocks.select(F.explode("members").alias("cid")).union(common.select("cid")).distinct()
+    points = _points(sets, wanted)
+    common = stored(common.join(points.select("cid", "copies"), "cid"), "common")
+    # The short blocks' pairs and the first leaders' are verified together.
+    pairs = _block_pairs(blocks, points).union(_lead_pairs(common.withColumn("component", F.col("cid")), points))
+    links = _verified(pairs, sets, points)
+    group = _common_groups(common, sets, points, links)
+    member = sets.select("rid", "doc_id", "text_key", "n", "cid").join(group, "cid", "left") \
                  .withColumn("component", F.coalesce("component", "cid"))
     first = member.filter("component IS NOT NULL").groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("f"))
