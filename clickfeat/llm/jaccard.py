@@ -83,8 +83,12 @@ def needed(a, b):
 
 
 def groups_of(n: int) -> int:
-    """Groups of a point: a power of two that leaves a few shingles to each."""
-    return max(8, 1 << max(0, n.bit_length() - 3))
+    """Groups of a point: a power of two that leaves one or two shingles to each.
+
+    With more to a group, unlike shingles of two sets meet in one by chance
+    and the bound lets pairs through that are some way below the similarity.
+    """
+    return max(8, 1 << max(0, n.bit_length() - 1))
 
 
 def _packed(tokens: np.ndarray) -> bytes:
