@@ -10,13 +10,19 @@ double precision, with all others of their leaves; a pair that shares several
 leaves counts in the one of least code. Leaves pass on link counts and one
 edge a vector, never their pairs.
 
-Equal vectors are one vector with a weight. Groups of near copies that hold at
-least ``HEAVY`` of the sample are balls: vectors within ``BALL_COSINE`` of a
-centre (half the angle of the link) are all linked with each other without a
-comparison, so a group of any size costs one pass.
-
-Recall against all pairs is measured in the tests; a deeper forest (more
-vectors) loses a little at each split, which more trees make up.
+Equal vectors are one vector with a weight. Groups that hold at least ``HEAVY``
+of the sample do not go through the trees, which would cut them: their centres
+are centroids of the sample's dense parts, and a vector linked with a centre
+belongs to the nearest one. Its partners lie within twice the link's angle of
+that centre (``RIM_COSINE``), so a group is compared exactly with all vectors
+there, in blocks of slices dealt by hash. Vectors within ``BALL_COSINE`` of the
+centre (half the link's angle) are all linked with each other without a
+comparison, so tight copies cost one pass; the others of a group cost as many
+comparisons as it has pairs. Links of a heavy group are therefore all found.
+
+Recall of the trees, which hold the other vectors, is measured in the tests
+against all pairs; a deeper forest (more vectors) loses a little at each split,
+which more trees make up.
 
 Defined cases: vectors that are NULL, empty, zero or hold NULL or non-finite
 components link with nothing; vectors of different length do not link; a row
@@ -42,8 +48,10 @@ DEPTH = 10            # splits of one round
 SAMPLE = 8192         # vectors a node's splits are fitted on
 SPILL = 0.1           # share of a node's vectors that go to both sides
 ROUNDS = 8            # rounds of splits; each divides a large leaf by up to 2**DEPTH
-HEAVY = 0.01          # share of the sample that makes a ball
+HEAVY = 0.01          # share of the sample that makes a heavy group
 BALL_COSINE = float(np.cos(np.arccos(COSINE) / 2)) + 1e-9
+RIM_COSINE = float(np.cos(np.arccos(COSINE) * 2)) - 1e-9
+SLICE = 4096          # vectors of a heavy group on one side of a block
 SEED = 20
 
 
@@ -105,12 +113,15 @@ def _lists(row: np.ndarray, code: np.ndarray, n: int) -> pa.Array:
 
 
 def _planted(vectors: DataFrame, n: int) -> DataFrame:
-    """``cid, w, v, ball, cells``: every vector's first leaves in all trees, and its ball."""
-    depth = _depth(n)
+    """``cid, w, v, ball, tight, rims, cells``: a vector's heavy group (else -1), whether it lies in
+    the group's ball, the groups it is compared with, and its first leaves in all trees (if it has no group)."""
     sample = _unit(pa.array(bounded_sample(vectors, "cid", SAMPLE).toPandas()["v"].tolist(),
                             pa.list_(pa.float64())))
-    bands = [fit_splits(t, depth, sample) for t in range(TREES)]
-    shipped = vectors.sparkSession.sparkContext.broadcast((bands, _centres(sample)))
+    centres = _centres(sample)
+    rest = sample[_groups(sample, centres)[0] < 0]
+    depth = _depth(n * len(rest) // max(1, len(sample)))
+    bands = [fit_splits(t, depth, rest) for t in range(TREES)]
+    shipped = vectors.sparkSession.sparkContext.broadcast((bands, centres))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, centres = shipped.value
@@ -118,39 +129,108 @@ def _planted(vectors: DataFrame, n: int) -> DataFrame:
             if not b.num_rows:
                 continue
             x = _unit(b.column("v"))
-            found = [descend(t, depth, bands[t], x) for t in range(TREES)]
+            ball, tight, rims = _groups(x, centres)
+            free = np.flatnonzero(ball < 0)
+            found = [descend(t, depth, bands[t], x[free]) for t in range(TREES)]
             row, code = (np.concatenate(c) for c in zip(*found, strict=True))
-            ball = np.full(len(x), -1, np.int64)
-            if len(centres):
-                near = x @ centres.T >= BALL_COSINE
-                ball = np.where(near.any(1), near.argmax(1), -1)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ball), _lists(row, code, len(x))],
-                                             [*b.schema.names, "ball", "cells"])
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(ball), pa.array(tight), _lists(*np.nonzero(rims), len(x)), _lists(free[row], code, len(x))],
+                [*b.schema.names, "ball", "tight", "rims", "cells"])
 
     kind = dict(vectors.dtypes)["v"]
     return stored(vectors.select("cid", "w", "v").mapInArrow(
-        run, f"cid long, w long, v {kind}, ball long, cells array<long>"), "forest")
+        run, f"cid long, w long, v {kind}, ball long, tight boolean, rims array<long>, cells array<long>"), "forest")
+
+
+def _groups(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per vector its heavy group or -1, whether it lies in that group's ball, and the groups it is compared with.
+
+    A pair of two groups is compared in the one of least number, so a vector
+    joins no group above its own.
+    """
+    if not len(centres):
+        return np.full(len(x), -1, np.int64), np.zeros(len(x), bool), np.zeros((len(x), 0), bool)
+    near = x @ centres.T
+    best = near.max(1)
+    ball = np.where(best >= COSINE, near.argmax(1), -1)
+    number = np.arange(len(centres))
+    rims = (near >= RIM_COSINE) & ((ball[:, None] < 0) | (number <= ball[:, None]))
+    return ball, best >= BALL_COSINE, rims
 
 
 def _centres(sample: np.ndarray) -> np.ndarray:
-    """Centres of the balls that hold a heavy share of the sample (at most 1 / HEAVY)."""
+    """Centres of the groups that hold a heavy share of the sample (at most 1 / HEAVY)."""
     least, free, out = max(8, int(HEAVY * len(sample))), np.ones(len(sample), bool), []
     if len(sample) < 64:
         return np.zeros((0, sample.shape[1]))
     degree = np.zeros(len(sample), np.int64)
     for at in range(0, len(sample), 1024):
-        degree[at:at + 1024] = (sample[at:at + 1024] @ sample.T >= BALL_COSINE).sum(1)
+        degree[at:at + 1024] = (sample[at:at + 1024] @ sample.T >= COSINE).sum(1)
     for i in np.argsort(-degree, kind="stable"):
         if degree[i] < least:
             break
         if free[i]:
-            near = sample @ sample[i] >= BALL_COSINE
+            near = (sample @ sample[i] >= COSINE) & free
+            centre = sample[near].sum(0)
+            centre /= np.sqrt(centre @ centre)
+            near = sample @ centre >= COSINE
             if (near & free).sum() >= least:
-                out.append(sample[i])
+                out.append(centre)
                 free &= ~near
     return np.array(out).reshape(-1, sample.shape[1])
 
 
+def _heavy_links(index: DataFrame) -> DataFrame:
+    """``cid, n, other`` a block of a heavy group: as ``_compared``, without the pairs inside its ball."""
+    members = index.select("cid", "w", "v", "ball", "tight", F.explode("rims").alias("k")) \
+                   .withColumn("tight", F.col("tight") & (F.col("ball") == F.col("k")))
+    # One row a heavy group (at most 1 / HEAVY).
+    sizes = members.groupBy("k").agg(F.ceil(F.count_if(~F.col("tight")) / SLICE).alias("loose"),
+                                     F.ceil(F.count_if("tight") / SLICE).alias("balls")).filter("loose > 0")
+    h = F.xxhash64("cid")
+    own = F.when(F.col("tight"), F.col("loose") + F.pmod(h, F.greatest("balls", F.lit(1)))).otherwise(F.pmod(h, "loose"))
+    with_ = F.explode(F.sequence(F.lit(0), F.when(F.col("tight"), F.col("loose")).otherwise(F.col("loose") + F.col("balls")) - 1))
+    blocks = members.join(F.broadcast(sizes), "k").withColumn("own", own).withColumn("with", with_) \
+                    .select("k", F.least("own", "with").alias("a"), F.greatest("own", "with").alias("b"), "own",
+                            "cid", "w", "v", (F.col("ball") == F.col("k")).alias("core"), "tight")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in grouped(batches, ["k", "a", "b"]):
+            cid, w, own, core, tight = (t.column(c).to_numpy() for c in ("cid", "w", "own", "core", "tight"))
+            x = _unit(t.column("v").combine_chunks())
+            left, right = (np.flatnonzero(own == t.column(c)[0].as_py()) for c in ("a", "b"))
+            near = x[left] @ x[right].T >= COSINE
+            near &= core[left][:, None] | core[right][None, :]
+            near &= ~(tight[left][:, None] & tight[right][None, :])
+            same = t.column("a")[0].as_py() == t.column("b")[0].as_py()
+            if same:
+                np.fill_diagonal(near, False)
+            n = np.zeros(len(cid), np.int64)
+            for at in range(0, len(left), 512):
+                part = near[at:at + 512]
+                n[left[at:at + 512]] += part @ w[right]
+                if not same:
+                    n[right] += w[left[at:at + 512]] @ part
+            rank = np.empty(len(cid), np.int64)
+            order = np.argsort(cid)
+            rank[order] = np.arange(len(cid))
+            while True:     # the least vector of each linked group of the block
+                low = rank.copy()
+                for at in range(0, len(left), 512):
+                    part, some = near[at:at + 512], left[at:at + 512]
+                    low[some] = np.minimum(low[some], np.where(part, low[right], len(cid)).min(1, initial=len(cid)))
+                    low[right] = np.minimum(low[right], np.where(part, low[some][:, None], len(cid)).min(0, initial=len(cid)))
+                if (low == rank).all():
+                    break
+                rank = low
+            hit = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(cid[hit]), pa.array(n[hit]), pa.array(cid[order[rank[hit]]])],
+                                             ["cid", "n", "other"])
+
+    return blocks.repartition("k", "a", "b").sortWithinPartitions("k", "a", "b") \
+                 .mapInArrow(run, "cid long, n long, other long")
+
+
 def _split_again(index: DataFrame) -> DataFrame | None:
     """One more round over the leaves that are too large; None if there are none."""
     sizes = index.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count("*").alias("size")) \
@@ -183,7 +263,7 @@ def _split_again(index: DataFrame) -> DataFrame | None:
     large = rows.join(models, "cell").select("cid", "cell", "depth", "bands", "v") \
                 .mapInArrow(split, "cid long, cell long")
     cells = small.union(large).groupBy("cid").agg(F.array_sort(F.collect_set("cell")).alias("cells"))
-    return stored(index.drop("cells").join(cells, "cid").select("cid", "w", "v", "ball", "cells"), "forest")
+    return stored(index.drop("cells").join(cells, "cid").select("cid", "w", "v", "cells"), "forest")
 
 
 def _compared(index: DataFrame) -> DataFrame:
@@ -192,10 +272,9 @@ def _compared(index: DataFrame) -> DataFrame:
         for t in grouped(batches, ["cell"]):
             if t.num_rows < 2:
                 continue
-            cid, w, ball = (t.column(c).to_numpy() for c in ("cid", "w", "ball"))
+            cid, w = (t.column(c).to_numpy() for c in ("cid", "w"))
             x = _unit(t.column("v").combine_chunks())
             near = x @ x.T >= COSINE
-            near &= ~((ball[:, None] == ball[None, :]) & (ball[:, None] >= 0))
             np.fill_diagonal(near, False)
             i, j = np.nonzero(np.triu(near))
             if not len(i):
@@ -217,7 +296,7 @@ def _compared(index: DataFrame) -> DataFrame:
                                               pa.array(cid[order[rank[hit]]])], ["cid", "n", "other"])
 
     return index.withColumn("cell", F.explode("cells")).repartition("cell").sortWithinPartitions("cell") \
-                .select("cell", "cid", "w", "ball", "cells", "v").mapInArrow(run, "cid long, n long, other long")
+                .select("cell", "cid", "w", "cells", "v").mapInArrow(run, "cid long, n long, other long")
 
 
 def _owned(cells: pa.Array, i: np.ndarray, j: np.ndarray, cell: int) -> np.ndarray:
@@ -246,17 +325,18 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     classes = stored(rows.filter("v IS NOT NULL").groupBy("v").agg(F.min("rid").alias("cid"), F.count("*").alias("w")), "distinct")
     found = None
     for d in classes.groupBy(F.size("v").alias("dim")).count().collect():
-        index = _planted(classes.filter(F.size("v") == d["dim"]), d["count"])
+        planted = _planted(classes.filter(F.size("v") == d["dim"]), d["count"])
+        index = planted.filter("ball < 0").select("cid", "w", "v", "cells")
         for _ in range(ROUNDS):
             again = _split_again(index)
             if again is None:
                 break
             index = again
-        links = stored(_compared(index), "leaf-links").withColumn("ball_w", F.lit(None).cast("long"))
-        balls = index.filter("ball >= 0").groupBy("ball").agg(F.sum("w").alias("all"), F.min("cid").alias("other"))
-        inside = index.filter("ball >= 0").select("cid", "ball", "w").join(F.broadcast(balls), "ball") \
-                      .select("cid", (F.col("all") - F.col("w")).alias("n"), "other", F.col("w").alias("ball_w"))
-        both = stored(links.union(inside), "links")
+        tight = planted.filter("ball >= 0 AND tight")
+        balls = tight.groupBy("ball").agg(F.sum("w").alias("all"), F.min("cid").alias("other"))
+        inside = tight.select("cid", "ball", "w").join(F.broadcast(balls), "ball") \
+                      .select("cid", (F.col("all") - F.col("w")).alias("n"), "other")
+        both = stored(_compared(index).union(_heavy_links(planted)).union(inside), "links")
         found = both if found is None else found.union(both)
     if found is None:
         found = classes.select("cid", F.lit(0).cast("long").alias("n"), F.col("cid").alias("other")).limit(0)

@@ -205,6 +205,23 @@ def test_forest_recall(spark, monkeypatch, leaf):
     assert same >= 0.95 * len(v)
 
 
+def test_forest_keeps_all_links_of_a_loose_heavy_group(spark, monkeypatch):
+    """A group of a third with pair cosines about 0.93: no ball holds it, and no leaf may cut it."""
+    monkeypatch.setattr(forest, "LEAF", 64)
+    monkeypatch.setattr(forest, "LEAF_MOST", 256)
+    monkeypatch.setattr(forest, "SLICE", 300)
+    rng = np.random.default_rng(5)
+    c = rng.standard_normal(64)
+    v = np.vstack([0.93 ** 0.5 * c / np.linalg.norm(c) + 0.07 ** 0.5 * rng.standard_normal((1000, 64)) / 8,
+                   rng.standard_normal((2000, 64))])
+    u = X.unit(v)
+    degree = (u @ u.T >= 0.9).sum(1) - 1
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(v)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in forest.near_vectors(df).collect()}
+    assert [got[i][0] for i in range(len(v))] == degree.tolist()
+    assert {got[i][1] for i in range(1000)} == {0}
+
+
 def test_topk_ties_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(topk, "QUERY_BLOCK", 40)
     monkeypatch.setattr(topk, "BLOCK_ROWS", 64)
