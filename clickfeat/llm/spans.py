@@ -2,10 +2,17 @@
 
 A text is cut to sentences (words up to one that ends in . ! ? or before a
 line's end). From every sentence starts a span: the shortest run of at least
-``SENTENCES`` consecutive sentences with at least ``WORDS`` words. All spans of
-all documents are hashed (lower-cased words, white space aside) and joined
-globally; the first occurrence of a span (smallest doc_id, then row and place)
-stays, and every sentence that a later occurrence covers is removed.
+``SENTENCES`` consecutive sentences with at least ``WORDS`` words. Sentences of
+more than ``LONG`` words are also cut to units, behind each word whose hash is
+the least of any ``WINDOW`` consecutive words of its sentence (the last of equal
+ones), so that equal words are cut alike wherever they lie; further spans are
+made of units (short sentences are units themselves) in the same way. Any
+passage of 50 words that two documents share holds a whole span of both.
+
+All spans of all documents are hashed (lower-cased words, white space aside) and
+joined globally; the first occurrence of a span (smallest doc_id, then row and
+place) stays, and every unit that a later occurrence covers is removed. A span
+of cut units that overlaps its own first occurrence leaves that one whole.
 
 Counting the spans combines on the map side and the join back splits hot
 hashes, so a passage in every document costs no more than its rows.
@@ -29,13 +36,15 @@ from clickfeat.llm.common import raw, stored
 from clickfeat.llm.hashing import Words, lots, run_hashes
 
 SENTENCES, WORDS = 2, 12
+LONG, WINDOW = 16, 8  # words of a sentence that is not cut; words with a cut behind at least one
 STOPS = np.frombuffer(b".!?", np.uint8)
 
 
 def sentence_spans(texts: list[bytes]):
-    """Per text: (sentence starts, ends in code points, span hashes, span lengths).
+    """Per text: (unit starts, ends in code points, their sentences, span places, hashes, lengths).
 
-    Spans start at the text's first sentences; the last ones have none.
+    Places and lengths count units; the length of a span that is not a run of
+    whole sentences alone is negative.
     """
     w = Words(texts)
     n = len(w.start)
@@ -43,78 +52,119 @@ def sentence_spans(texts: list[bytes]):
     lines = np.concatenate([[0], np.cumsum(w.data == 10)])
     if not n:
         none = np.zeros(0, np.int64)
-        return [(none, none, none, none) for _ in texts]
+        return [(none,) * 6 for _ in texts]
     # A sentence ends with its word, at a line's end, and with its text (texts are lines).
     last = np.isin(w.data[w.end - 1], STOPS)
     last[:-1] |= lines[w.start[1:]] > lines[w.end[:-1]]
     last[-1] = True
     closes = np.flatnonzero(last) + 1
     opens = np.concatenate([[0], closes[:-1]])
-    cuts = np.searchsorted(opens, w.cuts)
-    stop = np.repeat(cuts[1:], np.diff(cuts))             # per sentence: its text's end
-    at = np.arange(len(opens))
-    to = np.maximum(at + SENTENCES, np.searchsorted(closes, opens + WORDS) + 1)
-    whole = to <= stop
-    h = run_hashes(w.hash, opens[whole], closes[to[whole] - 1]).view(np.int64)
-    begin, end = chars[w.start[opens]], chars[w.end[closes - 1]]
-    spans = np.concatenate([[0], np.cumsum(whole)])
+    sentence = np.repeat(np.arange(len(opens)), closes - opens)
+    cut = _cut(w.hash, last, sentence, (closes - opens)[sentence] > LONG)
+    unit_closes = np.flatnonzero(cut) + 1
+    unit_opens = np.concatenate([[0], unit_closes[:-1]])
+    start, end = _runs(opens, closes, w.cuts)
+    more, upto = _runs(unit_opens, unit_closes, w.cuts)
+    whole = np.full(n, -1)
+    whole[start] = end
+    new = whole[more] != upto
+    loose = np.repeat([False, True], [len(start), new.sum()])
+    start, end = np.concatenate([start, more[new]]), np.concatenate([end, upto[new]])
+    order = np.argsort(start, kind="stable")
+    start, end, loose = start[order], end[order], loose[order]
+    h = run_hashes(w.hash, start, end).view(np.int64)
+    at = np.searchsorted(unit_opens, start)
+    size = np.searchsorted(unit_closes, end) + 1 - at
+    size[loose] *= -1
+    begins, ends, own = chars[w.start[unit_opens]], chars[w.end[unit_closes - 1]], sentence[unit_opens]
+    units, spans = np.searchsorted(unit_opens, w.cuts), np.searchsorted(start, w.cuts)
     out = []
     for k in range(len(texts)):
-        lo, hi = cuts[k], cuts[k + 1]
-        a, b = spans[lo], spans[hi]
+        lo, hi, a, b = units[k], units[k + 1], spans[k], spans[k + 1]
         base = chars[w.heads[k]]
-        out.append((begin[lo:hi] - base, end[lo:hi] - base, h[a:b], (to - at)[lo:hi][whole[lo:hi]]))
+        out.append((begins[lo:hi] - base, ends[lo:hi] - base, own[lo:hi] - own[lo:lo + 1], at[a:b] - lo, h[a:b], size[a:b]))
     return out
 
 
+def _cut(words: np.ndarray, last: np.ndarray, sentence: np.ndarray, long: np.ndarray) -> np.ndarray:
+    """Whether a unit ends with a word; ``last``: a sentence does, ``long``: its sentence is cut."""
+    cut, ahead = last.copy(), WINDOW - 1
+    windows = np.flatnonzero(long[:-ahead] & (sentence[:-ahead] == sentence[ahead:]))
+    if len(windows):
+        each = np.lib.stride_tricks.sliding_window_view(words, WINDOW)[windows]
+        cut[windows + ahead - each[:, ::-1].argmin(1)] = True
+    return cut
+
+
+def _runs(opens: np.ndarray, closes: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First word and end of the shortest run from each sentence or unit that is a span."""
+    cuts = np.searchsorted(opens, texts)
+    stop = np.repeat(cuts[1:], np.diff(cuts))             # per sentence: its text's end
+    to = np.maximum(np.arange(len(opens)) + SENTENCES, np.searchsorted(closes, opens + WORDS) + 1)
+    whole = to <= stop
+    return opens[whole], closes[to[whole] - 1]
+
+
 def _list(parts: list[np.ndarray], kind) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else [], kind))
 
 
 def document_spans(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row a document: sentence places, span hashes and lengths; written once."""
+    """One row a document: unit places and sentences, span places, hashes and lengths; written once."""
     source = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
     kind = dict(docs.dtypes)["doc_id"]
-    names = ["rid", "doc_id", *carry, "begins", "ends", "spans", "sizes"]
+    names = ["rid", "doc_id", *carry, "begins", "ends", "sentences", "places", "spans", "sizes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [x for part in lots([t or b"" for t in raw(b.column("text"))]) for x in sentence_spans(part)]
-            cols = [[x[i] for x in found] for i in range(4)]
-            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32())
+            cols = [[x[i] for x in found] for i in range(6)]
+            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [b.column("rid"), b.column("doc_id"), *[b.column(c) for c in carry],
                  *[_list(c, k) for c, k in zip(cols, kinds, strict=True)]], names)
 
     extra = "".join(f"{c} {dict(docs.dtypes)[c]}, " for c in carry)
-    schema = f"rid long, doc_id {kind}, {extra}begins array<int>, ends array<int>, spans array<long>, sizes array<int>"
+    schema = f"rid long, doc_id {kind}, {extra}begins array<int>, ends array<int>, " \
+             "sentences array<int>, places array<int>, spans array<long>, sizes array<int>"
     return stored(source.mapInArrow(run, schema), "spans")
 
 
 def repeated_sentences(rows: DataFrame) -> DataFrame:
-    """``rid, gone``: the numbers of the sentences that non-first spans cover."""
-    each = rows.select("rid", "doc_id", "sizes", F.posexplode("spans").alias("at", "h"))
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"), F.col("at"))
-    first = each.groupBy("h").agg(F.min(order).alias("f"), F.count("*").alias("n")).filter("n > 1") \
-                .select("h", F.col("f.rid").alias("first_rid"), F.col("f.at").alias("first_at"))
+    """``rid, gone, whole``: the units that non-first spans cover, and those that spans of whole sentences do."""
+    each = rows.select("rid", "doc_id", F.explode(F.arrays_zip("places", "spans", "sizes")).alias("s")) \
+               .select("rid", "doc_id", F.col("s.places").alias("at"), F.col("s.spans").alias("h"), F.col("s.sizes").alias("size"))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"), F.col("at"), F.col("size"))
+    first = each.groupBy("h").agg(F.min(order).alias("f"), F.min(F.when(F.col("size") > 0, order)).alias("g"),
+                                  F.count("*").alias("n")).filter("n > 1") \
+                .select("h", F.col("g.rid").alias("whole_rid"), F.col("g.at").alias("whole_at"), F.col("f.rid").alias("first_rid"), F.col("f.at").alias("first_at"),
+                        (F.col("f.at") + F.abs("f.size")).alias("first_end"))
     # Written, so that the join reads it by an exchange of its own and can split a hot span.
     first = stored(first, "repeated-spans")
-    again = each.select("rid", "at", F.element_at("sizes", F.col("at") + 1).alias("size"), "h").join(first, "h") \
-                .filter("rid != first_rid OR at != first_at")
-    covered = F.transform(F.collect_list(F.struct("at", "size")), lambda s: F.sequence(s["at"], s["at"] + s["size"] - 1))
-    return again.groupBy("rid").agg(F.array_sort(F.array_distinct(F.flatten(covered))).alias("gone"))
+    begin = F.when(F.expr("size < 0 AND rid = first_rid"), F.greatest("at", "first_end")).otherwise(F.col("at"))
+    again = each.select("rid", "at", "size", "h").join(first, "h").filter("rid != first_rid OR at != first_at") \
+                .select("rid", begin.alias("begin"), (F.col("at") + F.abs("size")).alias("end"),
+                        F.expr("size > 0 AND (rid != whole_rid OR at != whole_at)").alias("whole")).filter("begin < end")
+
+    def covered(spans):
+        each = F.transform(F.collect_list(spans), lambda s: F.sequence(s["begin"], s["end"] - 1))
+        return F.array_sort(F.array_distinct(F.flatten(each)))
+
+    span = F.struct("begin", "end")
+    return again.groupBy("rid").agg(covered(span).alias("gone"), covered(F.when(F.col("whole"), span)).alias("whole"))
 
 
 def _marked(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``gone`` and the removed places as ``cut``: stretches of adjoining sentences."""
-    both = rows.drop("spans", "sizes").join(repeated_sentences(rows), "rid", "left")
+    """``rows`` with ``gone`` and the removed places as ``cut`` (stretches of adjoining units); ``n_removed``: sentences of repeated sentence spans."""
+    both = rows.drop("places", "spans", "sizes").join(repeated_sentences(rows), "rid", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for b in batches:
-            out = []
-            for gone, begins, ends in zip(*[b.column(c).to_pylist() for c in ("gone", "begins", "ends")], strict=True):
+            out, removed = [], []
+            for gone, begins, ends, own, whole in zip(
+                    *[b.column(c).to_pylist() for c in ("gone", "begins", "ends", "sentences", "whole")], strict=True):
                 cut: list[dict] = []
                 for k, i in enumerate(gone or ()):
                     if k and gone[k - 1] == i - 1:
@@ -122,14 +172,17 @@ def _marked(rows: DataFrame) -> DataFrame:
                     else:
                         cut.append({"start": begins[i], "end": ends[i]})
                 out.append(cut)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, kind)], [*b.schema.names, "cut"])
+                removed.append(len({own[i] for i in whole or ()}))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, kind), pa.array(removed, pa.int64())],
+                                             [*b.schema.names, "cut", "n_removed"])
 
-    schema = both.withColumn("cut", F.lit(None).cast("array<struct<start:int,end:int>>")).schema
+    schema = both.withColumn("cut", F.lit(None).cast("array<struct<start:int,end:int>>")) \
+                 .withColumn("n_removed", F.lit(None).cast("long")).schema
     return both.mapInArrow(run, schema)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, text without the sentences of repeated spans, and the places cut from it."""
+    """doc_id, text without the units of repeated spans, and the places cut from it."""
     rows = _marked(document_spans(docs, carry=("text",)))
     kind = dict(docs.dtypes)["doc_id"]
 
@@ -150,10 +203,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
 
 def span_report(docs: DataFrame) -> DataFrame:
-    """doc_id, sentences, removed sentences and characters, removed places as start:end."""
+    """doc_id, sentences, those that repeated sentence spans cover, removed characters, removed places as start:end.
+
+    Characters and places count cut units too.
+    """
     rows = _marked(document_spans(docs))
     size = F.aggregate("cut", F.lit(0), lambda n, c: n + c["end"] - c["start"])
     return rows.select(
-        "doc_id", F.size("begins").cast("long").alias("n_sentences"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"), size.cast("long").alias("removed_chars"),
+        "doc_id", F.coalesce(F.array_max("sentences") + 1, F.lit(0)).cast("long").alias("n_sentences"),
+        "n_removed", size.cast("long").alias("removed_chars"),
         F.concat_ws(",", F.transform("cut", lambda c: F.concat_ws(":", c["start"].cast("string"), c["end"].cast("string")))).alias("removed"))

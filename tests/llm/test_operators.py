@@ -38,6 +38,32 @@ def test_spans_cut_text(spark):
     assert {r["doc_id"]: r["text"] for r in spans.without_repeats(rows).collect()} == {1: X.PASSAGE, 2: "Own words.  Own end."}
 
 
+def test_spans_cut_overlong_sentences(spark):
+    """Copies and passages of one long sentence go; the first copy and other words stay."""
+    rng = random.Random(3)
+    some = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    whole, passage = " ".join(some(60)), some(50)
+    docs = [(1, whole), (2, whole), (3, " ".join(some(30) + passage + some(25))), (4, " ".join(some(41) + passage + some(9))),
+            (5, "the " * 100)]
+    got = {r["doc_id"]: r["text"].split() for r in spans.without_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[1] == docs[0][1].split() and got[3] == docs[2][1].split() and got[2] == []
+    assert len(got[4]) <= 100 - 12 and got[4][:41] == docs[3][1].split()[:41] and got[4][-9:] == docs[3][1].split()[-9:]
+    assert 12 <= len(got[5]) <= 24
+    report = {r["doc_id"]: r for r in spans.span_report(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert report[2]["removed"] == f"0:{len(whole)}" and report[2]["n_sentences"] == 1 and report[1]["removed"] == ""
+
+
+def test_every_shared_passage_of_fifty_words_holds_a_span():
+    rng = random.Random(4)
+    for stops in (0.0, 0.02, 0.05, 0.2):
+        for _ in range(200):
+            text = lambda n: [f"w{rng.randrange(300)}" + "." * (rng.random() < stops) for _ in range(n)]
+            passage = text(50)
+            pair = [" ".join(text(rng.randrange(60)) + passage + text(rng.randrange(60))).encode() for _ in range(2)]
+            a, b = spans.sentence_spans(pair)
+            assert set(a[4].tolist()) & set(b[4].tolist())
+
+
 def test_mixture_fills_siblings_first(spark):
     rows = spark.createDataFrame(
         [("a", "x", 10, 10), ("a", "y", 10, 100), ("b", "z", 1, 500)], "domain string, lang string, w int, supply long")
