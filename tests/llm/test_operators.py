@@ -307,6 +307,17 @@ def test_wrapper_content_without_article():
     assert wrappers.extract(html, set(paths)) == " ".join(f"Paragraph {i} of the story & more." for i in range(8))
 
 
+def test_minority_templates_keep_their_text(spark):
+    story = lambda i: f"<p>Story {i} with a few words.</p>"
+    blog = [f"<body><nav>Menu</nav><article>{story(i)}</article></body>" for i in range(8)]
+    shop = ["<body><nav>Menu</nav><div class=item><p>An item for sale</p></div></body>", "just text", "<body><nav>Menu</nav></body>"]
+    plain = [f"<body><div class=story>{story(i) * 9}</div></body>" for i in range(8)] + ["<body><section class=old><p>Old page</p></section></body>"]
+    pages = [(i, "http://a.example/", h) for i, h in enumerate(blog + shop)] + [(100 + i, "http://b.example/", h) for i, h in enumerate(plain)]
+    got = {r["page_id"]: r["text"] for r in wrappers.main_texts(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got[0] == "Story 0 with a few words."
+    assert (got[8], got[9], got[10], got[108]) == ("An item for sale", "just text", "", "Old page")
+
+
 def test_secret_battery_finds_other_encodings(spark):
     rng = random.Random(8)
     prose = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(3, 22))) for _ in range(4000)]
