@@ -241,12 +241,13 @@ def _training_table(spark, sf_dir):
     return materialize(spark, f, fresh_dir(spark, "training"))
 
 
-# The model queries' own settings: the library's defaults are the full 100
-# rounds and 25 trials, which fits of many seconds each put out of a check's reach.
+# The single fit's parameters.
 QUERY_PARAMS = ML.Params(max_depth=3, learning_rate=0.1, scale_pos_weight=2.0)
 
 
-ROUNDS, TRIALS = 5, 3
+# The library's full budgets; only the tests set smaller ones (tests/conftest.py).
+ROUNDS, TRIALS = ML.MAX_ITER, ML.MAX_EVALS
+LISTED_TRIALS = 3     # rows of the oracle's statement for tuning_trials
 MODEL = "purchase_intent"
 
 
@@ -271,14 +272,14 @@ def _checked(scored):
         ((F.col("prediction") == 1) == (p > 0.5)).alias("agrees"))
 
 
-def _trials(spark, f):
-    return ML.tune(spark, S.split_rows(f, "train"), S.split_rows(f, "test"), max_evals=TRIALS,
-                   parallelism=TRIALS, max_iter=ROUNDS, seed=1, run_id="query")
+def _trials(spark, f, trials):
+    return ML.tune(spark, S.split_rows(f, "train"), S.split_rows(f, "test"), max_evals=trials,
+                   parallelism=min(trials, ML.PARALLELISM), max_iter=ROUNDS, seed=1, run_id="query")
 
 
 def q_tuning_trials(spark, sf_dir):
     """Every trial: whether its parameters lie in the search space and its loss is -AP."""
-    t = _trials(spark, _training_table(spark, sf_dir))
+    t = _trials(spark, _training_table(spark, sf_dir), LISTED_TRIALS)
     return t.select(
         "trial", F.col("max_depth").between(1, 20).alias("depth_ok"),
         F.col("learning_rate").between(0.01, 0.4).alias("rate_ok"),
@@ -289,7 +290,7 @@ def q_tuning_trials(spark, sf_dir):
 
 def q_best_trial(spark, sf_dir):
     """The chosen parameters are those of the trial with the highest AP."""
-    t = _trials(spark, _training_table(spark, sf_dir))
+    t = _trials(spark, _training_table(spark, sf_dir), TRIALS)
     best = ML.best_params(t)
     chosen = (F.col("max_depth") == best.max_depth) & (F.col("learning_rate") == best.learning_rate)
     return t.agg(F.count_if(chosen).alias("trials_chosen"),
@@ -299,7 +300,7 @@ def q_best_trial(spark, sf_dir):
 def _trained(spark, sf_dir):
     f = _training_table(spark, sf_dir)
     registry = fresh_dir(spark, "registry")
-    ML.train(spark, f, registry, MODEL, max_evals=TRIALS, parallelism=TRIALS, max_iter=ROUNDS)
+    ML.train(spark, f, registry, MODEL, max_evals=TRIALS, parallelism=min(TRIALS, ML.PARALLELISM), max_iter=ROUNDS)
     return f, registry
 
 

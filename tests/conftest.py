@@ -12,6 +12,15 @@ SF_SMALL = "/root/testdata/sf0.001"
 SF_ORACLE = os.environ.get("CLICKFEAT_ORACLE_SF", "/root/testdata/sf0.001")
 
 
+@pytest.fixture(scope="session", autouse=True)
+def small_budgets():
+    """Model queries fit 5 rounds and 3 trials here; the catalogue itself runs the full budgets."""
+    from clickfeat.plans import queries
+
+    queries.FULL = queries.ROUNDS, queries.TRIALS
+    queries.ROUNDS, queries.TRIALS = 5, 3
+
+
 @pytest.fixture(scope="session")
 def spark():
     from clickfeat.session import local_session

@@ -27,6 +27,12 @@ def _shape(plan: str) -> tuple[int, int, int, int]:
     return tuple(plan.count(x) for x in ("REPARTITION_BY_COL", "SortMergeJoin", "ShuffledHashJoin", "BroadcastHashJoin"))
 
 
+def test_model_queries_run_the_full_budgets():
+    from clickfeat.plans import model, queries
+
+    assert queries.FULL == (model.MAX_ITER, model.MAX_EVALS) == (100, 25)
+
+
 def test_one_plan_with_one_event_exchange_at_every_size(spark):
     shapes = set()
     for n, hot in ((10, 2_000_000), (3000, 100)):
