@@ -5,7 +5,9 @@ checkpoint, so each run picks up only new drops; ``availableNow`` drains the
 backlog in bounded micro-batches and stops. Each row gets its source file
 (``_metadata.file_path``) and the micro-batch's processing time.
 
-The stream itself only names new files; each micro-batch reads them as CSV by
+Every file of the drop folder is read, whatever its ending (Spark skips names
+that begin with . or _, and unpacks .gz and the like by their ending). The
+stream itself only names new files; each micro-batch reads them as CSV by
 their own headers, so drops may differ in the order and the set of their
 columns. The schema is stored beside the checkpoint: given explicitly, or made
 of the headers seen (all text). A column that a new drop brings is added to
@@ -108,7 +110,7 @@ def ingest(spark: SparkSession, raw_path: str, staging_path: str, checkpoint: st
         rows.withColumn("processing_time", F.current_timestamp()) \
             .write.mode("overwrite").parquet(f"{staging_path}/{BATCH}={number}")
 
-    names = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", "*.csv") \
+    names = spark.readStream.format("binaryFile").schema(FILE_SCHEMA) \
         .option("maxFilesPerTrigger", max_files_per_trigger or MAX_FILES) \
         .load(raw_path).select("path")       # the contents are not read here
     query = (names.writeStream.foreachBatch(write)

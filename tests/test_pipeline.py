@@ -132,6 +132,19 @@ def test_stream_matches_columns_by_name_and_widens(spark):
     assert a[1:] == b[1:] and {a[0], b[0]} == {None, "c"}
 
 
+def test_stream_reads_every_file_name(spark):
+    import gzip
+
+    raw, root = tempfile.mkdtemp(), tempfile.mkdtemp()
+    for k, name in enumerate(("a.csv", "b.csv.gz", "c.CSV", "d.txt", "e", "_skipped.csv")):
+        put = gzip.open if name.endswith(".gz") else open
+        with put(f"{raw}/{name}", "wt") as f:
+            f.write(f"user_id,price\n{k},1.5\n")
+    ingest(spark, raw, f"{root}/staging", f"{root}/check")
+    rows = read_staging(spark, f"{root}/staging", f"{root}/check")
+    assert sorted(r["user_id"] for r in rows.collect()) == ["0", "1", "2", "3", "4"]
+
+
 def test_stream_honours_a_wider_schema(spark):
     from pyspark.sql import types as T
 
