@@ -110,6 +110,10 @@ def test_lattice_sums_all_segmentations():
     assert spelled == pytest.approx(sum(len(x) + 1 for x in batch))
 
 
+def test_lattice_runs_three_rounds():
+    assert lattice.ROUNDS == 3
+
+
 def test_lattice_is_a_distribution():
     """All words of up to seven letters, and what is longer, have probability below one in all."""
     w = lattice._logs(np.exp(np.array(VOCABULARY.scores))[:, None])
