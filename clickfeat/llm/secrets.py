@@ -60,9 +60,9 @@ def length_class(n: int) -> int:
 
 
 def encoding(token: str) -> tuple[str, str] | None:
-    """Name and alphabet of a token's encoding; None for words and numbers."""
+    """Name and alphabet of a token's encoding; None for numbers and letters of one case."""
     kinds = {_CLASS[c] for c in set(token)}
-    if 2 not in kinds or not kinds & {0, 1}:
+    if not kinds & {0, 1} or (2 not in kinds and not {0, 1} <= kinds):
         return None
     have = set(token)
     return next(((n, a) for n, a in ENCODINGS if have <= set(a)), None)

@@ -338,6 +338,17 @@ def test_secret_battery_finds_other_encodings(spark):
     assert upper not in texts[3] and "[SECRET]" in texts[3] and texts[5] == rows[5][1]
 
 
+def test_secrets_without_a_digit_are_found(spark):
+    rng = random.Random(9)
+    prose = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(3, 22))) for _ in range(4000)]
+    rows = [(i, " ".join(prose[20 * i:20 * i + 20])) for i in range(200)]
+    letters = "qQZtLxVbTRkWznYpGHsJvmDfAPcGeXUq"
+    rows[7] = (7, f"{letters} " + rows[7][1])
+    got = secrets.secret_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["spans"] for r in got if r["n_random"]} == {7: "random:0:32"}
+    assert secrets.encoding("etaoinshrdluetaoinshrdlu") is None and secrets.encoding("1234567890123456") is None
+
+
 def test_battery_rejects_order():
     alphabet = secrets.ENCODINGS[0][1]
     assert secrets.battery("0123456789abcdef0123456789abcdef", alphabet) < 0.05
