@@ -91,11 +91,13 @@ def _tables(voters: list[tuple[str, bytes]]):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, learn) -> DataFrame:
-    """``text, toxic`` of at most SAMPLE labelled rows for which ``learn`` holds."""
+    """``text, toxic`` of at most SAMPLE labelled rows for which ``learn`` holds, one a doc_id (least text hash)."""
     marked = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL") \
                    .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter(learn)
     marked = bounded_sample(marked, "doc_id", SAMPLE)
-    return stored(docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id").select("text", "toxic"), "toxic-sample")
+    rows = docs.select("doc_id", "text").join(F.broadcast(marked), "doc_id")
+    one = rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "toxic")).alias("r"))
+    return stored(one.select("r.text", "r.toxic"), "toxic-sample")
 
 
 def find_voters(rows: DataFrame) -> list[tuple[str, bytes]]:

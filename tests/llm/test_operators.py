@@ -291,6 +291,15 @@ def test_toxicity_held_out(spark):
     assert np.mean(hit) >= 0.95 and np.mean(clean) <= 0.02
 
 
+def test_toxicity_sample_holds_one_row_a_doc_id(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "b"), (3, None)], "doc_id long, text string")
+    marks = spark.createDataFrame([(1, 0), (2, 1), (3, 0)], "doc_id long, toxic int")
+    rows = toxicity.training_rows(df, marks, F.lit(True)).collect()
+    assert len(rows) == 3 and {"b", None} < {r["text"] for r in rows}
+
+
 def test_toxicity_without_toxic_rows(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
