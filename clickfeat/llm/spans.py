@@ -72,7 +72,7 @@ def sentence_spans(texts: list[bytes]):
     start, end = np.concatenate([start, more[new]]), np.concatenate([end, upto[new]])
     order = np.argsort(start, kind="stable")
     start, end, loose = start[order], end[order], loose[order]
-    h = run_hashes(w.hash, start, end).view(np.int64)
+    h = run_hashes(w.hash, start, end).view(np.int64) ^ loose     # the two kinds meet only their own
     at = np.searchsorted(unit_opens, start)
     size = np.searchsorted(unit_closes, end) + 1 - at
     size[loose] *= -1
@@ -135,17 +135,19 @@ def repeated_sentences(rows: DataFrame) -> DataFrame:
     """``rid, gone, whole``: the units that non-first spans cover, and those that spans of whole sentences do."""
     each = rows.select("rid", "doc_id", F.explode(F.arrays_zip("places", "spans", "sizes")).alias("s")) \
                .select("rid", "doc_id", F.col("s.places").alias("at"), F.col("s.spans").alias("h"), F.col("s.sizes").alias("size"))
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"), F.col("at"), F.col("size"))
-    first = each.groupBy("h").agg(F.min(order).alias("f"), F.min(F.when(F.col("size") > 0, order)).alias("g"),
-                                  F.count("*").alias("n")).filter("n > 1") \
-                .select("h", F.col("g.rid").alias("whole_rid"), F.col("g.at").alias("whole_at"), F.col("f.rid").alias("first_rid"), F.col("f.at").alias("first_at"),
-                        (F.col("f.at") + F.abs("f.size")).alias("first_end"))
+    # Place and length in one number, so that a row stays short.
+    place = F.shiftleft(F.col("at").cast("long"), 32) + F.abs("size")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"), place.alias("place"))
+    first = each.groupBy("h").agg(F.min(order).alias("f"), F.count("*").alias("n")).filter("n > 1") \
+                .withColumn("first_at", F.shiftright("f.place", 32).cast("int")) \
+                .select("h", F.col("f.rid").alias("first_rid"), "first_at",
+                        (F.col("first_at") + F.col("f.place").bitwiseAND((1 << 32) - 1).cast("int")).alias("first_end"))
     # Written, so that the join reads it by an exchange of its own and can split a hot span.
     first = stored(first, "repeated-spans")
     begin = F.when(F.expr("size < 0 AND rid = first_rid"), F.greatest("at", "first_end")).otherwise(F.col("at"))
     again = each.select("rid", "at", "size", "h").join(first, "h").filter("rid != first_rid OR at != first_at") \
                 .select("rid", begin.alias("begin"), (F.col("at") + F.abs("size")).alias("end"),
-                        F.expr("size > 0 AND (rid != whole_rid OR at != whole_at)").alias("whole")).filter("begin < end")
+                        (F.col("size") > 0).alias("whole")).filter("begin < end")
 
     def covered(spans):
         each = F.transform(F.collect_list(spans), lambda s: F.sequence(s["begin"], s["end"] - 1))
