@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickfeat.llm import forest, jaccard, lattice, mixing, pieces, secrets, spans, topk, toxicity, wrappers
+from clickfeat.llm import bootstrap, centroids, forest, jaccard, lattice, mixing, negatives, pieces, secrets, spans, topk, toxicity, wrappers
 from clickfeat.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,12 +52,75 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bootstrap.private_report(table(spark, sf_dir, "documents"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def catalogue() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_spans, op2_mixing, op3_lattice, op4_forest, op5_jaccard, op6_topk, op7_toxicity, op8_html, op9_pieces, op10_secrets)}
+    return {q.__name__: q for q in (op1_spans, op2_mixing, op3_lattice, op4_forest, op5_jaccard, op6_topk, op7_toxicity, op8_html, op9_pieces, op10_secrets,
+                                    op11_centroids, op12_bootstrap, op13_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": MIXING_SQL, "op6_topk": TOPK_SQL}
+    return {"op2_mixing": MIXING_SQL, "op6_topk": TOPK_SQL, "op11_centroids": centroids_sql(), "op13_negatives": NEGATIVES_SQL}
+
+
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.rid, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.rid <> b.rid AND len(a.q) = len(b.q)),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS place FROM s WHERE same),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.rid, p.place ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON p.rid = s.rid AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+  WHERE p.place <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+def centroids_sql(rounds: int = centroids.ROUNDS) -> str:
+    """The start, ``rounds`` of assigning and averaging, and a last assignment, each as a few CTEs."""
+    ctes = [f"""v AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE len(embedding) = {centroids.DIMS} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || CAST(vec_id AS VARCHAR)), q) - 1 AS INTEGER) AS c, q
+  FROM v WHERE vec_id IS NOT NULL QUALIFY c < {centroids.CENTROIDS})"""]
+    for k in range(rounds + 1):
+        ctes.append(f"""a{k} AS (
+  SELECT v.rid, min(struct_pack(d := CAST(list_sum(list_transform(list_zip(v.q, c{k}.q), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS BIGINT), c := c{k}.c)) AS m
+  FROM v JOIN c{k} ON true GROUP BY v.rid)""")
+        if k < rounds:
+            ctes.append(f"""s{k} AS (
+  SELECT a{k}.m.c AS c, i, CAST(sum(v.q[i]) AS BIGINT) AS s, count(*) AS n
+  FROM a{k} JOIN v USING (rid), range(1, {centroids.DIMS + 1}) r(i) GROUP BY 1, 2),
+m{k} AS (
+  SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS q FROM s{k} GROUP BY c),
+c{k + 1} AS (
+  SELECT c, coalesce(m{k}.q, c{k}.q) AS q FROM c{k} LEFT JOIN m{k} USING (c))""")
+    last = f"a{rounds}"
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT vec_id, {last}.m.c AS cluster, {last}.m.d AS distance,
+       CAST(sum({last}.m.d) OVER (PARTITION BY {last}.m.c) AS BIGINT) AS cluster_inertia, CAST(sum({last}.m.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c{rounds}.q, ',')) AS centroid_sha256
+FROM {last} JOIN v USING (rid) JOIN c{rounds} ON c{rounds}.c = {last}.m.c"""
 
 
 TOPK_SQL = """
