@@ -22,6 +22,7 @@ from clickfeat.operators.running import Slicing
 from clickfeat.plans import model as ML
 from clickfeat.plans.pipeline import Lake, run_pipeline
 from clickfeat.session import prepare
+from clickfeat.sources.tables import table_folder
 
 MODEL_NAME = "purchase_intent"
 
@@ -43,6 +44,7 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--before", help="keep only events before this time")
         p.add_argument("--ties", default="weight", choices=["weight", "multiply", "collapse"])
         p.add_argument("--max-files-per-trigger", type=int)
+        p.add_argument("--compact-after", type=int, default=100, help="staging folders that are swapped for large files beyond this")
         p.add_argument("--slice-unit", default="day")
         p.add_argument("--hot-rows", type=int, default=2_000_000)
     for cmd in ("train", "daily"):
@@ -55,6 +57,7 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--parallelism", type=int, default=ML.PARALLELISM)
         p.add_argument("--max-iter", type=int, default=ML.MAX_ITER)
         p.add_argument("--seed", type=int, default=0)
+        p.add_argument("--run-id", help="go on with the search of a training that was broken off")
     p = sub.add_parser("score")
     p.add_argument("--lake", required=True)
     p.add_argument("--registry", required=True)
@@ -68,13 +71,13 @@ def main(argv: list[str] | None = None) -> None:
             spark, args.lake, raw_path=args.raw, checkpoint=args.checkpoint,
             before=_cutoff(args.before), tiebreak=(), ties=args.ties,
             slicing=Slicing(unit=args.slice_unit, hot_rows=args.hot_rows),
-            max_files_per_trigger=args.max_files_per_trigger)
+            max_files_per_trigger=args.max_files_per_trigger, compact_after=args.compact_after)
         print(json.dumps({"tables": written}))
-    features_path = Lake(args.lake.rstrip("/")).path("silver", "features_and_labels")
+    features_path = table_folder(spark, Lake(args.lake.rstrip("/")).path("silver", "features_and_labels"))
     if args.cmd in ("train", "daily"):
         summary = ML.train(spark, spark.read.parquet(features_path), args.registry, args.name,
                            max_evals=args.max_evals, parallelism=args.parallelism,
-                           seed=args.seed, max_iter=args.max_iter)
+                           seed=args.seed, max_iter=args.max_iter, run_id=args.run_id)
         print(json.dumps(summary))
     if args.cmd == "score":
         ML.score(spark, spark.read.parquet(features_path), args.registry, args.name) \

@@ -9,6 +9,8 @@ give HUGEINT (cast to BIGINT).
 
 from __future__ import annotations
 
+import random
+
 # Metric and feature names (same as clickfeat.functions.ratios).
 COUNTS = ("events", "views", "carts", "purchases")
 RATIOS = (
@@ -206,6 +208,52 @@ WHERE bucket >= {lo} AND bucket < {hi}"""
 SCORE_SQL = "COALESCE(product_session_metrics__carts_to_events, 0.0)"
 
 
+def search_trials(seed: int, trials: int) -> list[tuple[int, float, float]]:
+    """The seeded search's draws: depth (whole, 1 to 20), rate (0.01 to 0.4), weight (1 to 100)."""
+    rng = random.Random(seed)
+    return [(round(rng.uniform(1, 20)), rng.uniform(0.01, 0.4), rng.uniform(1, 100)) for _ in range(trials)]
+
+
+def formula_sql(trials: list[tuple[int, float, float]], splits: dict[str, str]) -> str:
+    """``measured``: metrics of the formula score for every trial and split.
+
+    The score mixes two cart shares by the trial's rate and is cut to steps of
+    1 / (depth + 1); the class is 1 where score * weight >= 1 - score.
+    """
+    number = lambda x: f"CAST('{x!r}' AS DOUBLE)"
+    rows = ", ".join(f"({k}, {d}, {number(r)}, {number(w)})" for k, (d, r, w) in enumerate(trials))
+    cases = " ".join(f"SELECT '{name}' AS split, {SPLIT_RANGES[part][0]} AS lo, {SPLIT_RANGES[part][1]} AS hi UNION ALL"
+                     for name, part in splits.items()).removesuffix(" UNION ALL")
+    return with_(*FEATURES_AND_LABELS_CTES, SESSIONS) + f""",
+trials(trial, max_depth, learning_rate, scale_pos_weight) AS (VALUES {rows}),
+splits AS ({cases}),
+mixed AS (
+  SELECT trial, split, scale_pos_weight, purchased AS label,
+         floor((learning_rate * COALESCE(product_session_metrics__carts_to_events, CAST(0 AS DOUBLE))
+                + (CAST(1 AS DOUBLE) - learning_rate) * COALESCE(session_metrics__carts_to_events, CAST(0 AS DOUBLE)))
+               * (max_depth + 1)) / (max_depth + 1) AS score
+  FROM sessions JOIN features_and_labels USING (user_id, user_session) JOIN splits ON bucket >= lo AND bucket < hi, trials),
+counts AS (
+  SELECT trial, split, CAST(COUNT_IF(label = 1 AND hit) AS DOUBLE) AS tp, CAST(COUNT_IF(label = 0 AND hit) AS DOUBLE) AS fp,
+         CAST(COUNT_IF(label = 0 AND NOT hit) AS DOUBLE) AS tn, CAST(COUNT_IF(label = 1 AND NOT hit) AS DOUBLE) AS fn
+  FROM (SELECT *, score * scale_pos_weight >= CAST(1 AS DOUBLE) - score AS hit FROM mixed) GROUP BY trial, split),
+per_score AS (
+  SELECT trial, split, score, CAST(SUM(label) AS DOUBLE) AS pos, CAST(COUNT(*) AS DOUBLE) AS n FROM mixed GROUP BY trial, split, score),
+cum AS (
+  SELECT *, SUM(pos) OVER (PARTITION BY trial, split ORDER BY score DESC) AS tp,
+         SUM(n) OVER (PARTITION BY trial, split ORDER BY score DESC) AS k
+  FROM per_score),
+ranked AS (
+  SELECT trial, split, round(COALESCE(SUM(pos * tp / k) / NULLIF(SUM(pos), 0), 0.0), 9) AS average_precision FROM cum GROUP BY trial, split),
+measured AS (
+  SELECT t.trial, max_depth, learning_rate, scale_pos_weight, split, average_precision,
+         round((COALESCE(tp / NULLIF(tp + fn, 0), 0) + COALESCE(tn / NULLIF(tn + fp, 0), 0))
+               / NULLIF(CASE WHEN tp + fn > 0 THEN 1 ELSE 0 END + CASE WHEN tn + fp > 0 THEN 1 ELSE 0 END, 0), 9) AS balanced_accuracy,
+         round(COALESCE((tp * tn - fp * fn) / NULLIF(sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn)), 0), 0), 9) AS mcc
+  FROM trials t JOIN ranked USING (trial) JOIN counts USING (trial, split))
+"""
+
+
 def queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["bronze_events"] = with_(MAPPED) + (
@@ -287,14 +335,21 @@ mapped AS (
     for name, part in (("train_and_score", "test"), ("score_production", "validate")):
         lo, hi = SPLIT_RANGES[part]
         q[name] = with_(*FEATURES_AND_LABELS_CTES, SESSIONS) + (
-            "SELECT user_id, user_session, purchased, true AS binary, true AS in_range, true AS agrees "
+            "SELECT user_id, user_session, purchased, true AS binary, true AS in_range, true AS agrees, "
+            "true AS ranks, true AS separates "
             f"FROM sessions JOIN features_and_labels USING (user_id, user_session) WHERE bucket >= {lo} AND bucket < {hi}")
-    q["tuning_trials"] = ("SELECT CAST(trial AS INTEGER) AS trial, true AS depth_ok, true AS rate_ok, true AS weight_ok, "
-                          "true AS loss_ok, 'query' AS run_id, true AS stamped FROM range(3) t(trial)")
-    q["best_trial"] = "SELECT CAST(1 AS BIGINT) AS trials_chosen, true AS is_best"
-    q["model_latest"] = ("SELECT 'purchase_intent' AS name, CAST(version AS INTEGER) AS version, stage "
-                         "FROM (VALUES (1, 'archived'), (2, 'production')) v(version, stage)")
-    q["training_runs"] = ("SELECT 'trained' AS run, split, true AS average_precision_ok, true AS balanced_accuracy_ok, "
-                          "true AS mcc_ok, true AS has_run_id FROM (VALUES ('train_test'), ('validate')) s(split)")
+    trials = search_trials(1, 25)
+    q["tuning_trials"] = formula_sql(trials, {"test": "test"}) + (
+        "SELECT CAST(trial AS INTEGER) AS trial, max_depth, learning_rate, scale_pos_weight, average_precision, "
+        "balanced_accuracy, mcc, -average_precision AS loss, 'query' AS run_id FROM measured")
+    q["best_trial"] = formula_sql(trials, {"test": "test"}) + (
+        "SELECT max_depth, learning_rate, scale_pos_weight FROM measured ORDER BY average_precision DESC, trial LIMIT 1")
+    single = [(3, 0.1, 2.0)]
+    q["training_runs"] = formula_sql(single, {"train_test": "train_test", "validate": "validate"}) + (
+        "SELECT 'formula' AS run, split, average_precision, balanced_accuracy, mcc, 'query' AS run_id FROM measured")
+    q["model_latest"] = formula_sql(single, {"validate": "validate"}) + (
+        "SELECT 'purchase_intent' AS name, CAST(version AS INTEGER) AS version, stage, average_precision, balanced_accuracy, mcc, "
+        "'query' AS run_id, version = 2 AS newest "
+        "FROM measured, (VALUES (1, 'archived'), (2, 'production')) v(version, stage)")
     q["table_roundtrip"] = q["silver_events"]
     return q

@@ -19,7 +19,7 @@ from clickfeat.operators import metrics as M
 from clickfeat.operators.running import SLICING, Slicing
 from clickfeat.session import prepare
 from clickfeat.sources.tables import read_table, write_table
-from clickfeat.streaming.ingest import ingest, read_staging
+from clickfeat.streaming.ingest import compact, ingest, live_folders, read_staging
 
 RUNNING_EVENTS = "running_events"  # every event with both session levels' metrics (internal)
 KEYED_FEATURES = "raw_features_keyed"  # one row per event + _copies (internal)
@@ -27,7 +27,8 @@ KEYED_FEATURES = "raw_features_keyed"  # one row per event + _copies (internal)
 
 @dataclass(frozen=True)
 class Lake:
-    """Table folders under one root (a shared file system on a cluster)."""
+    """Table paths under one root (a shared file system on a cluster); a table's
+    rows are in a folder below its path (``sources.tables.table_folder``)."""
 
     root: str
 
@@ -38,19 +39,17 @@ class Lake:
         return f"{self.root}/{layer}/{table}"
 
 
-def _write(spark: SparkSession, df: DataFrame, name: str, path: str) -> DataFrame:
-    write_table(df, name, path)
-    return read_table(spark, name)
-
-
 def run_pipeline(spark: SparkSession, lake_root: str, *,
                  raw_path: str | None = None, checkpoint: str | None = None,
                  staging: DataFrame | None = None,
                  before: dt.datetime | None = None,
                  tiebreak: Sequence[str] = ("event_id",),
                  ties: str = "weight", slicing: Slicing = SLICING,
-                 max_files_per_trigger: int | None = None) -> dict[str, str]:
-    """Run every layer; returns ``{table name: path}``.
+                 max_files_per_trigger: int | None = None,
+                 compact_after: int = 100) -> dict[str, str]:
+    """Run every layer; returns ``{table name: folder of its rows}``.
+
+    Staging is compacted when it has more than ``compact_after`` folders.
 
     Input is either CSV drops at ``raw_path`` (ingested incrementally into
     staging with ``checkpoint``, ``max_files_per_trigger`` files a micro-batch)
@@ -63,13 +62,14 @@ def run_pipeline(spark: SparkSession, lake_root: str, *,
     written: dict[str, str] = {}
 
     def write(df: DataFrame, name: str, layer: str) -> DataFrame:
-        path = lake.path(layer, name)
-        written[name] = path
-        return _write(spark, df, name, path)
+        written[name] = write_table(df, name, lake.path(layer, name))
+        return read_table(spark, name)
 
     if raw_path is not None:
         checkpoint = checkpoint or f"{lake.root}/_checkpoint"
         ingest(spark, raw_path, lake.staging(), checkpoint, max_files_per_trigger=max_files_per_trigger)
+        if len(live_folders(spark, lake.staging())) > compact_after:
+            compact(spark, lake.staging(), checkpoint)
         staging = read_staging(spark, lake.staging(), checkpoint)
         written["staging_events"] = lake.staging()
     if staging is None:

@@ -14,11 +14,11 @@ SF_ORACLE = os.environ.get("CLICKFEAT_ORACLE_SF", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session", autouse=True)
 def small_budgets():
-    """Model queries fit 5 rounds and 3 trials here; the catalogue itself runs the full budgets."""
+    """Model queries fit 5 rounds here; the catalogue itself runs the full budget."""
     from clickfeat.plans import queries
 
     queries.FULL = queries.ROUNDS, queries.TRIALS
-    queries.ROUNDS, queries.TRIALS = 5, 3
+    queries.ROUNDS = 5
 
 
 @pytest.fixture(scope="session")
