@@ -2,24 +2,33 @@
 
 Base spans come from three fixed patterns. The method adds spans: every
 long token whose inferred encoding (upper- or mixed-case base 16, base 32,
-base 36, base 62, base 64, base 64 of URLs) is a credential's passes three
+base 36, base 62, base 64, base 64 of URLs) is a credential's takes three
 tests of randomness over that alphabet (chi-squared uniformity, runs about
 the median symbol, serial correlation), and its evidence against prose must
-survive a false-discovery control per length class. The evidence is an
-e-value: the likelihood of the token under uniform symbols over that under
-the corpus's own first-order model of character classes, counted over every
-long token of every document outside base spans. Within each length class the e-values of all
+survive a false-discovery control per length class.
+
+The evidence is an e-value, the product of two factors. One is the likelihood
+of the token under uniform symbols over that under the corpus's own
+first-order model of character classes, counted over every long token of
+every document outside base spans. The other is the battery's combined
+p-value over its mean for uniform tokens of the same alphabet and length
+class (by seeded simulation): its mean is one where symbols are uniform, so
+the product's mean is at most one under prose. A token that fails the battery
+outright (``RANDOM_LEVEL``) is no candidate, and any other loses as much
+evidence as the tests hold against it. Within each length class the e-values of all
 long tokens go through the e-BH procedure at ``ALPHA``.
 
 Defined cases: NULL and empty texts have no spans; repeated rows are scanned
 each; a NULL doc_id is kept; only doc_id and text (or the documents columns)
-are read, so further columns cannot clash. An empty table gives no rows.
+are read, so further columns cannot clash; texts of any length are scanned
+whole, in time linear in their length. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 from collections.abc import Iterator
 
@@ -47,6 +56,7 @@ ENCODINGS = (
 )
 ALPHA = 0.01            # false-discovery rate of the added spans
 RANDOM_LEVEL = 0.001    # a battery p-value below this rejects randomness
+SIMULATED = 200         # uniform tokens for the mean p-value of an alphabet and length class
 LENGTHS = (16, 20, 24, 32, 48, 64, 128)  # lower ends of the length classes
 STEP, BINS = 0.5, 400   # bins of the e-value histogram (natural log)
 
@@ -72,8 +82,8 @@ def _two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
 
-def battery(token: str, alphabet: str) -> float:
-    """The least of three p-values of "uniform symbols", times three."""
+def tests(token: str, alphabet: str) -> tuple[float, float, float]:
+    """The p-values of "uniform symbols": chi-squared, runs, serial correlation."""
     at = {c: k for k, c in enumerate(alphabet)}
     x, size, n = [at[c] for c in token], len(alphabet), len(token)
     # Chi-squared uniformity over equal slices of the alphabet, five expected in each.
@@ -102,7 +112,19 @@ def battery(token: str, alphabet: str) -> float:
     mid = sum(x) / n
     var = sum((v - mid) ** 2 for v in x)
     serial = _two_sided(sum((p - mid) * (q - mid) for p, q in zip(x, x[1:], strict=False)) / var * math.sqrt(n)) if var else 0.0
-    return min(1.0, 3 * min(uniform, run, serial))
+    return uniform, run, serial
+
+
+def battery(token: str, alphabet: str) -> float:
+    """The three tests' combined p-value: the least, times three."""
+    return min(1.0, 3 * min(tests(token, alphabet)))
+
+
+def calibration() -> dict[tuple[str, int], float]:
+    """The mean combined p-value of uniform tokens, by alphabet and length class."""
+    rng = random.Random("battery")
+    return {(a, k): sum(battery("".join(rng.choices(a, k=n)), a) for _ in range(SIMULATED)) / SIMULATED
+            for a in {a for _, a in ENCODINGS} for k, n in enumerate(LENGTHS)}
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -117,22 +139,37 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def scan(text: str | None):
+def _joined_up(spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The stretches that sorted spans cover, in order, none touching in part."""
+    out: list[tuple[int, int]] = []
+    for s, _, e in spans:
+        if out and s < out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], e)
+        else:
+            out.append((s, e))
+    return out
+
+
+def scan(text: str | None, mean_p: dict[tuple[str, int], float]):
     """Base spans, candidates and the prose counts of one text.
 
-    A candidate is (start, end, log likelihood under uniform symbols, class
-    transition counts); the prose counts are the class transitions of all long
+    A candidate is (start, end, log likelihood under uniform symbols with the
+    battery's factor, class transition counts); the prose counts are the class transitions of all long
     tokens outside base spans (16 cells) and their number in each length class.
     """
     text = text or ""
     base = base_spans(text)
     moves, lengths, found = [0] * 16, [0] * len(LENGTHS), []
+    covered, k = _joined_up(base), 0
     for m in TOKEN.finditer(text):
         token = m[0]
         n = len(token)
-        if any(s < m.end() and m.start() < e for s, _, e in base):
+        while k < len(covered) and covered[k][1] <= m.start():
+            k += 1
+        if k < len(covered) and covered[k][0] < m.end():
             continue    # known already, and no example of prose
-        lengths[length_class(n)] += 1
+        group = length_class(n)
+        lengths[group] += 1
         if token.isalpha() and token.islower():
             moves[0] += n - 1
             continue
@@ -144,9 +181,10 @@ def scan(text: str | None):
         kind = encoding(token)
         if kind is None:
             continue
-        if battery(token, kind[1]) >= RANDOM_LEVEL:
-            found.append({"start": m.start(), "end": m.end(),
-                          "uniform": -(n - 1) * math.log(len(kind[1])), "moves": own})
+        p = battery(token, kind[1])
+        if p >= RANDOM_LEVEL:
+            found.append({"start": m.start(), "end": m.end(), "moves": own,
+                          "uniform": math.log(p / mean_p[kind[1], group]) - (n - 1) * math.log(len(kind[1]))})
     return base, found, moves, lengths
 
 
@@ -159,11 +197,12 @@ def scanned(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
     """One row per document: base spans, candidates, prose counts (written once)."""
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     schema = f"doc_id {dict(source.dtypes)['doc_id']}, {SCAN_FIELDS}"
+    mean_p = calibration()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = None
         for b in batches:
-            rows = [scan(t) for t in b.column("text").to_pylist()]
+            rows = [scan(t, mean_p) for t in b.column("text").to_pylist()]
             kinds = kinds or [
                 pa.list_(pa.struct([(f, pa.int32()) for f in ("start", "kind", "end")])),
                 pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()),
@@ -276,12 +315,12 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     rows = scanned(docs)
     model = prose_model(rows)
     least = thresholds(rows, model)
-    schema = docs.schema
+    mean_p, schema = calibration(), docs.schema
 
     def clean(text: str | None) -> str | None:
         if not text:
             return text
-        base, found, _, _ = scan(text)
+        base, found, _, _ = scan(text, mean_p)
         spans = [(s, e) for s, _, e in base]
         for c in found:
             bound = least[length_class(c["end"] - c["start"])]
