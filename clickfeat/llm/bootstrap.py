@@ -43,7 +43,7 @@ KINDS = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-OCTET = r"0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
 RUN = r"(?<![A-Za-z0-9@._/+-])[A-Za-z@._/+-]*+[0-9][A-Za-z0-9@._/+-]*+"
 ADDED = "id"
