@@ -46,7 +46,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.folder = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete ``stored`` tables; only once all that is made of them has been written itself."""
+    for df in tables:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -144,7 +154,8 @@ def components(edges: DataFrame, rounds: int = 64) -> DataFrame:
     for _ in range(rounds):
         if seen[0] == 0:
             break
-        cur = stored(star(cur), "edges")
+        last, cur = cur, stored(star(cur), "edges")
+        discard(last)
         now = mark(cur)
         if now == seen:
             break

@@ -22,8 +22,9 @@ move to their blocks; the sets themselves move only for surviving pairs: a
 bitmap of fixed size tells the tasks that hold them which those are (one that
 fills up lets more through, to the join that decides). Blocks of more than a few sets may be of any size: their
 points are first compared with a leader each, and once the verified links are
-joined to components only pairs across components are searched, slice by
-slice. So no task holds an unbounded block, and no group's pairs are listed.
+joined to components only points outside a block's largest component are searched for,
+slice by slice. Trees hold coarse points, a byte for every four to eight shingles; the
+pairs they let through are bounded again by whole points. So no task holds an unbounded block, and no group's pairs are listed.
 
 Defined cases: NULL, empty and white-space texts have the empty set and link
 with nothing; repeated rows are rows of one set; NULL doc_ids never become a
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickfeat.llm.common import bounded_top, components, grouped, raw, stored
+from clickfeat.llm.common import bounded_top, components, discard, grouped, raw, stored
 from clickfeat.llm.hashing import BASE, MULTIPLIERS, U, Words, lots, mixed, run_hashes
 
 SHINGLE = 5
@@ -52,6 +53,8 @@ FREQUENT_KEPT = 50_000  # frequent shingles put last, at most (the commonest)
 FANOUT = 16            # children of an R-tree node
 SLICE = 1024           # points of a frequent block searched together
 ROUNDS = 3             # rounds of leaders before the search across components
+FULL = 255             # greatest number in a coarse point
+MET = 1 << 18           # sets that a task remembers, at most
 BITMAP = 27            # its size is 2 to this power, in bits
 SEGMENT = 19           # and that of the pieces it is made of
 
@@ -91,6 +94,12 @@ def groups_of(n: int) -> int:
     return max(8, 1 << max(0, n.bit_length() - 1))
 
 
+def coarse(point: np.ndarray) -> np.ndarray:
+    """A point of a quarter of the groups, in bytes; FULL stands for any number from there on."""
+    m = max(8, len(point) // 4)
+    return np.minimum(point.reshape(-1, m).sum(0, dtype=np.int64), FULL).astype(np.uint8)
+
+
 def _packed(tokens: np.ndarray) -> bytes:
     return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
@@ -101,6 +110,27 @@ def _tokens(data: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+class Tally:
+    """Shingles that a task meets more than once in a batch, with their numbers; of bounded size."""
+
+    def __init__(self):
+        self.token, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, tokens: np.ndarray) -> None:
+        own, n = np.unique(tokens, return_counts=True)
+        both, at = np.unique(np.concatenate([self.token, own[n > 1]]), return_inverse=True)
+        self.count = np.bincount(at, np.concatenate([self.count, n[n > 1]]), len(both)).astype(np.int64)
+        self.token = both
+        if len(both) > 400_000:
+            kept = self.count >= FREQUENT // 4
+            self.token, self.count = self.token[kept], self.count[kept]
+
+    def commonest(self) -> np.ndarray:
+        """Rows of a shingle and its number, the frequent ones (FREQUENT_KEPT at most)."""
+        rows = np.stack([self.token.astype(np.int64), self.count], 1)[self.count >= FREQUENT]
+        return rows[np.lexsort((rows[:, 0], -rows[:, 1]))[:FREQUENT_KEPT]]
+
+
 ROWS = ("rid long, {key}n long, cid long, tokens binary, point binary, frequent array<long>")
 
 
@@ -114,7 +144,7 @@ def document_sets(docs: DataFrame) -> DataFrame:
                          F.xxhash64("text").alias("text_key"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, int] = {}
+        seen = Tally()
         doc_type = None
         for b in batches:
             doc_type = b.schema.field("doc_id").type
@@ -133,22 +163,18 @@ def document_sets(docs: DataFrame) -> DataFrame:
                     if n:
                         heads.append(t[:prefix_size(n)])
             if heads:
-                tokens, counts = np.unique(np.concatenate(heads), return_counts=True)
-                for t, c in zip(tokens[counts > 1].tolist(), counts[counts > 1].tolist(), strict=True):
-                    seen[t] = seen.get(t, 0) + c
-                if len(seen) > 400_000:
-                    seen = {t: c for t, c in seen.items() if c >= FREQUENT // 4}
+                seen.add(np.concatenate(heads))
             none = pa.array([None] * len(sizes), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [b.column("rid"), b.column("doc_id"), b.column("text_key"), pa.array(sizes, pa.int64()),
                  pa.array(cids, pa.int64()), pa.array(packed, pa.binary()),
                  pa.array(points, pa.binary()), none], names)
-        hot = sorted(((c, t) for t, c in seen.items() if c >= FREQUENT), reverse=True)[:FREQUENT_KEPT]
-        if hot:
+        hot = seen.commonest()
+        if len(hot):
             cells = [pa.array([None], x) for x in (pa.int64(), doc_type, pa.int64(), pa.int64(), pa.int64(),
                                                    pa.binary(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
-                [*cells, pa.array([[x for c, t in hot for x in (t, c)]], pa.list_(pa.int64()))], names)
+                [*cells, pa.array([hot.ravel()], pa.list_(pa.int64()))], names)
 
     names = ["rid", "doc_id", "text_key", "n", "cid", "tokens", "point", "frequent"]
     return stored(source.mapInArrow(run, ROWS.format(key=f"doc_id {kind}, text_key long, ")), "sets")
@@ -170,16 +196,15 @@ def _prefixes(sets: DataFrame, frequent: np.ndarray) -> DataFrame:
     shipped = sets.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, met = shipped.value, set()
+        hot = shipped.value
+        met = np.zeros(MET, np.int64)          # the last set met at each place
         for b in batches:
             keys, ids, common = [], [], []
-            if len(met) > 1_000_000:
-                met.clear()
             for cid, n, data in zip(b.column("cid").to_pylist(), b.column("n").to_pylist(),
                                     b.column("tokens").to_pylist(), strict=True):
-                if cid in met:
+                if met[cid % MET] == cid:
                     continue
-                met.add(cid)
+                met[cid % MET] = cid
                 t, size = _tokens(data), prefix_size(n)
                 at = np.searchsorted(hot, t)
                 late = np.zeros(len(t), bool) if not len(hot) else hot[np.minimum(at, len(hot) - 1)] == t
@@ -204,36 +229,57 @@ def _blocks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     task holds of it is short.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(b.column("token").to_numpy(), b.column("cid").to_numpy()) for b in batches]
-        if not held:
-            return
-        token, cid = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((cid, token))
-        token, cid = token[order], cid[order]
-        new = np.concatenate([[True], (np.diff(token) != 0) | (np.diff(cid) != 0)])[:len(token)]
-        token, cid = token[new], cid[new]
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(token)) + 1, [len(token)]])
         done, keys, members = set(), [], []
-        for at in np.flatnonzero(np.diff(cuts) > 1).tolist():
-            lo, hi = int(cuts[at]), int(cuts[at + 1])
-            if hi - lo > BLOCK:
-                pieces = [cid[k:min(k + SLICE, hi)] for k in range(lo, hi, SLICE)]
-                keys += [int(token[lo])] * len(pieces)
-                members += pieces
-            elif (key := cid[lo:hi].tobytes()) not in done:
+        for token, cid, part in _runs(batches):
+            if part or len(cid) > BLOCK:
+                keys.append(token)
+                members.append(cid)
+            elif (key := cid.tobytes()) not in done:
+                if len(done) >= 100_000:
+                    done.clear()               # equal blocks are made one below all the same
                 done.add(key)
                 keys.append(None)
-                members.append(cid[lo:hi])
+                members.append(cid)
             if len(members) >= 10_000:
                 yield _listed(keys, members)
                 keys, members = [], []
         if members:
             yield _listed(keys, members)
 
-    found = stored(rows.filter("NOT common").select("token", "cid").repartition("token")
+    found = stored(rows.filter("NOT common").select("token", "cid").repartition("token").sortWithinPartitions("token", "cid")
                    .mapInArrow(run, "token long, members array<long>"), "blocks")
     small = found.filter("token IS NULL").groupBy(F.xxhash64("members").alias("key")).agg(F.min("members").alias("members"))
-    return stored(small, "blocks"), found.filter("token IS NOT NULL").select("token", F.explode("members").alias("cid"))
+    return stored(small, "blocks"), found.filter("token IS NOT NULL").select("token", F.explode("members").alias("cid")).distinct()
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, bool]]:
+    """Each token of more than one set with its distinct sets, from sorted rows.
+
+    More than SLICE come in pieces; the flag marks pieces.
+    """
+    last, held, many = None, np.zeros(0, np.int64), False
+
+    def out():
+        if many or len(held) > 1:
+            yield last, held, many
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        token, cid = b.column("token").to_numpy(), b.column("cid").to_numpy()
+        new = np.concatenate([[True], (np.diff(token) != 0) | (np.diff(cid) != 0)])
+        token, cid = token[new], cid[new]
+        for lo, hi in pairwise([0, *(np.flatnonzero(np.diff(token)) + 1).tolist(), len(token)]):
+            own = cid[lo:hi]
+            if last is None or token[lo] != last:
+                yield from out()
+                last, held, many = int(token[lo]), own, False
+            else:
+                held = np.concatenate([held, own[own != held[-1]] if len(held) else own])
+            while len(held) > SLICE:
+                yield last, held[:SLICE], True
+                held, many = held[SLICE:], True
+    yield from out()
 
 
 def _listed(keys: list[int | None], members: list[np.ndarray]) -> pa.RecordBatch:
@@ -289,7 +335,9 @@ class Tree:
 
 
 def _folded(points: list[np.ndarray], m: int) -> np.ndarray:
-    return np.stack([p.reshape(-1, m).sum(0, dtype=np.int32) for p in points])
+    """Coarse points with ``m`` groups each; a full one bounds nothing."""
+    m = max(8, m // 4)
+    return np.stack([np.where(p == FULL, 1 << 20, p.astype(np.int32)).reshape(-1, m).sum(0, dtype=np.int32) for p in points])
 
 
 def tree_join(ids, sizes, points, other=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -325,7 +373,7 @@ def tree_join(ids, sizes, points, other=None) -> Iterator[tuple[np.ndarray, np.n
 
 def _lot(t: pa.Table):
     return (t.column("cid").to_numpy(), t.column("n").to_numpy(),
-            [np.frombuffer(p, "<u2") for p in t.column("point").to_pylist()])
+            [np.frombuffer(p, np.uint8) for p in t.column("coarse").to_pylist()])
 
 
 def _emitted(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch | None:
@@ -346,13 +394,13 @@ def _block_pairs(blocks: DataFrame, points: DataFrame) -> DataFrame:
             if got is not None:
                 yield got
 
-    rows = blocks.select("key", F.explode("members").alias("cid")).join(points.select("cid", "n", "point"), "cid")
-    return rows.repartition("key").sortWithinPartitions("key").select("key", "cid", "n", "point") \
+    rows = blocks.select("key", F.explode("members").alias("cid")).join(points.select("cid", "n", "coarse"), "cid")
+    return rows.repartition("key").sortWithinPartitions("key").select("key", "cid", "n", "coarse") \
                .mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, points: DataFrame) -> DataFrame:
-    """The pairs whose sets reach the similarity; only their sets are moved."""
+    """The pairs whose sets reach the similarity; only the sets of pairs that pass the bound of the whole points are moved."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
@@ -361,7 +409,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, points: DataFrame) -> DataFrame
                 keep.append(WHOLE * both >= PART * (nx + ny - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    pairs = stored(pairs.distinct(), "pairs")
+    pairs = stored(_bounded(pairs.distinct(), points), "pairs")
     if pairs.isEmpty():
         return pairs
     ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
@@ -377,11 +425,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, points: DataFrame) -> DataFrame
     rows = sets.filter("n > 0").select("rid", "n", "tokens")
     held = stored(rows.mapInArrow(likely, rows.schema).join(first, "rid").select("cid", "n", "tokens"), "held")
     side = lambda x: held.select(F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("tokens").alias(f"t{x}"))
-    return stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long"), "links")
+    links = stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long"), "links")
+    discard(pairs, first, held)
+    return links
 
 
 def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a leader and a point that pass the summed minima."""
+    """Pairs (a, b) that pass the summed minima of their whole points."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
@@ -408,60 +458,70 @@ def _labelled(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(groups, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
 
 
-def _lead_pairs(rows: DataFrame, points: DataFrame) -> DataFrame:
+def _lead_pairs(rows: DataFrame) -> DataFrame:
     """Per block of ``rows (token, cid, copies, component)``: its largest component's leader
-    with each point outside that component, as far as the bound allows."""
+    with each point outside that component."""
     parts = rows.groupBy("token", "component").agg(
         F.count("*").alias("size"), F.max_by("cid", F.struct("copies", -F.col("cid"))).alias("lead"), F.max("copies").alias("copies"))
     best = parts.groupBy("token").agg(F.max_by(F.struct("component", "lead"), F.struct("size", "copies", "lead")).alias("top"),
                                       F.count("*").alias("parts")).filter("parts > 1").select("token", "top.*")
-    pairs = rows.join(best.withColumnRenamed("component", "main"), "token").filter("component != main") \
-                .select(F.greatest("cid", "lead").alias("a"), F.least("cid", "lead").alias("b")).distinct()
-    return _bounded(pairs, points)
+    return rows.join(best.withColumnRenamed("component", "main"), "token").filter("component != main") \
+               .select(F.greatest("cid", "lead").alias("a"), F.least("cid", "lead").alias("b")).distinct()
 
 
 def _common_groups(rows: DataFrame, sets: DataFrame, points: DataFrame, links: DataFrame) -> DataFrame:
     """``cid, component`` once the blocks of frequent shingles are searched too."""
     groups = _grouped_by(links)
     for _ in range(ROUNDS):
-        more = _verified(_lead_pairs(_labelled(rows, groups), points), sets, points)
+        more = _verified(_lead_pairs(_labelled(rows, groups)), sets, points)
         if more.isEmpty():
             break
         links = stored(links.union(more).distinct(), "links")
         groups = _grouped_by(links)
-    # Whatever is left across components, slice by slice.
+    # Whatever is left across components: the rows outside each block's largest component
+    # (outsiders) with its rows and with one another, slice by slice.
     now = _labelled(rows, groups)
-    sizes = now.groupBy("token", "component").agg(F.count("*").alias("n")) \
-               .groupBy("token").agg(F.sum("n").alias("rows"), F.count("*").alias("parts")).filter("parts > 1") \
-               .select("token", F.ceil(F.col("rows") / SLICE).cast("int").alias("slices"))
-    dealt = now.select("token", "cid", "component").join(sizes, "token") \
-               .withColumn("own", F.pmod(F.xxhash64("cid"), F.col("slices")).cast("int")) \
-               .withColumn("far", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))) \
-               .select("token", F.least("own", "far").alias("i"), F.greatest("own", "far").alias("j"), "own", "cid", "component")
+    parts = now.groupBy("token", "component").agg(F.count("*").alias("n"))
+    sizes = parts.groupBy("token").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("rows"),
+                                       F.count("*").alias("parts")).filter("parts > 1") \
+                 .select("token", F.when(F.col("top.n") > 1, F.col("top.component")).alias("main"), F.col("top.n").alias("n"), "rows")
+    sliced = lambda n: F.greatest(F.lit(1), F.ceil(n / SLICE)).cast("int")
+    out = F.col("rows") - F.when(F.col("main").isNotNull(), F.col("n")).otherwise(0)
+    sizes = sizes.withColumn("outs", sliced(out)).withColumn("mains", F.when(F.col("main").isNotNull(), sliced(F.col("n"))).otherwise(0))
+    each = now.select("token", "cid", "component").join(sizes.select("token", "main", "outs", "mains"), "token") \
+              .withColumn("inside", F.coalesce(F.col("component") == F.col("main"), F.lit(False)))
+    place = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    inside = each.filter("inside").withColumn("j", place("mains")).withColumn("i", every("outs")) \
+                 .select("token", F.lit(1).alias("far"), "i", "j", F.lit(1).alias("own"), "cid", "component")
+    outside = each.filter("NOT inside")
+    across = outside.filter("mains > 0").withColumn("i", place("outs")).withColumn("j", every("mains")) \
+                    .select("token", F.lit(1).alias("far"), "i", "j", F.lit(0).alias("own"), "cid", "component")
+    among = outside.withColumn("own", place("outs")).withColumn("to", every("outs")) \
+                   .select("token", F.lit(0).alias("far"), F.least("own", "to").alias("i"), F.greatest("own", "to").alias("j"), "own", "cid", "component")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in grouped(batches, ["token", "i", "j"]):
+        for t in grouped(batches, ["token", "far", "i", "j"]):
             where = dict(zip(t.column("cid").to_pylist(), t.column("component").to_pylist(), strict=True))
             if len(set(where.values())) < 2:
                 continue
             own = t.column("own").to_numpy()
+            lots = [_lot(t.filter(pa.array(own == k))) for k in np.unique(own).tolist()]
             i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-            lots = [_lot(t.filter(pa.array(own == k))) for k in sorted({i, j})]
-            if any(not len(x[0]) for x in lots):
+            if len(lots) == 1 and (t.column("far")[0].as_py() or i != j):
                 continue
-            found = tree_join(*lots[0], other=lots[1]) if i != j else tree_join(*lots[0])
-            across = []
+            found = tree_join(*lots[0], other=lots[1]) if len(lots) == 2 else tree_join(*lots[0])
+            between = []
             for a, b in found:
                 ok = np.array([where[x] != where[y] for x, y in zip(a.tolist(), b.tolist(), strict=True)], bool)
-                across.append((a[ok], b[ok]))
-            got = _emitted(iter(across))
+                between.append((a[ok], b[ok]))
+            got = _emitted(iter(between))
             if got is not None:
                 yield got
 
-    points_of = dealt.join(points.select("cid", "n", "point"), "cid")
-    pairs = points_of.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j") \
-                     .select("token", "i", "j", "own", "cid", "n", "component", "point") \
-                     .mapInArrow(run, "a long, b long")
+    dealt = inside.union(across).union(among).join(points.select("cid", "n", "coarse"), "cid")
+    pairs = dealt.repartition("token", "far", "i", "j").sortWithinPartitions("token", "far", "i", "j") \
+                 .select("token", "far", "i", "j", "own", "cid", "n", "component", "coarse").mapInArrow(run, "a long, b long")
     more = _verified(pairs, sets, points)
     return groups if more.isEmpty() else _grouped_by(links.union(more).distinct())
 
@@ -496,11 +556,16 @@ def _bits(ids: np.ndarray) -> np.ndarray:
 
 
 def _points(sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``cid, rid, n, copies, point`` of the sets in ``wanted (cid)``: one row each, without the sets."""
+    """``cid, rid, n, copies, point, coarse`` of the sets in ``wanted (cid)``: one row each, without the sets."""
     first = sets.filter("n > 0").groupBy("cid").agg(F.min("rid").alias("rid"), F.count("*").alias("copies")) \
                 .join(wanted, "cid", "left_semi")
-    rows = sets.filter("n > 0").select("rid", "n", "point")
-    return stored(rows.join(first, "rid").select("cid", "rid", "n", "copies", "point"), "points")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            small = [coarse(np.frombuffer(p, "<u2")).tobytes() for p in b.column("point").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(small, pa.binary())], [*b.schema.names, "coarse"])
+
+    rows = sets.filter("n > 0").select("rid", "n", "point").join(first, "rid").select("cid", "rid", "n", "copies", "point")
+    return stored(rows.mapInArrow(run, "cid long, rid long, n long, copies long, point binary, coarse binary"), "points")
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
@@ -518,7 +583,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     points = _points(sets, wanted)
     common = stored(common.join(points.select("cid", "copies"), "cid"), "common")
     # The short blocks' pairs and the first leaders' are verified together.
-    pairs = _block_pairs(blocks, points).union(_lead_pairs(common.withColumn("component", F.col("cid")), points))
+    pairs = _block_pairs(blocks, points).union(_lead_pairs(common.withColumn("component", F.col("cid"))))
     links = _verified(pairs, sets, points)
     group = _common_groups(common, sets, points, links)
     member = sets.select("rid", "doc_id", "text_key", "n", "cid").join(group, "cid", "left") \
