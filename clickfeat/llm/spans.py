@@ -14,13 +14,15 @@ joined globally; the first occurrence of a span (smallest doc_id, then row and
 place) stays, and every unit that a later occurrence covers is removed. A span
 of cut units that overlaps its own first occurrence leaves that one whole.
 
-Counting the spans combines on the map side and the join back splits hot
-hashes, so a passage in every document costs no more than its rows.
+The rows of a span meet in one task, which passes on those behind the first.
+Spans that a sample shows to be in many documents do not: their firsts are
+aggregated on the map side and broadcast (a bounded number), so a passage in
+every document makes no task larger.
 
 Defined cases: NULL and empty texts have no sentences; NULL doc_ids come
 last; a repeated row loses all sentences that spans of its first copy cover;
-texts of fewer sentences or words than a span keep all; only doc_id and text
-are read.
+texts of fewer sentences or words than a span keep all; texts of any length
+are read whole; an empty table gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -32,11 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickfeat.llm.common import raw, stored
+from clickfeat.llm.common import bounded_top, raw, stored
 from clickfeat.llm.hashing import Words, lots, run_hashes
 
 SENTENCES, WORDS = 2, 12
 LONG, WINDOW = 16, 8  # words of a sentence that is not cut; words with a cut behind at least one
+SAMPLED, HOT_ROWS, HOT_KEPT = 64, 6400, 50_000  # documents to one sampled, rows of a hot span, hot spans
 STOPS = np.frombuffer(b".!?", np.uint8)
 
 
@@ -131,30 +134,82 @@ def document_spans(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     return stored(source.mapInArrow(run, schema), "spans")
 
 
+def _hot_spans(rows: DataFrame) -> DataFrame:
+    """The hashes (at most HOT_KEPT, the commonest) of spans that many documents hold, by a sample.
+
+    The sample decides only which way a span's rows take, not what becomes of them.
+    """
+    part = rows.filter(F.pmod(F.xxhash64("rid"), F.lit(SAMPLED)) == 0).select(F.explode("spans").alias("h"))
+    often = part.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= HOT_ROWS // SAMPLED)
+    return stored(bounded_top(often, "n", HOT_KEPT).select("h"), "hot-spans")
+
+
 def repeated_sentences(rows: DataFrame) -> DataFrame:
-    """``rid, gone, whole``: the units that non-first spans cover, and those that spans of whole sentences do."""
-    each = rows.select("rid", "doc_id", F.explode(F.arrays_zip("places", "spans", "sizes")).alias("s")) \
-               .select("rid", "doc_id", F.col("s.places").alias("at"), F.col("s.spans").alias("h"), F.col("s.sizes").alias("size"))
+    """``rid, gone, whole``: the units that non-first spans cover, and those that spans of whole sentences do.
+
+    All rows of a span meet in one task, in their order, and those behind the
+    first leave it at once: one exchange of short rows. The rows of hot spans
+    do not move: their first occurrences are aggregated and broadcast.
+    """
     # Place and length in one number, so that a row stays short.
-    place = F.shiftleft(F.col("at").cast("long"), 32) + F.abs("size")
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"), place.alias("place"))
-    first = each.groupBy("h").agg(F.min(order).alias("f"), F.count("*").alias("n")).filter("n > 1") \
-                .withColumn("first_at", F.shiftright("f.place", 32).cast("int")) \
-                .select("h", F.col("f.rid").alias("first_rid"), "first_at",
-                        (F.col("first_at") + F.col("f.place").bitwiseAND((1 << 32) - 1).cast("int")).alias("first_end"))
-    # Written, so that the join reads it by an exchange of its own and can split a hot span.
-    first = stored(first, "repeated-spans")
-    begin = F.when(F.expr("size < 0 AND rid = first_rid"), F.greatest("at", "first_end")).otherwise(F.col("at"))
-    again = each.select("rid", "at", "size", "h").join(first, "h").filter("rid != first_rid OR at != first_at") \
-                .select("rid", begin.alias("begin"), (F.col("at") + F.abs("size")).alias("end"),
-                        (F.col("size") > 0).alias("whole")).filter("begin < end")
+    each = rows.select("rid", "doc_id", F.explode(F.arrays_zip("places", "spans", "sizes")).alias("s")).select(
+        "rid", "doc_id", F.col("s.spans").alias("h"),
+        (F.shiftleft(F.col("s.places").cast("long"), 32) + F.abs("s.sizes")).alias("place"), (F.col("s.sizes") < 0).alias("loose"))
+    hot = _hot_spans(rows)
+
+    def behind(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((3, 0), np.int64)                  # the present span's first row: hash, rid, place
+        for b in batches:
+            if not b.num_rows:
+                continue
+            h, rid, place = (b.column(c).to_numpy() for c in ("h", "rid", "place"))
+            new = np.concatenate([[not held.shape[1] or h[0] != held[0, 0]], np.diff(h) != 0])
+            firsts = np.concatenate([held, np.stack([h[new], rid[new], place[new]])], 1)
+            own = np.cumsum(new) - 1 + held.shape[1]
+            held = firsts[:, -1:]
+            later = ~new
+            yield _cover(rid[later], place[later], b.column("loose").to_numpy(zero_copy_only=False)[later],
+                         firsts[1, own[later]], firsts[2, own[later]])
+
+    cold = each if hot.isEmpty() else each.join(F.broadcast(hot), "h", "left_anti")
+    found = cold.repartition("h").sortWithinPartitions("h", F.col("doc_id").isNull(), "doc_id", "rid", "place") \
+                .select("h", "rid", "place", "loose").mapInArrow(behind, COVER)
+    if not hot.isEmpty():
+        order = F.struct(F.col("doc_id").isNull(), "doc_id", "rid", "place")
+        firsts = stored(each.join(F.broadcast(hot), "h").groupBy("h").agg(F.min(order).alias("f"))
+                        .select("h", F.col("f.rid").alias("first_rid"), F.col("f.place").alias("first_place")), "first-spans")
+
+        def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                rid, place, first_rid, first_place = (b.column(c).to_numpy() for c in ("rid", "place", "first_rid", "first_place"))
+                later = (rid != first_rid) | (place != first_place)
+                yield _cover(rid[later], place[later], b.column("loose").to_numpy(zero_copy_only=False)[later],
+                             first_rid[later], first_place[later])
+
+        found = found.union(each.join(F.broadcast(firsts), "h").select("rid", "place", "loose", "first_rid", "first_place")
+                            .mapInArrow(beside, COVER))
 
     def covered(spans):
         each = F.transform(F.collect_list(spans), lambda s: F.sequence(s["begin"], s["end"] - 1))
         return F.array_sort(F.array_distinct(F.flatten(each)))
 
     span = F.struct("begin", "end")
-    return again.groupBy("rid").agg(covered(span).alias("gone"), covered(F.when(F.col("whole"), span)).alias("whole"))
+    return found.groupBy("rid").agg(covered(span).alias("gone"), covered(F.when(F.col("whole"), span)).alias("whole"))
+
+
+COVER = "rid long, begin int, end int, whole boolean"
+
+
+def _cover(rid, place, loose, first_rid, first_place) -> pa.RecordBatch:
+    """The units that later rows of a span cover; a loose one leaves its own first occurrence whole."""
+    low = (1 << 32) - 1
+    begin, end = place >> 32, (place >> 32) + (place & low)
+    first_end = (first_place >> 32) + (first_place & low)
+    begin = np.where(loose & (rid == first_rid), np.maximum(begin, first_end), begin)
+    some = begin < end
+    return pa.RecordBatch.from_arrays(
+        [pa.array(rid[some]), pa.array(begin[some].astype(np.int32)), pa.array(end[some].astype(np.int32)), pa.array(~loose[some])],
+        ["rid", "begin", "end", "whole"])
 
 
 def _marked(rows: DataFrame) -> DataFrame:
