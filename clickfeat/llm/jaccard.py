@@ -21,7 +21,7 @@ Equal sets are one point, known by a 64-bit hash of the set. Points are small an
 move to their blocks; the sets themselves move only for surviving pairs: a
 bitmap of fixed size tells the tasks that hold them which those are (one that
 fills up lets more through, to the join that decides). Blocks of more than a few sets may be of any size: their
-points are first compared with a leader each, and once the verified links are
+blocks of one least set are made one, points are first compared with a leader each, and once the verified links are
 joined to components only points outside a block's largest component are searched for,
 slice by slice. Trees hold coarse points, a byte for every four to eight shingles; the
 pairs they let through are bounded again by whole points. So no task holds an unbounded block, and no group's pairs are listed.
@@ -458,6 +458,16 @@ def _labelled(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(groups, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
 
 
+def _families(rows: DataFrame) -> DataFrame:
+    """``rows (token, cid)`` of large blocks with the blocks of one least set made one (stored).
+
+    The near copies of a text share many shingles, and so many blocks of nearly
+    the same sets, whose pairs would be found once for each shingle.
+    """
+    least = rows.groupBy("token").agg(F.min("cid").alias("family"), F.count("*").alias("n")).filter("n > 1")
+    return stored(rows.join(least, "token").select(F.col("family").alias("token"), "cid").distinct(), "families")
+
+
 def _lead_pairs(rows: DataFrame) -> DataFrame:
     """Per block of ``rows (token, cid, copies, component)``: its largest component's leader
     with each point outside that component."""
@@ -578,7 +588,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     sets = found.filter("rid IS NOT NULL")
     prefixes = _prefixes(sets, _frequent(found))
     blocks, large = _blocks(prefixes)
-    common = stored(prefixes.filter("common").select("token", "cid").union(large).distinct(), "common")
+    common = _families(stored(prefixes.filter("common").select("token", "cid").union(large).distinct(), "common"))
     wanted = blocks.select(F.explode("members").alias("cid")).union(common.select("cid")).distinct()
     points = _points(sets, wanted)
     common = stored(common.join(points.select("cid", "copies"), "cid"), "common")
