@@ -137,17 +137,18 @@ def expand(df: DataFrame, ties: str = "multiply") -> DataFrame:
         return df.drop(COPIES)
     if ties != "multiply":
         raise ValueError(f"ties must be 'multiply', 'weight' or 'collapse', not {ties!r}")
-    # Two levels (chunks of at most EXPAND_CHUNK copies, then the copies of a
-    # chunk) so no generated array grows with the tie-group size squared.
-    # Between them the chunks are dealt out evenly, so that no task has to
+    # Rows of up to EXPAND_CHUNK copies are written where they are. Only those
+    # with more take two levels (chunks, then the copies of a chunk), so that no
+    # generated array grows with the tie-group size squared, and only their
+    # chunks are dealt out evenly between the two, so that no task has to
     # write all copies of a large group. ``weight`` avoids the copies.
     rest = [c for c in df.columns if c != COPIES]
     n, b = q(COPIES), EXPAND_CHUNK
-    chunks = df.selectExpr(*cols(rest), n,
-                           f"explode(sequence(0, CAST(({n} - 1) DIV {b} AS INT))) AS _chunk").hint("rebalance")
-    return chunks.selectExpr(
-        *cols(rest), f"explode(array_repeat(0, CAST(least({b}, {n} - _chunk * {b}) AS INT))) AS _rep"
-    ).drop("_rep")
+    some = df.filter(f"{n} <= {b}").selectExpr(*cols(rest), f"explode(array_repeat(0, CAST({n} AS INT))) AS _rep")
+    chunks = df.filter(f"{n} > {b}").selectExpr(
+        *cols(rest), n, f"explode(sequence(0, CAST(({n} - 1) DIV {b} AS INT))) AS _chunk").hint("rebalance")
+    many = chunks.selectExpr(*cols(rest), f"explode(array_repeat(0, CAST(least({b}, {n} - _chunk * {b}) AS INT))) AS _rep")
+    return some.union(many).drop("_rep")
 
 
 def raw_features_unexpanded(silver: DataFrame,
