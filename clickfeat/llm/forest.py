@@ -27,7 +27,7 @@ which more trees make up.
 Defined cases: vectors that are NULL, empty, zero or hold NULL or non-finite
 components link with nothing; vectors of different length do not link; a row
 with a NULL id is linked and counted but never names a component; repeated
-rows are vectors of their own. Only the two named columns are read.
+rows are vectors of their own; an empty table gives no rows. Only the two named columns are read.
 """
 
 from __future__ import annotations

@@ -70,9 +70,50 @@ def catalogue() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": MIXING_SQL, "op6_topk": TOPK_SQL, "op11_centroids": centroids_sql(), "op13_negatives": NEGATIVES_SQL}
+    return {"op2_mixing": MIXING_SQL, "op4_forest": FOREST_SQL, "op5_jaccard": JACCARD_SQL, "op6_topk": TOPK_SQL, "op11_centroids": centroids_sql(), "op13_negatives": NEGATIVES_SQL}
 
 
+# Links, then everything reachable by them.
+FOREST_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS q FROM embeddings),
+u AS (
+  SELECT *, sqrt(list_dot_product(q, q)) AS size FROM v
+  WHERE len(q) > 0 AND len(list_filter(q, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(q, q) > 0),
+links AS (
+  SELECT a.rid AS a, b.rid AS b FROM u a JOIN u b
+  ON a.rid <> b.rid AND len(a.q) = len(b.q) AND list_dot_product(a.q, b.q) / (a.size * b.size) >= 0.9),
+reach(rid, id) AS (
+  SELECT rid, vec_id FROM v UNION SELECT links.b, reach.id FROM reach JOIN links ON links.a = reach.rid),
+c AS (SELECT rid, min(id) AS component_id FROM reach GROUP BY rid),
+n AS (SELECT a AS rid, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN c USING (rid) LEFT JOIN n USING (rid)
+"""
+
+JACCARD_SQL = """
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+t AS (SELECT rid, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w WHERE len(words) >= 5),
+g AS (
+  SELECT rid, i + 4 <= n AS whole, concat_ws(' ', word, lead(word, 1) OVER p, lead(word, 2) OVER p, lead(word, 3) OVER p, lead(word, 4) OVER p) AS shingle
+  FROM t WINDOW p AS (PARTITION BY rid ORDER BY i)),
+e AS (
+  SELECT DISTINCT rid, shingle FROM g WHERE whole
+  UNION ALL SELECT rid, array_to_string(words, ' ') FROM w WHERE len(words) BETWEEN 1 AND 4),
+d AS (SELECT w.rid, doc_id, CAST(count(shingle) AS BIGINT) AS n_shingles FROM w LEFT JOIN e ON e.rid = w.rid GROUP BY w.rid, doc_id),
+shared AS (SELECT a.rid AS a, b.rid AS b, count(*) AS n FROM e a JOIN e b ON a.shingle = b.shingle AND a.rid <> b.rid GROUP BY 1, 2),
+links AS (
+  SELECT shared.a, shared.b FROM shared JOIN d x ON x.rid = shared.a JOIN d y ON y.rid = shared.b
+  WHERE 100 * shared.n >= 80 * (x.n_shingles + y.n_shingles - shared.n)),
+reach(rid, id) AS (
+  SELECT rid, doc_id FROM d UNION SELECT links.b, reach.id FROM reach JOIN links ON links.a = reach.rid),
+c AS (SELECT rid, min(id) AS component_id FROM reach GROUP BY rid)
+SELECT doc_id, n_shingles, component_id, n_shingles = 0 OR doc_id = component_id AS kept FROM d JOIN c USING (rid)
+"""
+
 NEGATIVES_SQL = """
 WITH v AS (
   SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,

@@ -9,13 +9,16 @@ voter's weight. Its posterior labels, not the given ones, train a logistic
 classifier on the votes, which scores every text.
 
 Labels are read from training rows only. The classifier and its voters are
-fitted on at most ``SAMPLE`` labelled rows, chosen by hash; neither labels nor
-lang, source or doc_id enter a score.
+fitted on at most ``SAMPLE`` labelled rows, chosen by hash, where each further
+voter must add to what the ones before it tell; the choice ends there or with
+``VOTERS`` voters out of the ``CANDIDATES`` commonest. All texts are scored;
+neither labels nor lang, source or doc_id enter a score.
 
 Defined cases: NULL and empty texts have no votes and get the score of a text
 without votes; labels that are NULL are skipped and a doc_id that is labelled
 twice counts with its larger label; repeated rows are scored each; without
-toxic training rows every score is 0; only doc_id and text (and the labels'
+toxic training rows every score is 0; texts of any length are scored whole; an
+empty table gives no rows; only doc_id and text (and the labels'
 doc_id and toxic) are read.
 """
 
