@@ -28,7 +28,8 @@ pairs they let through are bounded again by whole points. So no task holds an un
 
 Defined cases: NULL, empty and white-space texts have the empty set and link
 with nothing; repeated rows are rows of one set; NULL doc_ids never become a
-component's id unless a group has no other; only doc_id and text are read.
+component's id unless a group has no other; texts of any length give all their
+shingles; an empty table gives no rows; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -430,16 +431,25 @@ def _verified(pairs: DataFrame, sets: DataFrame, points: DataFrame) -> DataFrame
     return links
 
 
+def _near(na: int, a: bytes, nb: int, b: bytes) -> bool:
+    """Whether two whole points (in bytes, FULL for any number from there on) pass the summed minima."""
+    if WHOLE * na < PART * nb or WHOLE * nb < PART * na:
+        return False
+    p, q = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    m = min(len(p), len(q))
+    if len(p) != m or len(q) != m:
+        p, q = (np.where(x == FULL, 1 << 20, x.astype(np.int32)).reshape(-1, m).sum(0) for x in (p, q))
+    low = np.minimum(p, q)
+    return bool((low >= FULL).any()) or int(low.sum(dtype=np.int64)) >= needed(na, nb)
+
+
 def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """Pairs (a, b) that pass the summed minima of their whole points."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
             for x, y, nx, ny in zip(*[b.column(c).to_pylist() for c in ("pa", "pb", "na", "nb")], strict=True):
-                p, q = np.frombuffer(x, "<u2"), np.frombuffer(y, "<u2")
-                m = min(len(p), len(q))
-                p, q = p.reshape(-1, m).sum(0), q.reshape(-1, m).sum(0)
-                keep.append(int(np.minimum(p, q).sum()) >= needed(nx, ny))
+                keep.append(_near(nx, x, ny, y))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     side = lambda x: points.select(F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("point").alias(f"p{x}"))
@@ -489,7 +499,7 @@ def _common_groups(rows: DataFrame, sets: DataFrame, points: DataFrame, links: D
         links = stored(links.union(more).distinct(), "links")
         groups = _grouped_by(links)
     # Whatever is left across components: the rows outside each block's largest component
-    # (outsiders) with its rows and with one another, slice by slice.
+    # (outsiders) with its rows and with one another; slice by slice where there are many.
     now = _labelled(rows, groups)
     parts = now.groupBy("token", "component").agg(F.count("*").alias("n"))
     sizes = parts.groupBy("token").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("rows"),
@@ -502,6 +512,10 @@ def _common_groups(rows: DataFrame, sets: DataFrame, points: DataFrame, links: D
               .withColumn("inside", F.coalesce(F.col("component") == F.col("main"), F.lit(False)))
     place = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    single = (F.col("outs") == 1) & (F.col("mains") <= 1)
+    alone = each.filter(single).select("token", F.lit(2).alias("far"), F.lit(0).alias("i"), F.lit(0).alias("j"),
+                                       F.col("inside").cast("int").alias("own"), "cid", "component")
+    each = each.filter(~single)
     inside = each.filter("inside").withColumn("j", place("mains")).withColumn("i", every("outs")) \
                  .select("token", F.lit(1).alias("far"), "i", "j", F.lit(1).alias("own"), "cid", "component")
     outside = each.filter("NOT inside")
@@ -517,21 +531,25 @@ def _common_groups(rows: DataFrame, sets: DataFrame, points: DataFrame, links: D
                 continue
             own = t.column("own").to_numpy()
             lots = [_lot(t.filter(pa.array(own == k))) for k in np.unique(own).tolist()]
-            i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-            if len(lots) == 1 and (t.column("far")[0].as_py() or i != j):
+            i, j, far = (t.column(c)[0].as_py() for c in ("i", "j", "far"))
+            if len(lots) == 1 and (far == 1 or i != j):
                 continue
-            found = tree_join(*lots[0], other=lots[1]) if len(lots) == 2 else tree_join(*lots[0])
+            found = [*tree_join(*lots[0], other=lots[1])] if len(lots) == 2 else []
+            if far == 2 or len(lots) == 1:
+                found += tree_join(*lots[0])
+            # Whole points decide at once, so that a pair's points need not be moved.
+            whole = dict(zip(t.column("cid").to_pylist(), zip(t.column("n").to_pylist(), t.column("point").to_pylist(), strict=True), strict=True))
             between = []
             for a, b in found:
-                ok = np.array([where[x] != where[y] for x, y in zip(a.tolist(), b.tolist(), strict=True)], bool)
+                ok = np.array([where[x] != where[y] and _near(*whole[x], *whole[y]) for x, y in zip(a.tolist(), b.tolist(), strict=True)], bool)
                 between.append((a[ok], b[ok]))
             got = _emitted(iter(between))
             if got is not None:
                 yield got
 
-    dealt = inside.union(across).union(among).join(points.select("cid", "n", "coarse"), "cid")
+    dealt = alone.union(inside).union(across).union(among).join(points.select("cid", "n", "coarse", "point"), "cid")
     pairs = dealt.repartition("token", "far", "i", "j").sortWithinPartitions("token", "far", "i", "j") \
-                 .select("token", "far", "i", "j", "own", "cid", "n", "component", "coarse").mapInArrow(run, "a long, b long")
+                 .select("token", "far", "i", "j", "own", "cid", "n", "component", "coarse", "point").mapInArrow(run, "a long, b long")
     more = _verified(pairs, sets, points)
     return groups if more.isEmpty() else _grouped_by(links.union(more).distinct())
 
@@ -571,8 +589,11 @@ def _points(sets: DataFrame, wanted: DataFrame) -> DataFrame:
                 .join(wanted, "cid", "left_semi")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            small = [coarse(np.frombuffer(p, "<u2")).tobytes() for p in b.column("point").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(small, pa.binary())], [*b.schema.names, "coarse"])
+            found = [np.frombuffer(p, "<u2") for p in b.column("point").to_pylist()]
+            small = [coarse(p).tobytes() for p in found]
+            whole = [np.minimum(p, FULL).astype(np.uint8).tobytes() for p in found]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(whole, pa.binary()), pa.array(small, pa.binary())],
+                                             [*b.schema.names, "coarse"])
 
     rows = sets.filter("n > 0").select("rid", "n", "point").join(first, "rid").select("cid", "rid", "n", "copies", "point")
     return stored(rows.mapInArrow(run, "cid long, rid long, n long, copies long, point binary, coarse binary"), "points")
