@@ -15,7 +15,8 @@ keeps a bounded memory of words it has met.
 
 Defined cases: NULL text gives NULL ids and decodes to NULL; the empty text
 gives no ids; a literal U+2581 goes to bytes, so decoding is exact for every
-text; repeated rows are encoded each; only the named columns are read.
+text; texts of any length are encoded whole; repeated rows are encoded each; an
+empty table gives no rows; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -34,8 +35,11 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-KEPT_WORDS, KEPT_LENGTH = 300_000, 48   # a task's memory of words
-AT_ONCE = 1 << 21                       # characters or ids handled together
+KEPT_BYTES, KEPT_LENGTH = 24 << 20, 48  # a task's memory of words, and the longest word kept
+WORD_BYTES = 150                        # of a kept word beside its characters and ids, about
+AT_ONCE = 1 << 20                       # characters of texts cut together
+NEW_AT_ONCE = 1 << 17                   # characters of new words segmented together
+IDS_AT_ONCE = 1 << 18                   # ids decoded together
 MAX_VOCABULARY = 1_000_000              # pieces shipped to tasks, at most
 
 
@@ -122,6 +126,7 @@ class Pieces:
         self.unknown = min(v.scores[i] for i in normal) - 10.0
         self.chunks = re.compile(f" *[^ \n{MARK}]+| +|\n|{MARK}")
         self.kept = {c: self.edges.spell(c).astype("<i4").tobytes() for c in ("\n", MARK)}
+        self.held = 0          # bytes of the kept words, about
         # Decoding: the bytes of each piece, end to end.
         spelled = [bytes([int(p[3:5], 16)]) if k == "b" else p.replace(MARK, " ").encode() if k == "p" else b""
                    for p, k in zip(v.pieces, v.kinds, strict=True)]
@@ -171,18 +176,20 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; new words of all texts are segmented together."""
+        if self.held > KEPT_BYTES:
+            self.kept, self.held = {c: self.kept[c] for c in ("\n", MARK)}, 0
         kept = self.kept
-        if len(kept) > KEPT_WORDS:
-            kept = self.kept = {c: kept[c] for c in ("\n", MARK)}
         cut = [self.chunks.findall(" " + t) if t else [] for t in texts]
         new = [c for c in set().union(*cut) if c not in kept]
-        long = {c for c in new if len(c) > KEPT_LENGTH}
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            kept.update(zip(part, self.viterbi([c.replace(" ", MARK) for c in part]), strict=True))
+        for lo, hi in _lots([len(c) for c in new], NEW_AT_ONCE):
+            part = new[lo:hi]
+            ids = self.viterbi([c.replace(" ", MARK) for c in part])
+            kept.update(zip(part, ids, strict=True))
+            self.held += sum(WORD_BYTES + len(c) + len(i) for c, i in zip(part, ids, strict=True))
         out = [b"".join([kept[c] for c in cs]) for cs in cut]
-        for c in long:
-            del kept[c]
+        for c in new:
+            if len(c) > KEPT_LENGTH:
+                self.held -= WORD_BYTES + len(c) + len(kept.pop(c))
         return out
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
@@ -207,17 +214,18 @@ def _lots(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield lo, len(sizes)
 
 
-def _arrow(df: DataFrame, v: Vocabulary, source: str, target: str, kind: str, how):
-    """``df`` with ``target`` computed from column ``source`` by ``how(Pieces, column)``."""
-    if target in df.columns:
-        raise ValueError(f"{target} is already a column")
+def _arrow(df: DataFrame, v: Vocabulary, targets: dict[str, str], how) -> DataFrame:
+    """``df`` with the columns ``targets`` (name, type), which ``how(Pieces, batch)`` gives."""
+    for t in targets:
+        if t in df.columns:
+            raise ValueError(f"{t} is already a column")
     shipped = df.sparkSession.sparkContext.broadcast(tuple(v))
-    schema = df.withColumn(target, F.lit(None).cast(kind)).schema
+    schema = df.withColumns({t: F.lit(None).cast(kind) for t, kind in targets.items()}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Pieces(Vocabulary(*shipped.value))
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, how(p, b.column(source))], [*b.schema.names, target])
+            yield pa.RecordBatch.from_arrays([*b.columns, *how(p, b)], [*b.schema.names, *targets])
 
     return df.mapInArrow(run, schema)
 
@@ -239,24 +247,32 @@ def _decode_column(p: Pieces, column: pa.Array) -> pa.Array:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
     out = []
-    for lo, hi in _lots(lengths, AT_ONCE):
+    for lo, hi in _lots(lengths, IDS_AT_ONCE):
         out += p.decode(flat[ends[lo]:ends[hi]], ends[lo:hi + 1] - ends[lo])
     return pa.array(out, pa.string(), mask=column.is_null().to_numpy(zero_copy_only=False))
 
 
 def encoded(df: DataFrame, text: str = "text", ids: str = "ids", vocabulary: str = MODEL) -> DataFrame:
     """``df`` with the piece ids of its texts."""
-    return _arrow(df, load_vocabulary(vocabulary), text, ids, "array<int>", _encode_column)
+    return _arrow(df, load_vocabulary(vocabulary), {ids: "array<int>"}, lambda p, b: [_encode_column(p, b.column(text))])
 
 
 def decoded(df: DataFrame, ids: str = "ids", text: str = "decoded", vocabulary: str = MODEL) -> DataFrame:
     """``df`` with the texts of its piece ids."""
-    return _arrow(df, load_vocabulary(vocabulary), ids, text, "string", _decode_column)
+    return _arrow(df, load_vocabulary(vocabulary), {text: "string"}, lambda p, b: [_decode_column(p, b.column(ids))])
 
 
 def piece_report(docs: DataFrame, vocabulary: str = MODEL) -> DataFrame:
-    """doc_id, ids, n_tokens and whether decoding gives the text back (NULL text: NULLs)."""
-    source = docs.select("doc_id", "text")
-    both = decoded(encoded(source, vocabulary=vocabulary), vocabulary=vocabulary)
-    return both.select("doc_id", "ids", F.when(F.col("ids").isNotNull(), F.size("ids")).cast("long").alias("n_tokens"),
-                       (F.col("decoded") == F.col("text")).alias("exact"))
+    """doc_id, ids, n_tokens and whether decoding gives the text back (NULL text: NULLs).
+
+    Texts are encoded, decoded and compared in one pass, by one automaton a task.
+    """
+    def both(p: Pieces, b: pa.RecordBatch) -> list[pa.Array]:
+        text = b.column("text")
+        ids = _encode_column(p, text)
+        back = _decode_column(p, ids)
+        return [ids, pc.cast(pc.list_value_length(ids), pa.int64()), pc.equal(back, text.cast(pa.string()))]
+
+    rows = _arrow(docs.select("doc_id", "text"), load_vocabulary(vocabulary),
+                  {"ids": "array<int>", "n_tokens": "long", "exact": "boolean"}, both)
+    return rows.drop("text")
