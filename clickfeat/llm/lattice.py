@@ -11,8 +11,10 @@ vocabulary's own ranks, re-estimated by expected piece counts of all word
 types, first together and then per class), and per class of text the whole-word edges (absolute discounting: what
 the discount frees goes to the piece lattice) and the end. The classes are the
 ``CLASSES`` most frequent languages of the training rows, the rest together;
-a text's class is never read when scoring: its probability is the marginal
-over classes and segmentations.
+a text's class is never read when scoring: its probability ``score`` is the marginal
+over classes and segmentations. The whole-word edges' share is learned: it is
+what the discount, estimated from the words met once and twice, leaves of their counts.
+``lattice_score`` is the text's probability by the pieces alone, all classes together.
 
 Counts of words are joined, never collected: words of up to ``SHORT`` bytes
 among the (at most ``COMMON``) most frequent are broadcast (a bounded table), all others
@@ -20,8 +22,8 @@ are joined by key with their own share of the counts.
 
 Defined cases: a NULL text is empty (one token, the end); NULL doc_ids hash as
 the empty text; repeated rows count and are scored each; without training rows
-the base score is 0 and the pieces' initial weights decide; an empty table
-gives no rows. Only doc_id, text and lang are read.
+the base score is 0 and the pieces' initial weights decide; texts and words of
+any length are scored whole; an empty table gives no rows. Only doc_id, text and lang are read.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,51 +50,106 @@ END = b"\n"           # stands for the end of a text; no word holds it
 
 
 class Lattice(Edges):
-    """The recursions over a batch of marked words, for all classes at once.
+    """The recursions over a batch of marked words.
 
     ``weights`` has a row per piece and a column per class (natural logs).
+    The edges of a word are found once and kept as two lists: the place where
+    each ends in its word, and its piece (or, below zero, the character that
+    goes to byte pieces).
     """
 
     def __init__(self, v: Vocabulary, weights: np.ndarray):
         super().__init__(v)
         self.w = weights
-
-    def take(self, batch: list[bytes]) -> None:
-        """Find the edges of a batch of words and the weights of their rows."""
-        self.load([MARK + w.decode("utf-8", "replace").replace(MARK, "\ufffd") for w in batch])
+        self.length = np.array([len(p) for p in v.pieces], np.int64)
+
+    def find(self, batch: list[bytes]) -> tuple[np.ndarray, list, list]:
+        """Sizes of the marked words, and their edges: places and codes."""
+        marked = [MARK + w.decode("utf-8", "replace").replace(MARK, "\ufffd") for w in batch]
+        self.load(marked)
+        code = self.row.copy()
+        lone = code >= self.size
+        joined = "\n".join(marked)
+        code[lone] = [-1 - ord(joined[p]) for p in self.start[lone].tolist()]
+        order = np.argsort(self.word, kind="stable")
+        ends = np.searchsorted(self.word[order], np.arange(len(marked) + 1))
+        kept = [self.to_at[order].astype(np.int32), code[order].astype(np.int32)]
+        return self.last - self.first, ends, kept
+
+    def lay(self, sizes: np.ndarray, counts: np.ndarray, at: np.ndarray, code: np.ndarray) -> None:
+        """Lay out the kept edges (``counts`` a word, end to end) of a batch of words."""
+        self.first = np.cumsum(sizes + 1) - sizes - 1
+        self.last = self.first + sizes
+        self.nodes = int((sizes + 1).sum())
+        self.word = np.repeat(np.arange(len(sizes)), counts)
+        self.to_at = at.astype(np.int64)
+        lone = code < 0
+        chars, which = np.unique(code[lone], return_inverse=True)
+        self.spelled = [self.spell(chr(-1 - c)) for c in chars.tolist()]
+        self.row = code.astype(np.int64)
+        self.row[lone] = self.size + which
+        self.from_at = self.to_at - np.where(lone, 1, self.length[np.where(lone, 0, code)])
+        self.start, self.end = self.first[self.word] + self.from_at, self.first[self.word] + self.to_at
         self.rows = self.w
         if self.spelled:
             self.rows = np.vstack([self.w, [self.w[ids].sum(0) for ids in self.spelled]])
 
-    def _sweep(self, source, target, order_by, begin, ascending) -> np.ndarray:
-        """Log sums over all edges from ``source`` to ``target`` nodes, position by position."""
-        sums = np.full((self.nodes, self.w.shape[1]), -np.inf)
+    def take(self, batch: list[bytes]) -> None:
+        """Find and lay out the edges of a batch of words."""
+        sizes, ends, (at, code) = self.find(batch)
+        self.lay(sizes, np.diff(ends), at, code)
+
+    def pick(self, words: np.ndarray, classes: np.ndarray) -> None:
+        """From here on, the lattices of ``words`` (again for each class that one is in)."""
+        counts = np.bincount(self.word, minlength=len(self.first))
+        heads, sizes = np.cumsum(counts) - counts, (self.last - self.first)[words]
+        counts = counts[words]
+        each = np.repeat(heads[words] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        self.first = np.cumsum(sizes + 1) - sizes - 1
+        self.last = self.first + sizes
+        self.nodes = int((sizes + 1).sum())
+        self.word = np.repeat(np.arange(len(words)), counts)
+        self.from_at, self.to_at, self.row = self.from_at[each], self.to_at[each], self.row[each]
+        self.start, self.end = self.first[self.word] + self.from_at, self.first[self.word] + self.to_at
+        self.kind = classes[self.word]
+
+    def _sweep(self, terms, source, target, order_by, begin, ascending) -> np.ndarray:
+        """Log sums over all edges from ``source`` to ``target`` nodes, position by position.
+
+        ``terms`` are the edges' weights: one each, or one for each class.
+        """
+        sums = np.full((self.nodes, *terms.shape[1:]), -np.inf)
         sums[begin] = 0.0
         order = np.lexsort((target, order_by if ascending else -order_by))
-        src, dst, row, pos = source[order], target[order], self.row[order], order_by[order]
+        src, dst, weight, pos = source[order], target[order], terms[order], order_by[order]
         cuts = np.flatnonzero(np.diff(pos)) + 1
+        new = np.concatenate([[True], np.diff(dst) != 0])
         for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(order)], strict=True):
-            terms = sums[src[lo:hi]] + self.rows[row[lo:hi]]
-            heads = np.flatnonzero(np.concatenate([[True], np.diff(dst[lo:hi]) != 0]))
-            top = np.maximum(np.maximum.reduceat(terms, heads), -1e300)
-            sizes = np.diff(np.append(heads, hi - lo))
-            total = np.add.reduceat(np.exp(terms - np.repeat(top, sizes, 0)), heads)
+            own = sums[src[lo:hi]] + weight[lo:hi]
+            new[lo] = True
+            heads = np.flatnonzero(new[lo:hi])
+            top = np.maximum(np.maximum.reduceat(own, heads), -1e300)
+            total = np.add.reduceat(np.exp(own - np.repeat(top, np.diff(np.append(heads, hi - lo)), 0)), heads)
             with np.errstate(divide="ignore"):
                 sums[dst[lo:hi][heads]] = top + np.log(total)
         return sums
 
     def marginals(self) -> np.ndarray:
         """Log probability of each word (rows) in each class."""
-        return self._sweep(self.start, self.end, self.to_at, self.first, True)[self.last]
-
-    def expected(self, shares: np.ndarray) -> np.ndarray:
-        """Expected piece counts per class; ``shares`` weighs words (rows) per class."""
-        a = self._sweep(self.start, self.end, self.to_at, self.first, True)
-        b = self._sweep(self.end, self.start, self.from_at, self.last, False)
-        edge = a[self.start] + self.rows[self.row] + b[self.end] - a[self.last][self.word]
-        edge = np.exp(edge) * shares[self.word]
-        size = len(self.w)
-        out = np.stack([np.bincount(self.row, edge[:, k], len(self.rows)) for k in range(edge.shape[1])], 1)
+        return self._sweep(self.rows[self.row], self.start, self.end, self.to_at, self.first, True)[self.last]
+
+    def expected(self, classes: np.ndarray) -> np.ndarray:
+        """Expected piece counts per class; ``classes`` says which words (rows) are in which class (columns)."""
+        words, kinds = np.nonzero(classes)
+        size, width = self.w.shape
+        if not len(words):
+            return np.zeros((size, width))
+        self.pick(words, kinds)
+        terms = self.rows[self.row, self.kind]
+        a = self._sweep(terms, self.start, self.end, self.to_at, self.first, True)
+        b = self._sweep(terms, self.end, self.start, self.from_at, self.last, False)
+        edge = np.exp(a[self.start] + terms + b[self.end] - a[self.last][self.word])
+        out = np.bincount(self.row * width + self.kind, edge, len(self.rows) * width).reshape(-1, width)
         counts = out[:size]
         for ids, n in zip(self.spelled, out[size:], strict=True):
             np.add.at(counts, ids, n)
@@ -141,10 +199,36 @@ def word_counts(docs: DataFrame, held: str, group: str, groups: int) -> DataFram
         *[F.sum(F.when(F.col("k") == k, F.col("n")).otherwise(0)).alias(f"t{k}") for k in range(groups)])
 
 
+EDGES = ["size", "at", "code"]
+
+
+def _with_edges(counts: DataFrame, v: Vocabulary) -> DataFrame:
+    """``counts`` with the edges of each word's lattice (none for the end), which all later passes use."""
+    shipped = counts.sparkSession.sparkContext.broadcast(tuple(v))
+    schema = counts.withColumns({"size": F.lit(0), "at": F.lit(None).cast("array<int>"), "code": F.lit(None).cast("array<int>")}).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Lattice(Vocabulary(*shipped.value), np.zeros((0, 1)))
+        for b in batches:
+            if b.num_rows:
+                sizes, ends, kept = model.find([w if w != END else b"" for w in b.column("word").to_pylist()])
+                lists = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(k)) for k in kept]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sizes.astype(np.int32)), *lists], [*b.schema.names, *EDGES])
+
+    return counts.mapInArrow(run, schema)
+
+
+def _taken(model: Lattice, b: pa.RecordBatch) -> None:
+    at, code = b.column("at"), b.column("code")
+    model.lay(b.column("size").to_numpy().astype(np.int64), pc.list_value_length(at).to_numpy(zero_copy_only=False),
+              at.flatten().to_numpy(), code.flatten().to_numpy())
+
+
 def _reestimated(counts: DataFrame, v: Vocabulary, start: np.ndarray, shares: list[str]) -> np.ndarray:
     """Expected piece counts of all word types, one column for each of ``shares``.
 
-    ``shares`` are columns of ``counts``; a type counts once where it is above 0.
+    ``shares`` are columns of ``counts``; a type counts once where it is above 0,
+    and is swept only there.
     """
     if start.shape[1] != len(shares):
         start = np.repeat(start, len(shares), 1)
@@ -156,13 +240,13 @@ def _reestimated(counts: DataFrame, v: Vocabulary, start: np.ndarray, shares: li
         model, seen = Lattice(Vocabulary(*v), w), np.zeros(w.shape)
         for b in batches:
             if b.num_rows:
-                model.take(b.column("word").to_pylist())
-                seen += model.expected(np.stack([b.column(s).to_numpy() > 0 for s in shares], 1).astype(float))
+                _taken(model, b)
+                seen += model.expected(np.stack([b.column(s).to_numpy() > 0 for s in shares], 1))
         hit = np.flatnonzero(seen.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), *map(pa.array, seen[hit].T)], ["i", *names])
 
     # At most one row a piece comes back.
-    rows = counts.select("word", *shares) \
+    rows = counts.select(*shares, *EDGES) \
                  .mapInArrow(run, "i int, " + ", ".join(f"{n} double" for n in names)) \
                  .groupBy("i").agg(*[F.sum(n).alias(n) for n in names]).collect()
     mass = np.exp(start) * PRIOR        # what the round began with stays as a small prior
@@ -172,20 +256,21 @@ def _reestimated(counts: DataFrame, v: Vocabulary, start: np.ndarray, shares: li
 
 
 def _with_marginals(counts: DataFrame, v: Vocabulary, weights: np.ndarray) -> DataFrame:
-    """``counts`` with the piece lattice's log probability of each word in each class."""
+    """``counts`` (less the edges) with the piece lattice's log probability of each word in each class."""
     shipped = counts.sparkSession.sparkContext.broadcast((tuple(v), weights))
     names = [f"s{k}" for k in range(weights.shape[1])]
+    rest = [c for c in counts.columns if c not in EDGES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, w = shipped.value
         model = Lattice(Vocabulary(*v), w)
         for b in batches:
             if b.num_rows:
-                model.take(b.column("word").to_pylist())
+                _taken(model, b)
                 subs = model.marginals().astype(np.float32)
-                yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, subs.T)], [*b.schema.names, *names])
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in rest], *map(pa.array, subs.T)], [*rest, *names])
 
-    return counts.mapInArrow(run, counts.select("*", *[F.lit(0.0).cast("float").alias(n) for n in names]).schema)
+    return counts.mapInArrow(run, counts.select(*rest, *[F.lit(0.0).cast("float").alias(n) for n in names]).schema)
 
 
 def lattice_scores(docs: DataFrame, held_out, vocabulary: str = MODEL) -> DataFrame:
@@ -205,7 +290,7 @@ def lattice_scores(docs: DataFrame, held_out, vocabulary: str = MODEL) -> DataFr
 
     ts = [f"t{k}" for k in range(groups)]
     total = sum(F.col(t) for t in ts)
-    counts = stored(word_counts(source, "held", "g", groups).withColumn("c", total), "lm-counts")
+    counts = stored(_with_edges(word_counts(source, "held", "g", groups).withColumn("c", total), v), "lm-counts")
     is_end = F.col("word") == F.lit(END)
     sums = counts.agg(
         F.sum("c").alias("N"), F.sum((F.col("c") > 0).cast("long")).alias("V"),
@@ -221,10 +306,10 @@ def lattice_scores(docs: DataFrame, held_out, vocabulary: str = MODEL) -> DataFr
     all_docs = sum(d for _, _, d in per)
 
     types = counts.filter((F.col("c") > 0) & ~is_end)
-    weights = _reestimated(types, v, initial_weights(v), ["c"])
+    pooled = weights = _reestimated(types, v, initial_weights(v), ["c"])
     for _ in range(ROUNDS):
         weights = _reestimated(types, v, weights, ts)
-    words_table = stored(_with_marginals(counts.filter(~is_end), v, weights), "lm-words")
+    words_table = stored(_with_marginals(counts.filter(~is_end), v, np.hstack([weights, pooled])), "lm-words")
 
     # A word's log probability in class k, as a SQL expression over its row.
     logs = []
@@ -236,7 +321,9 @@ def lattice_scores(docs: DataFrame, held_out, vocabulary: str = MODEL) -> DataFr
             p += F.greatest(F.col(f"t{k}") - F.lit(discount), F.lit(0.0)) / n
         word = F.when(p > 1e-290, F.log(p)).otherwise(sub + back)
         logs.append((word + math.log1p(-(d + 0.5) / (n + d + 1.0))).alias(f"l{k}"))
-    shared = words_table.select("word", "c", (F.log10(F.col("c") + 1.0) - log_base).alias("b"), *logs)
+    # The pieces alone, of all classes together: the lattice without whole-word edges.
+    alone = F.col(f"s{groups}").cast("double") + math.log1p(-(all_docs + 0.5) / (n_train + 1.0))
+    shared = words_table.select("word", "c", (F.log10(F.col("c") + 1.0) - log_base).alias("b"), *logs, alone.alias("p"))
 
     ends = [math.log((d + 0.5) / (n + d + 1.0)) for n, _, d in per]
     prior = [math.log((d + 0.01) / (all_docs + 0.01 * groups)) for _, _, d in per]
@@ -258,7 +345,7 @@ def lattice_scores(docs: DataFrame, held_out, vocabulary: str = MODEL) -> DataFr
                 hits = [(at[w], n) for w, n in own.items() if w in at]
                 i = np.array([h[0] for h in hits], np.int64)
                 n = np.array([h[1] for h in hits], np.float64)
-                sums.append((n @ parts[i]).tolist() if hits else [0.0] * (groups + 1))
+                sums.append((n @ parts[i]).tolist() if hits else [0.0] * (groups + 2))
                 known.append(int(n.sum()))
                 rare.append([{"word": w, "n": n} for w, n in own.items() if w not in at])
             yield pa.RecordBatch.from_arrays(
@@ -277,7 +364,7 @@ def lattice_scores(docs: DataFrame, held_out, vocabulary: str = MODEL) -> DataFr
     n = F.col("n")
     rest = rare.join(shared, "word").groupBy("rid").agg(
         F.sum(F.when(F.col("c") > 0, n).otherwise(0)).alias("rare_known"), F.sum(n * F.col("b")).alias("rare_base"),
-        *[F.sum(n * F.col(f"l{k}")).alias(f"r{k}") for k in range(groups)])
+        *[F.sum(n * F.col(f"l{k}")).alias(f"r{k}") for k in range(groups)], F.sum(n * F.col("p")).alias("rare_alone"))
     both = first.drop("rare").join(rest, "rid", "left")
     sums = F.col("sums")
     part = [F.lit(prior[k] + ends[k]) + sums[k + 1] + F.coalesce(F.col(f"r{k}"), F.lit(0.0)) for k in range(groups)]
@@ -288,7 +375,9 @@ def lattice_scores(docs: DataFrame, held_out, vocabulary: str = MODEL) -> DataFr
         (F.col("known") + F.coalesce("rare_known", F.lit(0)) + (1 if all_docs else 0)).cast("long").alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
         (sums[0] + F.coalesce("rare_base", F.lit(0.0)) + end_base).alias("base_score"),
-        (marginal / math.log(10)).alias("score"))
+        (marginal / math.log(10)).alias("score"),
+        ((sums[groups + 1] + F.coalesce("rare_alone", F.lit(0.0)) + math.log((all_docs + 0.5) / (n_train + 1.0)))
+         / math.log(10)).alias("lattice_score"))
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
