@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -151,10 +152,11 @@ def repeated_sentences(rows: DataFrame) -> DataFrame:
     first leave it at once: one exchange of short rows. The rows of hot spans
     do not move: their first occurrences are aggregated and broadcast.
     """
-    # Place and length in one number, so that a row stays short.
-    each = rows.select("rid", "doc_id", F.explode(F.arrays_zip("places", "spans", "sizes")).alias("s")).select(
-        "rid", "doc_id", F.col("s.spans").alias("h"),
-        (F.shiftleft(F.col("s.places").cast("long"), 32) + F.abs("s.sizes")).alias("place"), (F.col("s.sizes") < 0).alias("loose"))
+    # Place, kind and length in one number, so that a row stays short.
+    x = F.col("s")
+    place = F.shiftleft(x["places"].cast("long"), 32) + F.abs(x["sizes"]) + F.when(x["sizes"] < 0, F.lit(LOOSE)).otherwise(F.lit(0))
+    each = rows.select("rid", "doc_id", F.explode(F.arrays_zip("places", "spans", "sizes")).alias("s")) \
+               .select("rid", "doc_id", x["spans"].alias("h"), place.alias("place"))
     hot = _hot_spans(rows)
 
     def behind(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,26 +170,13 @@ def repeated_sentences(rows: DataFrame) -> DataFrame:
             own = np.cumsum(new) - 1 + held.shape[1]
             held = firsts[:, -1:]
             later = ~new
-            yield _cover(rid[later], place[later], b.column("loose").to_numpy(zero_copy_only=False)[later],
-                         firsts[1, own[later]], firsts[2, own[later]])
+            yield _cover(rid[later], place[later], firsts[1, own[later]], firsts[2, own[later]])
 
     cold = each if hot.isEmpty() else each.join(F.broadcast(hot), "h", "left_anti")
     found = cold.repartition("h").sortWithinPartitions("h", F.col("doc_id").isNull(), "doc_id", "rid", "place") \
-                .select("h", "rid", "place", "loose").mapInArrow(behind, COVER)
+                .select("h", "rid", "place").mapInArrow(behind, COVER)
     if not hot.isEmpty():
-        order = F.struct(F.col("doc_id").isNull(), "doc_id", "rid", "place")
-        firsts = stored(each.join(F.broadcast(hot), "h").groupBy("h").agg(F.min(order).alias("f"))
-                        .select("h", F.col("f.rid").alias("first_rid"), F.col("f.place").alias("first_place")), "first-spans")
-
-        def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                rid, place, first_rid, first_place = (b.column(c).to_numpy() for c in ("rid", "place", "first_rid", "first_place"))
-                later = (rid != first_rid) | (place != first_place)
-                yield _cover(rid[later], place[later], b.column("loose").to_numpy(zero_copy_only=False)[later],
-                             first_rid[later], first_place[later])
-
-        found = found.union(each.join(F.broadcast(firsts), "h").select("rid", "place", "loose", "first_rid", "first_place")
-                            .mapInArrow(beside, COVER))
+        found = found.union(_behind_hot(rows, hot))
 
     def covered(spans):
         each = F.transform(F.collect_list(spans), lambda s: F.sequence(s["begin"], s["end"] - 1))
@@ -198,11 +187,64 @@ def repeated_sentences(rows: DataFrame) -> DataFrame:
 
 
 COVER = "rid long, begin int, end int, whole boolean"
+LOOSE = 1 << 31        # marks a span that is not made of whole sentences alone
+
+
+def _of_hashes(b: pa.RecordBatch, hashes: np.ndarray):
+    """The spans of a batch of documents that are among sorted ``hashes``: document, number of the hash, place."""
+    spans = b.column("spans")
+    h = spans.flatten().to_numpy()
+    at = np.searchsorted(hashes, h)
+    hit = np.flatnonzero(hashes[np.minimum(at, len(hashes) - 1)] == h)
+    doc = np.repeat(np.arange(b.num_rows), pc.list_value_length(spans).to_numpy(zero_copy_only=False))[hit]
+    place, size = (b.column(c).flatten().to_numpy()[hit].astype(np.int64) for c in ("places", "sizes"))
+    return doc, at[hit], (place << 32) + np.abs(size) + np.where(size < 0, LOOSE, 0)
+
+
+def _behind_hot(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """What the rows of hot spans cover behind their first ones; no row is moved.
+
+    Hashes and firsts (at most HOT_KEPT of each) are broadcast.
+    """
+    sc, kind = rows.sparkSession.sparkContext, dict(rows.dtypes)["doc_id"]
+    hashes = np.sort(np.array([r["h"] for r in hot.collect()], np.int64))
+    shipped = sc.broadcast(hashes)
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            doc, at, place = _of_hashes(b, shipped.value)
+            ids = b.column("doc_id").to_pylist()
+            rid = b.column("rid").to_numpy()
+            rank = np.zeros(b.num_rows, np.int64)
+            rank[sorted(range(b.num_rows), key=lambda k: (ids[k] is None, ids[k] if ids[k] is not None else 0, rid[k]))] = np.arange(b.num_rows)
+            order = np.lexsort((place, rank[doc], at))
+            order = order[np.concatenate([[True], np.diff(at[order]) != 0])[:len(order)]]
+            yield pa.RecordBatch.from_arrays([pa.array(at[order]), b.column("doc_id").take(pa.array(doc[order])),
+                                              pa.array(rid[doc[order]]), pa.array(place[order])], ["k", "doc_id", "rid", "place"])
+
+    source = rows.select("rid", "doc_id", "places", "spans", "sizes")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "rid", "place")
+    firsts = source.mapInArrow(least, f"k long, doc_id {kind}, rid long, place long").groupBy("k").agg(F.min(order).alias("f")) \
+                   .select("k", "f.rid", "f.place").collect()
+    first = np.zeros((2, len(hashes)), np.int64)
+    for r in firsts:
+        first[:, r["k"]] = r["rid"], r["place"]
+    known = sc.broadcast(first)
+
+    def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            doc, at, place = _of_hashes(b, shipped.value)
+            rid = b.column("rid").to_numpy()[doc]
+            first_rid, first_place = known.value[:, at]
+            later = (rid != first_rid) | (place != first_place)
+            yield _cover(rid[later], place[later], first_rid[later], first_place[later])
+
+    return source.mapInArrow(beside, COVER)
 
 
-def _cover(rid, place, loose, first_rid, first_place) -> pa.RecordBatch:
+def _cover(rid, place, first_rid, first_place) -> pa.RecordBatch:
     """The units that later rows of a span cover; a loose one leaves its own first occurrence whole."""
-    low = (1 << 32) - 1
+    low, loose = LOOSE - 1, (place & LOOSE) != 0
     begin, end = place >> 32, (place >> 32) + (place & low)
     first_end = (first_place >> 32) + (first_place & low)
     begin = np.where(loose & (rid == first_rid), np.maximum(begin, first_end), begin)

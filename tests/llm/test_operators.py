@@ -382,3 +382,17 @@ def test_bounded_top_and_sample(spark, most):
     assert len(top) >= min(most, 1000) * 0.7 or most < 40
     sample = bounded_sample(rows, "id", most).count()
     assert 0.8 * min(most, 1000) <= sample <= most or most < 40
+
+
+def test_spans_of_hot_hashes(spark, docs, monkeypatch):
+    """The way of hot spans gives what the exchange gives."""
+    want = X.repeated_sentences(docs)
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    whole = sorted(map(tuple, spans.span_report(df).collect()))
+    monkeypatch.setattr(spans, "SAMPLED", 1)
+    monkeypatch.setattr(spans, "HOT_ROWS", 2)
+    seen = []
+    plain = spans._behind_hot
+    monkeypatch.setattr(spans, "_behind_hot", lambda rows, hot: seen.append(hot.count()) or plain(rows, hot))
+    assert sorted(map(tuple, spans.span_report(df).collect())) == whole and seen[0] > 10
+    assert {r[0]: (r[1], r[2]) for r in whole} == want
