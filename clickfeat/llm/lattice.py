@@ -336,21 +336,29 @@ def lattice_scores(docs: DataFrame, held_out, vocabulary: str = MODEL) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, parts = shipped.value
         at = {w: i for i, w in enumerate(names)}
-        rare_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
         for b in batches:
-            sums, rare, sizes, known = [], [], [], []
+            sums, sizes, known, rare, times, cuts = [], [], [], [], [], [0]
             for text in raw(b.column("text")):
                 own = Counter(words(text))
                 sizes.append(own.total() + 1)
-                hits = [(at[w], n) for w, n in own.items() if w in at]
-                i = np.array([h[0] for h in hits], np.int64)
-                n = np.array([h[1] for h in hits], np.float64)
-                sums.append((n @ parts[i]).tolist() if hits else [0.0] * (groups + 2))
-                known.append(int(n.sum()))
-                rare.append([{"word": w, "n": n} for w, n in own.items() if w not in at])
+                i, n = [], []
+                for w, k in own.items():
+                    place = at.get(w)
+                    if place is None:
+                        rare.append(w)
+                        times.append(k)
+                    else:
+                        i.append(place)
+                        n.append(k)
+                cuts.append(len(rare))
+                sums.append(np.array(n, np.float64) @ parts[i] if i else np.zeros(groups + 2))
+                known.append(sum(n))
+            flat = pa.array(np.concatenate(sums) if sums else np.zeros(0))
+            others = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], ["word", "n"])
             yield pa.RecordBatch.from_arrays(
-                [b.column("rid"), b.column("doc_id"), b.column("held"), pa.array(sizes, pa.int64()),
-                 pa.array(known, pa.int64()), pa.array(sums, pa.list_(pa.float64())), pa.array(rare, rare_type)],
+                [b.column("rid"), b.column("doc_id"), b.column("held"), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(sums) + 1, dtype=np.int32) * (groups + 2)), flat),
+                 pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), others)],
                 ["rid", "doc_id", "held", "n_tokens", "known", "sums", "rare"])
 
     numbered = source.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "held", "text")
