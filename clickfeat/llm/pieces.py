@@ -3,7 +3,7 @@
 A text becomes piece ids by the unigram rule: of all segmentations into
 vocabulary pieces the one of highest summed score. An Aho-Corasick automaton
 over the pieces drives a single pass: at each position its output links yield
-the pieces ending there, and each relaxes the best score of that position (the
+the pieces ending there (those of one character are looked up in a table), and each relaxes the best score of that position (the
 words of a batch side by side). White space is the piece mark U+2581, one mark is put
 before the text, and a character no piece holds falls back to its UTF-8 bytes.
 The model file is the caller's (never trained here); its scores are used as
@@ -11,7 +11,8 @@ they are. Equal scores keep the longer last piece.
 
 No piece continues past a mark or holds a line feed (checked on loading), so
 the pass restarts at each word and its result may be kept per word: each task
-keeps a bounded memory of words it has met.
+keeps a bounded memory of words it has met; when it is full, those not met since
+it was last full are dropped.
 
 Defined cases: NULL text gives NULL ids and decodes to NULL; the empty text
 gives no ids; a literal U+2581 goes to bytes, so decoding is exact for every
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-KEPT_BYTES, KEPT_LENGTH = 24 << 20, 48  # a task's memory of words, and the longest word kept
+KEPT_BYTES, KEPT_LENGTH = 24 << 20, 48  # a task's memory of words (half of it older ones), and the longest word kept
 WORD_BYTES = 150                        # of a kept word beside its characters and ids, about
 AT_ONCE = 1 << 20                       # characters of texts cut together
 NEW_AT_ONCE = 1 << 17                   # characters of new words segmented together
@@ -80,9 +81,13 @@ class Edges:
         if any(MARK in v.pieces[i].lstrip(MARK) or "\n" in v.pieces[i] for i in normal):
             raise ValueError("a piece continues past a word mark")
         self.size = len(v.pieces)
+        # Pieces of one character are looked up by their code point, which takes no step of Python each.
+        ones = sorted((ord(v.pieces[i]), i) for i in normal if len(v.pieces[i]) == 1)
+        self.chars, self.single = np.array([*ones, (0x110000, -1)], np.int64).T.copy()
         self.auto = ahocorasick.Automaton()
         for i in normal:
-            self.auto.add_word(v.pieces[i], (i << 16) | len(v.pieces[i]))
+            if len(v.pieces[i]) > 1:
+                self.auto.add_word(v.pieces[i], (i << 16) | len(v.pieces[i]))
         self.auto.make_automaton()
         self.bytes = np.full(256, -1, np.int64)
         for i, k in enumerate(v.kinds):
@@ -99,17 +104,22 @@ class Edges:
         sizes = np.array([len(m) for m in marked], np.int64)
         self.first = np.cumsum(sizes + 1) - sizes - 1
         self.last = self.first + sizes
-        at = np.fromiter(((e << 40) | x for e, x in self.auto.iter(joined)), np.int64)
-        end, row, size = (at >> 40) + 1, (at >> 16) & 0xFFFFFF, at & 0xFFFF
+        at = np.fromiter(self.auto.iter(joined) if len(self.auto) else (), "i8,i8")
+        end, row, size = at["f0"] + 1, at["f1"] >> 16, at["f1"] & 0xFFFF
+        point = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+        near = np.searchsorted(self.chars, point)
+        known = self.chars[near] == point
+        one = np.flatnonzero(known)
         # Characters that no single-character piece holds: one edge of byte pieces each.
-        lone = np.ones(len(joined), bool)
-        lone[end[size == 1] - 1] = False
-        lone[self.last[:-1]] = False
-        lone = np.flatnonzero(lone)
+        known[self.last[:-1]] = True
+        lone = np.flatnonzero(~known)
         self.spelled = [self.spell(joined[p]) for p in lone.tolist()]
-        self.start = np.concatenate([end - size, lone])
-        self.end = np.concatenate([end, lone + 1])
-        self.row = np.concatenate([row, self.size + np.arange(len(lone))])
+        # In the order of the automaton's pass: by end, of one end the longer first.
+        end, start = np.concatenate([end, one + 1]), np.concatenate([end - size, one])
+        order = np.argsort((end << 16) - (end - start), kind="stable")
+        self.start = np.concatenate([start[order], lone])
+        self.end = np.concatenate([end[order], lone + 1])
+        self.row = np.concatenate([np.concatenate([row, self.single[near[one]]])[order], self.size + np.arange(len(lone))])
         home = np.repeat(self.first, sizes + 1)
         self.from_at, self.to_at = self.start - home[self.start], self.end - home[self.start]
         self.word = np.repeat(np.arange(len(marked)), sizes + 1)[self.start]
@@ -126,7 +136,8 @@ class Pieces:
         self.unknown = min(v.scores[i] for i in normal) - 10.0
         self.chunks = re.compile(f" *[^ \n{MARK}]+| +|\n|{MARK}")
         self.kept = {c: self.edges.spell(c).astype("<i4").tobytes() for c in ("\n", MARK)}
-        self.held = 0          # bytes of the kept words, about
+        self.older = {}        # words kept before; those met again are kept on
+        self.held = 0          # bytes of the kept words, about, less the older ones'
         # Decoding: the bytes of each piece, end to end.
         spelled = [bytes([int(p[3:5], 16)]) if k == "b" else p.replace(MARK, " ").encode() if k == "p" else b""
                    for p, k in zip(v.pieces, v.kinds, strict=True)]
@@ -176,11 +187,18 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; new words of all texts are segmented together."""
-        if self.held > KEPT_BYTES:
-            self.kept, self.held = {c: self.kept[c] for c in ("\n", MARK)}, 0
-        kept = self.kept
+        if self.held > KEPT_BYTES // 2:
+            self.kept, self.older, self.held = {c: self.kept[c] for c in ("\n", MARK)}, self.kept, 0
+        kept, older = self.kept, self.older
         cut = [self.chunks.findall(" " + t) if t else [] for t in texts]
-        new = [c for c in set().union(*cut) if c not in kept]
+        new = []
+        for c in set().union(*cut):
+            if c not in kept:
+                if (ids := older.get(c)) is None:
+                    new.append(c)
+                else:
+                    kept[c] = ids
+                    self.held += WORD_BYTES + len(c) + len(ids)
         for lo, hi in _lots([len(c) for c in new], NEW_AT_ONCE):
             part = new[lo:hi]
             ids = self.viterbi([c.replace(" ", MARK) for c in part])

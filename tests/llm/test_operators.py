@@ -162,6 +162,29 @@ def test_pieces_round_trip(text):
     assert p.decode(ids, np.array([0, len(ids)])) == [text]
 
 
+def test_pieces_keep_common_words_when_the_memory_turns_over(monkeypatch):
+    monkeypatch.setattr(pieces, "KEPT_BYTES", 8000)
+    p = pieces.Pieces(VOCABULARY)
+    met, plain = [], p.viterbi
+    monkeypatch.setattr(p, "viterbi", lambda marked: met.extend(marked) or plain(marked))
+    fresh = pieces.Pieces(VOCABULARY)
+    for k in range(20):
+        text = "ab " + " ".join("a" * i + "b" * (k + 1) for i in range(1, 10))
+        assert p.encode([text]) == fresh.encode([text])
+        assert len(p.kept) < 60
+    assert met.count("▁ab") == 1 and len(met) > 150
+
+
+def test_edges_are_all_pieces_of_a_word():
+    words = ["▁ab☃ba", "▁", "", "▁b\x00", "▁aabba"]
+    g = pieces.Edges(VOCABULARY)
+    g.load(words)
+    got = {(w, i, j, r) for w, i, j, r in zip(g.word.tolist(), g.from_at.tolist(), g.to_at.tolist(), g.row.tolist(), strict=True) if r < g.size}
+    assert got == {(k, i, j, VOCABULARY.pieces.index(w[i:j], 257)) for k, w in enumerate(words) for i in range(len(w))
+                   for j in range(i + 1, len(w) + 1) if w[i:j] in VOCABULARY.pieces[257:]}
+    assert len(g.row) - len(got) == len(g.spelled) == 2
+
+
 def test_jaccard(spark, docs):
     sizes, comp = X.jaccard_components(docs)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in Q.op5_jaccard(spark, SF_SMALL).collect()}
