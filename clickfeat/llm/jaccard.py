@@ -18,9 +18,10 @@ that a passage shared by many documents makes no block unless nearly all of a
 document is such passages.
 
 Equal sets are one point, known by a 64-bit hash of the set. Points are small and
-move to their blocks; the sets themselves move only for surviving pairs: a
-bitmap of fixed size tells the tasks that hold them which those are (one that
-fills up lets more through, to the join that decides). Blocks of more than a few sets may be of any size: their
+move to their blocks. The sets are larger than their texts, so they are never kept
+for all documents: a pass that needs them makes them from the texts again, and only the sets of
+surviving pairs move, where a bitmap of fixed size tells the tasks that read the texts which
+those are (one that fills up lets more through, to the join that decides). Blocks of more than a few sets may be of any size: their
 blocks of one least set are made one, points are first compared with a leader each, and once the verified links are
 joined to components only points outside a block's largest component are searched for,
 slice by slice. Trees hold coarse points, a byte for every four to eight shingles; the
@@ -76,6 +77,14 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
+def set_hash(h: np.ndarray) -> int | None:
+    """The hash that equal sets share; None for the empty set."""
+    if not len(h):
+        return None
+    both = np.array([h.sum(dtype=np.uint64), mixed(h ^ BASE).sum(dtype=np.uint64)])
+    return int(run_hashes(both, np.zeros(1, int), np.full(1, 2)).view(np.int64)[0])
+
+
 def prefix_size(n: int) -> int:
     """How many first shingles of a set must meet those of any similar set."""
     return n - -(-PART * n // WHOLE) + 1
@@ -132,11 +141,11 @@ class Tally:
         return rows[np.lexsort((rows[:, 0], -rows[:, 1]))[:FREQUENT_KEPT]]
 
 
-ROWS = ("rid long, {key}n long, cid long, tokens binary, point binary, frequent array<long>")
+ROWS = ("rid long, {key}n long, cid long, point binary, frequent array<long>")
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """One row a document: size, set hash ``cid``, the set (upper 48 bits), its point.
+    """One row a document: size, set hash ``cid``, and the point of its set (upper 48 bits of the hashes).
 
     A task adds rows without ``rid`` that name its frequent shingles.
     """
@@ -149,16 +158,14 @@ def document_sets(docs: DataFrame) -> DataFrame:
         doc_type = None
         for b in batches:
             doc_type = b.schema.field("doc_id").type
-            sizes, cids, packed, points = [], [], [], []
+            sizes, cids, points = [], [], []
             heads = []
             for part in lots([t or b"" for t in raw(b.column("text"))]):
                 for h in shingle_sets(part):
                     n = len(h)
                     sizes.append(n)
-                    both = np.array([h.sum(dtype=np.uint64), mixed(h ^ BASE).sum(dtype=np.uint64)])
-                    cids.append(int(run_hashes(both, np.zeros(1, int), np.full(1, 2)).view(np.int64)[0]) if n else None)
+                    cids.append(set_hash(h))
                     t = h >> U(16)
-                    packed.append(_packed(t))
                     m = groups_of(n)
                     points.append(np.bincount((t & U(m - 1)).astype(np.int64), minlength=m).astype("<u2").tobytes())
                     if n:
@@ -168,16 +175,14 @@ def document_sets(docs: DataFrame) -> DataFrame:
             none = pa.array([None] * len(sizes), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [b.column("rid"), b.column("doc_id"), b.column("text_key"), pa.array(sizes, pa.int64()),
-                 pa.array(cids, pa.int64()), pa.array(packed, pa.binary()),
-                 pa.array(points, pa.binary()), none], names)
+                 pa.array(cids, pa.int64()), pa.array(points, pa.binary()), none], names)
         hot = seen.commonest()
         if len(hot):
-            cells = [pa.array([None], x) for x in (pa.int64(), doc_type, pa.int64(), pa.int64(), pa.int64(),
-                                                   pa.binary(), pa.binary())]
+            cells = [pa.array([None], x) for x in (pa.int64(), doc_type, pa.int64(), pa.int64(), pa.int64(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [*cells, pa.array([hot.ravel()], pa.list_(pa.int64()))], names)
 
-    names = ["rid", "doc_id", "text_key", "n", "cid", "tokens", "point", "frequent"]
+    names = ["rid", "doc_id", "text_key", "n", "cid", "point", "frequent"]
     return stored(source.mapInArrow(run, ROWS.format(key=f"doc_id {kind}, text_key long, ")), "sets")
 
 
@@ -189,36 +194,57 @@ def _frequent(sets: DataFrame) -> np.ndarray:
     return np.sort(np.array([r["token"] for r in top.select("token").collect()], np.uint64))
 
 
-def _prefixes(sets: DataFrame, frequent: np.ndarray) -> DataFrame:
+class Met:
+    """The keys that a task has met, as far as it remembers (the last one at each place)."""
+
+    def __init__(self):
+        self.last, self.used = np.zeros(MET, np.int64), np.zeros(MET, bool)
+
+    def new(self, keys: list[int]) -> np.ndarray:
+        """Which of ``keys`` are met for the first time, within them too."""
+        out = np.zeros(len(keys), bool)
+        for i, k in enumerate(keys):
+            at = k % MET
+            out[i] = not self.used[at] or self.last[at] != k
+            self.last[at], self.used[at] = k, True
+        return out
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.filter("text IS NOT NULL").select(F.xxhash64("text").alias("text_key"), "text")
+
+
+def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     """``token, cid, common``: the first shingles of each set in the common order.
 
-    A set that a task meets again is left out (as far as it remembers).
+    A text or set that a task meets again is left out (as far as it remembers).
     """
-    shipped = sets.sparkSession.sparkContext.broadcast(frequent)
+    shipped = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = shipped.value
-        met = np.zeros(MET, np.int64)          # the last set met at each place
+        texts, sets = Met(), Met()
         for b in batches:
             keys, ids, common = [], [], []
-            for cid, n, data in zip(b.column("cid").to_pylist(), b.column("n").to_pylist(),
-                                    b.column("tokens").to_pylist(), strict=True):
-                if met[cid % MET] == cid:
-                    continue
-                met[cid % MET] = cid
-                t, size = _tokens(data), prefix_size(n)
-                at = np.searchsorted(hot, t)
-                late = np.zeros(len(t), bool) if not len(hot) else hot[np.minimum(at, len(hot) - 1)] == t
-                order = np.concatenate([np.flatnonzero(~late), np.flatnonzero(late)])[:size]
-                keys.append(t[order])
-                ids.append(np.full(size, cid))
-                common.append(late[order])
+            b = b.filter(pa.array(texts.new(b.column("text_key").to_pylist())))
+            for part in lots(raw(b.column("text"))):
+                for h in shingle_sets(part):
+                    cid = set_hash(h)
+                    if cid is None or not sets.new([cid])[0]:
+                        continue
+                    t, size = h >> U(16), prefix_size(len(h))
+                    at = np.searchsorted(hot, t)
+                    late = np.zeros(len(t), bool) if not len(hot) else hot[np.minimum(at, len(hot) - 1)] == t
+                    order = np.concatenate([np.flatnonzero(~late), np.flatnonzero(late)])[:size]
+                    keys.append(t[order])
+                    ids.append(np.full(size, cid))
+                    common.append(late[order])
             if keys:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.concatenate(ids)),
                      pa.array(np.concatenate(common))], ["token", "cid", "common"])
 
-    return sets.filter("n > 0").select("cid", "n", "tokens").mapInArrow(run, "token long, cid long, common boolean")
+    return _texts(docs).mapInArrow(run, "token long, cid long, common boolean")
 
 
 def _blocks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -400,8 +426,8 @@ def _block_pairs(blocks: DataFrame, points: DataFrame) -> DataFrame:
                .mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, points: DataFrame) -> DataFrame:
-    """The pairs whose sets reach the similarity; only the sets of pairs that pass the bound of the whole points are moved."""
+def _verified(pairs: DataFrame, docs: DataFrame, points: DataFrame) -> DataFrame:
+    """The pairs whose sets reach the similarity; only the sets of pairs that pass the bound of the whole points are made and moved."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
@@ -414,17 +440,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, points: DataFrame) -> DataFrame
     if pairs.isEmpty():
         return pairs
     ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    first = stored(points.select("cid", "rid").join(ids, "cid"), "wanted")
-    shipped = sets.sparkSession.sparkContext.broadcast(_bitmap(first.select("rid")))
+    first = stored(points.select("cid", "text_key").join(ids, "cid"), "wanted")
+    shipped = docs.sparkSession.sparkContext.broadcast(_bitmap(first.select("text_key")))
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = shipped.value
+        cells, met = shipped.value, Met()
         for b in batches:
-            at = _bits(b.column("rid").to_numpy())
-            yield b.filter(pa.array((cells[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
+            at = _bits(b.column("text_key").to_numpy())
+            b = b.filter(pa.array((cells[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
+            b = b.filter(pa.array(met.new(b.column("text_key").to_pylist())))
+            found = [h for part in lots(raw(b.column("text"))) for h in shingle_sets(part)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("text_key"), pa.array([set_hash(h) for h in found], pa.int64()), pa.array([len(h) for h in found], pa.int64()),
+                 pa.array([_packed(h >> U(16)) for h in found], pa.binary())], ["text_key", "cid", "n", "tokens"])
 
-    rows = sets.filter("n > 0").select("rid", "n", "tokens")
-    held = stored(rows.mapInArrow(likely, rows.schema).join(first, "rid").select("cid", "n", "tokens"), "held")
+    rows = _texts(docs).mapInArrow(likely, "text_key long, cid long, n long, tokens binary")
+    held = stored(rows.join(first, ["text_key", "cid"]).dropDuplicates(["text_key", "cid"]).select("cid", "n", "tokens"), "held")
     side = lambda x: held.select(F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("tokens").alias(f"t{x}"))
     links = stored(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long"), "links")
     discard(pairs, first, held)
@@ -489,25 +520,46 @@ def _lead_pairs(rows: DataFrame) -> DataFrame:
                .select(F.greatest("cid", "lead").alias("a"), F.least("cid", "lead").alias("b")).distinct()
 
 
-def _common_groups(rows: DataFrame, sets: DataFrame, points: DataFrame, links: DataFrame) -> DataFrame:
+def _sized(rows: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with their components, and each block of more than one component: its ``main`` one
+    (of more than one row), that one's rows ``n``, all ``rows``, the outsiders ``out``, and the slices of both."""
+    now = _labelled(rows, groups)
+    parts = now.groupBy("token", "component").agg(F.count("*").alias("n"))
+    sizes = parts.groupBy("token").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("rows"),
+                                       F.count("*").alias("parts")).filter("parts > 1") \
+                 .select("token", F.when(F.col("top.n") > 1, F.col("top.component")).alias("main"), F.col("top.n").alias("n"), "rows")
+    sliced = lambda n: F.greatest(F.lit(1), F.ceil(n / SLICE)).cast("int")
+    sizes = sizes.withColumn("out", F.col("rows") - F.when(F.col("main").isNotNull(), F.col("n")).otherwise(0))
+    return now, stored(sizes.withColumn("outs", sliced(F.col("out")))
+                       .withColumn("mains", F.when(F.col("main").isNotNull(), sliced(F.col("n"))).otherwise(0)), "sizes")
+
+
+def _spread(sizes: DataFrame) -> bool:
+    """Whether the search across components would copy the blocks' rows more than once on average.
+
+    Leaders make the outsiders fewer first; where the search is short as it is, it finds the same links by itself.
+    """
+    rows, dealt = sizes.agg(F.sum("rows"), F.sum(
+        F.when((F.col("outs") == 1) & (F.col("mains") <= 1), F.col("rows"))
+        .otherwise((F.col("rows") - F.col("out")) * F.col("outs") + F.col("out") * (F.col("mains") + F.col("outs"))))).first()
+    return rows is not None and dealt > 2 * rows
+
+
+def _common_groups(rows: DataFrame, docs: DataFrame, points: DataFrame, links: DataFrame) -> DataFrame:
     """``cid, component`` once the blocks of frequent shingles are searched too."""
     groups = _grouped_by(links)
+    now, sizes = _sized(rows, groups)
     for _ in range(ROUNDS):
-        more = _verified(_lead_pairs(_labelled(rows, groups)), sets, points)
+        if not _spread(sizes):
+            break
+        more = _verified(_lead_pairs(now), docs, points)
         if more.isEmpty():
             break
         links = stored(links.union(more).distinct(), "links")
         groups = _grouped_by(links)
+        now, sizes = _sized(rows, groups)
     # Whatever is left across components: the rows outside each block's largest component
     # (outsiders) with its rows and with one another; slice by slice where there are many.
-    now = _labelled(rows, groups)
-    parts = now.groupBy("token", "component").agg(F.count("*").alias("n"))
-    sizes = parts.groupBy("token").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("rows"),
-                                       F.count("*").alias("parts")).filter("parts > 1") \
-                 .select("token", F.when(F.col("top.n") > 1, F.col("top.component")).alias("main"), F.col("top.n").alias("n"), "rows")
-    sliced = lambda n: F.greatest(F.lit(1), F.ceil(n / SLICE)).cast("int")
-    out = F.col("rows") - F.when(F.col("main").isNotNull(), F.col("n")).otherwise(0)
-    sizes = sizes.withColumn("outs", sliced(out)).withColumn("mains", F.when(F.col("main").isNotNull(), sliced(F.col("n"))).otherwise(0))
     each = now.select("token", "cid", "component").join(sizes.select("token", "main", "outs", "mains"), "token") \
               .withColumn("inside", F.coalesce(F.col("component") == F.col("main"), F.lit(False)))
     place = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
@@ -550,14 +602,14 @@ def _common_groups(rows: DataFrame, sets: DataFrame, points: DataFrame, links: D
     dealt = alone.union(inside).union(across).union(among).join(points.select("cid", "n", "coarse", "point"), "cid")
     pairs = dealt.repartition("token", "far", "i", "j").sortWithinPartitions("token", "far", "i", "j") \
                  .select("token", "far", "i", "j", "own", "cid", "n", "component", "coarse", "point").mapInArrow(run, "a long, b long")
-    more = _verified(pairs, sets, points)
+    more = _verified(pairs, docs, points)
     return groups if more.isEmpty() else _grouped_by(links.union(more).distinct())
 
 
-def _bitmap(ids: DataFrame) -> np.ndarray:
-    """The hashes of ``ids (rid)`` as a bitmap of fixed size, joined piece by piece."""
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """The hashes of ``keys (text_key)`` as a bitmap of fixed size, joined piece by piece."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = [_bits(b.column("rid").to_numpy()) for b in batches if b.num_rows]
+        found = [_bits(b.column("text_key").to_numpy()) for b in batches if b.num_rows]
         bits = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
         for part in np.split(bits, np.flatnonzero(np.diff(bits >> SEGMENT)) + 1):
             if len(part):
@@ -574,7 +626,7 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
 
     out = np.zeros((1 << BITMAP - SEGMENT, 1 << SEGMENT - 3), np.uint8)
     schema = "segment int, cells binary"
-    for r in ids.mapInArrow(run, schema).repartition("segment").sortWithinPartitions("segment").mapInArrow(join, schema).collect():
+    for r in keys.mapInArrow(run, schema).repartition("segment").sortWithinPartitions("segment").mapInArrow(join, schema).collect():
         out[r["segment"]] = np.frombuffer(r["cells"], np.uint8)
     return out.ravel()
 
@@ -584,7 +636,7 @@ def _bits(ids: np.ndarray) -> np.ndarray:
 
 
 def _points(sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``cid, rid, n, copies, point, coarse`` of the sets in ``wanted (cid)``: one row each, without the sets."""
+    """``cid, text_key, n, copies, point, coarse`` of the sets in ``wanted (cid)``: one row each, without the sets."""
     first = sets.filter("n > 0").groupBy("cid").agg(F.min("rid").alias("rid"), F.count("*").alias("copies")) \
                 .join(wanted, "cid", "left_semi")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -595,8 +647,8 @@ def _points(sets: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(whole, pa.binary()), pa.array(small, pa.binary())],
                                              [*b.schema.names, "coarse"])
 
-    rows = sets.filter("n > 0").select("rid", "n", "point").join(first, "rid").select("cid", "rid", "n", "copies", "point")
-    return stored(rows.mapInArrow(run, "cid long, rid long, n long, copies long, point binary, coarse binary"), "points")
+    rows = sets.filter("n > 0").select("rid", "text_key", "n", "point").join(first, "rid").select("cid", "text_key", "n", "copies", "point")
+    return stored(rows.mapInArrow(run, "cid long, text_key long, n long, copies long, point binary, coarse binary"), "points")
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
@@ -607,7 +659,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     """
     found = document_sets(docs)
     sets = found.filter("rid IS NOT NULL")
-    prefixes = _prefixes(sets, _frequent(found))
+    prefixes = _prefixes(docs, _frequent(found))
     blocks, large = _blocks(prefixes)
     common = _families(stored(prefixes.filter("common").select("token", "cid").union(large).distinct(), "common"))
     wanted = blocks.select(F.explode("members").alias("cid")).union(common.select("cid")).distinct()
@@ -615,8 +667,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     common = stored(common.join(points.select("cid", "copies"), "cid"), "common")
     # The short blocks' pairs and the first leaders' are verified together.
     pairs = _block_pairs(blocks, points).union(_lead_pairs(common.withColumn("component", F.col("cid"))))
-    links = _verified(pairs, sets, points)
-    group = _common_groups(common, sets, points, links)
+    links = _verified(pairs, docs, points)
+    group = _common_groups(common, docs, points, links)
     member = sets.select("rid", "doc_id", "text_key", "n", "cid").join(group, "cid", "left") \
                  .withColumn("component", F.coalesce("component", "cid"))
     first = member.filter("component IS NOT NULL").groupBy("component").agg(

@@ -1,6 +1,7 @@
 """The operators against brute force on the driver's small tables."""
 
 import random
+from pathlib import Path
 
 import duckdb
 import fixtures_llm as X
@@ -214,6 +215,23 @@ def test_jaccard_large_groups(spark, monkeypatch):
     assert got == {i: (sizes[i], comp[i]) for i in sizes}
 
 
+def test_jaccard_keeps_less_than_the_texts(spark, monkeypatch):
+    """No table holds the sets of all documents, which are larger than their texts."""
+    sizes, plain, rng = [], jaccard.stored, random.Random(5)
+
+    def stored(df, name):
+        out = plain(df, name)
+        sizes.append(sum(f.stat().st_size for f in Path(out.folder.removeprefix("file:")).rglob("*.parquet")))
+        return out
+    monkeypatch.setattr(jaccard, "stored", stored)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=4)) for _ in range(2000)) for _ in range(300)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(300, texts[7]), (301, texts[8] + " z"), (302, None)]
+    got = {r["doc_id"]: r for r in jaccard.similarity_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert {k: r["component_id"] for k, r in got.items()} == {i: i for i in range(300)} | {300: 7, 301: 8, 302: 302}
+    assert got[301]["n_shingles"] == len(set(zip(*[(texts[8] + " z").split()[j:] for j in range(5)], strict=False)))
+    assert sizes and sum(sizes) < sum(map(len, texts)) / 2
+
+
 def test_tree_bound_keeps_all_similar_pairs():
     rng = np.random.default_rng(1)
     sets = [set(rng.integers(0, 60, rng.integers(5, 50)).tolist()) for _ in range(200)]
