@@ -2,8 +2,9 @@
 
 A word's lattice holds every segmentation of the marked word into pieces of
 an existing unigram vocabulary (a SentencePiece file; characters no piece
-holds go to byte pieces) and one edge for the whole word. A log-space forward
-recursion sums all segmentations. Since pieces never cross a word mark, the
+holds go to byte pieces) and one edge for the whole word. A forward recursion
+sums all segmentations, in log space where the sum could leave the range of a
+double. Since pieces never cross a word mark, the
 probability of a text is the product over its words and one end.
 
 Learned from the training rows, over all of them: the piece weights (from the
@@ -29,8 +30,9 @@ any length are scored whole; an empty table gives no rows. Only doc_id, text and
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
+from copy import copy
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickfeat.llm.common import bounded_top, crc_mod, raw, stored, words
+from clickfeat.llm.common import bounded_top, crc_mod, stored
 from clickfeat.llm.pieces import MARK, MODEL, Edges, Vocabulary, load_vocabulary
 
 CLASSES = 7           # languages with word edges of their own; the rest share one more
@@ -46,6 +48,8 @@ COMMON, SHORT = 100_000, 64
 ROUNDS = 3            # re-estimations of the piece weights per class
 PRIOR = 10.0          # its prior, in pieces
 FLUSH = 300_000       # distinct words a task gathers before passing them on
+AT_ONCE = 1 << 21     # bytes of texts cut into words together
+TINY = 1e-200         # sums below are taken again in log space
 END = b"\n"           # stands for the end of a text; no word holds it
 
 
@@ -53,90 +57,113 @@ class Lattice(Edges):
     """The recursions over a batch of marked words.
 
     ``weights`` has a row per piece and a column per class (natural logs).
-    The edges of a word are found once and kept as two lists: the place where
-    each ends in its word, and its piece (or, below zero, the character that
-    goes to byte pieces).
+    The edges of a word are found once and kept as one list, by the place where
+    they end in the word: twice the piece (or, below zero, the character that
+    goes to byte pieces), plus one where the place is the next. Each place of
+    a word ends an edge, that of its last character at least.
     """
 
     def __init__(self, v: Vocabulary, weights: np.ndarray):
         super().__init__(v)
-        self.w = weights
+        self.w, self.p = weights, np.exp(weights)
         self.length = np.array([len(p) for p in v.pieces], np.int64)
 
-    def find(self, batch: list[bytes]) -> tuple[np.ndarray, list, list]:
-        """Sizes of the marked words, and their edges: places and codes."""
+    def find(self, batch: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sizes of the marked words, where each one's edges end in their list, and the list."""
         marked = [MARK + w.decode("utf-8", "replace").replace(MARK, "\ufffd") for w in batch]
         self.load(marked)
         code = self.row.copy()
         lone = code >= self.size
         joined = "\n".join(marked)
         code[lone] = [-1 - ord(joined[p]) for p in self.start[lone].tolist()]
-        order = np.argsort(self.word, kind="stable")
-        ends = np.searchsorted(self.word[order], np.arange(len(marked) + 1))
-        kept = [self.to_at[order].astype(np.int32), code[order].astype(np.int32)]
-        return self.last - self.first, ends, kept
+        order = np.argsort(self.end, kind="stable")
+        end = self.end[order]
+        ends = np.searchsorted(end, np.append(self.first, self.nodes), "right")
+        return self.last - self.first, ends, (code[order] * 2 + (np.diff(end, prepend=-1) > 0)).astype("<i4")
 
-    def lay(self, sizes: np.ndarray, counts: np.ndarray, at: np.ndarray, code: np.ndarray) -> None:
+    def lay(self, sizes: np.ndarray, counts: np.ndarray, kept: np.ndarray) -> None:
         """Lay out the kept edges (``counts`` a word, end to end) of a batch of words."""
         self.first = np.cumsum(sizes + 1) - sizes - 1
         self.last = self.first + sizes
         self.nodes = int((sizes + 1).sum())
         self.word = np.repeat(np.arange(len(sizes)), counts)
-        self.to_at = at.astype(np.int64)
+        code = (kept >> 1).astype(np.int64)
         lone = code < 0
+        self.to_at = np.cumsum(kept & 1, dtype=np.int64) - (self.first - np.arange(len(sizes)))[self.word]
         chars, which = np.unique(code[lone], return_inverse=True)
         self.spelled = [self.spell(chr(-1 - c)) for c in chars.tolist()]
-        self.row = code.astype(np.int64)
-        self.row[lone] = self.size + which
         self.from_at = self.to_at - np.where(lone, 1, self.length[np.where(lone, 0, code)])
+        self.row = code
+        self.row[lone] = self.size + which
         self.start, self.end = self.first[self.word] + self.from_at, self.first[self.word] + self.to_at
-        self.rows = self.w
+        self.rows, self.chances = self.w, self.p
         if self.spelled:
-            self.rows = np.vstack([self.w, [self.w[ids].sum(0) for ids in self.spelled]])
+            more = np.array([self.w[ids].sum(0) for ids in self.spelled])
+            self.rows, self.chances = np.vstack([self.w, more]), np.vstack([self.p, np.exp(more)])
 
     def take(self, batch: list[bytes]) -> None:
         """Find and lay out the edges of a batch of words."""
-        sizes, ends, (at, code) = self.find(batch)
-        self.lay(sizes, np.diff(ends), at, code)
-
-    def pick(self, words: np.ndarray, classes: np.ndarray) -> None:
-        """From here on, the lattices of ``words`` (again for each class that one is in)."""
+        sizes, ends, kept = self.find(batch)
+        self.lay(sizes, np.diff(ends), kept)
+
+    def pick(self, words: np.ndarray) -> Lattice:
+        """The lattices of ``words`` only (again for each time that one is named)."""
+        if len(words) == len(self.first) and (np.diff(words) == 1).all():
+            return self
+        part = copy(self)
         counts = np.bincount(self.word, minlength=len(self.first))
         heads, sizes = np.cumsum(counts) - counts, (self.last - self.first)[words]
         counts = counts[words]
         each = np.repeat(heads[words] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-        self.first = np.cumsum(sizes + 1) - sizes - 1
-        self.last = self.first + sizes
-        self.nodes = int((sizes + 1).sum())
-        self.word = np.repeat(np.arange(len(words)), counts)
-        self.from_at, self.to_at, self.row = self.from_at[each], self.to_at[each], self.row[each]
-        self.start, self.end = self.first[self.word] + self.from_at, self.first[self.word] + self.to_at
-        self.kind = classes[self.word]
-
-    def _sweep(self, terms, source, target, order_by, begin, ascending) -> np.ndarray:
-        """Log sums over all edges from ``source`` to ``target`` nodes, position by position.
+        part.first = np.cumsum(sizes + 1) - sizes - 1
+        part.last = part.first + sizes
+        part.nodes = int((sizes + 1).sum())
+        part.word = np.repeat(np.arange(len(words)), counts)
+        part.from_at, part.to_at, part.row = self.from_at[each], self.to_at[each], self.row[each]
+        first = part.first[part.word]
+        part.start, part.end = first + part.from_at, first + part.to_at
+        return part
+
+    def _sweep(self, terms: np.ndarray, forward: bool, logs: bool) -> np.ndarray:
+        """Sums over all paths from the words' first nodes (or back from their last), place by place.
 
         ``terms`` are the edges' weights: one each, or one for each class.
         """
-        sums = np.full((self.nodes, *terms.shape[1:]), -np.inf)
-        sums[begin] = 0.0
-        order = np.lexsort((target, order_by if ascending else -order_by))
-        src, dst, weight, pos = source[order], target[order], terms[order], order_by[order]
-        cuts = np.flatnonzero(np.diff(pos)) + 1
-        new = np.concatenate([[True], np.diff(dst) != 0])
-        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(order)], strict=True):
-            own = sums[src[lo:hi]] + weight[lo:hi]
-            new[lo] = True
-            heads = np.flatnonzero(new[lo:hi])
-            top = np.maximum(np.maximum.reduceat(own, heads), -1e300)
-            total = np.add.reduceat(np.exp(own - np.repeat(top, np.diff(np.append(heads, hi - lo)), 0)), heads)
-            with np.errstate(divide="ignore"):
-                sums[dst[lo:hi][heads]] = top + np.log(total)
+        source, target, place, begin = (self.start, self.end, self.to_at, self.first) if forward else \
+            (self.end, self.start, self.from_at, self.last)
+        sums = np.full((self.nodes, *terms.shape[1:]), -np.inf if logs else 0.0)
+        sums[begin] = 0.0 if logs else 1.0
+        # Small numbers are sorted in one pass; the words stay in order, so each target's edges are together.
+        order = np.argsort(place.astype(np.uint16) if len(place) and place.max() < 1 << 16 else place, kind="stable")
+        src, dst, weight, pos = source[order], target[order], terms[order], place[order]
+        heads = np.flatnonzero(np.diff(dst, prepend=-1))
+        aims = dst[heads]
+        cuts = np.searchsorted(pos, np.arange(pos[0], pos[-1] + 2)) if len(pos) else np.zeros(1, int)
+        rounds = list(zip(pairwise(cuts.tolist()), pairwise(np.searchsorted(heads, cuts).tolist()), strict=True))
+        for (lo, hi), (one, end) in rounds if forward else rounds[::-1]:
+            if lo == hi:
+                continue
+            at = heads[one:end] - lo
+            if logs:
+                own = sums[src[lo:hi]] + weight[lo:hi]
+                top = np.maximum(np.maximum.reduceat(own, at), -1e300)
+                total = np.add.reduceat(np.exp(own - np.repeat(top, np.diff(np.append(at, hi - lo)), 0)), at)
+                with np.errstate(divide="ignore"):
+                    sums[aims[one:end]] = top + np.log(total)
+            else:
+                sums[aims[one:end]] = np.add.reduceat(sums[src[lo:hi]] * weight[lo:hi], at)
         return sums
 
     def marginals(self) -> np.ndarray:
         """Log probability of each word (rows) in each class."""
-        return self._sweep(self.rows[self.row], self.start, self.end, self.to_at, self.first, True)[self.last]
+        total = self._sweep(self.chances[self.row], True, False)[self.last]
+        small = np.flatnonzero((total < TINY).any(1))
+        total[small] = 1.0
+        out = np.log(total)
+        if len(small):
+            part = self.pick(small)
+            out[small] = part._sweep(part.rows[part.row], True, True)[part.last]
+        return out
 
     def expected(self, classes: np.ndarray) -> np.ndarray:
         """Expected piece counts per class; ``classes`` says which words (rows) are in which class (columns)."""
@@ -144,12 +171,21 @@ class Lattice(Edges):
         size, width = self.w.shape
         if not len(words):
             return np.zeros((size, width))
-        self.pick(words, kinds)
-        terms = self.rows[self.row, self.kind]
-        a = self._sweep(terms, self.start, self.end, self.to_at, self.first, True)
-        b = self._sweep(terms, self.end, self.start, self.from_at, self.last, False)
-        edge = np.exp(a[self.start] + terms + b[self.end] - a[self.last][self.word])
-        out = np.bincount(self.row * width + self.kind, edge, len(self.rows) * width).reshape(-1, width)
+        part = self.pick(words)
+        at = part.row * width + kinds[part.word]
+        terms = self.chances.ravel()[at]
+        a, b = part._sweep(terms, True, False), part._sweep(terms, False, False)
+        total = a[part.last]
+        small = np.flatnonzero(total < TINY)
+        total[small] = np.inf
+        out = np.bincount(at, a[part.start] * terms * b[part.end] / total[part.word], len(self.rows) * width)
+        if len(small):
+            part = part.pick(small)
+            at = part.row * width + kinds[small][part.word]
+            terms = self.rows.ravel()[at]
+            a, b = part._sweep(terms, True, True), part._sweep(terms, False, True)
+            out += np.bincount(at, np.exp(a[part.start] + terms + b[part.end] - a[part.last][part.word]), len(out))
+        out = out.reshape(-1, width)
         counts = out[:size]
         for ids, n in zip(self.spelled, out[size:], strict=True):
             np.add.at(counts, ids, n)
@@ -170,28 +206,51 @@ def _logs(mass: np.ndarray) -> np.ndarray:
         return np.log(mass / mass.sum(0))
 
 
+def _cut(column: pa.Array) -> Iterator[tuple[int, int, pa.Array, np.ndarray, np.ndarray]]:
+    """The lower-cased words of texts, about ``AT_ONCE`` bytes of texts at a time.
+
+    Gives the first row and the one after the last, the distinct words, and of each
+    word its place among them and its row (counted from the first).
+    """
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    lots = np.flatnonzero(np.diff(np.cumsum(size) // AT_ONCE)) + 1
+    for lo, hi in pairwise([0, *lots.tolist(), len(column)]):
+        found = pc.ascii_split_whitespace(pc.ascii_lower(column.slice(lo, hi - lo)))
+        row = np.repeat(np.arange(hi - lo), pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False))
+        found = found.flatten().cast(pa.binary())
+        real = pc.greater(pc.binary_length(found), 0)       # white space at a text's ends leaves empty ones
+        found, row = found.filter(real).dictionary_encode(), row[real.to_numpy(zero_copy_only=False)]
+        yield lo, hi, found.dictionary, found.indices.to_numpy().astype(np.int64), row
+
+
 def word_counts(docs: DataFrame, held: str, group: str, groups: int) -> DataFrame:
     """``word, t0..tn``: how often each word of all rows is in training rows of each class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = [Counter() for _ in range(groups + 1)]    # the last: held-out rows
+        schema = pa.schema([("word", pa.binary()), ("k", pa.int32()), ("n", pa.int64())])
+        kept = schema.empty_table()
 
-        def flush():
-            for k, c in enumerate(own):
-                if c:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(list(c), pa.binary()), pa.array([k] * len(c), pa.int32()),
-                         pa.array(list(c.values()), pa.int64())], ["word", "k", "n"])
-                    c.clear()
+        def merged() -> pa.Table:
+            sums = kept.group_by(["word", "k"], use_threads=False).aggregate([("n", "sum")])
+            return pa.table([sums[c].combine_chunks() for c in ("word", "k", "n_sum")], schema=schema)
 
         for b in batches:
-            kinds = [groups if h else g for h, g in
-                     zip(b.column("held").to_pylist(), b.column("g").to_pylist(), strict=True)]
-            for text, k in zip(raw(b.column("text")), kinds, strict=True):
-                own[k].update(words(text))
-                own[k][END] += 1
-            if sum(map(len, own)) >= FLUSH:
-                yield from flush()
-        yield from flush()
+            kinds = np.where(b.column("held").to_numpy(zero_copy_only=False), groups, b.column("g").to_numpy(zero_copy_only=False))
+            for lo, hi, own, code, row in _cut(b.column("text")):
+                k = kinds[lo:hi].astype(np.int64)       # ``groups``: held-out rows
+                n = np.bincount(k[row] * len(own) + code, minlength=(groups + 1) * len(own))
+                at = np.flatnonzero(n)
+                which, word = np.divmod(at, max(len(own), 1))
+                ends = np.bincount(k, minlength=groups + 1)
+                some = np.flatnonzero(ends)
+                met = [own.take(pa.array(word)), pa.array(which.astype(np.int32)), pa.array(n[at])]
+                one = [pa.array([END] * len(some), pa.binary()), pa.array(some.astype(np.int32)), pa.array(ends[some])]
+                kept = pa.concat_tables([kept, pa.table(met, schema=schema), pa.table(one, schema=schema)])
+                if len(kept) >= 2 * FLUSH:
+                    kept = merged()
+                    if len(kept) >= FLUSH:
+                        yield from kept.to_batches()
+                        kept = schema.empty_table()
+        yield from merged().to_batches()
 
     rows = docs.select("text", F.col(held).alias("held"), F.col(group).alias("g")) \
                .mapInArrow(run, "word binary, k int, n long")
@@ -199,29 +258,30 @@ def word_counts(docs: DataFrame, held: str, group: str, groups: int) -> DataFram
         *[F.sum(F.when(F.col("k") == k, F.col("n")).otherwise(0)).alias(f"t{k}") for k in range(groups)])
 
 
-EDGES = ["size", "at", "code"]
+EDGES = ["size", "edges"]
 
 
 def _with_edges(counts: DataFrame, v: Vocabulary) -> DataFrame:
     """``counts`` with the edges of each word's lattice (none for the end), which all later passes use."""
     shipped = counts.sparkSession.sparkContext.broadcast(tuple(v))
-    schema = counts.withColumns({"size": F.lit(0), "at": F.lit(None).cast("array<int>"), "code": F.lit(None).cast("array<int>")}).schema
+    schema = counts.withColumns({"size": F.lit(0), "edges": F.lit(b"")}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Lattice(Vocabulary(*shipped.value), np.zeros((0, 1)))
         for b in batches:
             if b.num_rows:
                 sizes, ends, kept = model.find([w if w != END else b"" for w in b.column("word").to_pylist()])
-                lists = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(k)) for k in kept]
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sizes.astype(np.int32)), *lists], [*b.schema.names, *EDGES])
+                kept = pa.Array.from_buffers(pa.binary(), len(sizes), [None, *map(pa.py_buffer, [(4 * ends).astype(np.int32), kept])])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sizes.astype(np.int32)), kept], [*b.schema.names, *EDGES])
 
     return counts.mapInArrow(run, schema)
 
 
 def _taken(model: Lattice, b: pa.RecordBatch) -> None:
-    at, code = b.column("at"), b.column("code")
-    model.lay(b.column("size").to_numpy().astype(np.int64), pc.list_value_length(at).to_numpy(zero_copy_only=False),
-              at.flatten().to_numpy(), code.flatten().to_numpy())
+    edges = b.column("edges")
+    _, ends, data = edges.buffers()
+    ends = np.frombuffer(ends, np.int32)[edges.offset:edges.offset + len(edges) + 1]
+    model.lay(b.column("size").to_numpy().astype(np.int64), np.diff(ends) // 4, np.frombuffer(data[ends[0]:ends[-1]], "<i4"))
 
 
 def _reestimated(counts: DataFrame, v: Vocabulary, start: np.ndarray, shares: list[str]) -> np.ndarray:
@@ -335,30 +395,29 @@ def lattice_scores(docs: DataFrame, held_out, vocabulary: str = MODEL) -> DataFr
     # First the common words of each row; the others stay as (word, n).
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, parts = shipped.value
-        at = {w: i for i, w in enumerate(names)}
+        common = pa.array(names, pa.binary())
+        parts = np.vstack([parts, np.zeros(groups + 2)]).T.copy()   # the last: a word that is not common
         for b in batches:
-            sums, sizes, known, rare, times, cuts = [], [], [], [], [], [0]
-            for text in raw(b.column("text")):
-                own = Counter(words(text))
-                sizes.append(own.total() + 1)
-                i, n = [], []
-                for w, k in own.items():
-                    place = at.get(w)
-                    if place is None:
-                        rare.append(w)
-                        times.append(k)
-                    else:
-                        i.append(place)
-                        n.append(k)
-                cuts.append(len(rare))
-                sums.append(np.array(n, np.float64) @ parts[i] if i else np.zeros(groups + 2))
-                known.append(sum(n))
-            flat = pa.array(np.concatenate(sums) if sums else np.zeros(0))
-            others = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], ["word", "n"])
+            sizes, known = np.zeros((2, b.num_rows), np.int64)
+            sums, each = np.zeros((b.num_rows, groups + 2)), np.zeros(b.num_rows, np.int64)
+            rare, times = [pa.array([], pa.binary())], [np.zeros(0, np.int64)]
+            for lo, hi, own, code, row in _cut(b.column("text")):
+                place = pc.fill_null(pc.index_in(own, common), len(names)).to_numpy(zero_copy_only=False)
+                met = (place < len(names))[code]
+                sizes[lo:hi], known[lo:hi] = (np.bincount(r, minlength=hi - lo) for r in (row, row[met]))
+                for k, part in enumerate(parts):
+                    sums[lo:hi, k] = np.bincount(row, part[place][code], hi - lo)
+                pairs, n = np.unique(row[~met] * len(own) + code[~met], return_counts=True)
+                which, word = np.divmod(pairs, max(len(own), 1))
+                each[lo:hi] = np.bincount(which, minlength=hi - lo)
+                rare.append(own.take(pa.array(word)))
+                times.append(n)
+            others = pa.StructArray.from_arrays([pa.concat_arrays(rare), pa.array(np.concatenate(times))], ["word", "n"])
+            cuts = np.concatenate([[0], np.cumsum(each)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [b.column("rid"), b.column("doc_id"), b.column("held"), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(np.arange(len(sums) + 1, dtype=np.int32) * (groups + 2)), flat),
-                 pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), others)],
+                [b.column("rid"), b.column("doc_id"), b.column("held"), pa.array(sizes + 1), pa.array(known),
+                 pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * (groups + 2)), pa.array(sums.ravel())),
+                 pa.ListArray.from_arrays(pa.array(cuts), others)],
                 ["rid", "doc_id", "held", "n_tokens", "known", "sums", "rare"])
 
     numbered = source.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "held", "text")

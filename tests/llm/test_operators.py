@@ -6,11 +6,13 @@ from pathlib import Path
 import duckdb
 import fixtures_llm as X
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures_llm import SF_SMALL
 
 from clickfeat.llm import forest, jaccard, lattice, mixing, pieces, secrets, spans, topk, toxicity, wrappers
 from clickfeat.llm import queries as Q
+from clickfeat.llm.common import words
 
 
 @pytest.fixture(scope="module")
@@ -115,6 +117,45 @@ def test_lattice_runs_three_rounds():
     assert lattice.ROUNDS == 3
 
 
+def test_lattice_takes_only_long_words_in_log_space(monkeypatch):
+    """Words whose probability leaves the range of a double, beside others, which take no logarithm an edge."""
+    w = lattice._logs(np.exp(np.array(VOCABULARY.scores))[:, None].repeat(2, 1) * np.array([[1.0, 2.0]]))
+    model = lattice.Lattice(VOCABULARY, w)
+    in_logs, plain = [], lattice.Lattice._sweep
+
+    def sweep(self, terms, *rest):
+        if (terms < 0).any():
+            in_logs.append(len(self.first))
+        return plain(self, terms, *rest)
+
+    monkeypatch.setattr(lattice.Lattice, "_sweep", sweep)
+    model.take([b"abab", "☃".encode() * 300, b"a"])
+    at = {p: i for i, p in enumerate(VOCABULARY.pieces)}
+    got = model.marginals()[:, 0]
+    snowman = sum(w[at[f"<0x{b:02X}>"], 0] for b in "☃".encode())
+    assert got[1] == pytest.approx(w[at["▁"], 0] + 300 * snowman) and got[1] < -1000
+    for k, word in ((0, "abab"), (2, "a")):
+        assert got[k] == pytest.approx(np.logaddexp.reduce([sum(w[at[p], 0] for p in seg) for seg in _segmentations("▁" + word)]))
+    counts = model.expected(np.array([[True, False], [True, True], [False, True]]))
+    assert [counts[at[f"<0x{b:02X}>"], k] for b in "☃".encode() for k in (0, 1)] == pytest.approx([300.0] * 6)
+    spelled = [sum(counts[i, k] * len(p) for i, p in enumerate(VOCABULARY.pieces) if i > 256) for k in (0, 1)]
+    assert spelled == pytest.approx([6.0, 3.0])
+    assert in_logs == [1, 2, 2]     # one word's marginal; forward and back, the long word in both classes
+
+
+@pytest.mark.parametrize("most", [1, 7, 1 << 21])
+def test_lattice_cuts_the_same_words(monkeypatch, most):
+    monkeypatch.setattr(lattice, "AT_ONCE", most)
+    texts = [b"", None, b" a  B ", bytes(range(1, 128)), "É ÀB c x\x85y\x1cZ\xa0  q".encode(), b"\x00 a\x00b\n", b"\n", b"x" * 300, None]
+    column = pa.array([t and t.decode() for t in texts], pa.string())
+    got = [[] for _ in texts]
+    for lo, hi, own, code, row in lattice._cut(column):
+        assert len(set(own.to_pylist())) == len(own) and (row < hi - lo).all()
+        for c, r in zip(code.tolist(), row.tolist(), strict=True):
+            got[lo + r].append(own[c].as_py())
+    assert got == [words(t) for t in texts]
+
+
 def test_lattice_is_a_distribution():
     """All words of up to seven letters, and what is longer, have probability below one in all."""
     w = lattice._logs(np.exp(np.array(VOCABULARY.scores))[:, None])
